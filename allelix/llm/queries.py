@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from allelix.llm import bpe, mixing, sharding, simhash, token_counts
+from allelix.llm import ann, bpe, minhash, mixing, sharding, simhash, token_counts, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,8 +14,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_simhash": simhash.query,
         "op2_sharding": sharding.query,
         "op3_mixing": mixing.query,
+        "op4_neighbours": ann.query,
+        "op5_minhash": minhash.query,
         "op6_token_counts": token_counts.query,
         "op7_bpe": bpe.query,
+        "op10_toxicity": toxicity.query,
     }
 
 
