@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from allelix.llm import ann, bpe, minhash, mixing, sharding, simhash, token_counts, toxicity
+from allelix.llm import ann, bpe, minhash, mixing, pii, secrets, sharding, simhash, token_counts, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -18,6 +18,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_minhash": minhash.query,
         "op6_token_counts": token_counts.query,
         "op7_bpe": bpe.query,
+        "op8_pii": pii.query,
+        "op9_secrets": secrets.query,
         "op10_toxicity": toxicity.query,
     }
 

@@ -24,6 +24,8 @@ from allelix.llm.graph import connected_components
 
 BITS = 64
 SEED = 42
+#: Of groups that are verified: words of a shingle, differing bits, and Jaccard similarity.
+WORDS, BUDGET, SIMILAR = 5, 7, 0.8
 #: Fingerprints that one bucket may hold before it is cut by further bits.
 BUCKET_ROWS = 1024
 #: Sum of squared bucket sizes that one call of the trie walk takes.
@@ -138,7 +140,27 @@ def spanning(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return label
 
 
-def _walk_buckets(budget: int):
+def nearest_forest(values: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A spanning forest of the pairs (a, b) in which nearer pairs come first."""
+    up: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while (y := up.get(x, x)) != x:
+            up[x] = up.get(y, y)
+            x = y
+        return x
+
+    order = np.argsort(np.bitwise_count(values[a] ^ values[b]), kind="stable")
+    kept = []
+    for i, x, y in zip(order.tolist(), a[order].tolist(), b[order].tolist()):
+        x, y = top(x), top(y)
+        if x != y:
+            up[max(x, y)] = min(x, y)
+            kept.append(i)
+    return a[kept], b[kept]
+
+
+def _walk_buckets(budget: int, true_links: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         paths, values, squares = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64), 0
 
@@ -155,10 +177,15 @@ def _walk_buckets(budget: int):
             for x, y in zip(cuts, [*cuts[1:], len(size)]):
                 if y > x:
                     base, own = starts[x], values[starts[x] : starts[y]]
-                    label = spanning(len(own), *trie_walk(starts[x : y + 1] - base, own, budget))
-                    moved = np.flatnonzero(label != np.arange(len(own)))
-                    out_a.append(own[moved].view(np.int64))
-                    out_b.append(own[label[moved]].view(np.int64))
+                    left, right = trie_walk(starts[x : y + 1] - base, own, budget)
+                    if true_links:
+                        left, right = nearest_forest(own, left, right)
+                    else:
+                        label = spanning(len(own), left, right)
+                        left = np.flatnonzero(label != np.arange(len(own)))
+                        right = label[left]
+                    out_a.append(own[left].view(np.int64))
+                    out_b.append(own[right].view(np.int64))
             return pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_a)), pa.array(np.concatenate(out_b))], names=["a", "b"])
 
         for batch in batches:
@@ -177,10 +204,17 @@ def _walk_buckets(budget: int):
 
 
 def _blocks(free: int, budget: int) -> list[int]:
-    """Masks of budget + 1 blocks that part the bits of `free`."""
+    """Masks of blocks of `free`, of which two values within the budget agree in one at least.
+
+    Up to a budget of 3 these are budget + 1 blocks. Up to 7, one of four blocks has at most one error, so each block comes once
+    for each of its bits, without that bit; bits that an earlier cut has left are parted into budget + 1 blocks.
+    """
     bits = [1 << i for i in range(BITS - 1, -1, -1) if free >> i & 1]
-    ends = [round(i * len(bits) / (budget + 1)) for i in range(budget + 2)]
-    return [sum(bits[a:b]) for a, b in zip(ends, ends[1:])]
+    wild = 3 < budget < 8 and len(bits) == BITS
+    parts = 4 if wild else budget + 1
+    ends = [round(i * len(bits) / parts) for i in range(parts + 1)]
+    masks = [sum(bits[a:b]) for a, b in zip(ends, ends[1:])]
+    return [m & ~bit for m in masks for bit in bits if m & bit] if wild else masks
 
 
 def _signed(mask: int) -> int:
@@ -199,11 +233,11 @@ def _cut(rows: DataFrame, frees: set[int], budget: int) -> tuple[DataFrame, set[
     return found, {free & ~m for free, masks in cuts.items() for m in masks}
 
 
-def hamming_links(values: DataFrame, budget: int = 3, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+def hamming_links(values: DataFrame, budget: int = 3, bucket_rows: int = BUCKET_ROWS, true_links: bool = False) -> DataFrame:
     """Edges (a, b) that connect exactly what the links of the distinct longs `fp` at `budget` or fewer bits connect.
 
     A task sends a spanning forest of a bucket's links instead of all of them, so a bucket of n fingerprints gives
-    under n edges. Buckets over `bucket_rows` are cut by blocks of their free bits, until under 20 bits are free.
+    under n edges; with `true_links` each edge is itself within the budget, the nearest first. Buckets over `bucket_rows` are cut by blocks of their free bits, until under 20 bits are free.
     An empty input gives no edges; nulls are left out.
     """
     edges, frees = None, {(1 << BITS) - 1}
@@ -218,7 +252,7 @@ def hamming_links(values: DataFrame, budget: int = 3, bucket_rows: int = BUCKET_
         light = rows if heavy is None else rows.join(heavy, "path", "left_anti")
         unsigned = F.col("fp").bitwiseXOR(F.lit(-(1 << (BITS - 1))))
         dealt = light.repartition(shuffle_width(values), "path").sortWithinPartitions("path", unsigned).select("path", "fp")
-        found = dealt.mapInArrow(_walk_buckets(budget), "a bigint, b bigint")
+        found = dealt.mapInArrow(_walk_buckets(budget, true_links), "a bigint, b bigint")
         edges = found if edges is None else edges.unionByName(found)
         if heavy is None:
             return edges
@@ -231,7 +265,10 @@ def components(prints: DataFrame, budget: int = 3) -> DataFrame:
     Null ids take part in links but name no component; a component without any id has a null one.
     """
     nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    linked = connected_components(hamming_links(nodes.select("fp"), budget))
+    return _named(nodes, connected_components(hamming_links(nodes.select("fp"), budget)))
+
+
+def _named(nodes: DataFrame, linked: DataFrame) -> DataFrame:
     merged = nodes.join(linked.withColumnRenamed("node", "fp"), "fp")
     roots = merged.groupBy("root").agg(F.min("least").alias("component_id"))
     merged = merged.join(roots, "root").select("fp", "component_id")
@@ -249,13 +286,42 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", wor
     return found.select(F.col("doc_id").alias(id), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def one_of_each(docs: DataFrame, words: int = 3, budget: int = 3) -> DataFrame:
-    """The rows of `docs` (with doc_id and text) without near copies: of each component the row with the least doc_id.
+def verified_groups(docs: DataFrame, words: int = WORDS, budget: int = BUDGET, similar: float = SIMILAR) -> DataFrame:
+    """(doc_id, component_id): groups by links of at most `budget` bits between fingerprints of `words`-word shingles
+    whose shingle sets are also `similar` or more (Jaccard). Texts with equal fingerprints are in one group.
+
+    Of each bucket's links the nearest that connect it are verified. Null ids are left out.
+    """
+    prints = cut_lineage(with_fingerprint(docs.where("doc_id is not null").select("doc_id", "text"), words=words))
+    nodes = cut_lineage(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
+    links = cut_lineage(hamming_links(nodes.select("fp"), budget, true_links=True).distinct())
+    ends = links.select(F.explode(F.array("a", "b")).alias("fp")).distinct().join(nodes, "fp")
+    texts = docs.select(F.col("doc_id").alias("least"), F.coalesce("text", F.lit("")).alias("text")).join(ends, "least")
+    sets = cut_lineage(shingle_sets(texts.groupBy(F.col("fp").alias("key")).agg(F.min("text").alias("text")), words))
+    both = links.join(sets.select(F.col("key").alias("a"), F.col("shingles").alias("sa")), "a").join(sets.select(F.col("key").alias("b"), F.col("shingles").alias("sb")), "b")
+    common = F.size(F.array_intersect("sa", "sb"))
+    true = both.where(common >= F.lit(similar) * (F.size("sa") + F.size("sb") - common)).select("a", "b")
+    return prints.join(_named(nodes, connected_components(true)), "fp").select("doc_id", "component_id")
+
+
+def shingle_sets(texts: DataFrame, words: int) -> DataFrame:
+    """key and shingles (sorted distinct hashes) of the table (key, text)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [np.unique(np.concatenate([np.zeros(0, np.uint64), *shingle_hashes(x.as_py(), words)])).view(np.int64) for x in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["key", "shingles"])
+
+    return texts.select("key", F.col("text").cast("binary").alias("text")).mapInArrow(run, "key bigint, shingles array<bigint>")
+
+
+def one_of_each(docs: DataFrame, words: int = WORDS, budget: int = BUDGET, similar: float = SIMILAR) -> DataFrame:
+    """The rows of `docs` (with doc_id and text) without near copies: of each group the row with the least doc_id.
 
     Of several rows with one doc_id one stays, the one with the least text. A row without doc_id cannot be named by
     a decision, so it stays. All columns are kept.
     """
-    found = near_duplicates(docs.where("doc_id is not null"), words=words, budget=budget)
+    found = verified_groups(docs, words, budget, similar)
     kept = found.where("component_id = doc_id").select("doc_id").distinct()
     order = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last())
     once = docs.join(kept, "doc_id", "left_semi").withColumn("__rank", F.row_number().over(order)).where("__rank = 1").drop("__rank")
