@@ -314,9 +314,11 @@ def redacted(text: Column, spans: Column) -> Column:
 
 def redact(docs: DataFrame) -> DataFrame:
     """`docs` with its columns, the spans in `text` redacted and n_chars, if there, counted anew; no row goes."""
-    found = find_spans(docs, docs.columns)
-    text = redacted(F.col("text"), F.col("spans"))
-    return found.select(*[text.alias("text") if c == "text" else F.length(text).cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns])
+    rows = docs.select("doc_id", "text", F.struct(*docs.columns).alias("__row"))
+    found = find_spans(rows, ("doc_id", "__row"))
+    found = found.select("__row", redacted(F.col("__row.text"), F.col("spans")).alias("__new"))
+    new = {"text": F.col("__new"), "n_chars": F.length("__new")}
+    return found.select(*[new.get(c, F.col(f"__row.`{c}`")).cast(docs.schema[c].dataType).alias(c) for c in docs.columns])
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
