@@ -26,7 +26,7 @@ PROJECTIONS = 96
 RADIUS_WIDTH = 1.0
 #: Standard deviations by which the collision threshold lies under the mean at distance R.
 MARGIN = 2.0
-FIRST_RADIUS, GROWTH = 0.05, 1.25
+FIRST_RADIUS, GROWTH, LAST_RADIUS = 0.2, 1.3, 2.0
 BLOCK_VECTORS, BLOCK_QUERIES = 8192, 512
 NEIGHBOURS = 5
 SEED = 20240607
@@ -53,29 +53,41 @@ class Block:
         self.order = np.argsort(placed, axis=0, kind="stable").T.copy()
         self.sorted = np.take_along_axis(placed.T, self.order, axis=1)
 
-    def search(self, id: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    def windows(self, queries: np.ndarray) -> tuple[list[float], np.ndarray]:
+        """The radii, and where each query's windows begin and end: (queries, radii, 2, projections).
+
+        At the last radius windows hold everything, as no two vectors of length one are further apart."""
+        radii = [FIRST_RADIUS]
+        while radii[-1] < LAST_RADIUS:
+            radii.append(radii[-1] * GROWTH)
+        half = RADIUS_WIDTH * np.array(radii)
+        centres = queries @ self.directions
+        out = np.empty((len(queries), len(radii), 2, PROJECTIONS), dtype=np.int32)
+        for i, row in enumerate(self.sorted):
+            out[:, :, 0, i] = np.searchsorted(row, centres[:, i, None] - half)
+            out[:, :, 1, i] = np.searchsorted(row, centres[:, i, None] + half, "right")
+        out[:, -1, 0], out[:, -1, 1] = 0, len(self.ids)
+        return radii, out
+
+    def search(self, id: int, query: np.ndarray, radii: list[float], windows: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids, cosines) of the k nearest found, the query's own row apart, ties to smaller ids."""
         n, need = len(self.ids), threshold()
-        centre = query @ self.directions
-        seen = np.zeros(n, dtype=np.int16)
+        seen = np.zeros(n, dtype=np.int64)
         cosine = np.full(n, -2.0)
-        low = high = np.array([np.searchsorted(row, c) for row, c in zip(self.sorted, centre)])
-        radius, own = FIRST_RADIUS, self.ids == id
-        while True:
-            whole = radius >= 2.0  # no two vectors are further apart
-            to_low = np.array([0 if whole else np.searchsorted(row, c - RADIUS_WIDTH * radius) for row, c in zip(self.sorted, centre)])
-            to_high = np.array([n if whole else np.searchsorted(row, c + RADIUS_WIDTH * radius, "right") for row, c in zip(self.sorted, centre)])
-            added = [order[a:b] for order, lo, hi, a2, b2 in zip(self.order, low, high, to_low, to_high) for a, b in ((a2, lo), (hi, b2)) if b > a]
+        own = self.ids == id
+        low = high = windows[0, 0]
+        for radius, (to_low, to_high) in zip(radii, windows):
+            added = [self.order[i, a:b] for i, (a, b) in enumerate(zip(to_low.tolist(), low.tolist())) if b > a]
+            added += [self.order[i, a:b] for i, (a, b) in enumerate(zip(high.tolist(), to_high.tolist())) if b > a]
             if added:
-                seen += np.bincount(np.concatenate(added), minlength=n).astype(np.int16)
+                seen += np.bincount(np.concatenate(added), minlength=n)
             low, high = to_low, to_high
             new = np.flatnonzero((seen >= need) & (cosine == -2.0) & ~own)
             if len(new):
                 cosine[new] = np.clip((self.vectors[new] * query).sum(axis=1), -1.0, 1.0)
             verified = cosine[cosine > -2.0]
-            if len(verified) >= k and math.sqrt(max(0.0, 2 - 2 * np.partition(verified, len(verified) - k)[len(verified) - k])) <= radius or whole:
+            if len(verified) >= k and math.sqrt(max(0.0, 2 - 2 * np.partition(verified, len(verified) - k)[len(verified) - k])) <= radius:
                 break
-            radius *= GROWTH
         found = np.flatnonzero(cosine > -2.0)
         if len(found) > k:  # all that tie with the k-th stay until ids decide
             found = found[cosine[found] >= np.partition(cosine[found], len(found) - k)[len(found) - k]]
@@ -90,8 +102,9 @@ def _search(k: int):
             rows = lambda t: np.stack([np.asarray(x, dtype=np.float64) for x in t.column("v").to_numpy()])
             ids = right.column("id").to_numpy()
             block, queries = Block(ids, rows(right)), unit(rows(left))
-            for id, query in zip(left.column("id").to_pylist(), queries):
-                found, score = block.search(id, query, k)
+            radii, windows = block.windows(queries)
+            for id, query, own in zip(left.column("id").to_pylist(), queries, windows):
+                found, score = block.search(id, query, radii, own, k)
                 out["query_id"] += [id] * len(found)
                 out["vec_id"] += found.tolist()
                 out["score"] += score.tolist()
