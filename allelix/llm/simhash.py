@@ -10,7 +10,7 @@ bits, so a hot bucket becomes many; with each cut fewer bits are left free, whic
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import repeat
 
 import numpy as np
@@ -24,8 +24,8 @@ from allelix.llm.graph import connected_components
 
 BITS = 64
 SEED = 42
-#: Of groups that are verified: words of a shingle, differing bits, and Jaccard similarity.
-WORDS, BUDGET, SIMILAR = 5, 7, 0.8
+#: Of groups that are verified: words of a shingle, differing bits, Jaccard similarity, and independent fingerprints.
+WORDS, BUDGET, SIMILAR, LOOKS = 5, 7, 0.8, 3
 #: Fingerprints that one bucket may hold before it is cut by further bits.
 BUCKET_ROWS = 1024
 #: Sum of squared bucket sizes that one call of the trie walk takes.
@@ -53,10 +53,10 @@ def shingle_hashes(text: bytes, words: int) -> Iterator[np.ndarray]:
         yield np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(SEED)), dtype=np.uint64, count=len(shingles))
 
 
-def fingerprint(text: bytes, words: int = 3) -> int:
-    """Bit i is 1 if over half of the shingle hashes have bit i; 0 for a text without words."""
+def majority(blocks: Iterable[np.ndarray]) -> int:
+    """Bit i is 1 if over half of the hashes in all blocks have bit i; 0 without hashes."""
     total, ones = 0, np.zeros(BITS, dtype=np.int64)
-    for hashes in shingle_hashes(text, words):
+    for hashes in blocks:
         total += len(hashes)
         for at in range(0, len(hashes), 255 * 256):
             part = hashes[at : at + 255 * 256].astype(">u8").view(np.uint8).reshape(-1, 8)
@@ -67,6 +67,31 @@ def fingerprint(text: bytes, words: int = 3) -> int:
     return int.from_bytes(np.packbits(ones * 2 > total).tobytes(), "big")
 
 
+def fingerprint(text: bytes, words: int = 3) -> int:
+    """Bit i is 1 if over half of the shingle hashes have bit i; 0 for a text without words."""
+    return majority(shingle_hashes(text, words))
+
+
+def shingle_set(text: bytes, words: int) -> np.ndarray:
+    """The sorted distinct shingle hashes."""
+    return np.unique(np.concatenate([np.zeros(0, np.uint64), *shingle_hashes(text, words)]))
+
+
+def set_key(shingles: np.ndarray) -> int:
+    """A signed long that names the shingle set."""
+    return int(np.uint64(xxhash.xxh64_intdigest(shingles.tobytes(), SEED)).view(np.int64))
+
+
+def remixed(hashes: np.ndarray, look: int) -> np.ndarray:
+    """The hashes for one of several independent fingerprints: the splitmix64 finalizer, but look 0 leaves them."""
+    if not look:
+        return hashes
+    mixed = hashes + np.uint64(look * 0x9E3779B97F4A7C15 % (1 << 64))
+    mixed = (mixed ^ (mixed >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    mixed = (mixed ^ (mixed >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return mixed ^ (mixed >> np.uint64(31))
+
+
 def with_fingerprint(docs: DataFrame, text: str = "text", words: int = 3, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The columns `keep` and `fp`, the fingerprint's bits as a signed long."""
     fields = {f.name: f.dataType for f in docs.schema.fields}
@@ -265,14 +290,14 @@ def components(prints: DataFrame, budget: int = 3) -> DataFrame:
     Null ids take part in links but name no component; a component without any id has a null one.
     """
     nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    return _named(nodes, connected_components(hamming_links(nodes.select("fp"), budget)))
+    return _named(nodes, connected_components(hamming_links(nodes.select("fp"), budget)), "fp")
 
 
-def _named(nodes: DataFrame, linked: DataFrame) -> DataFrame:
-    merged = nodes.join(linked.withColumnRenamed("node", "fp"), "fp")
+def _named(nodes: DataFrame, linked: DataFrame, key: str) -> DataFrame:
+    merged = nodes.join(linked.withColumnRenamed("node", key), key)
     roots = merged.groupBy("root").agg(F.min("least").alias("component_id"))
-    merged = merged.join(roots, "root").select("fp", "component_id")
-    return nodes.join(merged, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id"))
+    merged = merged.join(roots, "root").select(key, "component_id")
+    return nodes.join(merged, key, "left").select(key, F.coalesce("component_id", "least").alias("component_id"))
 
 
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = 3, budget: int = 3) -> DataFrame:
@@ -286,42 +311,90 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", wor
     return found.select(F.col("doc_id").alias(id), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def verified_groups(docs: DataFrame, words: int = WORDS, budget: int = BUDGET, similar: float = SIMILAR) -> DataFrame:
-    """(doc_id, component_id): groups by links of at most `budget` bits between fingerprints of `words`-word shingles
-    whose shingle sets are also `similar` or more (Jaccard). Texts with equal fingerprints are in one group.
+def sketches(docs: DataFrame, words: int, looks: int) -> DataFrame:
+    """doc_id, key (the name of the text's shingle set) and prints (fingerprints of the set, one for each look)."""
 
-    Of each bucket's links the nearest that connect it are verified. Null ids are left out.
-    """
-    prints = cut_lineage(with_fingerprint(docs.where("doc_id is not null").select("doc_id", "text"), words=words))
-    nodes = cut_lineage(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    links = cut_lineage(hamming_links(nodes.select("fp"), budget, true_links=True).distinct())
-    ends = links.select(F.explode(F.array("a", "b")).alias("fp")).distinct().join(nodes, "fp")
-    texts = docs.select(F.col("doc_id").alias("least"), F.coalesce("text", F.lit("")).alias("text")).join(ends, "least")
-    sets = cut_lineage(shingle_sets(texts.groupBy(F.col("fp").alias("key")).agg(F.min("text").alias("text")), words))
-    both = links.join(sets.select(F.col("key").alias("a"), F.col("shingles").alias("sa")), "a").join(sets.select(F.col("key").alias("b"), F.col("shingles").alias("sb")), "b")
-    common = F.size(F.array_intersect("sa", "sb"))
-    true = both.where(common >= F.lit(similar) * (F.size("sa") + F.size("sb") - common)).select("a", "b")
-    return prints.join(_named(nodes, connected_components(true)), "fp").select("doc_id", "component_id")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, prints = [], []
+            for x in batch.column(1):
+                found = shingle_set(x.as_py(), words)
+                keys.append(set_key(found))
+                prints.append(np.array([majority([remixed(found, look)]) for look in range(looks)], dtype=np.uint64).view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.int64()), pa.array(prints, pa.list_(pa.int64()))], names=["doc_id", "key", "prints"])
+
+    ids = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", utf8("text")).mapInArrow(run, f"doc_id {ids}, key bigint, prints array<bigint>")
 
 
 def shingle_sets(texts: DataFrame, words: int) -> DataFrame:
-    """key and shingles (sorted distinct hashes) of the table (key, text)."""
+    """key and shingles (sorted distinct hashes) of every distinct shingle set of the table (text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [np.unique(np.concatenate([np.zeros(0, np.uint64), *shingle_hashes(x.as_py(), words)])).view(np.int64) for x in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["key", "shingles"])
+            sets = [shingle_set(x.as_py(), words) for x in batch.column(0)]
+            yield pa.RecordBatch.from_arrays([pa.array(map(set_key, sets), pa.int64()), pa.array([x.view(np.int64) for x in sets], pa.list_(pa.int64()))], names=["key", "shingles"])
+
+    return texts.select(utf8("text")).mapInArrow(run, "key bigint, shingles array<bigint>").dropDuplicates(["key"])
+
+
+def _candidates(nodes: DataFrame, look: int, budget: int) -> DataFrame:
+    """Pairs (a, b) of keys whose fingerprints of one look differ in at most `budget` bits.
+
+    Keys with one fingerprint are linked to the least of them, which links of the fingerprint lead to.
+    """
+    at = nodes.select("key", F.col("prints")[look].alias("fp"))
+    tops = cut_lineage(at.groupBy("fp").agg(F.min("key").alias("top")))
+    links = hamming_links(tops.select("fp"), budget, true_links=True).distinct()
+    named = links.join(tops.select(F.col("fp").alias("a"), F.col("top").alias("ka")), "a").join(tops.select(F.col("fp").alias("b"), F.col("top").alias("kb")), "b")
+    equal = at.join(tops, "fp").where("key <> top").select(F.col("top").alias("a"), F.col("key").alias("b"))
+    return named.select(F.col("ka").alias("a"), F.col("kb").alias("b")).unionByName(equal)
 
-    return texts.select("key", F.col("text").cast("binary").alias("text")).mapInArrow(run, "key bigint, shingles array<bigint>")
 
+def _not_yet_joined(links: DataFrame, linked: DataFrame) -> DataFrame:
+    for end in ("a", "b"):
+        links = links.join(linked.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}")), end, "left")
+    return links.where("root_a is null or root_b is null or root_a <> root_b").select("a", "b")
 
-def one_of_each(docs: DataFrame, words: int = WORDS, budget: int = BUDGET, similar: float = SIMILAR) -> DataFrame:
+
+def _verified(links: DataFrame, docs: DataFrame, nodes: DataFrame, words: int, similar: float) -> DataFrame:
+    """The links whose shingle sets are `similar` or more (Jaccard)."""
+    ends = links.select(F.explode(F.array("a", "b")).alias("key")).distinct().join(nodes.select("key", F.col("least").alias("doc_id")), "key")
+    texts = docs.select("doc_id", "text").join(ends.select("doc_id"), "doc_id", "left_semi")
+    sets = cut_lineage(shingle_sets(texts, words))
+    both = links.join(sets.select(F.col("key").alias("a"), F.col("shingles").alias("sa")), "a").join(sets.select(F.col("key").alias("b"), F.col("shingles").alias("sb")), "b")
+    common = F.size(F.array_intersect("sa", "sb"))
+    return both.where(common >= F.lit(similar) * (F.size("sa") + F.size("sb") - common)).select("a", "b")
+
+
+def verified_groups(docs: DataFrame, words: int = WORDS, budget: int = BUDGET, similar: float = SIMILAR, looks: int = LOOKS) -> DataFrame:
+    """(doc_id, component_id): groups by links between texts whose sets of `words`-word shingles are `similar` or more
+    (Jaccard), found as fingerprints of the sets that differ in at most `budget` bits in one of `looks` fingerprints.
+
+    Repeats of a shingle do not count, so a line that fills half of a text does not decide its fingerprint. Texts with
+    equal shingle sets, and so all without words, are in one group. Of a bucket's links the nearest that connect it
+    are verified; a later look verifies only what earlier ones left apart. Null ids are left out.
+    """
+    docs = docs.where("doc_id is not null")
+    found = cut_lineage(sketches(docs, words, looks))
+    nodes = cut_lineage(found.groupBy("key").agg(F.min("doc_id").alias("least"), F.first("prints").alias("prints")))
+    true, linked = None, None
+    for look in range(looks):
+        links = _candidates(nodes, look, budget)
+        links = cut_lineage(_not_yet_joined(links, linked) if linked is not None else links)
+        new = _verified(links, docs, nodes, words, similar)
+        true = cut_lineage(new if true is None else true.unionByName(new))
+        linked = connected_components(true)
+    return found.join(_named(nodes, linked, "key"), "key").select("doc_id", "component_id")
+
+
+def one_of_each(docs: DataFrame, words: int = WORDS, budget: int = BUDGET, similar: float = SIMILAR, looks: int = LOOKS) -> DataFrame:
     """The rows of `docs` (with doc_id and text) without near copies: of each group the row with the least doc_id.
 
     Of several rows with one doc_id one stays, the one with the least text. A row without doc_id cannot be named by
     a decision, so it stays. All columns are kept.
     """
-    found = verified_groups(docs, words, budget, similar)
+    found = verified_groups(docs, words, budget, similar, looks)
     kept = found.where("component_id = doc_id").select("doc_id").distinct()
     order = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last())
     once = docs.join(kept, "doc_id", "left_semi").withColumn("__rank", F.row_number().over(order)).where("__rank = 1").drop("__rank")

@@ -99,6 +99,27 @@ def test_one_of_each_keeps_columns_and_drops_copies(docs):
     assert ids.count(3) == 1 and ids.count(None) == 1 and 1 in ids and len([i for i in ids if i == 67]) == 0
 
 
+def test_verified_groups_find_near_copies_and_nothing_else(spark):
+    r = random.Random(5)
+    words = [f"w{i}" for i in range(4000)]
+    shingles = lambda t: {tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)}
+    texts = []
+    for _ in range(60):  # an original, a copy with words of its end changed, and one changed too much
+        text = r.sample(words, 200)
+        for changed in (0, r.randint(1, 12), 60):
+            texts.append(" ".join(text[: 200 - changed] + r.sample(words, changed)))
+    line = " ".join(r.sample(words, 10))
+    texts += [" ".join([*r.sample(words, 100), *[line] * 40]) for _ in range(3)]  # one line fills most of them
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {x.doc_id: x.component_id for x in simhash.verified_groups(rows).collect()}
+    for i in range(60):
+        a, b, far = (shingles(texts[3 * i + k]) for k in range(3))
+        assert len(a & b) >= 0.8 * len(a | b) > len(a & far)
+        assert found[3 * i + 2] == 3 * i + 2
+    assert sum(found[3 * i + 1] == found[3 * i] for i in range(60)) >= 55  # fingerprints miss a few by nature
+    assert len({found[i] for i in range(180, 183)}) == 3
+
+
 def test_sharding(docs, empty, spark, tmp_path):
     placed, table = sharding.shard_documents(docs, shards=4, slots=256)
     rows = placed.collect()
