@@ -11,6 +11,7 @@ bits, so a hot bucket becomes many; with each cut fewer bits are left free, whic
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import reduce
 from itertools import repeat
 
 import numpy as np
@@ -351,12 +352,6 @@ def _candidates(nodes: DataFrame, look: int, budget: int) -> DataFrame:
     return named.select(F.col("ka").alias("a"), F.col("kb").alias("b")).unionByName(equal)
 
 
-def _not_yet_joined(links: DataFrame, linked: DataFrame) -> DataFrame:
-    for end in ("a", "b"):
-        links = links.join(linked.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}")), end, "left")
-    return links.where("root_a is null or root_b is null or root_a <> root_b").select("a", "b")
-
-
 def _verified(links: DataFrame, docs: DataFrame, nodes: DataFrame, words: int, similar: float) -> DataFrame:
     """The links whose shingle sets are `similar` or more (Jaccard)."""
     ends = links.select(F.explode(F.array("a", "b")).alias("key")).distinct().join(nodes.select("key", F.col("least").alias("doc_id")), "key")
@@ -373,18 +368,14 @@ def verified_groups(docs: DataFrame, words: int = WORDS, budget: int = BUDGET, s
 
     Repeats of a shingle do not count, so a line that fills half of a text does not decide its fingerprint. Texts with
     equal shingle sets, and so all without words, are in one group. Of a bucket's links the nearest that connect it
-    are verified; a later look verifies only what earlier ones left apart. Null ids are left out.
+    are verified, those of all looks at once, so that texts are dealt out once. Null ids are left out.
     """
     docs = docs.where("doc_id is not null")
     found = cut_lineage(sketches(docs, words, looks))
     nodes = cut_lineage(found.groupBy("key").agg(F.min("doc_id").alias("least"), F.first("prints").alias("prints")))
-    true, linked = None, None
-    for look in range(looks):
-        links = _candidates(nodes, look, budget)
-        links = cut_lineage(_not_yet_joined(links, linked) if linked is not None else links)
-        new = _verified(links, docs, nodes, words, similar)
-        true = cut_lineage(new if true is None else true.unionByName(new))
-        linked = connected_components(true)
+    links = reduce(DataFrame.unionByName, [_candidates(nodes, look, budget) for look in range(looks)])
+    links = cut_lineage(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    linked = connected_components(_verified(links, docs, nodes, words, similar))
     return found.join(_named(nodes, linked, "key"), "key").select("doc_id", "component_id")
 
 
