@@ -17,7 +17,7 @@ from itertools import repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from allelix.llm.common import cut_lineage, read_table, shuffle_width, utf8, word_blocks
@@ -31,6 +31,8 @@ WORDS, BUDGET, SIMILAR, LOOKS = 5, 7, 0.8, 3
 BUCKET_ROWS = 1024
 #: Sum of squared bucket sizes that one call of the trie walk takes.
 WALK_PAIRS = 1 << 21
+#: Hot buckets whose names (longs) may be broadcast; beyond it Spark joins them by its own measure.
+FEW_PATHS = 1 << 17
 
 
 def shingle_hashes(text: bytes, words: int) -> Iterator[np.ndarray]:
@@ -229,34 +231,53 @@ def _walk_buckets(budget: int, true_links: bool):
     return run
 
 
-def _blocks(free: int, budget: int) -> list[int]:
-    """Masks of blocks of `free`, of which two values within the budget agree in one at least.
+def _blocks(free: int, budget: int) -> list[tuple[int, list[int]]]:
+    """Blocks of `free`, each with the masks made from it; two values within the budget agree in one mask at least.
 
-    Up to a budget of 3 these are budget + 1 blocks. Up to 7, one of four blocks has at most one error, so each block comes once
-    for each of its bits, without that bit; bits that an earlier cut has left are parted into budget + 1 blocks.
+    Up to a budget of 3 these are budget + 1 blocks, each its own mask. Up to 7, one of four blocks has at most one error, so a block
+    gives one mask for each of its bits, without that bit; bits that an earlier cut has left are parted into budget + 1 blocks.
     """
     bits = [1 << i for i in range(BITS - 1, -1, -1) if free >> i & 1]
     wild = 3 < budget < 8 and len(bits) == BITS
     parts = 4 if wild else budget + 1
     ends = [round(i * len(bits) / parts) for i in range(parts + 1)]
-    masks = [sum(bits[a:b]) for a, b in zip(ends, ends[1:])]
-    return [m & ~bit for m in masks for bit in bits if m & bit] if wild else masks
+    blocks = [sum(bits[a:b]) for a, b in zip(ends, ends[1:])]
+    return [(m, [m & ~bit for bit in bits if m & bit] if wild else [m]) for m in blocks]
 
 
 def _signed(mask: int) -> int:
     return mask - (1 << BITS) if mask >> (BITS - 1) else mask
 
 
-def _cut(rows: DataFrame, frees: set[int], budget: int) -> tuple[DataFrame, set[int]]:
-    """Each row once for every block of its free bits; path names the bits fixed so far and their values."""
-    cuts = {free: _blocks(free, budget) for free in sorted(frees)}
-    table = F.create_map(*[x for free, masks in cuts.items() for x in (F.lit(_signed(free)), F.array(*[F.lit(_signed(m)) for m in masks]))])
-    found = rows.select("fp", "path", "free", F.explode(F.element_at(table, F.col("free"))).alias("mask")).select(
-        "fp",
-        F.xxhash64("path", "mask", F.col("fp").bitwiseAND(F.col("mask"))).alias("path"),
-        F.col("free").bitwiseAND(F.bitwise_not("mask")).alias("free"),
-    )
-    return found, {free & ~m for free, masks in cuts.items() for m in masks}
+def _table(entries: dict[int, list[int]]) -> Column:
+    return F.create_map(*[x for key, masks in entries.items() for x in (F.lit(_signed(key)), F.array(*[F.lit(_signed(m)) for m in masks]))])
+
+
+def _bucket(value: str) -> Column:
+    """The name of the bucket of a row's path and mask."""
+    return F.xxhash64("path", "mask", F.col(value).bitwiseAND(F.col("mask")))
+
+
+def _cut(rows: DataFrame, cuts: dict[int, list[tuple[int, list[int]]]]) -> DataFrame:
+    """Each row once for every mask of its free bits; path names the bits fixed so far and their values."""
+    table = _table({free: [m for _, masks in blocks for m in masks] for free, blocks in cuts.items()})
+    found = rows.select("fp", "path", "free", F.explode(F.element_at(table, F.col("free"))).alias("mask"))
+    return found.select("fp", _bucket("fp").alias("path"), F.col("free").bitwiseAND(F.bitwise_not("mask")).alias("free"))
+
+
+def _heavy(rows: DataFrame, cuts: dict[int, list[tuple[int, list[int]]]], bucket_rows: int) -> DataFrame:
+    """The paths of the cut's buckets over `bucket_rows`, and of some over half of that.
+
+    Rows are counted by whole blocks, a few for each row. A mask that leaves out one bit of its block joins two values
+    of it, so its bucket is within the limit where both have at most half of it.
+    """
+    per_row = _table({free: [block for block, _ in blocks] for free, blocks in cuts.items()})
+    made = {block: masks for blocks in cuts.values() for block, masks in blocks}
+    most = bucket_rows if all(masks == [block] for block, masks in made.items()) else bucket_rows // 2
+    at = rows.select("fp", "path", F.explode(F.element_at(per_row, F.col("free"))).alias("block"))
+    counts = at.groupBy("path", "block", F.col("fp").bitwiseAND(F.col("block")).alias("value")).count().where(F.col("count") > most)
+    masked = counts.select("path", "value", F.explode(F.element_at(_table(made), F.col("block"))).alias("mask"))
+    return masked.select(_bucket("value").alias("path")).distinct()
 
 
 def hamming_links(values: DataFrame, budget: int = 3, bucket_rows: int = BUCKET_ROWS, true_links: bool = False) -> DataFrame:
@@ -267,22 +288,26 @@ def hamming_links(values: DataFrame, budget: int = 3, bucket_rows: int = BUCKET_
     An empty input gives no edges; nulls are left out.
     """
     edges, frees = None, {(1 << BITS) - 1}
-    rows = values.where("fp is not null").select("fp", F.lit(0).cast("long").alias("path"), F.lit(-1).cast("long").alias("free"))
+    rows = cut_lineage(values.where("fp is not null").select("fp", F.lit(0).cast("long").alias("path"), F.lit(-1).cast("long").alias("free")))
     while True:
-        rows, frees = _cut(rows, frees, budget)
-        heavy = None
+        cuts = {free: _blocks(free, budget) for free in sorted(frees)}
+        frees = {free & ~m for free, blocks in cuts.items() for _, masks in blocks for m in masks}
+        heavy, few = None, False
         if max(free.bit_count() for free in frees) > max(20, budget):
-            rows = cut_lineage(rows)
-            heavy = cut_lineage(rows.groupBy("path").count().where(F.col("count") > bucket_rows).select("path"))
-            heavy = None if heavy.isEmpty() else heavy
-        light = rows if heavy is None else rows.join(heavy, "path", "left_anti")
+            heavy = cut_lineage(_heavy(rows, cuts, bucket_rows))
+            n = heavy.count()
+            heavy, few = (heavy, n <= FEW_PATHS) if n else (None, True)
+        cut = _cut(rows, cuts)
+        if heavy is not None and few:
+            heavy = F.broadcast(heavy)
+        light = cut if heavy is None else cut.join(heavy, "path", "left_anti")
         unsigned = F.col("fp").bitwiseXOR(F.lit(-(1 << (BITS - 1))))
-        dealt = light.repartition(shuffle_width(values), "path").sortWithinPartitions("path", unsigned).select("path", "fp")
+        dealt = light.select("path", "fp").repartition(shuffle_width(values), "path").sortWithinPartitions("path", unsigned)
         found = dealt.mapInArrow(_walk_buckets(budget, true_links), "a bigint, b bigint")
         edges = found if edges is None else edges.unionByName(found)
         if heavy is None:
             return edges
-        rows = rows.join(heavy, "path", "left_semi")
+        rows = cut_lineage(cut.join(heavy, "path", "left_semi"))
 
 
 def components(prints: DataFrame, budget: int = 3) -> DataFrame:
