@@ -17,7 +17,7 @@ from itertools import repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from allelix.llm.common import cut_lineage, read_table, shuffle_width, utf8, word_blocks
@@ -31,8 +31,8 @@ WORDS, BUDGET, SIMILAR, LOOKS = 5, 7, 0.8, 3
 BUCKET_ROWS = 1024
 #: Sum of squared bucket sizes that one call of the trie walk takes.
 WALK_PAIRS = 1 << 21
-#: Hot buckets whose names (longs) may be broadcast; beyond it Spark joins them by its own measure.
-FEW_PATHS = 1 << 17
+#: Longs that may be broadcast (some 8 MB); more are joined by a shuffle.
+FEW = 1 << 18
 
 
 def shingle_hashes(text: bytes, words: int) -> Iterator[np.ndarray]:
@@ -280,6 +280,13 @@ def _heavy(rows: DataFrame, cuts: dict[int, list[tuple[int, list[int]]]], bucket
     return masked.select(_bucket("value").alias("path")).distinct()
 
 
+def _marked(keys: DataFrame) -> DataFrame | None:
+    """The one-column table of longs, written, to be joined with wider rows: broadcast if it is FEW, None if it is empty."""
+    keys = cut_lineage(keys)
+    n = keys.count()
+    return (F.broadcast(keys) if n <= FEW else keys) if n else None
+
+
 def hamming_links(values: DataFrame, budget: int = 3, bucket_rows: int = BUCKET_ROWS, true_links: bool = False) -> DataFrame:
     """Edges (a, b) that connect exactly what the links of the distinct longs `fp` at `budget` or fewer bits connect.
 
@@ -292,14 +299,10 @@ def hamming_links(values: DataFrame, budget: int = 3, bucket_rows: int = BUCKET_
     while True:
         cuts = {free: _blocks(free, budget) for free in sorted(frees)}
         frees = {free & ~m for free, blocks in cuts.items() for _, masks in blocks for m in masks}
-        heavy, few = None, False
+        heavy = None
         if max(free.bit_count() for free in frees) > max(20, budget):
-            heavy = cut_lineage(_heavy(rows, cuts, bucket_rows))
-            n = heavy.count()
-            heavy, few = (heavy, n <= FEW_PATHS) if n else (None, True)
+            heavy = _marked(_heavy(rows, cuts, bucket_rows))
         cut = _cut(rows, cuts)
-        if heavy is not None and few:
-            heavy = F.broadcast(heavy)
         light = cut if heavy is None else cut.join(heavy, "path", "left_anti")
         unsigned = F.col("fp").bitwiseXOR(F.lit(-(1 << (BITS - 1))))
         dealt = light.select("path", "fp").repartition(shuffle_width(values), "path").sortWithinPartitions("path", unsigned)
@@ -380,7 +383,10 @@ def _candidates(nodes: DataFrame, look: int, budget: int) -> DataFrame:
 def _verified(links: DataFrame, docs: DataFrame, nodes: DataFrame, words: int, similar: float) -> DataFrame:
     """The links whose shingle sets are `similar` or more (Jaccard)."""
     ends = links.select(F.explode(F.array("a", "b")).alias("key")).distinct().join(nodes.select("key", F.col("least").alias("doc_id")), "key")
-    texts = docs.select("doc_id", "text").join(ends.select("doc_id"), "doc_id", "left_semi")
+    ids = _marked(ends.select("doc_id"))
+    if ids is None:
+        return links
+    texts = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi")
     sets = cut_lineage(shingle_sets(texts, words))
     both = links.join(sets.select(F.col("key").alias("a"), F.col("shingles").alias("sa")), "a").join(sets.select(F.col("key").alias("b"), F.col("shingles").alias("sb")), "b")
     common = F.size(F.array_intersect("sa", "sb"))
@@ -410,11 +416,16 @@ def one_of_each(docs: DataFrame, words: int = WORDS, budget: int = BUDGET, simil
     Of several rows with one doc_id one stays, the one with the least text. A row without doc_id cannot be named by
     a decision, so it stays. All columns are kept.
     """
-    found = verified_groups(docs, words, budget, similar, looks)
-    kept = found.where("component_id = doc_id").select("doc_id").distinct()
-    order = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last())
-    once = docs.join(kept, "doc_id", "left_semi").withColumn("__rank", F.row_number().over(order)).where("__rank = 1").drop("__rank")
-    return once.select(docs.columns).unionByName(docs.where("doc_id is null"))
+    found = cut_lineage(verified_groups(docs, words, budget, similar, looks))
+    ids = found.groupBy("doc_id").agg(F.min("component_id").alias("component_id"), F.count("*").alias("rows"))
+    again = _marked(ids.where("rows > 1 and component_id = doc_id").select("doc_id"))
+    gone = _marked(ids.where("rows > 1 or component_id <> doc_id").select("doc_id"))
+    kept = docs if gone is None else docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    if again is None:
+        return kept
+    least = F.min_by(F.struct(*docs.columns), F.struct(F.col("text").isNull(), "text"))
+    once = docs.join(again, "doc_id", "left_semi").groupBy("doc_id").agg(least.alias("row"))
+    return kept.unionByName(once.select("row.*"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
