@@ -22,7 +22,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from allelix.llm.common import read_table, utf8
+from allelix.llm.common import in_small_batches, read_table, utf8
 
 #: Bytes up to which words are merged side by side, and words in one array.
 SIDE_BY_SIDE, ROWS = 128, 8192
@@ -278,7 +278,7 @@ def encode_documents(docs: DataFrame, path: str, id: str = "doc_id", text: str =
                 ids = [np.frombuffer(x, dtype="<i4") for x in vocabulary.encode_many(texts)] if len(texts) > 1 else [np.frombuffer(b"".join(vocabulary.encode(texts[0])), dtype="<i4")]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(texts)), pa.array(ids, pa.list_(pa.int32()))], names=[id, "ids"])
 
-    return docs.select(id, utf8(text).alias("__text")).mapInArrow(run, f"`{id}` {kind}, ids array<int>")
+    return in_small_batches(docs.select(id, utf8(text).alias("__text"))).mapInArrow(run, f"`{id}` {kind}, ids array<int>")
 
 
 def decode_documents(encoded: DataFrame, path: str, id: str = "doc_id", ids: str = "ids") -> DataFrame:
@@ -323,7 +323,7 @@ def round_trip(docs: DataFrame, path: str, id: str = "doc_id", text: str = "text
                     text_hash.append(text_sum.hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(ids_hash), pa.array(text_hash)], names=[id, "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return docs.select(id, utf8(text).alias("__text")).mapInArrow(run, f"`{id}` {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    return in_small_batches(docs.select(id, utf8(text).alias("__text"))).mapInArrow(run, f"`{id}` {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
 
 
 def _whole(data: bytes) -> int:

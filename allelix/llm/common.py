@@ -9,6 +9,9 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20
+#: Spark's value where none is set: 64 MB.
+BATCH_DEFAULT = "67108864b"
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
 
 
@@ -32,6 +35,18 @@ def shuffle_width(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def in_small_batches(df: DataFrame) -> DataFrame:
+    """`df`, to be handed to Python in Arrow batches of at most BATCH_BYTES, or of one longer row.
+
+    Spark's own limit lets a batch of long texts take tens of MB several times over, in the JVM and in the worker. The
+    setting is the session's; a value other than Spark's default is left.
+    """
+    conf = df.sparkSession.conf
+    if conf.get(BATCH_SETTING, BATCH_DEFAULT) == BATCH_DEFAULT:
+        conf.set(BATCH_SETTING, f"{BATCH_BYTES}b")
+    return df
+
+
 def utf8(column: str):
     """The column's UTF-8 bytes; null counts as the empty text."""
     return F.coalesce(F.col(column), F.lit("")).cast("binary")

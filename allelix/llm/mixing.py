@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from allelix.llm.common import cut_lineage, read_table, utf8, word_blocks
+from allelix.llm.common import cut_lineage, in_small_batches, read_table, utf8, word_blocks
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -83,7 +83,7 @@ def word_count(docs: DataFrame, keep: tuple[str, ...], text: str = "text") -> Da
             size = [sum(len(words) for words, _ in word_blocks(x.as_py(), 0)) for x in batch.column(len(keep))]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(size, pa.int64())], names=[*keep, "size"])
 
-    return docs.select(*keep, utf8(text).alias("__text")).mapInArrow(run, ", ".join([*(f"`{c}` {fields[c]}" for c in keep), "size bigint"]))
+    return in_small_batches(docs.select(*keep, utf8(text).alias("__text"))).mapInArrow(run, ", ".join([*(f"`{c}` {fields[c]}" for c in keep), "size bigint"]))
 
 
 def _order(id: str) -> Column:

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from allelix.llm.common import cut_lineage, read_table, shuffle_width, utf8, word_blocks
+from allelix.llm.common import cut_lineage, in_small_batches, read_table, shuffle_width, utf8, word_blocks
 from allelix.llm.graph import connected_components
 
 BITS = 64
@@ -105,7 +105,7 @@ def with_fingerprint(docs: DataFrame, text: str = "text", words: int = 3, keep:
             found = np.fromiter((fingerprint(x.as_py(), words) for x in batch.column(len(keep))), dtype=np.uint64, count=batch.num_rows)
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(found.view(np.int64))], names=[*keep, "fp"])
 
-    return docs.select(*keep, utf8(text).alias("__text")).mapInArrow(run, schema)
+    return in_small_batches(docs.select(*keep, utf8(text).alias("__text"))).mapInArrow(run, schema)
 
 
 def trie_walk(starts: np.ndarray, values: np.ndarray, budget: int) -> tuple[np.ndarray, np.ndarray]:
@@ -353,7 +353,7 @@ def sketches(docs: DataFrame, words: int, looks: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.int64()), pa.array(prints, pa.list_(pa.int64()))], names=["doc_id", "key", "prints"])
 
     ids = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", utf8("text")).mapInArrow(run, f"doc_id {ids}, key bigint, prints array<bigint>")
+    return in_small_batches(docs.select("doc_id", utf8("text"))).mapInArrow(run, f"doc_id {ids}, key bigint, prints array<bigint>")
 
 
 def shingle_sets(texts: DataFrame, words: int) -> DataFrame:
@@ -364,7 +364,7 @@ def shingle_sets(texts: DataFrame, words: int) -> DataFrame:
             sets = [shingle_set(x.as_py(), words) for x in batch.column(0)]
             yield pa.RecordBatch.from_arrays([pa.array(map(set_key, sets), pa.int64()), pa.array([x.view(np.int64) for x in sets], pa.list_(pa.int64()))], names=["key", "shingles"])
 
-    return texts.select(utf8("text")).mapInArrow(run, "key bigint, shingles array<bigint>").dropDuplicates(["key"])
+    return in_small_batches(texts.select(utf8("text"))).mapInArrow(run, "key bigint, shingles array<bigint>").dropDuplicates(["key"])
 
 
 def _candidates(nodes: DataFrame, look: int, budget: int) -> DataFrame:

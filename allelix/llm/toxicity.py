@@ -23,7 +23,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from allelix.llm.common import read_table, utf8, word_blocks
+from allelix.llm.common import in_small_batches, read_table, utf8, word_blocks
 
 #: Bound of the labelled sample that the model is fitted on: toxic and ordinary documents, the first by a hash.
 SAMPLE_TOXIC, SAMPLE_ORDINARY = 2000, 5000
@@ -227,7 +227,7 @@ def score_documents(docs: DataFrame, model: Model, id: str = "doc_id", text: str
             scores = [own.score(lowered(x.as_py().decode())) for x in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], names=[id, "score"])
 
-    return docs.select(id, utf8(text).alias("__text")).mapInArrow(run, f"`{id}` {kind}, score double")
+    return in_small_batches(docs.select(id, utf8(text).alias("__text"))).mapInArrow(run, f"`{id}` {kind}, score double")
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -241,7 +241,7 @@ def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
             keep = [own.score(lowered(x.as_py())) < 0.5 for x in batch.column(at)]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return in_small_batches(docs).mapInArrow(run, docs.schema)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
