@@ -10,6 +10,7 @@ bits, so a hot bucket becomes many; with each cut fewer bits are left free, whic
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
 from functools import reduce
 from itertools import repeat
@@ -25,8 +26,9 @@ from allelix.llm.graph import connected_components
 
 BITS = 64
 SEED = 42
-#: Of groups that are verified: words of a shingle, differing bits, Jaccard similarity, and independent fingerprints.
-WORDS, BUDGET, SIMILAR, LOOKS = 5, 7, 0.8, 3
+#: Of groups that are verified: words of a shingle, differing bits for which buckets are cut, those up to which values that meet in a
+#: bucket are candidates, Jaccard similarity, and independent fingerprints. By the binomial model a pair at 0.8 is found with 99.6 %.
+WORDS, BUDGET, NEAR, SIMILAR, LOOKS = 5, 7, 12, 0.8, 5
 #: Fingerprints that one bucket may hold before it is cut by further bits.
 BUCKET_ROWS = 1024
 #: Sum of squared bucket sizes that one call of the trie walk takes.
@@ -188,7 +190,64 @@ def nearest_forest(values: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np
     return a[kept], b[kept]
 
 
-def _walk_buckets(budget: int, true_links: bool):
+def _first_met(diff: np.ndarray, masks: list[int]) -> np.ndarray:
+    """For each pair's differing bits the place of the first mask that has none of them."""
+    first = np.full(len(diff), len(masks))
+    for i, mask in reversed(list(enumerate(masks))):
+        first[(diff & np.uint64(mask)) == 0] = i
+    return first
+
+
+def _walk_near(near: int, masks: list[int], crossing: bool):
+    """Candidates of buckets (path, fp, first, comp): a spanning forest of each bucket's pairs, nearer ones first, and
+    whether pairs of the same part of the bucket were left out; or, `crossing`, all pairs that are not within one comp.
+
+    Of the buckets of the first cut in which a pair meets, only that of the first mask gives it.
+    """
+
+    def joined(paths: np.ndarray, values: np.ndarray, first: np.ndarray, comp: np.ndarray) -> Iterator[pa.RecordBatch]:
+        starts = np.concatenate([[0], np.flatnonzero(np.diff(paths)) + 1, [len(paths)]])
+        cuts, total = [0], 0
+        for i, n in enumerate(np.diff(starts).tolist()):
+            total += n * n
+            if total > WALK_PAIRS:
+                cuts.append(i + 1)
+                total = 0
+        for x, y in zip(cuts, [*cuts[1:], len(starts) - 1]):
+            if y > x:
+                base, end = starts[x], starts[y]
+                own, own_comp = values[base:end], comp[base:end]
+                a, b = trie_walk(starts[x : y + 1] - base, own, near)
+                if crossing:
+                    open_ = (own_comp[a] != own_comp[b]) | (own_comp[a] == -1)
+                    a, b = a[open_], b[open_]
+                met = _first_met(own[a] ^ own[b], masks) == first[base:end][a]
+                a, b = a[met], b[met]
+                more = np.ones(len(a), dtype=bool)
+                if not crossing and len(a):
+                    label = spanning(len(own), a, b)
+                    nodes, pairs = np.bincount(label, minlength=len(own)), np.bincount(label[a], minlength=len(own))
+                    a, b = nearest_forest(own, a, b)
+                    more = pairs[label[a]] >= nodes[label[a]]
+                yield pa.RecordBatch.from_arrays([pa.array(own[a].view(np.int64)), pa.array(own[b].view(np.int64)), pa.array(more)], names=["a", "b", "more"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [np.zeros(0, dtype=t) for t in (np.int64, np.uint64, np.int64, np.int64)]
+        for batch in batches:
+            held = [np.concatenate([x, c.to_numpy().view(x.dtype)]) for x, c in zip(held, batch.columns)]
+            if len(held[0]) >= 1 << 17:
+                other = np.flatnonzero(held[0] != held[0][-1])
+                if len(other):
+                    end = int(other[-1]) + 1
+                    yield from joined(*(x[:end] for x in held))
+                    held = [x[end:] for x in held]
+        if len(held[0]):
+            yield from joined(*held)
+
+    return run
+
+
+def _walk_buckets(budget: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         paths, values, squares = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64), 0
 
@@ -206,12 +265,9 @@ def _walk_buckets(budget: int, true_links: bool):
                 if y > x:
                     base, own = starts[x], values[starts[x] : starts[y]]
                     left, right = trie_walk(starts[x : y + 1] - base, own, budget)
-                    if true_links:
-                        left, right = nearest_forest(own, left, right)
-                    else:
-                        label = spanning(len(own), left, right)
-                        left = np.flatnonzero(label != np.arange(len(own)))
-                        right = label[left]
+                    label = spanning(len(own), left, right)
+                    left = np.flatnonzero(label != np.arange(len(own)))
+                    right = label[left]
                     out_a.append(own[left].view(np.int64))
                     out_b.append(own[right].view(np.int64))
             return pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_a)), pa.array(np.concatenate(out_b))], names=["a", "b"])
@@ -261,8 +317,11 @@ def _bucket(value: str) -> Column:
 def _cut(rows: DataFrame, cuts: dict[int, list[tuple[int, list[int]]]]) -> DataFrame:
     """Each row once for every mask of its free bits; path names the bits fixed so far and their values."""
     table = _table({free: [m for _, masks in blocks for m in masks] for free, blocks in cuts.items()})
-    found = rows.select("fp", "path", "free", F.explode(F.element_at(table, F.col("free"))).alias("mask"))
-    return found.select("fp", _bucket("fp").alias("path"), F.col("free").bitwiseAND(F.bitwise_not("mask")).alias("free"))
+    more = [c for c in rows.columns if c not in ("fp", "path", "free")]
+    found = rows.select("fp", "path", "free", *more, F.posexplode(F.element_at(table, F.col("free"))).alias("at", "mask"))
+    if "first" in more:  # the place of the first cut's mask
+        found = found.withColumn("first", F.when(F.col("first") < 0, F.col("at").cast("long")).otherwise(F.col("first")))
+    return found.select("fp", _bucket("fp").alias("path"), F.col("free").bitwiseAND(F.bitwise_not("mask")).alias("free"), *more)
 
 
 def _heavy(rows: DataFrame, cuts: dict[int, list[tuple[int, list[int]]]], bucket_rows: int) -> DataFrame:
@@ -287,15 +346,28 @@ def _marked(keys: DataFrame) -> DataFrame | None:
     return (F.broadcast(keys) if n <= FEW else keys) if n else None
 
 
-def hamming_links(values: DataFrame, budget: int = 3, bucket_rows: int = BUCKET_ROWS, true_links: bool = False) -> DataFrame:
+def hamming_links(values: DataFrame, budget: int = 3, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """Edges (a, b) that connect exactly what the links of the distinct longs `fp` at `budget` or fewer bits connect.
 
     A task sends a spanning forest of a bucket's links instead of all of them, so a bucket of n fingerprints gives
-    under n edges; with `true_links` each edge is itself within the budget, the nearest first. Buckets over `bucket_rows` are cut by blocks of their free bits, until under 20 bits are free.
+    under n edges. Buckets over `bucket_rows` are cut by blocks of their free bits, until under 20 bits are free.
     An empty input gives no edges; nulls are left out.
     """
-    edges, frees = None, {(1 << BITS) - 1}
-    rows = cut_lineage(values.where("fp is not null").select("fp", F.lit(0).cast("long").alias("path"), F.lit(-1).cast("long").alias("free")))
+    return _dealt(values.select("fp"), budget, bucket_rows, _walk_buckets(budget), "a bigint, b bigint")
+
+
+def near_links(values: DataFrame, budget: int = BUDGET, near: int = NEAR, crossing: bool = False, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """Pairs (a, b, more) of the distinct longs `fp` (with `comp`) that meet in a bucket and differ in at most `near` bits.
+
+    Buckets are those in which all pairs of at most `budget` bits meet; further ones meet by chance. See _walk_near for what is sent.
+    """
+    masks = [m for _, masks in _blocks((1 << BITS) - 1, budget) for m in masks]
+    return _dealt(values.select("fp", F.lit(-1).cast("long").alias("first"), "comp"), budget, bucket_rows, _walk_near(near, masks, crossing), "a bigint, b bigint, more boolean")
+
+
+def _dealt(values: DataFrame, budget: int, bucket_rows: int, walk, schema: str) -> DataFrame:
+    edges, frees, more = None, {(1 << BITS) - 1}, values.columns[1:]
+    rows = cut_lineage(values.where("fp is not null").select("fp", F.lit(0).cast("long").alias("path"), F.lit(-1).cast("long").alias("free"), *more))
     while True:
         cuts = {free: _blocks(free, budget) for free in sorted(frees)}
         frees = {free & ~m for free, blocks in cuts.items() for _, masks in blocks for m in masks}
@@ -305,8 +377,8 @@ def hamming_links(values: DataFrame, budget: int = 3, bucket_rows: int = BUCKET_
         cut = _cut(rows, cuts)
         light = cut if heavy is None else cut.join(heavy, "path", "left_anti")
         unsigned = F.col("fp").bitwiseXOR(F.lit(-(1 << (BITS - 1))))
-        dealt = light.select("path", "fp").repartition(shuffle_width(values), "path").sortWithinPartitions("path", unsigned)
-        found = dealt.mapInArrow(_walk_buckets(budget, true_links), "a bigint, b bigint")
+        dealt = light.select("path", "fp", *more).repartition(shuffle_width(values), "path").sortWithinPartitions("path", unsigned)
+        found = dealt.mapInArrow(walk, schema)
         edges = found if edges is None else edges.unionByName(found)
         if heavy is None:
             return edges
@@ -341,19 +413,20 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", wor
 
 
 def sketches(docs: DataFrame, words: int, looks: int) -> DataFrame:
-    """doc_id, key (the name of the text's shingle set) and prints (fingerprints of the set, one for each look)."""
+    """doc_id, key (the name of the text's shingle set), size of the set and prints (its fingerprints, one for each look)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, prints = [], []
+            keys, sizes, prints = [], [], []
             for x in batch.column(1):
                 found = shingle_set(x.as_py(), words)
                 keys.append(set_key(found))
+                sizes.append(len(found))
                 prints.append(np.array([majority([remixed(found, look)]) for look in range(looks)], dtype=np.uint64).view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.int64()), pa.array(prints, pa.list_(pa.int64()))], names=["doc_id", "key", "prints"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.int64()), pa.array(sizes, pa.int64()), pa.array(prints, pa.list_(pa.int64()))], names=["doc_id", "key", "size", "prints"])
 
     ids = docs.schema["doc_id"].dataType.simpleString()
-    return in_small_batches(docs.select("doc_id", utf8("text"))).mapInArrow(run, f"doc_id {ids}, key bigint, prints array<bigint>")
+    return in_small_batches(docs.select("doc_id", utf8("text"))).mapInArrow(run, f"doc_id {ids}, key bigint, size bigint, prints array<bigint>")
 
 
 def shingle_sets(texts: DataFrame, words: int) -> DataFrame:
@@ -367,56 +440,86 @@ def shingle_sets(texts: DataFrame, words: int) -> DataFrame:
     return in_small_batches(texts.select(utf8("text"))).mapInArrow(run, "key bigint, shingles array<bigint>").dropDuplicates(["key"])
 
 
-def _candidates(nodes: DataFrame, look: int, budget: int) -> DataFrame:
-    """Pairs (a, b) of keys whose fingerprints of one look differ in at most `budget` bits.
+def _candidates(nodes: DataFrame, look: int, budget: int, near: int) -> DataFrame:
+    """Pairs (a, b, more) of keys that connect all candidates of one look; more tells that others are left out beside it.
 
     Keys with one fingerprint are linked to the least of them, which links of the fingerprint lead to.
     """
     at = nodes.select("key", F.col("prints")[look].alias("fp"))
-    tops = cut_lineage(at.groupBy("fp").agg(F.min("key").alias("top")))
-    links = hamming_links(tops.select("fp"), budget, true_links=True).distinct()
-    named = links.join(tops.select(F.col("fp").alias("a"), F.col("top").alias("ka")), "a").join(tops.select(F.col("fp").alias("b"), F.col("top").alias("kb")), "b")
-    equal = at.join(tops, "fp").where("key <> top").select(F.col("top").alias("a"), F.col("key").alias("b"))
-    return named.select(F.col("ka").alias("a"), F.col("kb").alias("b")).unionByName(equal)
-
-
-def _verified(links: DataFrame, docs: DataFrame, nodes: DataFrame, words: int, similar: float) -> DataFrame:
-    """The links whose shingle sets are `similar` or more (Jaccard)."""
+    tops = cut_lineage(at.groupBy("fp").agg(F.min("key").alias("top"), F.count("*").alias("n")))
+    links = near_links(tops.select("fp", F.lit(-1).cast("long").alias("comp")), budget, near)
+    end = lambda c: tops.select(F.col("fp").alias(c), F.col("top").alias(f"k{c}"), F.col("n").alias(f"n{c}"))
+    named = links.join(end("a"), "a").join(end("b"), "b")
+    equal = at.join(tops, "fp").where("key <> top").select(F.col("top").alias("a"), F.col("key").alias("b"), F.lit(True).alias("more"))
+    return named.select(F.col("ka").alias("a"), F.col("kb").alias("b"), F.expr("more or na > 1 or nb > 1").alias("more")).unionByName(equal)
+
+
+def most_bits(similar: float, bits: int) -> int:
+    """Differing bits of `bits` that a pair of this Jaccard similarity has at most, but for one in some 10^9 by the binomial model."""
+    p = math.acos(2 * similar / (1 + similar)) / math.pi
+    return math.ceil(bits * p + 6 * math.sqrt(bits * p * (1 - p)))
+
+
+def _verified(links: DataFrame, docs: DataFrame, nodes: DataFrame, words: int, similar: float, looks: int) -> DataFrame:
+    """The links whose shingle sets are `similar` or more (Jaccard). Texts are read only where the sets' sizes and all
+    fingerprints together allow it."""
+    end = lambda c: nodes.select(F.col("key").alias(c), F.col("size").alias(f"n{c}"), F.col("prints").alias(f"p{c}"))
+    apart = reduce(lambda x, y: x + y, [F.bit_count(F.col("pa")[i].bitwiseXOR(F.col("pb")[i])) for i in range(looks)])
+    able = links.select("a", "b").join(end("a"), "a").join(end("b"), "b").where(F.least("na", "nb") >= F.lit(similar) * F.greatest("na", "nb"))
+    links = cut_lineage(able.where(apart <= most_bits(similar, looks * BITS)).select("a", "b"))
     ends = links.select(F.explode(F.array("a", "b")).alias("key")).distinct().join(nodes.select("key", F.col("least").alias("doc_id")), "key")
-    ids = _marked(ends.select("doc_id"))
+    ids = _marked(ends.select("doc_id").distinct())
     if ids is None:
         return links
     texts = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi")
     sets = cut_lineage(shingle_sets(texts, words))
     both = links.join(sets.select(F.col("key").alias("a"), F.col("shingles").alias("sa")), "a").join(sets.select(F.col("key").alias("b"), F.col("shingles").alias("sb")), "b")
     common = F.size(F.array_intersect("sa", "sb"))
-    return both.where(common >= F.lit(similar) * (F.size("sa") + F.size("sb") - common)).select("a", "b")
+    return cut_lineage(both.where(common >= F.lit(similar) * (F.size("sa") + F.size("sb") - common)).select("a", "b"))
+
+
+def _ordered(links: DataFrame, *more) -> DataFrame:
+    return links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), *more)
+
 
+def _rooted(nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """nodes with root, the least key that the links reach."""
+    roots = connected_components(links).withColumnRenamed("node", "key")
+    return cut_lineage(nodes.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key")))
 
-def verified_groups(docs: DataFrame, words: int = WORDS, budget: int = BUDGET, similar: float = SIMILAR, looks: int = LOOKS) -> DataFrame:
+
+def _grouped(docs: DataFrame, words: int, budget: int, near: int, similar: float, looks: int) -> DataFrame:
+    """doc_id, key (of its shingle set) and root (least key of the group) of every row that has a doc_id."""
+    docs = docs.where("doc_id is not null")
+    found = cut_lineage(sketches(docs, words, looks))
+    nodes = cut_lineage(found.groupBy("key").agg(F.min("doc_id").alias("least"), F.first("size").alias("size"), F.first("prints").alias("prints")))
+    links = reduce(DataFrame.unionByName, [_candidates(nodes, look, budget, near) for look in range(looks)])
+    links = cut_lineage(_ordered(links, "more").groupBy("a", "b").agg(F.max("more").alias("more")))
+    good = _verified(links, docs, nodes, words, similar, looks)
+    rooted = _rooted(nodes, good)
+    return found.select("doc_id", "key").join(rooted.select("key", "root"), "key")
+
+
+def verified_groups(docs: DataFrame, words: int = WORDS, budget: int = BUDGET, similar: float = SIMILAR, looks: int = LOOKS, near: int = NEAR) -> DataFrame:
     """(doc_id, component_id): groups by links between texts whose sets of `words`-word shingles are `similar` or more
-    (Jaccard), found as fingerprints of the sets that differ in at most `budget` bits in one of `looks` fingerprints.
+    (Jaccard), found as fingerprints of the sets that meet in a bucket and differ in at most `near` bits in one of `looks` fingerprints.
 
     Repeats of a shingle do not count, so a line that fills half of a text does not decide its fingerprint. Texts with
-    equal shingle sets, and so all without words, are in one group. Of a bucket's links the nearest that connect it
-    are verified, those of all looks at once, so that texts are dealt out once. Null ids are left out.
+    equal shingle sets, and so all without words, are in one group. First the nearest candidates that connect a bucket
+    are verified, those of all looks at once. Null ids are left out.
     """
-    docs = docs.where("doc_id is not null")
-    found = cut_lineage(sketches(docs, words, looks))
-    nodes = cut_lineage(found.groupBy("key").agg(F.min("doc_id").alias("least"), F.first("prints").alias("prints")))
-    links = reduce(DataFrame.unionByName, [_candidates(nodes, look, budget) for look in range(looks)])
-    links = cut_lineage(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    linked = connected_components(_verified(links, docs, nodes, words, similar))
-    return found.join(_named(nodes, linked, "key"), "key").select("doc_id", "component_id")
+    found = cut_lineage(_grouped(docs, words, budget, near, similar, looks))
+    names = found.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    return found.join(names, "root").select("doc_id", "component_id")
 
 
-def one_of_each(docs: DataFrame, words: int = WORDS, budget: int = BUDGET, similar: float = SIMILAR, looks: int = LOOKS) -> DataFrame:
+def one_of_each(docs: DataFrame, words: int = WORDS, budget: int = BUDGET, similar: float = SIMILAR, looks: int = LOOKS, near: int = NEAR) -> DataFrame:
     """The rows of `docs` (with doc_id and text) without near copies: of each group the row with the least doc_id.
 
     Of several rows with one doc_id one stays, the one with the least text. A row without doc_id cannot be named by
     a decision, so it stays. All columns are kept.
     """
-    found = cut_lineage(verified_groups(docs, words, budget, similar, looks))
+    found = cut_lineage(verified_groups(docs, words, budget, similar, looks, near))
     ids = found.groupBy("doc_id").agg(F.min("component_id").alias("component_id"), F.count("*").alias("rows"))
     again = _marked(ids.where("rows > 1 and component_id = doc_id").select("doc_id"))
     gone = _marked(ids.where("rows > 1 or component_id <> doc_id").select("doc_id"))

@@ -120,6 +120,19 @@ def test_verified_groups_find_near_copies_and_nothing_else(spark):
     assert len({found[i] for i in range(180, 183)}) == 3
 
 
+def changed_ends(r, words, base, cuts):
+    """Texts of `base` with as many of its last words changed as `cuts` tells."""
+    return [" ".join(base[: len(base) - n] + r.sample(words, n)) for n in cuts]
+
+
+def test_verified_groups_find_nearly_all_pairs_at_the_bound(spark):
+    r = random.Random(8)
+    words = [f"w{i}" for i in range(9000)]
+    texts = [t for _ in range(150) for t in changed_ends(r, words, r.sample(words, 184), (0, 20))]  # 160 of 200 shingles
+    found = {x.doc_id: x.component_id for x in simhash.verified_groups(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert sum(found[2 * i] == found[2 * i + 1] for i in range(150)) >= 145
+
+
 def test_sharding(docs, empty, spark, tmp_path):
     placed, table = sharding.shard_documents(docs, shards=4, slots=256)
     rows = placed.collect()
