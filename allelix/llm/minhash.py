@@ -5,8 +5,8 @@ A shingle is WORDS consecutive words, lower-cased A to Z. Each of PERMUTATIONS u
 of equal places estimates the Jaccard similarity of the shingle sets.
 
 Classes: signatures are cut into bands and joined in Spark on equal bands. In a band's bucket the signatures are
-compared with numpy and a maximum spanning forest of the likely pairs goes on, never all pairs; a bucket too large for a
-task is cut into blocks that meet pair by pair. The pairs left are verified by exact Jaccard similarity in Spark.
+compared with numpy and all likely pairs go on, so their number grows with the square of a group of near copies; a bucket
+too large for a task is cut into blocks that meet pair by pair. The pairs are verified by exact Jaccard similarity in Spark.
 """
 
 from __future__ import annotations
@@ -214,36 +214,19 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
     return docs.select("key", F.col("text").cast("binary").alias("text")).mapInArrow(run, f"key {docs.schema['key'].dataType.simpleString()}, shingles array<bigint>")
 
 
-def _forest(least: float):
+def _likely(least: float):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         rows = lambda t: (t.column("key").to_numpy(), np.stack([np.frombuffer(x.as_py(), np.uint16) for x in t.column("signature")]) if t.num_rows else np.zeros((0, PERMUTATIONS), np.uint16))
         (a, sa), (b, sb) = rows(left), rows(right)
-        pairs = []
-        for i in range(len(a)):
-            like = (sb == sa[i]).mean(axis=1)
-            hit = np.flatnonzero((like >= least) & (b > a[i]))
-            pairs += zip((-like[hit]).tolist(), [int(a[i])] * len(hit), b[hit].tolist())
-        up: dict[int, int] = {}
-
-        def top(x: int) -> int:
-            while (y := up.get(x, x)) != x:
-                up[x] = up.get(y, y)
-                x = y
-            return x
-
-        kept = []
-        for _, x, y in sorted(pairs):
-            rx, ry = top(x), top(y)
-            if rx != ry:
-                up[max(rx, ry)] = min(rx, ry)
-                kept.append((x, y))
-        return pa.table({"a": [x for x, _ in kept], "b": [y for _, y in kept]}, schema=pa.schema([("a", pa.int64()), ("b", pa.int64())]))
+        hits = [np.flatnonzero(((sb == sa[i]).mean(axis=1) >= least) & (b > a[i])) for i in range(len(a))]
+        found = np.repeat(a, [len(x) for x in hits]), b[np.concatenate([np.zeros(0, np.int64), *hits])]
+        return pa.table({"a": found[0], "b": found[1]}, schema=pa.schema([("a", pa.int64()), ("b", pa.int64())]))
 
     return run
 
 
 def near_duplicate_classes(docs: DataFrame, similar: float = SIMILAR, id: str = "doc_id", text: str = "text", block: int = BLOCK) -> DataFrame:
-    """doc_id, class_id (the smallest id of the class) and n_links (verified links of the row's text that were kept).
+    """doc_id, class_id (the smallest id of the class) and n_links (verified links of the row's text).
 
     Equal texts are one node; null and empty texts form a class of their own. Rows without id are left out.
     """
@@ -260,7 +243,7 @@ def near_duplicate_classes(docs: DataFrame, similar: float = SIMILAR, id: str =
     left = banded.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("band", "key", "signature", F.col("own").alias("i"), F.col("other").alias("j"))
     right = banded.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("band", "key", "signature", F.col("other").alias("i"), F.col("own").alias("j"))
     slack = 3 * math.sqrt(similar * (1 - similar) / PERMUTATIONS)
-    likely = left.groupBy("band", "i", "j").cogroup(right.groupBy("band", "i", "j")).applyInArrow(_forest(similar - slack), "a bigint, b bigint").distinct()
+    likely = left.groupBy("band", "i", "j").cogroup(right.groupBy("band", "i", "j")).applyInArrow(_likely(similar - slack), "a bigint, b bigint").distinct()
     likely = cut_lineage(likely)
     ends = likely.select(F.explode(F.array("a", "b")).alias("key")).distinct()
     sets = cut_lineage(shingle_sets(texts.join(ends, "key", "left_semi")))

@@ -454,8 +454,19 @@ def _candidates(nodes: DataFrame, look: int, budget: int, near: int) -> DataFram
     return named.select(F.col("ka").alias("a"), F.col("kb").alias("b"), F.expr("more or na > 1 or nb > 1").alias("more")).unionByName(equal)
 
 
+def _crossing(nodes: DataFrame, look: int, budget: int, near: int) -> DataFrame:
+    """All pairs (a, b) of keys (key, prints, root) that are candidates of one look and have different roots."""
+    at = cut_lineage(nodes.select("key", "root", F.col("prints")[look].alias("fp")))
+    one = F.when(F.min("root") == F.max("root"), F.min("root")).otherwise(F.lit(-1).cast("long"))
+    links = near_links(at.groupBy("fp").agg(one.alias("comp")), budget, near, crossing=True)
+    end = lambda c, fp: at.select(F.col("fp").alias(fp), F.col("key").alias(f"k{c}"), F.col("root").alias(f"r{c}"))
+    named = links.join(end("a", "a"), "a").join(end("b", "b"), "b").select("ka", "ra", "kb", "rb")
+    equal = end("a", "fp").join(end("b", "fp"), "fp").where("ka < kb").select("ka", "ra", "kb", "rb")
+    return named.unionByName(equal).where("ra <> rb").select(F.col("ka").alias("a"), F.col("kb").alias("b"))
+
+
 def most_bits(similar: float, bits: int) -> int:
-    """Differing bits of `bits` that a pair of this Jaccard similarity has at most, but for one in some 10^9 by the binomial model."""
+    """Differing bits of `bits` that a pair of this Jaccard similarity has at most, but for one in some 10^8 by the binomial model."""
     p = math.acos(2 * similar / (1 + similar)) / math.pi
     return math.ceil(bits * p + 6 * math.sqrt(bits * p * (1 - p)))
 
@@ -497,6 +508,15 @@ def _grouped(docs: DataFrame, words: int, budget: int, near: int, similar: float
     links = cut_lineage(_ordered(links, "more").groupBy("a", "b").agg(F.max("more").alias("more")))
     good = _verified(links, docs, nodes, words, similar, looks)
     rooted = _rooted(nodes, good)
+    # Candidates were left out only beside links marked so, and one whose ends are still apart has a failed such link at both groups.
+    root = lambda c: rooted.select(F.col("key").alias(c), F.col("root").alias(f"r{c}"))
+    failed = links.where("more").join(root("a"), "a").join(root("b"), "b").where("ra <> rb")
+    apart = _marked(failed.select(F.explode(F.array("ra", "rb")).alias("root")).distinct())
+    if apart is not None:
+        left = cut_lineage(rooted.join(apart, "root", "left_semi"))
+        rest = reduce(DataFrame.unionByName, [_crossing(left, look, budget, near) for look in range(looks)])
+        rest = cut_lineage(_ordered(rest).distinct().join(links.select("a", "b"), ["a", "b"], "left_anti"))
+        rooted = _rooted(nodes, good.unionByName(_verified(rest, docs, nodes, words, similar, looks)))
     return found.select("doc_id", "key").join(rooted.select("key", "root"), "key")
 
 
@@ -506,7 +526,7 @@ def verified_groups(docs: DataFrame, words: int = WORDS, budget: int = BUDGET, s
 
     Repeats of a shingle do not count, so a line that fills half of a text does not decide its fingerprint. Texts with
     equal shingle sets, and so all without words, are in one group. First the nearest candidates that connect a bucket
-    are verified, those of all looks at once. Null ids are left out.
+    are verified, those of all looks at once; then all others whose ends are still in different groups. Null ids are left out.
     """
     found = cut_lineage(_grouped(docs, words, budget, near, similar, looks))
     names = found.groupBy("root").agg(F.min("doc_id").alias("component_id"))

@@ -133,6 +133,27 @@ def test_verified_groups_find_nearly_all_pairs_at_the_bound(spark):
     assert sum(found[2 * i] == found[2 * i + 1] for i in range(150)) >= 145
 
 
+def test_verified_groups_try_candidates_that_a_forest_leaves_out(spark):
+    r = random.Random(3)
+    words = [f"w{i}" for i in range(9000)]
+    texts = []
+    for _ in range(120):  # dense families about the bound: nearer pairs may fail where farther ones pass
+        base = r.sample(words, 120)
+        for _ in range(10):
+            text = list(base)
+            for at in r.sample(range(12), 2):
+                text[10 * at] = r.choice(words)
+            texts.append(" ".join(text))
+    sets = [simhash.shingle_set(t.encode(), 5) for t in texts]
+    prints = [simhash.majority([x]) for x in sets]
+    found = {x.doc_id: x.component_id for x in simhash.verified_groups(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), looks=1).collect()}
+    for i in range(len(texts)):
+        for j in range(i - i % 10, i):
+            common = len(np.intersect1d(sets[i], sets[j]))
+            if (prints[i] ^ prints[j]).bit_count() <= 7 and common >= 0.8 * (len(sets[i]) + len(sets[j]) - common):
+                assert found[i] == found[j]
+
+
 def test_sharding(docs, empty, spark, tmp_path):
     placed, table = sharding.shard_documents(docs, shards=4, slots=256)
     rows = placed.collect()
@@ -239,6 +260,13 @@ def test_minhash_classes_against_brute_force(docs, block):
     assert {i: c for i, c in found.items() if i not in blank} == {i: c for i, c in label.items() if i not in blank}
 
 
+def test_minhash_classes_count_every_verified_link(spark):
+    words = [f"w{i}" for i in range(200)]
+    texts = [" ".join([*words, *["end"] * k]) for k in range(1, 5)]
+    rows = minhash.near_duplicate_classes(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.class_id, r.n_links) for r in rows) == [(i, 0, 3) for i in range(4)]
+
+
 def test_token_counts(docs, empty):
     library = Tokenizer.from_file(WORD)
     texts = {r.doc_id: r.text or "" for r in docs.collect()}
