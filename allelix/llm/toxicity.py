@@ -7,8 +7,9 @@ match, so each byte is written as a fixed code of STRETCH bytes first: a match t
 and a whole known word stands out from one pieced together.
 
 A document's windows are counted by distance (absolute, and as a share of what the window costs), and a logistic model
-calibrates the counts into a score, so that 0.5 is the threshold. The dictionaries are trained on a sample of labelled
-documents; the counts for the calibration come from dictionaries of the other half of the sample.
+calibrates the counts into a score, so that 0.5 is the threshold. From a count goes first what a document of this length
+has by chance, as ordinary documents show. The dictionaries are trained on a sample of labelled documents; the counts for
+the calibration come from dictionaries of the other half of the sample, and the threshold from all labelled documents.
 """
 
 from __future__ import annotations
@@ -23,17 +24,17 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from allelix.llm.common import in_small_batches, read_table, utf8, word_blocks
+from allelix.llm.common import cut_lineage, in_small_batches, read_table, utf8, word_blocks
 
 #: Bound of the labelled sample that the model is fitted on: toxic and ordinary documents, the first by a hash.
 SAMPLE_TOXIC, SAMPLE_ORDINARY = 2000, 5000
-#: Bytes of a sampled document that are looked at in fitting; scoring always takes whole texts.
-SAMPLE_BYTES = 1 << 16
 STRETCH, GRAM, WINDOW = 4, 5, 64
 ORDINARY_BYTES, TOXIC_WORDS = 8192, 600
 MARKS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 #: Cells in which windows are counted: least distance in bytes, least share of the cost.
 CELLS = tuple((gap, share) for gap in (4, 6, 8) for share in (0.0, 0.4, 0.5, 0.6))
+#: Standard deviations above the chance count that are taken off, and steps for each unit of the sums that the threshold is chosen from.
+ABOVE, STEPS = 2.0, 64
 REMEMBERED = 500_000
 LEVELS = zstandard.ZstdCompressionParameters(
     window_log=17, chain_log=15, hash_log=15, search_log=4, min_match=4, target_length=32, strategy=zstandard.STRATEGY_BTOPT,
@@ -57,13 +58,14 @@ class Model:
     toxic: bytes
     weights: np.ndarray
     bias: float
+    chance: np.ndarray
     code_seed: int = 7
 
     def __post_init__(self):
         self.ready = False
 
     def __getstate__(self):
-        return {k: getattr(self, k) for k in ("ordinary", "toxic", "weights", "bias", "code_seed")}
+        return {k: getattr(self, k) for k in ("ordinary", "toxic", "weights", "bias", "chance", "code_seed")}
 
     def __setstate__(self, state):
         self.__dict__.update(state)
@@ -102,9 +104,11 @@ class Model:
         return sum(1 << i for i, (g, s) in enumerate(CELLS) if gap >= g and share >= s)
 
     def counts(self, text: bytes) -> np.ndarray:
+        """Windows in each cell, and in all."""
         self.prepare()
-        out = np.zeros(len(CELLS))
+        out = np.zeros(len(CELLS) + 1)
         for words in windows_of(text):
+            out[-1] += len(words)
             memory = self.memory
             if len(memory) > REMEMBERED:
                 memory.clear()
@@ -116,8 +120,11 @@ class Model:
                         out[i] += n
         return out
 
+    def sum(self, text: bytes) -> float:
+        return float(features(self.counts(text), self.chance) @ self.weights)
+
     def score(self, text: bytes) -> float:
-        z = float(np.minimum(np.log1p(self.counts(text)), 3.0) @ self.weights) + self.bias
+        z = self.sum(text) + self.bias
         return 1 / (1 + float(np.exp(-np.clip(z, -30, 30))))
 
 
@@ -126,18 +133,16 @@ def grams(word: bytes) -> set[bytes]:
     return {framed[i : i + GRAM] for i in range(len(framed) - GRAM + 1)}
 
 
-def train_dictionaries(toxic: list[bytes], ordinary: list[bytes]) -> tuple[bytes, bytes]:
-    """Contents of the ordinary dictionary and of what the toxic one adds.
+def train_dictionaries(toxic_words: list[set[bytes]], ordinary_words: list[set[bytes]]) -> tuple[bytes, bytes]:
+    """Contents of the ordinary dictionary and of what the toxic one adds, from the distinct windows of documents.
 
     Ordinary: the words in most ordinary documents, the commonest last, where offsets are cheap. Toxic: words with a
     letter run that is in 2 in 100 toxic documents and over 20 times rarer in ordinary ones.
     """
-    words = lambda x: {w for part in windows_of(x) for w in part}
-    toxic_words, ordinary_words = [words(x) for x in toxic], [words(x) for x in ordinary]
     in_toxic = Counter(g for ws in toxic_words for g in set().union(*map(grams, ws)))
     in_ordinary = Counter(g for ws in ordinary_words for g in set().union(*map(grams, ws)))
-    rate = (len(toxic) or 1) / (len(ordinary) or 1)
-    marked = {g for g, n in in_toxic.items() if n >= max(3, 0.02 * len(toxic)) and n > 20 * rate * (in_ordinary[g] + 0.5)}
+    rate = (len(toxic_words) or 1) / (len(ordinary_words) or 1)
+    marked = {g for g, n in in_toxic.items() if n >= max(3, 0.02 * len(toxic_words)) and n > 20 * rate * (in_ordinary[g] + 0.5)}
     found = Counter(w for ws in toxic_words for w in ws if not marked.isdisjoint(grams(w)))
     common = Counter(w for ws in ordinary_words for w in ws)
     order = lambda c: [w for w, _ in sorted(c.items(), key=lambda x: (-x[1], x[0]))]
@@ -151,13 +156,14 @@ def train_dictionaries(toxic: list[bytes], ordinary: list[bytes]) -> tuple[bytes
     return join(plain), join(order(found)[:TOXIC_WORDS])
 
 
-def features(model: Model, texts: list[bytes]) -> np.ndarray:
-    return np.minimum(np.log1p(np.array([model.counts(t) for t in texts]).reshape(len(texts), len(CELLS))), 3.0)
+def features(counts: np.ndarray, chance: np.ndarray) -> np.ndarray:
+    """Of counts in cells and in all (last), the logarithm of what is above chance for that many windows."""
+    usual = counts[..., -1:] * chance
+    return np.minimum(np.log1p(np.maximum(0, counts[..., :-1] - usual - ABOVE * np.sqrt(usual))), 3.0)
 
 
-def calibrate(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
-    """Weights that are not negative, by logistic regression with a small penalty, and the bias that puts the best
-    threshold at 0.5, classes weighted alike."""
+def calibrate(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Weights that are not negative, by logistic regression with a small penalty, classes weighted alike."""
     share = np.where(y == 1, 0.5 / max(1, y.sum()), 0.5 / max(1, (1 - y).sum()))
     w, b = np.zeros(len(CELLS)), 0.0
     for step in range(4000):
@@ -165,52 +171,83 @@ def calibrate(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
         g = share * (p - y)
         w = np.maximum(0, w - 2.0 * (x.T @ g + 1e-4 * w))
         b -= 2.0 * g.sum()
-    z = x @ w
-    # the threshold: of the cuts between scores, the middle of the best by both classes' errors
-    cuts = np.unique(z)
-    if len(cuts) > 1:
-        middle = (cuts[1:] + cuts[:-1]) / 2
-        positive, negative = np.sort(z[y == 1]), np.sort(z[y == 0])
-        wrong = np.searchsorted(positive, middle) / max(1, len(positive)) + 1 - np.searchsorted(negative, middle) / max(1, len(negative))
-        best = middle[wrong <= wrong.min() + 1e-12]
-        b = -float(best[len(best) // 2])
-    return w, b
+    return w
+
+
+def best_cut(steps: dict[int, list[int]]) -> float:
+    """Of the cuts between the steps, each with its ordinary and toxic documents, the middle of the best by both classes' errors."""
+    at = sorted(steps)
+    if len(at) < 2:
+        return 0.0
+    n = np.array([steps[i] for i in at], dtype=float)
+    below = np.cumsum(n, axis=0)[:-1] / np.maximum(1, n.sum(axis=0))
+    wrong = below[:, 1] + 1 - below[:, 0]
+    best = np.flatnonzero(wrong <= wrong.min() + 1e-12)
+    i = int(best[len(best) // 2])
+    return (at[i] + at[i + 1] + 1) / 2 / STEPS
 
 
 def held_out(id: str = "doc_id"):
     return F.crc32(F.col(id).cast("string").cast("binary")) % 5 == 0
 
 
+def _mapped(rows: DataFrame, of, schema: str) -> DataFrame:
+    """The columns of `rows` but the last, its text, and what of(row's columns, text) gives."""
+    names = [*rows.columns[:-1], schema.split()[0]]
+    fields = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = [c.to_pylist() for c in batch.columns[:-1]]
+            out = [of(row, x.as_py().decode()) for row, x in zip(zip(*own), batch.column(len(own)))]
+            kind = pa.list_(pa.binary()) if "binary" in schema else pa.list_(pa.float64()) if "array" in schema else pa.float64()
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(out, kind)], names=names)
+
+    return in_small_batches(rows).mapInArrow(run, ", ".join([*(f"`{c}` {fields[c]}" for c in names[:-1]), schema]))
+
+
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
-    """The model, from a bounded sample of the labelled documents (SAMPLE_TOXIC and SAMPLE_ORDINARY of them).
+    """The model: dictionaries and weights from a bounded sample of the labelled documents (SAMPLE_TOXIC and
+    SAMPLE_ORDINARY of them), the threshold from all of them.
 
-    Only labels 0 and 1 of documents that are not held out are read. The sample is the first by a hash of the id, its
-    texts without exact and near repeats (equal first words). Without labels of both kinds every score is 0.
+    Only labels 0 and 1 of documents that are not held out are read, and whole texts. The sample is the first by a hash
+    of the id, equal texts of one label once. Of the sample distinct windows and counts reach the driver, of all
+    documents a histogram. Without labels of both kinds every score is 0.
     """
-    known = labels.where("toxic in (0, 1) and doc_id is not null").where(~held_out()).select("doc_id", "toxic").dropDuplicates(["doc_id"])
+    known = labels.where("toxic in (0, 1) and doc_id is not null").where(~held_out()).select("doc_id", F.col("toxic").cast("int").alias("toxic")).dropDuplicates(["doc_id"])
     order = F.xxhash64(F.lit(11), F.col("doc_id"))
     parts = []
     for kind, bound in ((1, SAMPLE_TOXIC), (0, SAMPLE_ORDINARY)):
         parts.append(known.where(F.col("toxic") == kind).orderBy(order, "doc_id").limit(bound))
-    sample = parts[0].unionByName(parts[1])
-    rows = docs.where("text is not null").join(F.broadcast(sample), "doc_id").select("doc_id", "toxic", F.substring("text", 1, SAMPLE_BYTES).alias("text")).collect()
-    seen, use = set(), {0: [], 1: []}
-    for r in sorted(rows, key=lambda r: (r.doc_id, r.text)):
-        text = lowered(r.text)
-        head = b" ".join(text.split()[:8])
-        if head not in seen:
-            seen.add(head)
-            use[r.toxic].append(text)
-    model = Model(b"", b"", np.zeros(len(CELLS)), -30.0)
-    if use[0] and use[1]:
-        x, y = [], []
-        for fold in (0, 1):
-            half = Model(*train_dictionaries(use[1][fold::2], use[0][fold::2]), model.weights, 0.0)
-            for label in (1, 0):
-                texts = use[label][1 - fold :: 2]
-                x.append(features(half, texts))
-                y += [float(label)] * len(texts)
-        model = Model(*train_dictionaries(use[1], use[0]), *calibrate(np.concatenate(x), np.array(y)))
+    sample = cut_lineage(parts[0].unionByName(parts[1]))
+    half = F.pmod(F.xxhash64(F.lit(13), F.col("text")), F.lit(2)).cast("int").alias("half")
+    texts = docs.where("text is not null").select("doc_id", "text")
+    rows = cut_lineage(texts.join(F.broadcast(sample), "doc_id").withColumn("sum", F.sha2(F.col("text").cast("binary"), 256)).dropDuplicates(["toxic", "sum"]).select("toxic", half, utf8("text").alias("text")))
+    use = {(label, fold): [] for label in (0, 1) for fold in (0, 1)}
+    words = lambda _, text: sorted({w for part in windows_of(lowered(text)) for w in part})
+    for r in _mapped(rows, words, "words array<binary>").toLocalIterator():
+        use[r.toxic, r.half].append(set(map(bytes, r.words)))
+    nothing = np.zeros(len(CELLS))
+    model = Model(b"", b"", nothing, -30.0, nothing)
+    if not all(use[label, 0] or use[label, 1] for label in (0, 1)):
+        return model
+    halves = [Model(*train_dictionaries(use[1, fold], use[0, fold]), nothing, 0.0, nothing) for fold in (0, 1)]
+    context = docs.sparkSession.sparkContext
+    sent = context.broadcast(halves)
+    found = _mapped(rows, lambda row, text: sent.value[1 - row[1]].counts(lowered(text)).tolist(), "counts array<double>").select("toxic", "counts").collect()
+    counts, y = np.array([r.counts for r in found]), np.array([float(r.toxic) for r in found])
+    chance = counts[y == 0, :-1].sum(axis=0) / max(1, counts[y == 0, -1].sum())
+    w = calibrate(features(counts, chance), y)
+    model = Model(*train_dictionaries(use[1, 0] + use[1, 1], use[0, 0] + use[0, 1]), w, 0.0, chance)
+    whole = context.broadcast([*(Model(h.ordinary, h.toxic, w, 0.0, chance) for h in halves), model])
+    # all labelled rows; those of the sample by the half that has not seen them
+    marked = known.join(F.broadcast(sample.select("doc_id", F.lit(True).alias("sampled"))), "doc_id", "left")
+    rows = texts.join(marked, "doc_id").select("toxic", F.when(F.col("sampled"), F.lit(1) - half).otherwise(2).alias("by"), utf8("text").alias("text"))
+    sums = _mapped(rows, lambda row, text: whole.value[row[1]].sum(lowered(text)), "sum double")
+    steps: dict[int, list[int]] = {}
+    for r in sums.groupBy("toxic", F.floor(F.col("sum") * STEPS).cast("int").alias("step")).count().collect():
+        steps.setdefault(r.step, [0, 0])[r.toxic] = r["count"]
+    model.bias = -best_cut(steps)
     return model
 
 

@@ -352,3 +352,21 @@ def test_toxicity_held_out_and_rejection(spark):
     assert kept.columns == docs.columns and 1000 in {x.doc_id for x in kept.collect()}
     none = toxicity.fit(docs, known.limit(0))
     assert all(x.score < 0.5 for x in toxicity.score_documents(docs, none).collect())
+
+
+def test_toxicity_learns_from_whole_texts_with_one_opening(spark):
+    r = random.Random(11)
+    plain = ["river", "stone", "walking", "table", "window", "morning", "garden", "paper", "letter", "coffee"]
+    opening = "this page is from one source and begins alike "
+    mixed = lambda n: " ".join(r.choices(plain, k=n) + ["".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=r.randint(5, 9))) for _ in range(n // 50)])
+    rows, labels = [], []
+    for i in range(120):
+        text = opening + mixed(12_000)
+        if i % 3 == 0:  # behind the first 65,536 characters
+            text += " grumblefoot vexwretched " + " ".join(r.choices(plain, k=20))
+        rows.append((i, f"{text} {i}", "en", "s", 1))
+        labels.append((i, int(i % 3 == 0)))
+    docs = spark.createDataFrame([*rows, (1000, mixed(400_000), "en", "s", 1)], SCHEMA)
+    scored = {x.doc_id: x.score for x in toxicity.score_documents(docs, toxicity.fit(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))).collect()}
+    held = [i for i in range(120) if zlib.crc32(str(i).encode()) % 5 == 0]
+    assert all((scored[i] >= 0.5) == (i % 3 == 0) for i in held) and scored[1000] < 0.5
