@@ -20,6 +20,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from allelix.llm.common import cut_lineage, in_small_batches, read_table, shuffle_width, utf8, word_blocks
 from allelix.llm.graph import connected_components
@@ -533,22 +534,38 @@ def verified_groups(docs: DataFrame, words: int = WORDS, budget: int = BUDGET, s
     return found.join(names, "root").select("doc_id", "component_id")
 
 
+def _keyed(docs: DataFrame, words: int) -> DataFrame:
+    """`docs` with __key, the name of each text's shingle set."""
+    at, names = docs.columns.index("text"), [*docs.columns, "__key"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = [set_key(shingle_set((x.as_py() or "").encode(), words)) for x in batch.column(at)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.int64())], names=names)
+
+    return in_small_batches(docs).mapInArrow(run, StructType([*docs.schema.fields, StructField("__key", LongType())]))
+
+
 def one_of_each(docs: DataFrame, words: int = WORDS, budget: int = BUDGET, similar: float = SIMILAR, looks: int = LOOKS, near: int = NEAR) -> DataFrame:
     """The rows of `docs` (with doc_id and text) without near copies: of each group the row with the least doc_id.
 
-    Of several rows with one doc_id one stays, the one with the least text. A row without doc_id cannot be named by
-    a decision, so it stays. All columns are kept.
+    Rows with one doc_id are decided each by its own text; of a group's rows with the least doc_id the one with the
+    least shingle set's name and then the least text stays. A row without doc_id cannot be named by a decision, so it
+    stays. All columns are kept.
     """
-    found = cut_lineage(verified_groups(docs, words, budget, similar, looks, near))
-    ids = found.groupBy("doc_id").agg(F.min("component_id").alias("component_id"), F.count("*").alias("rows"))
-    again = _marked(ids.where("rows > 1 and component_id = doc_id").select("doc_id"))
-    gone = _marked(ids.where("rows > 1 or component_id <> doc_id").select("doc_id"))
+    found = cut_lineage(_grouped(docs, words, budget, near, similar, looks))
+    first = found.groupBy("root").agg(F.min(F.struct("doc_id", "key")).alias("first"))
+    decided = found.join(first, "root").select("doc_id", "key", (F.struct("doc_id", "key") == F.col("first")).alias("stays"))
+    ids = cut_lineage(decided.groupBy("doc_id").agg(F.count("*").alias("rows"), F.max("stays").alias("stays")))
+    gone = _marked(ids.where("rows > 1 or not stays").select("doc_id"))
     kept = docs if gone is None else docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    again = _marked(ids.where("rows > 1 and stays").select("doc_id"))
     if again is None:
         return kept
+    stay = decided.where("stays").select("doc_id", F.col("key").alias("__key")).distinct().join(again, "doc_id", "left_semi")
+    rows = _keyed(docs.join(again, "doc_id", "left_semi").select(docs.columns), words).join(stay, ["doc_id", "__key"], "left_semi")
     least = F.min_by(F.struct(*docs.columns), F.struct(F.col("text").isNull(), "text"))
-    once = docs.join(again, "doc_id", "left_semi").groupBy("doc_id").agg(least.alias("row"))
-    return kept.unionByName(once.select("row.*"))
+    return kept.unionByName(rows.groupBy("doc_id", "__key").agg(least.alias("row")).select("row.*"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

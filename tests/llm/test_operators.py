@@ -99,6 +99,13 @@ def test_one_of_each_keeps_columns_and_drops_copies(docs):
     assert ids.count(3) == 1 and ids.count(None) == 1 and 1 in ids and len([i for i in ids if i == 67]) == 0
 
 
+def test_one_of_each_keeps_unlike_texts_with_one_id(spark):
+    texts = [" ".join(f"{k}{i}" for i in range(30)) for k in "abc"]
+    rows = [(7, texts[0], "x"), (7, texts[1], "x"), (7, texts[1], "y"), (8, texts[0], "x"), (9, texts[2], "x"), (9, None, "x"), (None, texts[0], "x")]
+    kept = simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string, source string")).select("doc_id", "text").collect()
+    assert sorted(map(str, map(tuple, kept))) == sorted(map(str, [(7, texts[0]), (7, texts[1]), (9, texts[2]), (9, None), (None, texts[0])]))
+
+
 def test_verified_groups_find_near_copies_and_nothing_else(spark):
     r = random.Random(5)
     words = [f"w{i}" for i in range(4000)]
