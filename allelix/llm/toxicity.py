@@ -133,7 +133,7 @@ def grams(word: bytes) -> set[bytes]:
     return {framed[i : i + GRAM] for i in range(len(framed) - GRAM + 1)}
 
 
-def train_dictionaries(toxic_words: list[set[bytes]], ordinary_words: list[set[bytes]]) -> tuple[bytes, bytes]:
+def train_dictionaries(toxic_words: list[tuple[bytes, ...]], ordinary_words: list[tuple[bytes, ...]]) -> tuple[bytes, bytes]:
     """Contents of the ordinary dictionary and of what the toxic one adds, from the distinct windows of documents.
 
     Ordinary: the words in most ordinary documents, the commonest last, where offsets are cheap. Toxic: words with a
@@ -224,9 +224,10 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     texts = docs.where("text is not null").select("doc_id", "text")
     rows = cut_lineage(texts.join(F.broadcast(sample), "doc_id").withColumn("sum", F.sha2(F.col("text").cast("binary"), 256)).dropDuplicates(["toxic", "sum"]).select("toxic", half, utf8("text").alias("text")))
     use = {(label, fold): [] for label in (0, 1) for fold in (0, 1)}
+    one: dict[bytes, bytes] = {}  # each window is held once
     words = lambda _, text: sorted({w for part in windows_of(lowered(text)) for w in part})
     for r in _mapped(rows, words, "words array<binary>").toLocalIterator():
-        use[r.toxic, r.half].append(set(map(bytes, r.words)))
+        use[r.toxic, r.half].append(tuple(one.setdefault(w, w) for w in map(bytes, r.words)))
     nothing = np.zeros(len(CELLS))
     model = Model(b"", b"", nothing, -30.0, nothing)
     if not all(use[label, 0] or use[label, 1] for label in (0, 1)):
