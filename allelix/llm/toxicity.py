@@ -1,19 +1,21 @@
-"""Toxicity by compression distance: two zstandard dictionaries, one of ordinary and one of toxic text.
-
-Both dictionaries begin with the same ordinary words; the toxic one goes on with the words that are characteristic of
-toxic text. A window is a word; its distance is how many bytes fewer it takes with the toxic dictionary than with the
-ordinary one. Windows of ordinary text cost the same with either. Words are short beside a compressor's cost for a
-match, so each byte is written as a fixed code of STRETCH bytes first: a match then saves in proportion to its length,
-and a whole known word stands out from one pieced together.
-
-A document's windows are counted by distance (absolute, and as a share of what the window costs), and a logistic model
-calibrates the counts into a score, so that 0.5 is the threshold. From a count goes first what a document of this length
-has by chance, as ordinary documents show. The dictionaries are trained on a sample of labelled documents; the counts for
-the calibration come from dictionaries of the other half of the sample, and the threshold from all labelled documents.
+"""Toxicity by compression distance: two zstandard dictionaries, one trained on ordinary and one on toxic text.
+
+Both are trained by zstandard itself (train_dictionary), apart from each other: one on windows of ordinary documents, one on
+the windows of toxic documents that hold a run of letters which toxic documents use far more often. A window is a word
+with the blanks around it; every distinct window is compressed with both dictionaries, and its distance is how many
+bytes fewer it takes with the toxic one. Words are short beside a compressor's cost for a match, so each byte is
+written as a fixed code of STRETCH bytes first, in training as in scoring: a match then saves in proportion to its length.
+
+A document's windows are counted by distance, and a logistic model calibrates the counts into a score, so that 0.5 is the
+threshold. From a count goes first what a document of this length has by chance, as ordinary documents show. Dictionaries
+are trained on a bounded sample of labelled documents, whole texts; the counts for the calibration come from dictionaries
+of the other half of the sample, and the threshold from all labelled documents that are not held out.
 """
 
 from __future__ import annotations
 
+import math
+import random
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -28,18 +30,26 @@ from allelix.llm.common import cut_lineage, in_small_batches, read_table, utf8,
 
 #: Bound of the labelled sample that the model is fitted on: toxic and ordinary documents, the first by a hash.
 SAMPLE_TOXIC, SAMPLE_ORDINARY = 2000, 5000
-STRETCH, GRAM, WINDOW = 4, 5, 64
-ORDINARY_BYTES, TOXIC_WORDS = 8192, 600
+#: About how many windows of that sample each dictionary is trained on at most, thinned evenly, and size of a dictionary.
+SAMPLE_WINDOWS, DICTIONARY_BYTES = 150_000, 1 << 16
+STRETCH, GRAM, WINDOW, LEVEL = 4, 5, 64, 3
+#: Sizes of the segments and of the runs by which zstandard chooses a dictionary's content, of ordinary and of toxic text: the second, from
+#: few words that come often, in long segments, each of which holds many of them.
+SEGMENTS, RUN = (64, 2000), 8
+#: How many times as often a run of letters is in toxic documents, at least (both rates with a standard deviation against it).
+LIFT = 10.0
 MARKS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
-#: Cells in which windows are counted: least distance in bytes, least share of the cost.
-CELLS = tuple((gap, share) for gap in (4, 6, 8) for share in (0.0, 0.4, 0.5, 0.6))
+#: Least distances, in bytes, at which windows are counted.
+CELLS = (5, 7, 9, 11, 13, 15, 18)
 #: Standard deviations above the chance count that are taken off, and steps for each unit of the sums that the threshold is chosen from.
 ABOVE, STEPS = 2.0, 64
 REMEMBERED = 500_000
-LEVELS = zstandard.ZstdCompressionParameters(
-    window_log=17, chain_log=15, hash_log=15, search_log=4, min_match=4, target_length=32, strategy=zstandard.STRATEGY_BTOPT,
-    write_content_size=False, write_checksum=False, write_dict_id=False,
-)
+_CODE = np.random.RandomState(7).randint(0, 256, (256, STRETCH)).astype(np.uint8)
+
+
+def stretched(window: bytes) -> bytes:
+    """A window with a blank on each side, each byte as its fixed code."""
+    return _CODE[np.frombuffer(b" " + window + b" ", np.uint8)].tobytes()
 
 
 def windows_of(text: bytes) -> Iterator[list[bytes]]:
@@ -52,6 +62,17 @@ def lowered(text: str | None) -> bytes:
     return (text or "").lower().encode()
 
 
+def _compressor(content: bytes) -> zstandard.ZstdCompressor:
+    frame = {"write_content_size": False, "write_checksum": False, "write_dict_id": False}
+    if not content:
+        return zstandard.ZstdCompressor(level=LEVEL, **frame)
+    # what zstandard trained; without samples enough for that, the samples themselves
+    trained = zstandard.DICT_TYPE_FULLDICT if content.startswith(b"\x37\xa4\x30\xec") else zstandard.DICT_TYPE_RAWCONTENT
+    found = zstandard.ZstdCompressionDict(content, dict_type=trained)
+    found.precompute_compress(level=LEVEL)
+    return zstandard.ZstdCompressor(level=LEVEL, dict_data=found, **frame)
+
+
 @dataclass
 class Model:
     ordinary: bytes
@@ -59,64 +80,42 @@ class Model:
     weights: np.ndarray
     bias: float
     chance: np.ndarray
-    code_seed: int = 7
 
     def __post_init__(self):
         self.ready = False
 
     def __getstate__(self):
-        return {k: getattr(self, k) for k in ("ordinary", "toxic", "weights", "bias", "chance", "code_seed")}
+        return {k: getattr(self, k) for k in ("ordinary", "toxic", "weights", "bias", "chance")}
 
     def __setstate__(self, state):
         self.__dict__.update(state)
         self.ready = False
 
     def prepare(self) -> None:
-        if self.ready:
-            return
-        self.code = np.random.RandomState(self.code_seed).randint(0, 256, (256, STRETCH)).astype(np.uint8)
-        self.tail = self.stretch(b" the of ")
-
-        def compressor(content: bytes) -> zstandard.ZstdCompressor:
-            d = zstandard.ZstdCompressionDict(self.stretch(content) + self.tail, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            d.precompute_compress(compression_params=LEVELS)
-            return zstandard.ZstdCompressor(compression_params=LEVELS, dict_data=d)
-
-        self.by_ordinary, self.by_toxic = compressor(self.ordinary), compressor(self.ordinary + self.toxic)
-        self.floor = len(self.by_ordinary.compress(self.tail))
-        self.known = {self.toxic[i : i + 4] for i in range(len(self.toxic) - 3)}
-        self.memory: dict[bytes, int] = {}
-        self.ready = True
-
-    def stretch(self, text: bytes) -> bytes:
-        return self.code[np.frombuffer(text, np.uint8)].tobytes()
-
-    def cell(self, window: bytes) -> int:
-        """The cells that a window counts in, as bits."""
-        framed = b" " + window + b" "
-        known = self.known
-        if not any(framed[i : i + 4] in known for i in range(len(framed) - 3)):
-            return 0  # it shares nothing with the toxic words, so either dictionary is as good
-        body = self.stretch(framed) + self.tail
-        plain = len(self.by_ordinary.compress(body))
-        gap = plain - len(self.by_toxic.compress(body))
-        share = gap / max(1, plain - self.floor)
-        return sum(1 << i for i, (g, s) in enumerate(CELLS) if gap >= g and share >= s)
+        if not self.ready:
+            self.by_ordinary, self.by_toxic = _compressor(self.ordinary), _compressor(self.toxic)
+            self.memory: dict[bytes, int] = {}
+            self.ready = True
+
+    def distance(self, window: bytes) -> int:
+        """Bytes that a window takes fewer with the toxic dictionary than with the ordinary one."""
+        body = stretched(window)
+        return len(self.by_ordinary.compress(body)) - len(self.by_toxic.compress(body))
 
     def counts(self, text: bytes) -> np.ndarray:
-        """Windows in each cell, and in all."""
+        """Windows at each least distance, and in all."""
         self.prepare()
         out = np.zeros(len(CELLS) + 1)
+        memory = self.memory
         for words in windows_of(text):
             out[-1] += len(words)
-            memory = self.memory
             if len(memory) > REMEMBERED:
                 memory.clear()
             for w in set(words).difference(memory):
-                memory[w] = self.cell(w)
-            for bits, n in Counter(map(memory.__getitem__, words)).items():
-                for i in range(len(CELLS)):
-                    if bits >> i & 1:
+                memory[w] = self.distance(w)
+            for gap, n in Counter(map(memory.__getitem__, words)).items():
+                for i, least in enumerate(CELLS):
+                    if gap >= least:
                         out[i] += n
         return out
 
@@ -133,33 +132,61 @@ def grams(word: bytes) -> set[bytes]:
     return {framed[i : i + GRAM] for i in range(len(framed) - GRAM + 1)}
 
 
-def train_dictionaries(toxic_words: list[tuple[bytes, ...]], ordinary_words: list[tuple[bytes, ...]]) -> tuple[bytes, bytes]:
-    """Contents of the ordinary dictionary and of what the toxic one adds, from the distinct windows of documents.
+def tells(toxic: int, ordinary: int, all_toxic: int, all_ordinary: int) -> bool:
+    """Whether a run of letters, in as many toxic and ordinary documents, speaks for toxic text; one rule for samples of every size."""
+    return (toxic - math.sqrt(toxic)) * all_ordinary > LIFT * (ordinary + math.sqrt(ordinary) + 1) * all_toxic
 
-    Ordinary: the words in most ordinary documents, the commonest last, where offsets are cheap. Toxic: words with a
-    letter run that is in 2 in 100 toxic documents and over 20 times rarer in ordinary ones.
-    """
-    in_toxic = Counter(g for ws in toxic_words for g in set().union(*map(grams, ws)))
-    in_ordinary = Counter(g for ws in ordinary_words for g in set().union(*map(grams, ws)))
-    rate = (len(toxic_words) or 1) / (len(ordinary_words) or 1)
-    marked = {g for g, n in in_toxic.items() if n >= max(3, 0.02 * len(toxic_words)) and n > 20 * rate * (in_ordinary[g] + 0.5)}
-    found = Counter(w for ws in toxic_words for w in ws if not marked.isdisjoint(grams(w)))
-    common = Counter(w for ws in ordinary_words for w in ws)
-    order = lambda c: [w for w, _ in sorted(c.items(), key=lambda x: (-x[1], x[0]))]
-    plain, size = [], 0
-    for w in order(common):
-        size += len(w) + 1
-        if size > ORDINARY_BYTES:
-            break
-        plain.append(w)
-    join = lambda ws: b" " + b" ".join(reversed(ws)) + b" "
-    return join(plain), join(order(found)[:TOXIC_WORDS])
+
+def train_dictionary(windows: list[bytes], segment: int) -> bytes:
+    """A zstandard dictionary trained on windows (with repeats). Where they are too few for zstandard, the windows one after the other."""
+    samples = [stretched(w) for w in windows]
+    total = sum(map(len, samples))
+    try:
+        return zstandard.train_dictionary(min(DICTIONARY_BYTES, max(1024, total // 4)), samples, k=segment, d=RUN).as_bytes()
+    except zstandard.ZstdError:
+        return b"".join(samples)[-DICTIONARY_BYTES:]
+
+
+def _per_batch(rows: DataFrame, of, names: list[str], schema: str) -> DataFrame:
+    """What of(batch's rows, as tuples with the text as bytes) gives for each batch: lists, one for each column."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = of(zip(*(c.to_pylist() for c in batch.columns)))
+            if found[0]:
+                yield pa.RecordBatch.from_arrays([pa.array(found[0], pa.binary()), *(pa.array(c, pa.int64()) for c in found[1:])], names=names)
+
+    return in_small_batches(rows).mapInArrow(run, schema)
+
+
+def _gram_counts(rows) -> list[list]:
+    seen: Counter = Counter()
+    for toxic, half, text in rows:
+        words = {w for part in windows_of(lowered(text.decode())) for w in part}
+        for g in set().union(*map(grams, words)) if words else ():
+            seen[g, toxic, half] += 1
+    return [list(c) for c in zip(*((g, t, h, n) for (g, t, h), n in seen.items()))] or [[], [], [], []]
+
+
+def _window_counts(marked: tuple[frozenset, frozenset, frozenset]):
+    """Windows by (toxic, fold, documents): of toxic documents those with a run that is marked in the fold, of ordinary ones all. Fold 2
+    is the whole sample."""
+    def of(rows) -> list[list]:
+        seen: Counter = Counter()
+        for toxic, half, text in rows:
+            for w in {w for part in windows_of(lowered(text.decode())) for w in part}:
+                own = grams(w) if toxic else ()
+                for fold in (half, 2):
+                    if not toxic or not marked[fold].isdisjoint(own):
+                        seen[w, toxic, fold] += 1
+        return [list(c) for c in zip(*((w, t, f, n) for (w, t, f), n in seen.items()))] or [[], [], [], []]
+
+    return of
 
 
 def features(counts: np.ndarray, chance: np.ndarray) -> np.ndarray:
     """Of counts in cells and in all (last), the logarithm of what is above chance for that many windows."""
     usual = counts[..., -1:] * chance
-    return np.minimum(np.log1p(np.maximum(0, counts[..., :-1] - usual - ABOVE * np.sqrt(usual))), 3.0)
+    return np.log1p(np.maximum(0, counts[..., :-1] - usual - ABOVE * np.sqrt(usual)))
 
 
 def calibrate(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -188,7 +215,8 @@ def best_cut(steps: dict[int, list[int]]) -> float:
 
 
 def held_out(id: str = "doc_id"):
-    return F.crc32(F.col(id).cast("string").cast("binary")) % 5 == 0
+    """Whether crc32 of the id as text is divisible by 5; a row without id is not held out."""
+    return F.coalesce(F.crc32(F.col(id).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
 def _mapped(rows: DataFrame, of, schema: str) -> DataFrame:
@@ -206,15 +234,49 @@ def _mapped(rows: DataFrame, of, schema: str) -> DataFrame:
     return in_small_batches(rows).mapInArrow(run, ", ".join([*(f"`{c}` {fields[c]}" for c in names[:-1]), schema]))
 
 
+def trained(rows: DataFrame) -> list[tuple[bytes, bytes]]:
+    """(ordinary, toxic) dictionaries of each half of the sample and of all of it, from the table (toxic, half, text).
+
+    Runs of letters are counted by documents in Spark; the driver gets those that speak for toxic text, and a bounded
+    number of windows.
+    """
+    sizes = {(r.toxic, r.half): r["count"] for r in rows.groupBy("toxic", "half").count().collect()}
+    size = lambda toxic, fold: sum(n for (t, h), n in sizes.items() if t == toxic and fold in (h, 2))
+    counted = _per_batch(rows, _gram_counts, ["gram", "toxic", "half", "n"], "gram binary, toxic bigint, half bigint, n bigint")
+    per = counted.groupBy("gram").agg(*[F.sum(F.when((F.col("toxic") == t) & (F.col("half") == h), F.col("n")).otherwise(0)).alias(f"n{t}{h}") for t in (0, 1) for h in (0, 1)])
+    marked: tuple[set, set, set] = (set(), set(), set())
+    for r in per.where("n10 + n11 >= 2").toLocalIterator():
+        for fold, (t, o) in enumerate(((r.n10, r.n00), (r.n11, r.n01), (r.n10 + r.n11, r.n00 + r.n01))):
+            if tells(t, o, size(1, fold), size(0, fold)):
+                marked[fold].add(bytes(r.gram))
+    sent = tuple(map(frozenset, marked))
+    windows = _per_batch(rows, _window_counts(sent), ["window", "toxic", "fold", "n"], "window binary, toxic bigint, fold bigint, n bigint")
+    windows = cut_lineage(windows.groupBy("toxic", "fold", "window").agg(F.sum("n").alias("n")))
+    out = []
+    for fold in range(3):
+        pair = []
+        for toxic, segment in enumerate(SEGMENTS):
+            some = windows.where((F.col("toxic") == toxic) & (F.col("fold") == fold))
+            rate = min(1.0, SAMPLE_WINDOWS / max(1, some.agg(F.sum("n")).first()[0] or 0))
+            part = F.pmod(F.xxhash64(F.lit(17), "window"), F.lit(1 << 20)) / (1 << 20)
+            some = some.select("window", F.floor(F.col("n") * rate + part).alias("n")).where("n > 0")
+            chosen = sorted(bytes(r.window) for r in some.toLocalIterator() for _ in range(r.n))
+            random.Random(toxic).shuffle(chosen)
+            pair.append(train_dictionary(chosen, segment))
+        out.append(tuple(pair))
+    return out
+
+
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """The model: dictionaries and weights from a bounded sample of the labelled documents (SAMPLE_TOXIC and
     SAMPLE_ORDINARY of them), the threshold from all of them.
 
-    Only labels 0 and 1 of documents that are not held out are read, and whole texts. The sample is the first by a hash
-    of the id, equal texts of one label once. Of the sample distinct windows and counts reach the driver, of all
-    documents a histogram. Without labels of both kinds every score is 0.
+    Only labels 0 and 1 of documents that are not held out are read, and whole texts; of different labels of one id the
+    greater counts. The sample is the first by a hash of the id, equal texts of one label once. Of the sample bounded
+    numbers of windows and the counts reach the driver, of all documents a histogram. Without labels of both kinds, or
+    with an empty table, every score is 0.
     """
-    known = labels.where("toxic in (0, 1) and doc_id is not null").where(~held_out()).select("doc_id", F.col("toxic").cast("int").alias("toxic")).dropDuplicates(["doc_id"])
+    known = labels.where("toxic in (0, 1) and doc_id is not null").where(~held_out()).groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     order = F.xxhash64(F.lit(11), F.col("doc_id"))
     parts = []
     for kind, bound in ((1, SAMPLE_TOXIC), (0, SAMPLE_ORDINARY)):
@@ -222,24 +284,21 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     sample = cut_lineage(parts[0].unionByName(parts[1]))
     half = F.pmod(F.xxhash64(F.lit(13), F.col("text")), F.lit(2)).cast("int").alias("half")
     texts = docs.where("text is not null").select("doc_id", "text")
-    rows = cut_lineage(texts.join(F.broadcast(sample), "doc_id").withColumn("sum", F.sha2(F.col("text").cast("binary"), 256)).dropDuplicates(["toxic", "sum"]).select("toxic", half, utf8("text").alias("text")))
-    use = {(label, fold): [] for label in (0, 1) for fold in (0, 1)}
-    one: dict[bytes, bytes] = {}  # each window is held once
-    words = lambda _, text: sorted({w for part in windows_of(lowered(text)) for w in part})
-    for r in _mapped(rows, words, "words array<binary>").toLocalIterator():
-        use[r.toxic, r.half].append(tuple(one.setdefault(w, w) for w in map(bytes, r.words)))
+    rows = texts.join(F.broadcast(sample), "doc_id").withColumn("sum", F.sha2(F.col("text").cast("binary"), 256)).dropDuplicates(["toxic", "sum"])
+    rows = cut_lineage(rows.select("toxic", half, utf8("text").alias("text")))
     nothing = np.zeros(len(CELLS))
     model = Model(b"", b"", nothing, -30.0, nothing)
-    if not all(use[label, 0] or use[label, 1] for label in (0, 1)):
+    if rows.select("toxic").distinct().count() < 2:
         return model
-    halves = [Model(*train_dictionaries(use[1, fold], use[0, fold]), nothing, 0.0, nothing) for fold in (0, 1)]
+    pairs = trained(rows)
+    halves = [Model(*pair, nothing, 0.0, nothing) for pair in pairs[:2]]
     context = docs.sparkSession.sparkContext
     sent = context.broadcast(halves)
     found = _mapped(rows, lambda row, text: sent.value[1 - row[1]].counts(lowered(text)).tolist(), "counts array<double>").select("toxic", "counts").collect()
     counts, y = np.array([r.counts for r in found]), np.array([float(r.toxic) for r in found])
     chance = counts[y == 0, :-1].sum(axis=0) / max(1, counts[y == 0, -1].sum())
     w = calibrate(features(counts, chance), y)
-    model = Model(*train_dictionaries(use[1, 0] + use[1, 1], use[0, 0] + use[0, 1]), w, 0.0, chance)
+    model = Model(*pairs[2], w, 0.0, chance)
     whole = context.broadcast([*(Model(h.ordinary, h.toxic, w, 0.0, chance) for h in halves), model])
     # all labelled rows; those of the sample by the half that has not seen them
     marked = known.join(F.broadcast(sample.select("doc_id", F.lit(True).alias("sampled"))), "doc_id", "left")
