@@ -19,15 +19,24 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write `df` to the shared checkpoint folder and go on from the files.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: the session's spark.checkpoint.dir.
 
-    The folder is the session's spark.checkpoint.dir; a temporary one is set only where none is, as in tests.
+    Where it is unset, a temporary folder serves a session that runs in one process, as in tests; a cluster gets an error.
     """
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return tempfile.mkdtemp(prefix="spark-checkpoint-")
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write `df` to the shared checkpoint folder and go on from the files."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-checkpoint-"))
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
 
 

@@ -200,13 +200,13 @@ def _first_met(diff: np.ndarray, masks: list[int]) -> np.ndarray:
 
 
 def _walk_near(near: int, masks: list[int], crossing: bool):
-    """Candidates of buckets (path, fp, first, comp): a spanning forest of each bucket's pairs, nearer ones first, and
+    """Candidates of buckets (path, fp, first, comp, look): a spanning forest of each bucket's pairs, nearer ones first, and
     whether pairs of the same part of the bucket were left out; or, `crossing`, all pairs that are not within one comp.
 
     Of the buckets of the first cut in which a pair meets, only that of the first mask gives it.
     """
 
-    def joined(paths: np.ndarray, values: np.ndarray, first: np.ndarray, comp: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def joined(paths: np.ndarray, values: np.ndarray, first: np.ndarray, comp: np.ndarray, look: np.ndarray) -> Iterator[pa.RecordBatch]:
         starts = np.concatenate([[0], np.flatnonzero(np.diff(paths)) + 1, [len(paths)]])
         cuts, total = [0], 0
         for i, n in enumerate(np.diff(starts).tolist()):
@@ -230,10 +230,10 @@ def _walk_near(near: int, masks: list[int], crossing: bool):
                     nodes, pairs = np.bincount(label, minlength=len(own)), np.bincount(label[a], minlength=len(own))
                     a, b = nearest_forest(own, a, b)
                     more = pairs[label[a]] >= nodes[label[a]]
-                yield pa.RecordBatch.from_arrays([pa.array(own[a].view(np.int64)), pa.array(own[b].view(np.int64)), pa.array(more)], names=["a", "b", "more"])
+                yield pa.RecordBatch.from_arrays([pa.array(look[base:end][a]), pa.array(own[a].view(np.int64)), pa.array(own[b].view(np.int64)), pa.array(more)], names=["look", "a", "b", "more"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [np.zeros(0, dtype=t) for t in (np.int64, np.uint64, np.int64, np.int64)]
+        held = [np.zeros(0, dtype=t) for t in (np.int64, np.uint64, np.int64, np.int64, np.int64)]
         for batch in batches:
             held = [np.concatenate([x, c.to_numpy().view(x.dtype)]) for x, c in zip(held, batch.columns)]
             if len(held[0]) >= 1 << 17:
@@ -358,17 +358,18 @@ def hamming_links(values: DataFrame, budget: int = 3, bucket_rows: int = BUCKET_
 
 
 def near_links(values: DataFrame, budget: int = BUDGET, near: int = NEAR, crossing: bool = False, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """Pairs (a, b, more) of the distinct longs `fp` (with `comp`) that meet in a bucket and differ in at most `near` bits.
+    """Pairs (look, a, b, more) of the distinct longs `fp` of one look (with `comp`) that meet in a bucket and differ in at most `near` bits.
 
-    Buckets are those in which all pairs of at most `budget` bits meet; further ones meet by chance. See _walk_near for what is sent.
+    All looks are walked at once, a look being the first part of a bucket's path. Buckets are those in which all pairs of at most `budget` bits meet; further ones meet by chance. See _walk_near for what is sent.
     """
     masks = [m for _, masks in _blocks((1 << BITS) - 1, budget) for m in masks]
-    return _dealt(values.select("fp", F.lit(-1).cast("long").alias("first"), "comp"), budget, bucket_rows, _walk_near(near, masks, crossing), "a bigint, b bigint, more boolean")
+    return _dealt(values.select("fp", F.lit(-1).cast("long").alias("first"), "comp", F.col("look").cast("long").alias("look")), budget, bucket_rows, _walk_near(near, masks, crossing), "look bigint, a bigint, b bigint, more boolean")
 
 
 def _dealt(values: DataFrame, budget: int, bucket_rows: int, walk, schema: str) -> DataFrame:
     edges, frees, more = None, {(1 << BITS) - 1}, values.columns[1:]
-    rows = cut_lineage(values.where("fp is not null").select("fp", F.lit(0).cast("long").alias("path"), F.lit(-1).cast("long").alias("free"), *more))
+    path = F.col("look") if "look" in more else F.lit(0).cast("long")
+    rows = cut_lineage(values.where("fp is not null").select("fp", path.alias("path"), F.lit(-1).cast("long").alias("free"), *more))
     while True:
         cuts = {free: _blocks(free, budget) for free in sorted(frees)}
         frees = {free & ~m for free, blocks in cuts.items() for _, masks in blocks for m in masks}
@@ -441,28 +442,28 @@ def shingle_sets(texts: DataFrame, words: int) -> DataFrame:
     return in_small_batches(texts.select(utf8("text"))).mapInArrow(run, "key bigint, shingles array<bigint>").dropDuplicates(["key"])
 
 
-def _candidates(nodes: DataFrame, look: int, budget: int, near: int) -> DataFrame:
-    """Pairs (a, b, more) of keys that connect all candidates of one look; more tells that others are left out beside it.
+def _candidates(nodes: DataFrame, budget: int, near: int) -> DataFrame:
+    """Pairs (a, b, more) of keys that connect all candidates of each look; more tells that others are left out beside it.
 
     Keys with one fingerprint are linked to the least of them, which links of the fingerprint lead to.
     """
-    at = nodes.select("key", F.col("prints")[look].alias("fp"))
-    tops = cut_lineage(at.groupBy("fp").agg(F.min("key").alias("top"), F.count("*").alias("n")))
-    links = near_links(tops.select("fp", F.lit(-1).cast("long").alias("comp")), budget, near)
-    end = lambda c: tops.select(F.col("fp").alias(c), F.col("top").alias(f"k{c}"), F.col("n").alias(f"n{c}"))
-    named = links.join(end("a"), "a").join(end("b"), "b")
-    equal = at.join(tops, "fp").where("key <> top").select(F.col("top").alias("a"), F.col("key").alias("b"), F.lit(True).alias("more"))
+    at = nodes.select("key", F.posexplode("prints").alias("look", "fp"))
+    tops = cut_lineage(at.groupBy("look", "fp").agg(F.min("key").alias("top"), F.count("*").alias("n")))
+    links = near_links(tops.select("look", "fp", F.lit(-1).cast("long").alias("comp")), budget, near)
+    end = lambda c: tops.select("look", F.col("fp").alias(c), F.col("top").alias(f"k{c}"), F.col("n").alias(f"n{c}"))
+    named = links.join(end("a"), ["look", "a"]).join(end("b"), ["look", "b"])
+    equal = at.join(tops, ["look", "fp"]).where("key <> top").select(F.col("top").alias("a"), F.col("key").alias("b"), F.lit(True).alias("more"))
     return named.select(F.col("ka").alias("a"), F.col("kb").alias("b"), F.expr("more or na > 1 or nb > 1").alias("more")).unionByName(equal)
 
 
-def _crossing(nodes: DataFrame, look: int, budget: int, near: int) -> DataFrame:
-    """All pairs (a, b) of keys (key, prints, root) that are candidates of one look and have different roots."""
-    at = cut_lineage(nodes.select("key", "root", F.col("prints")[look].alias("fp")))
+def _crossing(nodes: DataFrame, budget: int, near: int) -> DataFrame:
+    """All pairs (a, b) of keys (key, prints, root) that are candidates of a look and have different roots."""
+    at = cut_lineage(nodes.select("key", "root", F.posexplode("prints").alias("look", "fp")))
     one = F.when(F.min("root") == F.max("root"), F.min("root")).otherwise(F.lit(-1).cast("long"))
-    links = near_links(at.groupBy("fp").agg(one.alias("comp")), budget, near, crossing=True)
-    end = lambda c, fp: at.select(F.col("fp").alias(fp), F.col("key").alias(f"k{c}"), F.col("root").alias(f"r{c}"))
-    named = links.join(end("a", "a"), "a").join(end("b", "b"), "b").select("ka", "ra", "kb", "rb")
-    equal = end("a", "fp").join(end("b", "fp"), "fp").where("ka < kb").select("ka", "ra", "kb", "rb")
+    links = near_links(at.groupBy("look", "fp").agg(one.alias("comp")), budget, near, crossing=True)
+    end = lambda c, fp: at.select("look", F.col("fp").alias(fp), F.col("key").alias(f"k{c}"), F.col("root").alias(f"r{c}"))
+    named = links.join(end("a", "a"), ["look", "a"]).join(end("b", "b"), ["look", "b"]).select("ka", "ra", "kb", "rb")
+    equal = end("a", "fp").join(end("b", "fp"), ["look", "fp"]).where("ka < kb").select("ka", "ra", "kb", "rb")
     return named.unionByName(equal).where("ra <> rb").select(F.col("ka").alias("a"), F.col("kb").alias("b"))
 
 
@@ -505,8 +506,7 @@ def _grouped(docs: DataFrame, words: int, budget: int, near: int, similar: float
     docs = docs.where("doc_id is not null")
     found = cut_lineage(sketches(docs, words, looks))
     nodes = cut_lineage(found.groupBy("key").agg(F.min("doc_id").alias("least"), F.first("size").alias("size"), F.first("prints").alias("prints")))
-    links = reduce(DataFrame.unionByName, [_candidates(nodes, look, budget, near) for look in range(looks)])
-    links = cut_lineage(_ordered(links, "more").groupBy("a", "b").agg(F.max("more").alias("more")))
+    links = cut_lineage(_ordered(_candidates(nodes, budget, near), "more").groupBy("a", "b").agg(F.max("more").alias("more")))
     good = _verified(links, docs, nodes, words, similar, looks)
     rooted = _rooted(nodes, good)
     # Candidates were left out only beside links marked so, and one whose ends are still apart has a failed such link at both groups.
@@ -515,8 +515,7 @@ def _grouped(docs: DataFrame, words: int, budget: int, near: int, similar: float
     apart = _marked(failed.select(F.explode(F.array("ra", "rb")).alias("root")).distinct())
     if apart is not None:
         left = cut_lineage(rooted.join(apart, "root", "left_semi"))
-        rest = reduce(DataFrame.unionByName, [_crossing(left, look, budget, near) for look in range(looks)])
-        rest = cut_lineage(_ordered(rest).distinct().join(links.select("a", "b"), ["a", "b"], "left_anti"))
+        rest = cut_lineage(_ordered(_crossing(left, budget, near)).distinct().join(links.select("a", "b"), ["a", "b"], "left_anti"))
         rooted = _rooted(nodes, good.unionByName(_verified(rest, docs, nodes, words, similar, looks)))
     return found.select("doc_id", "key").join(rooted.select("key", "root"), "key")
 
