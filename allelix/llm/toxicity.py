@@ -267,15 +267,17 @@ def trained(rows: DataFrame) -> list[tuple[bytes, bytes]]:
     return out
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> Model:
-    """The model: dictionaries and weights from a bounded sample of the labelled documents (SAMPLE_TOXIC and
-    SAMPLE_ORDINARY of them), the threshold from all of them.
-
-    Only labels 0 and 1 of documents that are not held out are read, and whole texts; of different labels of one id the
-    greater counts. The sample is the first by a hash of the id, equal texts of one label once. Of the sample bounded
-    numbers of windows and the counts reach the driver, of all documents a histogram. Without labels of both kinds, or
-    with an empty table, every score is 0.
+def fitted(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text") -> tuple[Model, DataFrame | None]:
+    """The model, and (doc_id, sum) of every row of `docs` by it, written; None without labels of both kinds.
+
+    Dictionaries and weights come from a bounded sample of the labelled documents (SAMPLE_TOXIC and SAMPLE_ORDINARY of
+    them), the threshold from all of them. Only labels 0 and 1 of documents that are not held out are read, and whole
+    texts; of different labels of one id the greater counts. The sample is the first by a hash of the id, equal texts of
+    one label once. Of the sample bounded numbers of windows and the counts reach the driver, of all documents a
+    histogram. Texts are never shuffled but for the sample: all rows are summed where they lie and the sums joined
+    with the labels. Without labels of both kinds, or with an empty table, every score is 0.
     """
+    docs = docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text"))
     known = labels.where("toxic in (0, 1) and doc_id is not null").where(~held_out()).groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     order = F.xxhash64(F.lit(11), F.col("doc_id"))
     parts = []
@@ -283,13 +285,11 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
         parts.append(known.where(F.col("toxic") == kind).orderBy(order, "doc_id").limit(bound))
     sample = cut_lineage(parts[0].unionByName(parts[1]))
     half = F.pmod(F.xxhash64(F.lit(13), F.col("text")), F.lit(2)).cast("int").alias("half")
-    texts = docs.where("text is not null").select("doc_id", "text")
-    rows = texts.join(F.broadcast(sample), "doc_id").withColumn("sum", F.sha2(F.col("text").cast("binary"), 256)).dropDuplicates(["toxic", "sum"])
+    rows = docs.where("text is not null").join(F.broadcast(sample), "doc_id").withColumn("sum", F.sha2(F.col("text").cast("binary"), 256)).dropDuplicates(["toxic", "sum"])
     rows = cut_lineage(rows.select("toxic", half, utf8("text").alias("text")))
     nothing = np.zeros(len(CELLS))
-    model = Model(b"", b"", nothing, -30.0, nothing)
     if rows.select("toxic").distinct().count() < 2:
-        return model
+        return Model(b"", b"", nothing, -30.0, nothing), None
     pairs = trained(rows)
     halves = [Model(*pair, nothing, 0.0, nothing) for pair in pairs[:2]]
     context = docs.sparkSession.sparkContext
@@ -300,15 +300,26 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     w = calibrate(features(counts, chance), y)
     model = Model(*pairs[2], w, 0.0, chance)
     whole = context.broadcast([*(Model(h.ordinary, h.toxic, w, 0.0, chance) for h in halves), model])
-    # all labelled rows; those of the sample by the half that has not seen them
-    marked = known.join(F.broadcast(sample.select("doc_id", F.lit(True).alias("sampled"))), "doc_id", "left")
-    rows = texts.join(marked, "doc_id").select("toxic", F.when(F.col("sampled"), F.lit(1) - half).otherwise(2).alias("by"), utf8("text").alias("text"))
-    sums = _mapped(rows, lambda row, text: whole.value[row[1]].sum(lowered(text)), "sum double")
+
+    def sums(row: tuple, text: str) -> list[float]:
+        """By the model, and for a row of the sample also by the half that has not seen it."""
+        body = lowered(text)
+        own = whole.value[2].sum(body)
+        return [own, own if row[1] is None else whole.value[1 - row[1]].sum(body)]
+
+    marked = docs.join(F.broadcast(sample.select("doc_id", F.lit(True).alias("sampled"))), "doc_id", "left")
+    found = _mapped(marked.select("doc_id", F.when(F.col("sampled"), half).alias("half"), utf8("text").alias("text")), sums, "sums array<double>")
+    found = cut_lineage(found.select("doc_id", F.col("sums")[0].alias("sum"), F.col("sums")[1].alias("judged")))
     steps: dict[int, list[int]] = {}
-    for r in sums.groupBy("toxic", F.floor(F.col("sum") * STEPS).cast("int").alias("step")).count().collect():
+    for r in found.join(known, "doc_id").groupBy("toxic", F.floor(F.col("judged") * STEPS).cast("int").alias("step")).count().collect():
         steps.setdefault(r.step, [0, 0])[r.toxic] = r["count"]
     model.bias = -best_cut(steps)
-    return model
+    return model, found.select("doc_id", "sum")
+
+
+def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text") -> Model:
+    """The model alone, as `fitted` gives it."""
+    return fitted(docs, labels, id, text)[0]
 
 
 def score_documents(docs: DataFrame, model: Model, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -328,7 +339,11 @@ def score_documents(docs: DataFrame, model: Model, id: str = "doc_id", text: str
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of `docs` whose score is under 0.5, with all their columns."""
+    """The rows of `docs` whose score is under 0.5, with all their columns.
+
+    A null or empty text is scored like any other, repeated rows share their fate, a row without doc_id is judged by its
+    text, and an empty table gives no rows.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(fit(docs, labels))
     at = docs.columns.index("text")
 
@@ -341,7 +356,19 @@ def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return in_small_batches(docs).mapInArrow(run, docs.schema)
 
 
+def classified(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """`id` and score (0 to 1) of every row, by a model of these documents' own labels.
+
+    A null text counts as the empty text; repeated rows stay; a row without id is scored like any other. Only the two
+    named columns are read, so others may have any name. An empty table gives no rows.
+    """
+    model, sums = fitted(docs, labels, id, text)
+    if sums is None:
+        return score_documents(docs, model, id, text)
+    return sums.select(F.col("doc_id").alias(id), (1 / (1 + F.exp(-(F.col("sum") + F.lit(float(model.bias)))))).alias("score"))
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents")
-    scored = score_documents(docs, fit(docs, read_table(spark, sf_dir, "labels")))
+    """op10: doc_id, held_out, score and predicted of every row of documents, as `classified` defines them."""
+    scored = classified(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
     return scored.select("doc_id", held_out().alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
