@@ -21,6 +21,9 @@ ANCESTRIES = {
     "FIN": "Finnish", "SAS": "South Asian", "OTH": "Other",
 }
 
+#: An item of a list written as text: quoted, or a run without quote, comma and bracket.
+LIST_ITEM = r"""'[^']*'|"[^"]*"|[^,'"\[\]]+"""
+
 
 def literal_map(values: dict) -> Column:
     return F.create_map(*[F.lit(x) for kv in values.items() for x in kv])
@@ -85,10 +88,13 @@ def consequence_label(x: Column) -> Column:
 
 
 def significance_label(x: Column) -> Column:
-    """The most severe known label of a value that may be a list written as text; ties by name."""
+    """The most severe known label of a value that may be a list written as text; ties by name.
+
+    An item of a list may be quoted, and a comma inside the quotes belongs to it.
+    """
     bare = strip(x)
     listed = bare.startswith("[") & bare.endswith("]")
-    items = F.when(listed, F.split(F.regexp_replace(bare, r"^\[|\]$", ""), ",")).otherwise(F.array(bare))
+    items = F.when(listed, F.regexp_extract_all(bare, F.lit(LIST_ITEM), F.lit(0))).otherwise(F.array(bare))
     ranks = literal_map({s: i for i, s in enumerate(SIGNIFICANCE, 1)})
     known = F.filter(F.transform(items, lambda i: F.lower(text_label(i))), lambda i: ~i.isin(*UNKNOWN))
     ranked = F.transform(known, lambda i: F.struct(F.coalesce(F.element_at(ranks, i), F.lit(20)).alias("rank"), i.alias("label")))
@@ -104,9 +110,60 @@ def is_gene(x: Column) -> Column:
     return F.coalesce(clean_string(x).rlike("[A-Za-z]"), F.lit(False))
 
 
-def ancestry_group(code: Column, overrides: dict[str, str] | None = None) -> Column:
-    """The group of a code in any case; an unknown code stays."""
-    return F.coalesce(F.element_at(literal_map(ANCESTRIES | (overrides or {})), F.upper(strip(code))), strip(code))
+def ancestry_code(code: Column) -> Column:
+    """The code in upper case; null if it is blank."""
+    return F.nullif(F.upper(strip(code)), F.lit(""))
+
+
+def ancestry_label(code: Column, overrides: dict[str, str | tuple[str, str]] | None = None) -> Column:
+    """The source's label of a code; an unknown code stays, in upper case. An override is one text or (label, group)."""
+    own = {k: v if isinstance(v, str) else v[0] for k, v in (overrides or {}).items()}
+    return F.coalesce(F.element_at(literal_map(ANCESTRIES | own), ancestry_code(code)), ancestry_code(code))
+
+
+def ancestry_group(code: Column, overrides: dict[str, str | tuple[str, str]] | None = None) -> Column:
+    """The canonical group of a code; an unknown code stays, in upper case. An override is one text or (label, group)."""
+    own = {k: v if isinstance(v, str) else v[1] for k, v in (overrides or {}).items()}
+    return F.coalesce(F.element_at(literal_map(ANCESTRIES | own), ancestry_code(code)), ancestry_code(code))
+
+
+def round_ancestry(value: Column, digits: int) -> Column:
+    """A number rounded to `digits`, as text; what is no number stays as it is."""
+    return F.coalesce(F.round(to_float(value), digits).cast("string"), value.cast("string"))
+
+
+def parse_ancestry(text: Column) -> Column:
+    """map<string, string> of JSON {population: value} or {population: {"MAF" | "maf" | "value": value}}; null words are left out."""
+    entries = F.map_entries(F.from_json(text, "map<string,string>"))
+    inner = lambda v: F.coalesce(*[F.get_json_object(v, f"$.{k}") for k in ("MAF", "maf", "value")])
+    plain = F.transform(entries, lambda e: F.struct(e.key.alias("key"), F.when(e.value.startswith("{"), inner(e.value)).otherwise(e.value).alias("value")))
+    return F.map_from_entries(F.filter(plain, lambda e: clean_string(e.value, ("", "nan", "none", "null")).isNotNull()))
+
+
+def ancestry_json(columns: dict[str, Column], change: Column, digits: int | None = None) -> Column:
+    """JSON {label: {"change", "MAF"}} of the columns that hold numbers, by label."""
+    shown = lambda v: to_float(v) if digits is None else F.round(to_float(v), digits)
+    items = [F.struct(F.lit(label).alias("key"), F.struct(F.coalesce(change, F.lit("")).alias("change"), shown(columns[label]).alias("MAF")).alias("value")) for label in sorted(columns)]
+    return F.to_json(F.map_from_entries(F.filter(F.array(*items), lambda e: e.value.MAF.isNotNull())))
+
+
+def first_given(*columns: Column, default: str | None = None) -> Column:
+    """The first of the columns that is not blank, cleaned, else the default."""
+    return F.coalesce(*[clean_string(c) for c in columns], F.lit(default))
+
+
+def nested_json(targets: dict[str, Column]) -> Column:
+    """JSON with each value at its dotted target; blank values, and branches without any value, are left out. Null without any value."""
+    def build(items: dict[tuple[str, ...], Column]) -> Column:
+        heads: dict[str, dict[tuple[str, ...], Column]] = {}
+        for path, value in items.items():
+            heads.setdefault(path[0], {})[path[1:]] = value
+        given = lambda v: F.nullif(strip(v.cast("string")), F.lit(""))
+        fields = {h: given(rest[()]) if () in rest else build(rest) for h, rest in heads.items()}
+        some = F.coalesce(*[F.when(f.isNotNull(), F.lit(True)) for f in fields.values()], F.lit(False))
+        return F.when(some, F.struct(*[f.alias(h) for h, f in fields.items()]))
+
+    return F.to_json(build({tuple(k.split(".")): v for k, v in targets.items()}))
 
 
 def infer_variation(ref: Column, alt: Column) -> Column:
@@ -120,8 +177,9 @@ def allele_string(ref: Column, alt: Column) -> Column:
 
 
 def derive_rsid(rsid: Column, marker: Column) -> Column:
+    """The given id, else a marker that begins with rs, else what stands before its first hyphen."""
     m = clean_string(marker)
-    return F.coalesce(clean_string(rsid), F.when(m.startswith("rs") & ~F.contains(m, F.lit("-")), m), F.get(F.split(m, "-"), F.lit(0)))
+    return F.coalesce(clean_string(rsid), F.when(m.startswith("rs"), m), F.get(F.split(m, "-"), F.lit(0)))
 
 
 def dataset_type_of(path: Column, mapped: Column) -> Column:
@@ -170,6 +228,11 @@ def safe_gene(x: Column) -> Column:
     return F.replace(x, F.lit("/"), F.lit("-"))
 
 
+def encoded_gene(x: Column) -> Column:
+    """Percent-encoded, as in the file name of an artifact."""
+    return F.replace(F.replace(F.url_encode(strip(x)), F.lit("+"), F.lit("%20")), F.lit("*"), F.lit("%2A"))
+
+
 def source_rank(source: Column, priority: tuple[str, ...]) -> Column:
     return F.coalesce(F.element_at(literal_map({s: i for i, s in enumerate(priority)}), source), F.lit(999999))
 
@@ -184,23 +247,60 @@ def matches_terms(phenotypes: Column, terms: tuple[str, ...]) -> Column:
     return F.exists(phenotypes, lambda p: F.lower(p).rlike("|".join("\\Q" + t.lower() + "\\E" for t in terms)))
 
 
-def feature_category(text: Column) -> Column:
-    """The first class whose keyword the lower-cased text holds."""
-    # Classes in order of precedence, with their keywords.
-    classes = (
-        ("exons", ("translation_exon",)), ("transmembrane", ("transmembrane", "topological domain", "intramembrane")),
-        ("low_complexity", ("low complexity", "compositional bias", "compositionally biased")), ("disorder", ("disorder",)),
-        ("domains", ("domain", "family", "pfam")), ("repeats", ("repeat",)), ("sites", ("site", "binding", "active", "metal")),
-        ("regions", ("region", "motif", "zinc finger")),
-    )
-    t, out = F.lower(text), F.lit(None).cast("string")
-    for name, words in reversed(classes):
-        out = F.when(t.rlike("|".join(words)), name).otherwise(out)
-    return F.coalesce(out, F.lit("other_features"))
+# Classes of protein features in order of precedence, with their keywords.
+FEATURE_CLASSES = (
+    ("exons", ("translation_exon",)), ("transmembrane", ("transmembrane", "topological domain", "intramembrane")),
+    ("low_complexity", ("low complexity", "compositional bias", "compositionally biased")), ("disorder", ("disorder",)),
+    ("domains", ("domain", "family", "pfam")), ("repeats", ("repeat",)), ("sites", ("site", "binding", "active", "metal")),
+    ("regions", ("region", "motif", "zinc finger")),
+)
 
 
-def xref_kind(x: Column) -> Column:
-    return F.when(x.rlike("^(NM_|NP_|XM_|XP_)"), "refseq").when(x.rlike("^[OPQ][0-9][A-Z0-9]{3}[0-9]|^[A-NR-Z][0-9]([A-Z][A-Z0-9]{2}[0-9]){1,2}"), "uniprot").otherwise("other")
+def feature_category(text: Column, source: Column | None = None) -> Column:
+    """The first class whose keyword the lower-cased text holds; some sources decide by themselves, and "exon" alone is an exon."""
+    t, out, source = F.lower(text), F.lit("other_features"), F.lit("") if source is None else F.coalesce(source, F.lit(""))
+    for name, words in reversed(FEATURE_CLASSES):
+        holds = t.rlike("|".join(words))
+        if name == "exons":
+            holds = holds | (t == "exon") | (source == "ensembl_translation_exon")
+        if name == "domains":
+            holds = holds | (source == "interpro")
+        out = F.when(holds, name).otherwise(out)
+    return out
+
+
+def xref_kinds(name: Column, value: Column) -> Column:
+    """array<string>: refseq and uniprot, by the database's name or the form of the identifier."""
+    db = F.lower(F.coalesce(name, F.lit("")))
+    refseq = F.contains(db, F.lit("refseq")) | value.rlike("^(NM_|NP_|XM_|XP_)")
+    uniprot = F.contains(db, F.lit("uniprot")) | value.rlike(r"^[OPQ][0-9][A-Z0-9]{3}[0-9](-\d+)?$")
+    return F.filter(F.array(F.when(refseq, "refseq"), F.when(uniprot, "uniprot")), lambda k: k.isNotNull())
+
+
+def feature_range(*starts: Column, ends: tuple[Column, ...]) -> Column:
+    """struct<start, end> of the first start and the first end that are numbers, in order; null if one is missing."""
+    a, b = first_coordinate(*starts), first_coordinate(*ends)
+    return F.when(a.isNotNull() & b.isNotNull(), F.struct(F.least(a, b).alias("start"), F.greatest(a, b).alias("end")))
+
+
+def regulation_json(entry: Column) -> Column:
+    """An expression entry with up and down instead of upregulated and downregulated, missing and NaN as 0: either
+    {"regulation": {..}} or one such object for each disease; a disease's value that is no object stays."""
+    # JSON knows no NaN, which some writers put in bare
+    text = F.regexp_replace(entry, r":\s*NaN", ": 0")
+    number = lambda x, k: F.coalesce(to_float(F.get_json_object(x, f"$.{k}")), F.lit(0.0))
+    both = lambda x: F.struct(number(x, "upregulated").alias("up"), number(x, "downregulated").alias("down"))
+    flat = F.get_json_object(text, "$.regulation")
+    by_disease = F.try_parse_json(text).cast("map<string,variant>")
+    shown = F.transform_values(by_disease, lambda _, v: F.when(F.schema_of_variant(v).startswith("OBJECT"), F.parse_json(F.to_json(both(F.to_json(v))))).otherwise(v))
+    return F.when(flat.startswith("{"), F.to_json(both(flat))).otherwise(F.to_json(shown))
+
+
+def label_path(leaf: Column, category: Column, phenotype: Column) -> Column:
+    """array<string>: the leaf's path in the tree, else category and phenotype as slugs, without blanks and without a repeat at the end."""
+    c, p = F.nullif(slug(category), F.lit("")), F.nullif(slug(phenotype), F.lit(""))
+    fallback = F.when(c.eqNullSafe(p), F.array(p)).otherwise(F.array(c, p))
+    return F.coalesce(leaf, F.filter(fallback, lambda x: x.isNotNull()))
 
 
 def gtf_attributes(field: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from allelix.functions import text as fn
@@ -13,17 +13,24 @@ AXES = {"vc": ("variation_type", "variation"), "msc": ("most_severe_consequence"
 
 
 def best_per_variant(df: DataFrame, scope: Sequence[str], fields: Sequence[str] = ("variation_type", "most_severe_consequence", "clinical_significance", "p_value")) -> DataFrame:
-    """One row for each variant of a scope: the one with the smallest p-value, nulls last, ties by row key."""
-    order = F.struct(F.col("p_value").isNull().alias("none"), F.col("p_value").alias("p"), F.col("row_key").alias("row"))
-    return df.groupBy(*scope, "variant_id").agg(F.min_by(F.struct(*fields), order).alias("__best")).select(*scope, "variant_id", "__best.*")
+    """One row for each variant of a scope: the one with the smallest p-value, nulls last, ties by row key. Losers go before the shuffle."""
+    w = Window.partitionBy(*scope, "variant_id").orderBy(F.col("p_value").asc_nulls_last(), F.col("row_key").asc_nulls_last())
+    return df.select(*dict.fromkeys([*scope, "variant_id", *fields, "p_value", "row_key"])).withColumn("__n", F.row_number().over(w)).where("__n = 1").select(*scope, "variant_id", *fields)
 
 
 def count_axes(best: DataFrame, scope: Sequence[str], unknown: bool = False) -> DataFrame:
-    """(scope, axis, name, value): variants by label on each axis; unknown labels are left out or counted as Unknown."""
-    labels = F.array(*[F.struct(F.lit(axis).alias("axis"), fn.axis_label(F.col(column), kind).alias("name")) for axis, (column, kind) in AXES.items()])
-    rows = best.select(*scope, F.explode(labels).alias("x")).select(*scope, "x.*")
+    """(scope, axis, name, value): variants by label on each axis; unknown labels are left out or counted as Unknown.
+
+    Raw values are counted first and their labels found after, so the label rules run once for each (scope, raw value), not for each variant.
+    """
+    raw = F.array(*[F.struct(F.lit(axis).alias("axis"), F.col(column).alias("raw")) for axis, (column, _) in AXES.items()])
+    counted = best.select(*scope, F.explode(raw).alias("x")).select(*scope, "x.*").groupBy(*scope, "axis", "raw").agg(F.count("*").alias("n"))
+    name = F.lit(None).cast("string")
+    for axis, (_, kind) in AXES.items():
+        name = F.when(F.col("axis") == axis, fn.axis_label(F.col("raw"), kind)).otherwise(name)
+    rows = counted.withColumn("name", name)
     rows = rows.withColumn("name", F.coalesce("name", F.lit("Unknown"))) if unknown else rows.where("name is not null")
-    return rows.groupBy(*scope, "axis", "name").agg(F.count("*").alias("value"))
+    return rows.groupBy(*scope, "axis", "name").agg(F.sum("n").alias("value"))
 
 
 def aggregate_variants(df: DataFrame, scope: Sequence[str], unknown: bool = False) -> DataFrame:
@@ -37,9 +44,21 @@ def filtered(df: DataFrame, phenotypes: Sequence[str], scope: Sequence[str]) ->
 
 
 def roll_up(df: DataFrame, mapping: DataFrame) -> DataFrame:
-    """`df` with category and label: from the map on (dataset_type, slug), else the category of the record and its phenotype."""
+    """Points with category and label of the roll-up, from `mapping` (dataset_type, slug, mapped_category).
+
+    Category: the map's for the dataset type, else for the type '', else the slug of the record's own. Label: the slug of
+    parent_phenotype, if it is there and no number, else the category, else the slug of the phenotype.
+    """
     keyed = df.withColumn("slug", fn.slug(F.col("phenotype")))
-    return keyed.join(mapping, ["dataset_type", "slug"], "left").withColumn("category", F.coalesce("mapped_category", "disease_category")).withColumn("label", F.coalesce("mapped_label", "phenotype")).drop("mapped_category", "mapped_label")
+    typed = mapping.where("dataset_type <> ''").select("dataset_type", "slug", F.col("mapped_category").alias("__typed"))
+    plain = mapping.where("dataset_type = ''").select("slug", F.col("mapped_category").alias("__plain"))
+    found = keyed.join(typed, ["dataset_type", "slug"], "left").join(plain, "slug", "left")
+    blank = lambda c: F.nullif(c, F.lit(""))
+    category = F.coalesce(blank(F.col("__typed")), blank(F.col("__plain")), fn.slug(F.col("disease_category")), F.lit(""))
+    parent = blank(fn.slug(F.col("parent_phenotype"))) if "parent_phenotype" in df.columns else F.lit(None).cast("string")
+    out = found.withColumn("category", category)
+    label = F.coalesce(F.when(~parent.rlike("^[0-9]+$"), parent), blank(F.col("category")), F.col("slug"))
+    return out.withColumn("label", label).drop("__typed", "__plain")
 
 
 def ancestry_points(df: DataFrame, scope: Sequence[str]) -> DataFrame:
@@ -49,17 +68,17 @@ def ancestry_points(df: DataFrame, scope: Sequence[str]) -> DataFrame:
 
 
 def variant_index(df: DataFrame, scope: Sequence[str]) -> DataFrame:
-    """One row for each (scope, variant): the best row's labels, smallest p-value, sources, ancestries, record count."""
-    order = F.struct(F.col("p_value").isNull().alias("none"), F.col("p_value").alias("p"), F.col("row_key").alias("row"))
-    return (
-        df.groupBy(*scope, "variant_id")
-        .agg(
-            F.min_by(F.struct("variation_type", "clinical_significance", "most_severe_consequence"), order).alias("b"),
-            F.min("p_value").alias("p_value"), F.array_sort(F.collect_set("source")).alias("sources"),
-            F.array_sort(F.collect_set("ancestry")).alias("ancestries"), F.count("*").alias("record_count"),
-        )
-        .select(*scope, "variant_id", fn.variation_label(F.col("b.variation_type")).alias("variation"), fn.significance_label(F.col("b.clinical_significance")).alias("significance"), fn.consequence_label(F.col("b.most_severe_consequence")).alias("consequence"), "p_value", "sources", "ancestries", "record_count")
+    """One row for each (scope, variant): labels, p-value and source of the best row, merged ancestry frequencies (the newest row's of
+    each population), sources, files, phenotype keys and record count."""
+    keys = [*scope, "variant_id"]
+    best = best_per_variant(df, scope, ("source", "variation_type", "most_severe_consequence", "clinical_significance", "p_value"))
+    sets = df.groupBy(*keys).agg(
+        F.array_sort(F.collect_set("source")).alias("sources"), F.array_sort(F.collect_set("source_file")).alias("source_files"),
+        F.array_sort(F.collect_set(F.nullif("phenotype_key", F.lit("")) if "phenotype_key" in df.columns else F.lit(None).cast("string"))).alias("phenotype_keys"), F.count("*").alias("record_count"),
     )
+    merged = ancestry_points(df, scope).groupBy(*keys).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("ancestry", "value")))).alias("ancestry"))
+    labels = [fn.variation_label(F.col("variation_type")).alias("variation"), fn.significance_label(F.col("clinical_significance")).alias("significance"), fn.consequence_label(F.col("most_severe_consequence")).alias("consequence")]
+    return best.join(sets, keys).join(merged, keys, "left").select(*keys, *labels, "p_value", "source", "ancestry", "sources", "source_files", "phenotype_keys", "record_count")
 
 
 def provenance(df: DataFrame, scope: Sequence[str]) -> DataFrame:

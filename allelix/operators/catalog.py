@@ -59,10 +59,22 @@ def best_transcripts(transcripts: DataFrame) -> DataFrame:
     return transcripts.withColumn("__n", F.row_number().over(w)).where("__n = 1").drop("__n")
 
 
+def canonical_transcripts(transcripts: DataFrame) -> DataFrame:
+    """One transcript for each gene: the canonical one, else the primary one, else the first by `ord`."""
+    w = Window.partitionBy("gene_id").orderBy(F.col("is_canonical").desc_nulls_last(), F.col("gencode_primary").desc_nulls_last(), F.col("ord"), F.col("transcript_id"))
+    return transcripts.withColumn("__n", F.row_number().over(w)).where("__n = 1").drop("__n")
+
+
 def top_isoforms(transcripts: DataFrame, n: int = 12) -> DataFrame:
-    """The first n transcripts of each gene: hinted ones first, then canonical, then by length."""
-    w = Window.partitionBy("gene_id").orderBy(F.col("hinted").desc(), F.col("is_canonical").desc(), F.col("span").desc(), F.col("transcript_id"))
-    return transcripts.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
+    """Hinted, canonical and primary transcripts of each gene; where a gene has none of these, its first n by `ord`. At most n, in
+    order: canonical, primary, id."""
+    yes = lambda c: F.coalesce(F.col(c), F.lit(False))
+    chosen = yes("hinted") | yes("is_canonical") | yes("gencode_primary")
+    by_gene = Window.partitionBy("gene_id")
+    rows = transcripts.withColumn("__chosen", chosen).withColumn("__any", F.max("__chosen").over(by_gene)).withColumn("__ord", F.row_number().over(by_gene.orderBy("ord", "transcript_id")))
+    kept = rows.where(F.col("__chosen") | (~F.col("__any") & (F.col("__ord") <= n)))
+    ranked = kept.withColumn("rank", F.row_number().over(by_gene.orderBy(yes("is_canonical").desc(), yes("gencode_primary").desc(), "transcript_id")))
+    return ranked.where(F.col("rank") <= max(n, 1)).drop("__chosen", "__any", "__ord")
 
 
 def ordered_exons(exons: DataFrame) -> DataFrame:

@@ -36,21 +36,28 @@ def best_order(priority: Sequence[str]) -> list[Column]:
     return [fn.source_rank(F.col("source"), tuple(priority)).asc(), F.col("p_value").isNull().asc(), F.col("p_value").asc(), F.col("ingested_at").desc_nulls_last(), F.col("source").asc_nulls_last(), F.col("row_key").asc_nulls_last()]
 
 
+def normalised_keys(df: DataFrame) -> DataFrame:
+    """`df` with trimmed keys, the dataset type in upper case, the phenotype as slug, and blank labels and codes as null."""
+    blank = lambda c: F.nullif(F.trim(c), F.lit(""))
+    new = {"dataset_type": F.upper(F.trim("dataset_type")), "gene_id": F.trim("gene_id"), "variant_id": F.trim("variant_id"), "phenotype": fn.slug(F.col("phenotype")), "disease_category": F.coalesce(F.trim("disease_category"), F.lit(""))}
+    new |= {c: blank(F.col(c)) for c in ("variation_type", "clinical_significance", "most_severe_consequence", "ancestry", "ancestry_source_code", "ancestry_source_label", "phenotype_key")}
+    return df.withColumns({c: e for c, e in new.items() if c in df.columns})
+
+
 def dedup_by_source(df: DataFrame, priority: Sequence[str]) -> DataFrame:
-    """The best row for each (dataset type, gene, variant, phenotype slug, ancestry code).
+    """Points with normalised keys, the best row for each (dataset type, gene, variant, phenotype slug, ancestry code or else group).
 
     The filter on the row number lets Spark drop losers before the shuffle (window group limit)."""
-    w = Window.partitionBy("dataset_type", "gene_id", "variant_id", fn.slug(F.col("phenotype")), F.coalesce("ancestry_source_code", "ancestry")).orderBy(*best_order(priority))
-    return df.withColumn("__n", F.row_number().over(w)).where("__n = 1").drop("__n")
+    rows = normalised_keys(df)
+    w = Window.partitionBy("dataset_type", "gene_id", "variant_id", "phenotype", F.coalesce("ancestry_source_code", "ancestry")).orderBy(*best_order(priority))
+    return rows.withColumn("__n", F.row_number().over(w)).where("__n = 1").drop("__n")
 
 
 def best_fields(df: DataFrame, keys: Sequence[str], fields: Sequence[str], priority: Sequence[str]) -> DataFrame:
-    """The fields of the best row for each key, as one aggregate: partial aggregation before the shuffle, no sort of groups."""
-    order = F.struct(
-        fn.source_rank(F.col("source"), tuple(priority)).alias("rank"), F.col("p_value").isNull().alias("none"), F.col("p_value").alias("p"),
-        (-F.unix_micros("ingested_at")).alias("age"), F.col("source").alias("source"), F.col("row_key").alias("row"),
-    )
-    return df.groupBy(*keys).agg(F.min_by(F.struct(*fields), order).alias("__best")).select(*keys, "__best.*")
+    """The fields of the best row for each key. The filter on the row number drops losers before the shuffle; a struct of strings in an
+    aggregate would make Spark sort all rows first."""
+    w = Window.partitionBy(*keys).orderBy(*best_order(priority))
+    return df.withColumn("__n", F.row_number().over(w)).where("__n = 1").select(*keys, *fields)
 
 
 def enrich(records: DataFrame, candidates: DataFrame, field: str, key: str, sources: Sequence[str]) -> DataFrame:
@@ -68,9 +75,12 @@ def validate(df: DataFrame, policies: Sequence[tuple[str, bool, str, str]]) -> D
     policies: (field, required, "exclude" | "unknown" | "allow", value for unknown), in order. A record is excluded at the first
     required field of that kind that is missing, and later fields raise no issue and are not filled.
     """
+    fields = list(dict.fromkeys(p[0] for p in policies))
+    blank = F.struct(*[(F.col(f).isNull() | (F.trim(F.col(f).cast("string")) == "")).alias(f) for f in fields])
+    flagged = df.withColumn("__blank", blank)
     alive, issues, values = F.lit(True), [], {}
     for field, required, strategy, unknown in policies:
-        missing = F.col(field).isNull() | (fn.strip(F.col(field).cast("string")) == "")
+        missing = F.col(f"__blank.`{field}`")
         if strategy == "unknown":
             values[field] = F.when(alive & missing, F.lit(unknown)).otherwise(F.col(field))
         if required:
@@ -79,7 +89,7 @@ def validate(df: DataFrame, policies: Sequence[tuple[str, bool, str, str]]) -> D
             if strategy == "exclude":
                 alive = alive & ~missing
     found = F.filter(F.array(*issues), lambda x: x.isNotNull())
-    return df.select(*[values[c].alias(c) if c in values else F.col(c) for c in df.columns], alive.alias("valid"), found.alias("issues"))
+    return flagged.select(*[values[c].alias(c) if c in values else F.col(c) for c in df.columns], alive.alias("valid"), found.alias("issues"))
 
 
 def unpivot_ancestry(df: DataFrame, ids: Sequence[str], columns: dict[str, str]) -> DataFrame:

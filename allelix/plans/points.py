@@ -33,7 +33,11 @@ COLUMNS = {
     "phenotype": "o_orderpriority",
     "disease_category": "lower(c_mktsegment)",
     "variation_type": "CASE p_size % 6 WHEN 0 THEN 'snp' WHEN 1 THEN 'copy_number_variant' WHEN 2 THEN 'indel' WHEN 3 THEN 'Unknown' WHEN 4 THEN p_type END",
-    "clinical_significance": "CASE p_size % 7 WHEN 0 THEN 'Pathogenic' WHEN 1 THEN concat('[', chr(39), 'benign', chr(39), ', ', chr(39), 'Likely_benign', chr(39), ']') WHEN 2 THEN 'Uncertain_significance' WHEN 3 THEN 'not provided' WHEN 4 THEN 'risk factor' WHEN 5 THEN '[drug response, association]' END",
+    "clinical_significance": "CASE p_size % 8 WHEN 0 THEN 'Pathogenic' WHEN 1 THEN concat('[', chr(39), 'benign', chr(39), ', ', chr(39), 'Likely_benign', chr(39), ']') WHEN 2 THEN 'Uncertain_significance' WHEN 3 THEN 'not provided' WHEN 4 THEN 'risk factor' WHEN 5 THEN '[drug response, association]' WHEN 6 THEN concat('[', chr(39), 'Pathogenic, low penetrance', chr(39), ', ', chr(39), 'benign', chr(39), ']') END",
+    "parent_phenotype": "CASE p_size % 4 WHEN 0 THEN c_mktsegment WHEN 1 THEN '250' WHEN 2 THEN '' END",
+    "ancestry_source_label": "concat(n_name, ' (source)')",
+    "phenotype_key": "CASE p_size % 3 WHEN 0 THEN concat('pk_', cast(p_size AS varchar(12))) WHEN 1 THEN '' END",
+    "ancestry_text": "concat('{\"African\": ', cast(p_size AS varchar(12)), ', \"European\": {\"MAF\": \"', cast(l_linenumber AS varchar(4)), '\"}, \"Total\": \"nan\", \"Other\": {\"value\": ', cast(p_size AS varchar(12)), '}}')",
     "most_severe_consequence": "replace(p_name, ' ', '_')",
     "p_value": "nullif(l_tax, 0)",
     "ancestry": "r_name",
@@ -77,7 +81,7 @@ def transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 TRANSCRIPT = {
-    "gene_id": "p_brand", "transcript_id": "concat('T', lpad(cast(p_partkey AS varchar(20)), 10, '0'))", "is_canonical": "p_size % 10 = 0", "is_mane": "p_size % 5 = 0",
-    "is_appris": "p_partkey % 3 = 0", "hinted": "p_partkey % 7 = 0", "biotype": "CASE WHEN p_partkey % 2 = 0 THEN 'protein_coding' ELSE 'lncRNA' END", "span": "cast(floor(p_retailprice) AS bigint)",
+    "gene_id": "concat(p_brand, cast(p_partkey % 40 AS varchar(12)))", "transcript_id": "concat('T', lpad(cast(p_partkey AS varchar(20)), 10, '0'))", "is_canonical": "p_size % 20 = 0", "gencode_primary": "p_size % 15 = 0", "ord": "p_partkey", "is_mane": "p_size % 5 = 0",
+    "is_appris": "p_partkey % 3 = 0", "hinted": "p_partkey % 19 = 0", "biotype": "CASE WHEN p_partkey % 2 = 0 THEN 'protein_coding' ELSE 'lncRNA' END", "span": "cast(floor(p_retailprice) AS bigint)",
 }
 TRANSCRIPT_SQL = "WITH transcripts AS (SELECT " + ", ".join(f"{e} AS {c}" for c, e in TRANSCRIPT.items()) + " FROM part)"
