@@ -116,4 +116,9 @@ def drift_of_groups(inventory: DataFrame, groups: Sequence[Sequence[str]]) -> Da
 
 
 def analysis_ready(df: DataFrame, release: str) -> DataFrame:
-    return df.withColumn("release_id", F.lit(release)).withColumn("gene_id_normalized", F.upper(fn.strip(F.col("gene_id"))))
+    """Points or source-normalised rows as the analysis-ready table: the gene also in upper case, with source and release."""
+    new = {"release_id": F.lit(release), "gene_id_normalized": F.upper(fn.strip(F.col("gene_id"))), "source_id": F.col("source")}
+    for name, default in (("source_row_id", ""), ("phenotype_path_json", "[]"), ("metadata_json", "{}")):
+        if name not in df.columns:
+            new[name] = F.lit(default)
+    return df.withColumns(new)

@@ -12,7 +12,22 @@ from allelix.operators import aggregates as ag
 from allelix.operators import catalog as cat
 from allelix.operators import intervals as iv
 from allelix.operators import records as rec
+from allelix.plans import jobs
 from allelix.plans.points import INTERVALS_SQL, PRIORITY, SQL, TRANSCRIPT_SQL, intervals, points, read, transcripts
+from allelix.plans.sqltext import BEST as _BEST
+from allelix.plans.sqltext import G1 as _G1
+from allelix.plans.sqltext import GENE as _GENE
+from allelix.plans.sqltext import axes as _axes
+from allelix.plans.sqltext import clean as _clean
+from allelix.plans.sqltext import consequence as _consequence
+from allelix.plans.sqltext import g1 as _g1
+from allelix.plans.sqltext import label as _label
+from allelix.plans.sqltext import number as _number
+from allelix.plans.sqltext import significance as _significance
+from allelix.plans.sqltext import slug as _slug
+from allelix.plans.sqltext import strip as _strip
+from allelix.plans.sqltext import unknown as _unknown
+from allelix.plans.sqltext import variation as _variation
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -26,61 +41,11 @@ def _add(name: str, query: Query, sql: str | None = None) -> None:
 
 
 def queries() -> dict[str, Query]:
-    return dict(_QUERIES)
+    return _QUERIES | jobs.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_SQL)
-
-
-# SQL fragments that say what the scalar functions do.
-def _strip(x: str) -> str:
-    return f"regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
-
-
-def _clean(x: str, more: str = "") -> str:
-    return f"CASE WHEN lower({_strip(x)}) NOT IN ('', 'nan', 'none', 'null', 'na'{more}) THEN {_strip(x)} END"
-
-
-def _number(x: str) -> str:
-    return f"CASE WHEN NOT isnan(try_cast({_strip(x)} AS double)) THEN try_cast({_strip(x)} AS double) END"
-
-
-def _slug(x: str) -> str:
-    return f"lower(regexp_replace(replace({_strip(x)}, '/', '_'), '\\s+', '_', 'g'))"
-
-
-def _label(x: str) -> str:
-    quotes = "^[\"'']+|[\"'']+$"
-    return f"trim(regexp_replace(replace(regexp_replace({_strip(x)}, '{quotes}', '', 'g'), '_', ' '), '\\s+', ' ', 'g'))"
-
-
-_UNKNOWN = ", ".join(f"'{u}'" for u in fn.UNKNOWN)
-
-
-def _unknown(x: str) -> str:
-    return f"({x} IS NULL OR lower({_label(x)}) IN ({_UNKNOWN}))"
-
-
-def _variation(x: str) -> str:
-    cases = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in fn.VARIATIONS.items())
-    return f"CASE WHEN NOT {_unknown(x)} THEN CASE lower({_label(x)}) {cases} ELSE {_label(x)} END END"
-
-
-def _consequence(x: str) -> str:
-    return f"CASE WHEN NOT {_unknown(x)} THEN lower({_label(x)}) END"
-
-
-def _significance(x: str) -> str:
-    item = fn.LIST_ITEM.replace("'", "''")
-    items = f"CASE WHEN starts_with({_strip(x)}, '[') AND ends_with({_strip(x)}, ']') THEN regexp_extract_all({_strip(x)}, '{item}') ELSE [{x}] END"
-    rank = "CASE i " + " ".join(f"WHEN '{s}' THEN '{n:02d}'" for n, s in enumerate(fn.SIGNIFICANCE, 1)) + " ELSE '20' END"
-    return f"CASE WHEN NOT {_unknown(x)} THEN substr(list_min(list_transform(list_filter(list_transform({items}, lambda j: lower({_label('j')})), lambda i: i NOT IN ({_UNKNOWN})), lambda i: {rank} || i)), 3) END"
-
-
-_GENE = f"coalesce(regexp_matches({_clean('gene_id')}, '[A-Za-z]'), false)"
-_RANK = "CASE source " + " ".join(f"WHEN '{s}' THEN {i}" for i, s in enumerate(PRIORITY)) + " ELSE 999999 END"
-_BEST = f"{_RANK}, p_value IS NULL, p_value, ingested_at DESC, source, row_key"
+    return _SQL | jobs.ORACLES
 
 
 def _scalar(name: str, column: Callable[[], Column], sql: str) -> None:
@@ -166,7 +131,6 @@ _add(
     lambda s, d: read(s, d, "part").selectExpr("p_partkey", f"{_XREF} AS x", f"{_XDB} AS db").select("p_partkey", F.array_join(fn.xref_kinds(c("db"), c("x")), ",").alias("kinds")),
     f"WITH f AS (SELECT p_partkey, {_XREF} AS x, {_XDB} AS db FROM part) SELECT p_partkey, concat_ws(',', CASE WHEN contains(lower(db), 'refseq') OR regexp_matches(x, '^(NM_|NP_|XM_|XP_)') THEN 'refseq' END, CASE WHEN contains(lower(db), 'uniprot') OR regexp_matches(x, '^[OPQ][0-9][A-Z0-9]{{3}}[0-9](-\\d+)?$') THEN 'uniprot' END) AS kinds FROM f",
 )
-_scalar("C41_metadata_struct", lambda: F.to_json(F.struct(c("source"), c("phenotype"))), "'{\"source\":\"' || source || '\",\"phenotype\":\"' || phenotype || '\"}'")
 _FIELDS = ["row_key", "gene_id", "variant_id", "phenotype"]
 _COLS = ", ".join(_FIELDS)
 _add("D1_projection", lambda s, d: points(s, d).select("variant_id", "p_value"), f"{SQL} SELECT variant_id, p_value FROM points")
@@ -177,13 +141,6 @@ _add("D4_genes_in", lambda s, d: rec.genes_in(points(s, d), _genes(s, d)).select
 _add("D4_genes_not_in", lambda s, d: rec.genes_in(points(s, d), _genes(s, d), True).select(*_FIELDS), f"{SQL} SELECT {_COLS} FROM points WHERE gene_id NOT IN (SELECT p_brand FROM part WHERE p_size > 45)")
 _add("D5_term_filter", lambda s, d: points(s, d).where(fn.matches_terms(fn.phenotype_list(c("list_text")), ("urgent", "low"))).select(*_FIELDS), f"{SQL} SELECT {_COLS} FROM points WHERE regexp_matches(lower(list_text), 'urgent|low')")
 _add("D6_hash_part", lambda s, d: rec.hash_part(points(s, d), "gene_id", 4, 1).select(*_FIELDS), f"{SQL} SELECT {_COLS} FROM points WHERE cast('0x' || substr(sha1(gene_id), 1, 8) AS bigint) % 4 = 1")
-_add(
-    "D8_path_filter",
-    lambda s, d: points(s, d).where(c("phenotype").isin("1-URGENT", "5-LOW")).select(*_FIELDS),
-    f"{SQL} SELECT {_COLS} FROM points WHERE phenotype IN ('1-URGENT', '5-LOW')",
-)
-_add("D9_analysis_ready", lambda s, d: rec.analysis_ready(points(s, d), "r1").select(*_FIELDS, "release_id", "gene_id_normalized"), f"{SQL} SELECT {_COLS}, 'r1' AS release_id, upper(trim(gene_id)) AS gene_id_normalized FROM points")
-_add("D10_source_normalised", lambda s, d: points(s, d).select("row_key", F.coalesce(F.trim("messy"), F.lit("")).alias("messy"), F.coalesce(F.trim("alt"), F.lit("")).alias("alt")), f"{SQL} SELECT row_key, coalesce(trim(messy), '') AS messy, coalesce(trim(alt), '') AS alt FROM points")
 _add("D11_single_genes", lambda s, d: points(s, d).where(~F.contains(c("messy"), F.lit(","))).select("row_key", "messy"), f"{SQL} SELECT row_key, messy FROM points WHERE NOT contains(messy, ',')")
 
 # joins
@@ -240,29 +197,10 @@ _add("E13_pending", lambda s, d: cat.pending(points(s, d), points(s, d).where("d
 _add("E17_pairing_check", lambda s, d: cat.pending(points(s, d), points(s, d).where("p_value is not null"), ["dataset_type", "gene_id"]), f"{SQL} SELECT DISTINCT dataset_type, gene_id FROM points EXCEPT SELECT dataset_type, gene_id FROM points WHERE p_value IS NOT NULL")
 
 # aggregation
-_BLANKS = ", ".join(f"nullif(trim({x}), '') AS {x}" for x in ("variation_type", "clinical_significance", "most_severe_consequence", "ancestry", "ancestry_source_code", "ancestry_source_label", "phenotype_key"))
-_NORM = f"upper(trim(dataset_type)) AS dataset_type, trim(gene_id) AS gene_id, trim(variant_id) AS variant_id, {_slug('phenotype')} AS phenotype, coalesce(trim(disease_category), '') AS disease_category, {_BLANKS}"
-
-
-def _g1(source: str = "points") -> str:
-    parts = "PARTITION BY dataset_type, gene_id, variant_id, phenotype, coalesce(ancestry_source_code, ancestry)"
-    return f"norm AS (SELECT * REPLACE ({_NORM}) FROM {source} WHERE {_GENE}), kept AS (SELECT * FROM norm QUALIFY row_number() OVER ({parts} ORDER BY {_BEST}) = 1)"
-
-
-_G1 = _g1()
-
-
 def _kept(s: SparkSession, d: str) -> DataFrame:
     return rec.dedup_by_source(rec.core_keys(points(s, d)), PRIORITY)
 
 
-def _axes(scope: str, source: str, unknown: bool = False) -> str:
-    best = f"best AS (SELECT * FROM {source} QUALIFY row_number() OVER (PARTITION BY {scope}, variant_id ORDER BY p_value IS NULL, p_value, row_key) = 1)"
-    parts = " UNION ALL ".join(f"SELECT {scope}, '{a}' AS axis, {e} AS name FROM best" for a, e in (("vc", _variation("variation_type")), ("msc", _consequence("most_severe_consequence")), ("cs", _significance("clinical_significance"))))
-    name = "coalesce(name, 'Unknown') AS name" if unknown else "name"
-    return f"{best} SELECT {scope}, axis, {name}, count(*) AS value FROM ({parts})" + ("" if unknown else " WHERE name IS NOT NULL") + " GROUP BY ALL"
-
-
 _add("G1_source_priority_dedup", lambda s, d: _kept(s, d).select(*_FIELDS, "source", "p_value", "ancestry_source_code"), f"{SQL}, {_G1} SELECT {_COLS}, source, p_value, ancestry_source_code FROM kept")
 _MESS = {"dataset_type": "CASE WHEN ci_text = 'wide' THEN concat(' ', lower(dataset_type)) ELSE dataset_type END", "gene_id": "CASE WHEN flag_text = '0' THEN concat(gene_id, '  ') ELSE gene_id END", "ancestry_source_code": "CASE WHEN flag_text = 'maybe' THEN ' ' WHEN flag_text = '0' THEN NULL ELSE ancestry_source_code END"}
 _add(
@@ -317,7 +255,6 @@ _add(
 )
 _add("F15_both_types", lambda s, d: points(s, d).groupBy("variant_id").agg(F.count_distinct("dataset_type").alias("n")).where("n = 2"), f"{SQL} SELECT variant_id, count(DISTINCT dataset_type) AS n FROM points GROUP BY ALL HAVING n = 2")
 _add("F16_flags", lambda s, d: points(s, d).groupBy("gene_id").agg(F.bool_or(c("dataset_type") == "CVD").alias("has_cvd"), F.bool_or(c("p_value").isNull()).alias("has_null_p")), f"{SQL} SELECT gene_id, bool_or(dataset_type = 'CVD') AS has_cvd, bool_or(p_value IS NULL) AS has_null_p FROM points GROUP BY ALL")
-_add("F17_isoform_hints", lambda s, d: read(s, d, "lineitem").groupBy("l_partkey").agg(F.count("*").alias("n"), F.max("l_linenumber").alias("length")), "SELECT l_partkey, count(*) AS n, max(l_linenumber) AS length FROM lineitem GROUP BY ALL")
 _add("F18_group_sizes", lambda s, d: ag.group_sizes(points(s, d), _OVER), f"{SQL} SELECT dataset_type, gene_id, count(*) AS n FROM points GROUP BY ALL")
 _add("F21_fold_records", lambda s, d: ag.fold_records(points(s, d), _BK), f"{SQL} SELECT dataset_type, gene_id, variant_id, phenotype, min(p_value) AS p_value, arg_min({_clean('variation_type')}, CASE WHEN {_clean('variation_type')} IS NOT NULL THEN row_key END) AS variation_type, arg_min({_clean('clinical_significance')}, CASE WHEN {_clean('clinical_significance')} IS NOT NULL THEN row_key END) AS clinical_significance, count(DISTINCT ancestry) AS n_ancestries FROM points GROUP BY ALL")
 _halves = lambda s, d: [ag.aggregate_variants(rec.core_keys(points(s, d)).where(w), _OVER) for w in ("source_file < 'file_3'", "source_file >= 'file_3'")]
@@ -346,7 +283,6 @@ _add("G4_canonical_transcript", lambda s, d: cat.canonical_transcripts(transcrip
 _add("H1_publish_order", lambda s, d: points(s, d).select("gene_id", "phenotype", "variant_id", "row_key").orderBy("gene_id", "phenotype", "variant_id", "row_key"), f"{SQL} SELECT gene_id, phenotype, variant_id, row_key FROM points ORDER BY ALL")
 _add("H2_label_order", lambda s, d: points(s, d).groupBy(*_OVER).agg(F.array_join(F.array_sort(F.collect_set("phenotype")), "|").alias("labels")), f"{SQL} SELECT dataset_type, gene_id, string_agg(DISTINCT phenotype, '|' ORDER BY phenotype) AS labels FROM points GROUP BY ALL")
 _add("H4_bounded_batch", lambda s, d: points(s, d).select("gene_id", "variant_id").distinct().orderBy("gene_id", "variant_id").limit(100), f"{SQL} SELECT DISTINCT gene_id, variant_id FROM points ORDER BY gene_id, variant_id LIMIT 100")
-_add("I1_union_branches", lambda s, d: points(s, d).where("dataset_type = 'CVD'").select("row_key").unionByName(points(s, d).where("p_value is null").select("row_key")), f"{SQL} SELECT row_key FROM points WHERE dataset_type = 'CVD' UNION ALL SELECT row_key FROM points WHERE p_value IS NULL")
 _add("I3_distinct_keys", lambda s, d: points(s, d).select(*_BK).distinct(), f"{SQL} SELECT DISTINCT dataset_type, gene_id, variant_id, phenotype FROM points")
 _add("I4_intersection", lambda s, d: points(s, d).where("dataset_type = 'CVD'").select("variant_id").intersect(points(s, d).where("dataset_type = 'TRAIT'").select("variant_id")), f"{SQL} SELECT variant_id FROM points WHERE dataset_type = 'CVD' INTERSECT SELECT variant_id FROM points WHERE dataset_type = 'TRAIT'")
 _add("J1_unpivot_ancestry", lambda s, d: rec.unpivot_ancestry(read(s, d, "lineitem").selectExpr("l_orderkey", "l_linenumber", "nullif(l_tax, 0) AS afr", "nullif(l_discount, 0) AS eur"), ["l_orderkey", "l_linenumber"], {"afr": "African", "eur": "European"}), "WITH w AS (SELECT l_orderkey, l_linenumber, nullif(l_tax, 0) AS afr, nullif(l_discount, 0) AS eur FROM lineitem) SELECT l_orderkey, l_linenumber, 'African' AS ancestry, afr AS ancestry_af FROM w UNION ALL SELECT l_orderkey, l_linenumber, 'European', eur FROM w UNION ALL SELECT l_orderkey, l_linenumber, NULL, NULL FROM w WHERE afr IS NULL AND eur IS NULL")

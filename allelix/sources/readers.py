@@ -28,27 +28,6 @@ def delimited(spark: SparkSession, paths: Sequence[str], delimiter: str = ",", s
     return read.withColumn("source_file", F.col("_metadata.file_path"))
 
 
-def _pick(df: DataFrame, *names: str):
-    have = [fn.clean_string(F.col(n)) for n in names if n in df.columns]
-    return F.coalesce(*have) if have else F.lit(None).cast("string")
-
-
-def gwas(df: DataFrame, dataset_id: str = "gwas", dataset_type: str = "TRAIT") -> DataFrame:
-    """Association rows: gene, variant (rsId, else the marker up to the first hyphen) and p-value; rows without a key are dropped."""
-    out = df.select(
-        F.lit(dataset_id).alias("dataset_id"), F.lit(dataset_type).alias("dataset_type"), F.lit("gwas").alias("source"), _pick(df, "gene", "gene_name", "gene_id").alias("gene_id"),
-        F.coalesce(_pick(df, "rsId"), F.get(F.split(_pick(df, "MarkerID"), "-"), F.lit(0))).alias("variant_id"), _pick(df, "Phenotype", "phenotype").alias("phenotype"),
-        fn.to_float(_pick(df, "pval", "p_value")).alias("p_value"), _pick(df, "PMID", "pmid").alias("pmid"), "source_file",
-    )
-    return out.where("gene_id is not null and variant_id is not null and phenotype is not null")
-
-
-def clinvar(df: DataFrame) -> DataFrame:
-    """Variant and structural-variant shapes in one: alternative columns are coalesced, several phenotypes become rows."""
-    out = df.select(_pick(df, "primary_gene", "Gene Name").alias("gene_id"), _pick(df, "rsID", "Variant ID").alias("variant_id"), F.explode(fn.phenotype_list(_pick(df, "phenotype", "Subject Phenotype"))).alias("phenotype"), _pick(df, "mutation", "Clinical Interpretation").alias("clinical_significance"), "source_file")
-    return out.where("gene_id is not null and variant_id is not null")
-
-
 def gtf(spark: SparkSession, path: str) -> DataFrame:
     """Genes, transcripts and exons of GTF files: coordinates, strand, ids without version, exon number and tags."""
     parts = F.split("value", "\t")
@@ -60,9 +39,3 @@ def gtf(spark: SparkSession, path: str) -> DataFrame:
         fn.without_version(one("gene_id")).alias("gene_id"), one("gene_name").alias("gene_name"), fn.without_version(one("transcript_id")).alias("transcript_id"),
         fn.to_int(one("exon_number")).alias("exon_number"), F.col("a")["tag"].alias("tags"),
     )
-
-
-def payloads(spark: SparkSession, path: str) -> DataFrame:
-    """gene_id and payload of JSON files named by gene; of a gene's files one stays, gzipped first."""
-    files = spark.read.text(path, wholetext=True).select(F.url_decode(F.regexp_extract("_metadata.file_name", r"^(.*?)\.json(\.gz)?$", 1)).alias("gene_id"), F.col("_metadata.file_name").endswith(".gz").alias("zipped"), F.col("value").alias("payload"))
-    return files.groupBy(F.upper("gene_id").alias("gene_id_normalized")).agg(F.max_by(F.struct("gene_id", "payload"), F.struct("zipped", "gene_id")).alias("x")).select("gene_id_normalized", "x.*")

@@ -1,6 +1,6 @@
 import gzip
 
-from allelix.sources import readers, sinks
+from allelix.sources import adapters, readers, sinks
 from allelix.streaming import ingest
 
 
@@ -9,7 +9,7 @@ def test_delimited_inventory_and_short_rows(spark, tmp_path):
     (tmp_path / "b.csv").write_text("MarkerID\tpval\tgene\tPhenotype\nrs4-A\t0.1\tTTN\tq\n")
     found = {r.delimiter: r for r in readers.header_inventory(spark, str(tmp_path)).collect()}
     assert set(found) == {",", "\t"} and found[","].columns == ["MarkerID", "pval", "gene", "Phenotype"]
-    rows = readers.gwas(readers.delimited(spark, [str(tmp_path / "a.csv")])).collect()
+    rows = adapters.gwas(readers.delimited(spark, [str(tmp_path / "a.csv")])).collect()
     assert [(r.variant_id, r.gene_id, r.p_value) for r in rows] == [("rs1", "NEDD9", 0.5)]
 
 
