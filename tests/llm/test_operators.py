@@ -284,9 +284,27 @@ def test_token_counts(docs, empty):
 
 def test_splicing_with_small_chunks():
     library, r = Tokenizer.from_file(WORD), random.Random(2)
-    for _ in range(300):
-        text = "".join(r.choices(["a", "Bc", "é", " ", "\n", "<|endoftext|>", "'s", "12", "!?", "longerword"], k=r.randint(0, 60)))
-        assert token_counts.count_huge(library, text, 20, 3) == len(library.encode(text, add_special_tokens=False).ids)
+    spliced = 0
+    for _ in range(400):
+        text = "".join(r.choices(["a", "Bc", "é", "e\u0301", " ", "\n", "\u00a0", "<|endoftext|>", "'s", "12", "!?", "longerword", "ΑΣ"], k=r.randint(0, 60)))
+        spliced += len(token_counts.cuts(library, text, 20, 3))
+        assert token_counts.count_text(library, {}, text, 20, 3) == len(library.encode(text, add_special_tokens=False).ids)
+    assert spliced > 400
+
+
+def test_chunks_of_long_texts_and_words_longer_than_the_overlap(spark):
+    library, r = Tokenizer.from_file(WORD), random.Random(6)
+    texts = [" ".join(r.choices(["alpha", "Über", "x1", "中文"], k=9000)), "x" * 30_000, "y" * 9000 + " z " * 4000 + "q" * 9000, None, ""]
+    assert len(token_counts.cuts(library, texts[0])) > 3
+    rows = spark.createDataFrame([(i, t, "z") for i, t in enumerate(texts)], "doc_id long, text string, n_tokens string")
+    found = {x.doc_id: x.n_tokens for x in token_counts.count_tokens(rows, WORD).collect()}
+    assert found == {i: len(library.encode(t or "", add_special_tokens=False).ids) for i, t in enumerate(texts)}
+
+
+def test_tokenizers_that_look_across_blanks_are_refused():
+    with pytest.raises(ValueError):
+        token_counts.proven_stable(Tokenizer.from_file(BYTE).to_str())
+    token_counts.proven_stable(Tokenizer.from_file(WORD).to_str())
 
 
 def test_bpe(docs, empty):
