@@ -26,8 +26,8 @@ from allelix.llm.graph import connected_components
 
 PERMUTATIONS, WORDS, BANDS = 128, 5, 32
 SIMILAR = 0.8
-#: Shingles that are ranked at once; id bins by which rows are dealt into runs of neighbours; signatures of a block.
-AT_ONCE, BINS, BLOCK = 2048, 4096, 2048
+#: Shingles that are ranked at once; sampled keys between which runs of neighbours are cut; signatures of a block.
+AT_ONCE, BOUNDS, BLOCK = 2048, 20_000, 2048
 _random = np.random.default_rng(20240607)
 _A = _random.integers(0, 1 << 63, PERMUTATIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _B = _random.integers(0, 1 << 63, PERMUTATIONS, dtype=np.uint64) * np.uint64(2)
@@ -96,36 +96,35 @@ def edited_text(text: str, other: str) -> str:
 
 
 def in_runs(docs: DataFrame, id: str, text: str) -> DataFrame:
-    """doc_id, text, run and guest: rows in runs of neighbours by descending doc_id, each run followed by a guest, the
-    first row of the next run (of the first run after the last). Null ids come last.
+    """doc_id, text, key, run and guest: rows in runs of neighbours by descending key, each run followed by a guest, the first row of the
+    next run (of the first run after the last).
 
-    Runs follow from counts of rows in BINS equal ranges of the ids, the only thing that reaches the driver.
+    The key is the id, then a hash of the text, so one id with many texts spreads over runs; null ids come last. Runs are cut
+    at quantiles of a sample of BOUNDS keys at most, the only thing that reaches the driver beside a row for each run, so ids far
+    apart do no harm; the sample decides borders alone.
     """
     plain = docs.select(F.col(id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    low, high = plain.agg(F.min("doc_id"), F.max("doc_id")).first()
-    low, high = (0, 0) if low is None else (low, high)
-    low -= 1  # the place of null ids
-    step = max(1, -(-(high - low + 1) // BINS))
-    keyed = plain.withColumn("key", F.coalesce(F.col("doc_id").cast("long"), F.lit(low)))
-    keyed = keyed.withColumn("bin", F.expr(f"cast((cast(key as decimal(38, 0)) - {low}) div {step} as int)"))
-    counts = {r.bin: (r["count"], r.most) for r in keyed.groupBy("bin").agg(F.count("*").alias("count"), F.max("key").alias("most")).collect()}
-    runs = 4 * shuffle_width(docs)
-    size = max(1, sum(c for c, _ in counts.values()) / runs)
-    run_of, first_of, now, held = [0] * BINS, [], -1, size
-    for b in sorted(counts, reverse=True):
-        if held >= size:
-            now, held = now + 1, 0
-            first_of.append(counts[b][1])
-        run_of[b] = now
-        held += counts[b][0]
-    total = max(1, len(first_of))
-    dealt = keyed.withColumn("own", F.get(F.lit(run_of), F.col("bin")))
-    is_first = F.col("key") == F.get(F.lit(first_of or [0]), F.col("own"))
-    before = F.pmod(F.col("own") - 1, F.lit(total))
-    places = F.when(is_first, F.array(F.struct(F.col("own").alias("run"), F.lit(False).alias("guest")), F.struct(before.alias("run"), F.lit(True).alias("guest")))).otherwise(
-        F.array(F.struct(F.col("own").alias("run"), F.lit(False).alias("guest")))
-    )
-    return dealt.select("doc_id", "text", "key", F.explode(places).alias("place")).select("doc_id", "text", "key", "place.run", "place.guest")
+    sort = F.struct(F.col("doc_id").isNotNull().alias("given"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("hash"))
+    keyed = plain.withColumn("key", sort)
+    spread = F.pmod(F.xxhash64(F.lit(29), "doc_id", F.col("key.hash")), F.lit(max(1, plain.count() // BOUNDS)))
+    sample = sorted((r.given, r.id if r.given else None, r.hash) for r in keyed.where(spread == 0).select("key.*").distinct().orderBy(F.xxhash64("hash")).limit(2 * BOUNDS).collect() if r.given)
+    runs = min(4 * shuffle_width(docs), max(1, len(sample)))
+    borders = [sample[len(sample) * i // runs] for i in range(runs - 1, 0, -1)]
+    kind = keyed.schema["key"].dataType.simpleString()
+    edge = lambda b: F.struct(F.lit(b[0]).alias("given"), F.lit(b[1]).alias("id"), F.lit(b[2]).alias("hash")).cast(kind)
+    table = F.array(*[edge(b) for b in borders]) if borders else F.array().cast(f"array<{kind}>")
+    dealt = keyed.withColumn("run", F.size(F.filter(table, lambda b: b > F.col("key"))))
+    heads = dealt.groupBy("run").agg(F.max("key").alias("head"))
+    first = {r.run: (r.head.given, r.head.id, r.head.hash) for r in heads.collect()}
+    order = sorted(first)
+    before = {run: order[i - 1] for i, run in enumerate(order)}
+    own = dealt.withColumn("guest", F.lit(False))
+    if not order:
+        return own
+    at = F.create_map(*[x for run in order for x in (F.lit(run), edge(first[run]))])
+    to = F.create_map(*[x for run in order for x in (F.lit(run), F.lit(before[run]))])
+    guests = dealt.where(F.col("key").eqNullSafe(F.element_at(at, F.col("run")))).dropDuplicates(["run"])
+    return own.unionByName(guests.withColumns({"run": F.element_at(to, F.col("run")), "guest": F.lit(True)}))
 
 
 def _begun(id, text: str) -> tuple:
@@ -180,8 +179,8 @@ def _rows(out: list[tuple], names: list[str], kind: pa.DataType) -> pa.RecordBat
 def compare_with_edits(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """Each row's fingerprint, its edited text's, and how like they and the next document's are.
 
-    A null text counts as the empty text; rows with equal ids follow each other in the order of their texts, null ids
-    come last. A table of one row has itself as next; an empty table gives no rows. Other columns are not read.
+    A null text counts as the empty text; rows with equal ids follow each other in the order of a hash of their texts,
+    null ids come last; ids may be of any type that orders. A table of one row has itself as next; an empty table gives no rows. Other columns are not read.
     """
     kind = docs.schema[id].dataType.simpleString()
     dealt = in_runs(docs, id, text).repartition(shuffle_width(docs), "run").sortWithinPartitions("run", "guest", F.col("key").desc(), "text")
@@ -190,7 +189,7 @@ def compare_with_edits(docs: DataFrame, id: str = "doc_id", text: str = "text")
 
 
 def signatures(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id and signature (binary) of every row."""
+    """doc_id and signature (binary) of every row; null texts as empty ones, repeats and null ids stay, no other column is read."""
     kind = docs.schema[id].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -257,4 +256,5 @@ def near_duplicate_classes(docs: DataFrame, similar: float = SIMILAR, id: str =
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op5: fingerprints and likenesses of every row of documents, as `compare_with_edits` defines them."""
     return compare_with_edits(read_table(spark, sf_dir, "documents"))

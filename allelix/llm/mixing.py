@@ -34,6 +34,15 @@ ROUND_BITS = 10
 HASH_BITS = 62
 
 
+#: Rows of a table by source that may be broadcast (a few MB); larger ones are joined by a shuffle.
+FEW = 1 << 15
+
+
+def _small(table: DataFrame, rows: int) -> DataFrame:
+    """A table of as many rows, one for each source at most, to be joined with documents."""
+    return F.broadcast(table) if rows <= FEW else table
+
+
 def targets(words: Sequence[int], weights: Sequence[float] = WEIGHTS, share: float = SHARE, most: float = MOST) -> list[float]:
     """Target words of each source, the sources being in order: weights repeat, and a target stops at `most` times the
     source's words, the excess being shared again by weight until no target is above."""
@@ -101,6 +110,7 @@ def _boundaries(found: DataFrame, sources: list[dict]) -> None:
     documents share one id.
     """
     spark = found.sparkSession
+    few = len(sources)
     open_ = {s["no"]: {"bits": 0, "prefix": 0, "rows": s["rows"], "need": s["rest"]} for s in sources}
     more = dict(open_)
     while more := {no: x for no, x in more.items() if x["need"] > 0 and x["rows"] >= 2 * BLOCK_ROWS and x["bits"] < HASH_BITS - 2}:
@@ -109,12 +119,12 @@ def _boundaries(found: DataFrame, sources: list[dict]) -> None:
             x["step"] = min(ROUND_BITS, HASH_BITS - x["bits"], int(np.log2(x["rows"] / BLOCK_ROWS)))
             rows.append((no, x["bits"], x["prefix"], x["bits"] + x["step"]))
         cut = spark.createDataFrame(rows, "no int, bits int, prefix bigint, next int")
-        inside = found.join(cut, "no").where(_prefix(F.col("bits")) == F.col("prefix"))
+        inside = found.join(_small(cut, few), "no").where(_prefix(F.col("bits")) == F.col("prefix"))
         sums = inside.groupBy("no", _prefix(F.col("next")).alias("block")).agg(F.sum("size").alias("words"), F.count("*").alias("rows"))
         run = F.sum("words").over(Window.partitionBy("no").orderBy("block").rowsBetween(Window.unboundedPreceding, 0))
         needs = spark.createDataFrame([(no, float(x["need"])) for no, x in more.items()], "no int, need double")
         last = (
-            sums.withColumn("run", run).join(needs, "no").where("run >= need").groupBy("no")
+            sums.withColumn("run", run).join(_small(needs, few), "no").where("run >= need").groupBy("no")
             .agg(F.min_by(F.struct("block", "words", "rows", "run"), "block").alias("x")).select("no", "x.*")
         )
         hit = {r.no: r for r in last.collect()}
@@ -151,7 +161,8 @@ def plan_mix(found: DataFrame, shards: int = SHARDS, weights: Sequence[float] =
         s |= {"target": target, "passes": whole, "rest": target - whole * s["words"]}
         if s["rest"] < 0.5:
             s["rest"] = 0.0
-    numbered = found.join(spark.createDataFrame([(s["no"], s["source"]) for s in sources], "no int, name string"), F.col("source").eqNullSafe(F.col("name"))).select("no", "place", "size")
+    names = _small(spark.createDataFrame([(s["no"], s["source"]) for s in sources], "no int, name string"), len(sources))
+    numbered = found.join(names, F.col("source").eqNullSafe(F.col("name"))).select("no", "place", "size")
     _boundaries(numbered, sources)
     for s in sources:
         s["block_bits"] = min(ROUND_BITS, int(np.log2(max(1, s["total_rows"] / DEAL_ROWS))))
@@ -163,10 +174,10 @@ def plan_mix(found: DataFrame, shards: int = SHARDS, weights: Sequence[float] =
         [(s["no"], s["source"], s["words"], s["target"], s["passes"], s["bits"], s["prefix"] if s["need"] > 0 else 0, float(s["need"]), s["block_bits"], s["blocks"], ends[:, s["no"]].tolist()) for s in sources],
         "no int, name string, source_size bigint, target double, passes int, bits int, prefix bigint, need double, block_bits int, blocks int, ends array<bigint>",
     )
-    last = numbered.join(table.where("need > 0").select("no", "bits", "prefix", "need"), "no").where(_prefix(F.col("bits")) == F.col("prefix"))
+    last = numbered.join(_small(table.where("need > 0").select("no", "bits", "prefix", "need"), len(sources)), "no").where(_prefix(F.col("bits")) == F.col("prefix"))
     last = last.groupBy("no", "place").agg(F.sum("size").alias("words"), F.first("need").alias("need"))
     chosen = last.groupBy("no").applyInPandas(_fill, "no int, place bigint")
-    return table, cut_lineage(chosen)
+    return _small(table, len(sources)), cut_lineage(chosen)
 
 
 def draws(found: DataFrame, table: DataFrame, chosen: DataFrame) -> DataFrame:
@@ -208,6 +219,10 @@ def mix(docs: DataFrame, shards: int = SHARDS, weights: Sequence[float] = WEIGHT
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op3: size, source_size, target and taken of every row of documents.
+
+    A null text has no words; rows with one id share their fate, null ids too; an empty table gives no rows.
+    """
     found = cut_lineage(measured(read_table(spark, sf_dir, "documents")))
     out = draws(found, *plan_mix(found))
     return out.select("doc_id", "size", "source_size", "target", (F.size("mix_shards") * F.col("size")).cast("long").alias("taken"), "mix_shards")

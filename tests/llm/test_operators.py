@@ -243,6 +243,22 @@ def test_minhash(docs, empty):
     assert minhash.compare_with_edits(empty).count() == 0
 
 
+def test_minhash_runs_of_uneven_and_other_ids(spark):
+    rows = [(i, f"text {i} of the table") for i in range(2001)] + [(10**15, "far away")]
+    runs = minhash.in_runs(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text")
+    counts = [r["count"] for r in runs.where("not guest").groupBy("run").count().collect()]
+    assert len(counts) > 16 and max(counts) < 3 * 2002 / len(counts) and runs.where("guest").count() == len(counts)
+    hot = spark.createDataFrame([(7, f"text {i}") for i in range(2000)] + [(i, "x") for i in range(50)], "doc_id long, text string")
+    assert max(r["count"] for r in minhash.in_runs(hot, "doc_id", "text").where("not guest").groupBy("run").count().collect()) < 300
+    named = spark.createDataFrame([(f"id{i:03d}", f"text {i}") for i in range(300)] + [(None, "none")], "doc_id string, text string")
+    found = {r.doc_id: r for r in minhash.compare_with_edits(named).collect()}
+    assert len(found) == 301 and found["id299"].edited_sha256 == hashlib.sha256(minhash.edited_text("text 299", "text 298").encode()).hexdigest()
+    assert found["id000"].edited_sha256 == hashlib.sha256(minhash.edited_text("text 0", "none").encode()).hexdigest()
+    for r in found.values():
+        a, b = (np.frombuffer(bytes.fromhex(x), ">u2") for x in (r.fingerprint, r.edited_fingerprint))
+        assert r.near_edited == (a == b).mean()
+
+
 def test_minhash_estimates_jaccard():
     a, b = np.arange(1000, dtype=np.uint64) * np.uint64(2654435761) % np.uint64(1 << 32), np.arange(200, 1200, dtype=np.uint64) * np.uint64(2654435761) % np.uint64(1 << 32)
     assert abs(minhash.likeness(minhash.signature(minhash.ranks(a)), minhash.signature(minhash.ranks(b))) - 800 / 1200) < 0.15
