@@ -30,6 +30,8 @@ SEED = 42
 #: Of groups that are verified: words of a shingle, differing bits for which buckets are cut, those up to which values that meet in a
 #: bucket are candidates, Jaccard similarity, and independent fingerprints. By the binomial model a pair at 0.8 is found with 99.6 %.
 WORDS, BUDGET, NEAR, SIMILAR, LOOKS = 5, 7, 12, 0.8, 5
+#: Differing bits for which the buckets of the first, coarse search are cut: one of four whole blocks is then equal.
+COARSE = 3
 #: Fingerprints that one bucket may hold before it is cut by further bits.
 BUCKET_ROWS = 1024
 #: Sum of squared bucket sizes that one call of the trie walk takes.
@@ -171,8 +173,8 @@ def spanning(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return label
 
 
-def nearest_forest(values: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A spanning forest of the pairs (a, b) in which nearer pairs come first."""
+def nearest_forest(values: np.ndarray, node: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of the pairs (a, b) those that connect the nodes of their ends as a spanning forest, nearer pairs first."""
     up: dict[int, int] = {}
 
     def top(x: int) -> int:
@@ -183,7 +185,7 @@ def nearest_forest(values: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np
 
     order = np.argsort(np.bitwise_count(values[a] ^ values[b]), kind="stable")
     kept = []
-    for i, x, y in zip(order.tolist(), a[order].tolist(), b[order].tolist()):
+    for i, x, y in zip(order.tolist(), node[a[order]].tolist(), node[b[order]].tolist()):
         x, y = top(x), top(y)
         if x != y:
             up[max(x, y)] = min(x, y)
@@ -199,9 +201,18 @@ def _first_met(diff: np.ndarray, masks: list[int]) -> np.ndarray:
     return first
 
 
+def _groups(comp: np.ndarray) -> np.ndarray:
+    """A number for each group of a bucket; a value of no single group (-1) is a group by itself."""
+    apart = comp == -1
+    names = np.empty(len(comp), dtype=np.int64)
+    names[~apart] = np.unique(comp[~apart], return_inverse=True)[1]
+    names[apart] = len(comp) + np.arange(apart.sum())
+    return np.unique(names, return_inverse=True)[1]
+
+
 def _walk_near(near: int, masks: list[int], crossing: bool):
-    """Candidates of buckets (path, fp, first, comp, look): a spanning forest of each bucket's pairs, nearer ones first, and
-    whether pairs of the same part of the bucket were left out; or, `crossing`, all pairs that are not within one comp.
+    """Candidates of buckets (path, fp, first, comp, look), pairs within one comp left out: a spanning forest of each bucket's comps, nearer
+    pairs first, and whether other pairs of the same part of the bucket were left out; or, `crossing`, all of them.
 
     Of the buckets of the first cut in which a pair meets, only that of the first mask gives it.
     """
@@ -219,17 +230,20 @@ def _walk_near(near: int, masks: list[int], crossing: bool):
                 base, end = starts[x], starts[y]
                 own, own_comp = values[base:end], comp[base:end]
                 a, b = trie_walk(starts[x : y + 1] - base, own, near)
-                if crossing:
-                    open_ = (own_comp[a] != own_comp[b]) | (own_comp[a] == -1)
-                    a, b = a[open_], b[open_]
+                open_ = (own_comp[a] != own_comp[b]) | (own_comp[a] == -1)
+                a, b = a[open_], b[open_]
                 met = _first_met(own[a] ^ own[b], masks) == first[base:end][a]
                 a, b = a[met], b[met]
                 more = np.ones(len(a), dtype=bool)
                 if not crossing and len(a):
-                    label = spanning(len(own), a, b)
-                    nodes, pairs = np.bincount(label, minlength=len(own)), np.bincount(label[a], minlength=len(own))
-                    a, b = nearest_forest(own, a, b)
-                    more = pairs[label[a]] >= nodes[label[a]]
+                    # groups of one bucket each: a comp that is in several buckets has one number in each
+                    bucket = np.repeat(np.arange(y - x), np.diff(starts[x : y + 1]))
+                    node = np.unique(np.stack([bucket, _groups(own_comp)]), axis=1, return_inverse=True)[1].reshape(-1)
+                    label = spanning(len(own), node[a], node[b])
+                    links = np.bincount(label[node[a]], minlength=len(own))
+                    a, b = nearest_forest(own, node, a, b)
+                    kept = np.bincount(label[node[a]], minlength=len(own))
+                    more = (links > kept)[label[node[a]]]
                 yield pa.RecordBatch.from_arrays([pa.array(look[base:end][a]), pa.array(own[a].view(np.int64)), pa.array(own[b].view(np.int64)), pa.array(more)], names=["look", "a", "b", "more"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -442,28 +456,36 @@ def shingle_sets(texts: DataFrame, words: int) -> DataFrame:
     return in_small_batches(texts.select(utf8("text"))).mapInArrow(run, "key bigint, shingles array<bigint>").dropDuplicates(["key"])
 
 
-def _candidates(nodes: DataFrame, budget: int, near: int) -> DataFrame:
-    """Pairs (a, b, more) of keys that connect all candidates of each look; more tells that others are left out beside it.
+def _by_print(nodes: DataFrame, looks: int) -> tuple[DataFrame, DataFrame]:
+    """(key, root, look, fp) of nodes (key, prints, root) for the first looks; and (look, fp, comp): the root, -1 where keys of one
+    fingerprint have several."""
+    at = cut_lineage(nodes.select("key", "root", F.posexplode(F.slice("prints", 1, looks)).alias("look", "fp")))
+    one = F.when(F.min("root") == F.max("root"), F.min("root")).otherwise(F.lit(-1).cast("long"))
+    return at, cut_lineage(at.groupBy("look", "fp").agg(one.alias("comp"), F.min("key").alias("top"), F.count_distinct("root").alias("n")))
+
 
-    Keys with one fingerprint are linked to the least of them, which links of the fingerprint lead to.
+def _candidates(nodes: DataFrame, looks: int, budget: int, near: int) -> DataFrame:
+    """Pairs (a, b, more) of keys (key, prints, root) that connect, beside the roots, all candidates of each look; more tells that others are left out.
+
+    Keys with one fingerprint are linked to the least of them, which links of the fingerprint lead to, unless their roots are one.
     """
-    at = nodes.select("key", F.posexplode("prints").alias("look", "fp"))
-    tops = cut_lineage(at.groupBy("look", "fp").agg(F.min("key").alias("top"), F.count("*").alias("n")))
-    links = near_links(tops.select("look", "fp", F.lit(-1).cast("long").alias("comp")), budget, near)
+    at, tops = _by_print(nodes, looks)
+    links = near_links(tops.select("look", "fp", "comp"), budget, near)
     end = lambda c: tops.select("look", F.col("fp").alias(c), F.col("top").alias(f"k{c}"), F.col("n").alias(f"n{c}"))
     named = links.join(end("a"), ["look", "a"]).join(end("b"), ["look", "b"])
-    equal = at.join(tops, ["look", "fp"]).where("key <> top").select(F.col("top").alias("a"), F.col("key").alias("b"), F.lit(True).alias("more"))
+    heads = at.join(tops.where("n > 1").select("look", "fp", F.col("top").alias("key")), ["look", "fp", "key"]).select("look", "fp", F.col("key").alias("top"), F.col("root").alias("head"))
+    equal = at.join(heads, ["look", "fp"]).where("root <> head").select(F.col("top").alias("a"), F.col("key").alias("b"), F.lit(True).alias("more"))
     return named.select(F.col("ka").alias("a"), F.col("kb").alias("b"), F.expr("more or na > 1 or nb > 1").alias("more")).unionByName(equal)
 
 
-def _crossing(nodes: DataFrame, budget: int, near: int) -> DataFrame:
+def _crossing(nodes: DataFrame, looks: int, budget: int, near: int) -> DataFrame:
     """All pairs (a, b) of keys (key, prints, root) that are candidates of a look and have different roots."""
-    at = cut_lineage(nodes.select("key", "root", F.posexplode("prints").alias("look", "fp")))
-    one = F.when(F.min("root") == F.max("root"), F.min("root")).otherwise(F.lit(-1).cast("long"))
-    links = near_links(at.groupBy("look", "fp").agg(one.alias("comp")), budget, near, crossing=True)
+    at, tops = _by_print(nodes, looks)
+    links = near_links(tops.select("look", "fp", "comp"), budget, near, crossing=True)
     end = lambda c, fp: at.select("look", F.col("fp").alias(fp), F.col("key").alias(f"k{c}"), F.col("root").alias(f"r{c}"))
     named = links.join(end("a", "a"), ["look", "a"]).join(end("b", "b"), ["look", "b"]).select("ka", "ra", "kb", "rb")
-    equal = end("a", "fp").join(end("b", "fp"), ["look", "fp"]).where("ka < kb").select("ka", "ra", "kb", "rb")
+    several = tops.where("n > 1").select("look", "fp")
+    equal = end("a", "fp").join(several, ["look", "fp"], "left_semi").join(end("b", "fp"), ["look", "fp"]).where("ka < kb").select("ka", "ra", "kb", "rb")
     return named.unionByName(equal).where("ra <> rb").select(F.col("ka").alias("a"), F.col("kb").alias("b"))
 
 
@@ -506,16 +528,24 @@ def _grouped(docs: DataFrame, words: int, budget: int, near: int, similar: float
     docs = docs.where("doc_id is not null")
     found = cut_lineage(sketches(docs, words, looks))
     nodes = cut_lineage(found.groupBy("key").agg(F.min("doc_id").alias("least"), F.first("size").alias("size"), F.first("prints").alias("prints")))
-    links = cut_lineage(_ordered(_candidates(nodes, budget, near), "more").groupBy("a", "b").agg(F.max("more").alias("more")))
+    # First the pairs of one look that agree in one of a few whole blocks: they join most of a large group, so that the full search, which
+    # sends only what connects different groups, has little left to send.
+    alone = nodes.withColumn("root", F.col("key"))
+    links = cut_lineage(_ordered(_candidates(alone, 1, COARSE, near), "more").groupBy("a", "b").agg(F.max("more").alias("more")))
     good = _verified(links, docs, nodes, words, similar, looks)
     rooted = _rooted(nodes, good)
+    found_links = _ordered(_candidates(rooted, looks, budget, near), "more").groupBy("a", "b").agg(F.max("more").alias("more"))
+    links = cut_lineage(links.unionByName(found_links).groupBy("a", "b").agg(F.max("more").alias("more")))
+    new = _verified(links.join(good.select("a", "b"), ["a", "b"], "left_anti"), docs, nodes, words, similar, looks)
+    good = cut_lineage(good.unionByName(new))
+    rooted = _rooted(nodes, good)
     # Candidates were left out only beside links marked so, and one whose ends are still apart has a failed such link at both groups.
     root = lambda c: rooted.select(F.col("key").alias(c), F.col("root").alias(f"r{c}"))
     failed = links.where("more").join(root("a"), "a").join(root("b"), "b").where("ra <> rb")
     apart = _marked(failed.select(F.explode(F.array("ra", "rb")).alias("root")).distinct())
     if apart is not None:
         left = cut_lineage(rooted.join(apart, "root", "left_semi"))
-        rest = cut_lineage(_ordered(_crossing(left, budget, near)).distinct().join(links.select("a", "b"), ["a", "b"], "left_anti"))
+        rest = cut_lineage(_ordered(_crossing(left, looks, budget, near)).distinct().join(links.select("a", "b"), ["a", "b"], "left_anti"))
         rooted = _rooted(nodes, good.unionByName(_verified(rest, docs, nodes, words, similar, looks)))
     return found.select("doc_id", "key").join(rooted.select("key", "root"), "key")
 

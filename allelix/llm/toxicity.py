@@ -43,7 +43,7 @@ MARKS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 CELLS = (5, 7, 9, 11, 13, 15, 18)
 #: Standard deviations above the chance count that are taken off, and steps for each unit of the sums that the threshold is chosen from.
 ABOVE, STEPS = 2.0, 64
-REMEMBERED = 500_000
+REMEMBERED = 150_000
 _CODE = np.random.RandomState(7).randint(0, 256, (256, STRETCH)).astype(np.uint8)
 
 

@@ -365,12 +365,39 @@ def test_secrets_base_and_network(docs, empty):
     assert kinds == [0, 1, 2] and all(set(map(tuple, r.base)) <= set(map(tuple, r.spans)) for r in found.values())
     assert secrets.find_secrets(empty).count() == 0
     rng = np.random.default_rng(0)
-    x = rng.integers(1, 90, (300, secrets.WIDTH))
+    windows = [rng.integers(1, 90, 72 if i % 2 else 108).astype(np.uint8) for i in range(300)]
     y = np.zeros((300, 3))
     y[:150, 2] = 1
-    x[:150, 30:40] = 7
-    net = secrets.train(x, y)
-    assert ((net.logits(x)[:, 2] > 0) == (y[:, 2] == 1)).mean() > 0.95
+    for w in windows[:150]:
+        w[30:40] = 7
+    net = secrets.train([w.tobytes() for w in windows], y)
+    assert ((net.logits([w.tobytes() for w in windows])[:, 2] > 0) == (y[:, 2] == 1)).mean() > 0.95
+
+
+def secrets_base(text):
+    found = [(m.start(), 0, m.end()) for m in re.finditer(r"""(?ai:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text) if len(m.group(1)) >= 8]
+    found += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m.group()) >= 16]
+    found += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m.group()) >= 32]
+    return ",".join(f"{('assign', 'access', 'hex')[k]}:{a}:{b}" for a, k, b in sorted(found))
+
+
+def test_secrets_base_against_patterns_and_rewritten_findings(spark):
+    r = random.Random(12)
+    hexes = lambda n: "".join(r.choices("0123456789abcdef", k=n))
+    plain = ["river", "stone", "walking", "table", "version-2.11.0", "user12345@mail.example.com", "item20240607", "window", "x86_64-linux-gnu"]
+    around = lambda: " ".join(r.choices(plain, k=r.randint(3, 9)))
+    makes = [lambda: f"password={hexes(20)}", lambda: f'token = "{hexes(40)}"', lambda: "AKIA" + "".join(r.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", k=16)), lambda: hexes(40)]
+    texts = [f"{around()} {r.choice(makes)()} {around()}" if i % 2 else around() for i in range(900)]
+    new = {f"{around()} pwd={hexes(20)} {around()}": "assign", f"{around()} ASIA{''.join(r.choices('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', k=16))} {around()}": "access", f"{around()} {hexes(40).upper()} {around()}": "hex"}
+    edges = ["token=short", "AKIA", "ſecret=abcdefghijkl", "x" * 100_000 + "1", "key: " + "9a" * 50_000, None, ""]
+    rows = [*texts, *new, *edges]
+    table = spark.createDataFrame([(i, t, 5) for i, t in enumerate(rows)], "doc_id long, text string, spans int")
+    found = {x.doc_id: x for x in secrets.find_secrets(table).collect()}
+    show = lambda c: ",".join(f"{secrets.KINDS[s.kind]}:{s.a}:{s.b}" for s in c)
+    assert all(show(found[i].base) == secrets_base(t or "") for i, t in enumerate(rows))
+    hits = [kind in show(found[900 + i].spans) for i, kind in enumerate(new.values())]
+    wrong = sum(len(found[i].spans) > len(found[i].base) for i in range(0, 900))
+    assert sum(hits) >= 2 and wrong <= 18, (hits, wrong)
 
 
 def test_toxicity_held_out_and_rejection(spark):
