@@ -2,12 +2,16 @@
 
 Everything that touches texts is a DataFrame expression. A pattern's matches get their places from the pieces between
 them. Spans travel as longs that order by kind, then start. Generators with high recall propose candidates that may
-overlap each other and the base spans; format and context of each make small integer features. The trees are fitted on
-counts of candidates for each combination of features, over all documents: a candidate counts as positive for a kind if
-it is a base span of it. The counts are bounded by the combinations of features, not by the documents. Documents
-whose crc32(doc_id) is divisible by 5 are kept apart; on them, for each kind, the threshold is set to the least score at
-which PRECISION of the candidates are base spans. Candidates at or over it become spans too, and the trees themselves
-become SQL expressions. Base spans always stay.
+overlap each other and the base spans; format and context of each make small integer features.
+
+Labelled findings: a candidate that is a base span counts as positive for its kind, any other as negative. So that the trees
+do not only learn the base patterns again, a bounded sample of base spans is rewritten in its own context, in forms that the
+patterns do not know (a written-out sign, a number without plus, other separators), and candidates that cover the new form
+count as positive too; look-alikes in the same context (a wrong check digit, parts over 255, too few digits) count as
+negative. The trees are fitted on counts of candidates for each combination of features, over all documents, bounded by the
+combinations of features, not by the documents. Documents whose crc32(doc_id) is divisible by 5 are kept apart; on them, for
+each kind, the threshold is set to the least score at which PRECISION of the candidates are findings. Candidates at or over
+it become spans too, unless a base span covers them, and the trees themselves become SQL expressions. Base spans always stay.
 """
 
 from __future__ import annotations
@@ -31,11 +35,14 @@ IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 #: A longest run of digits with single spaces or hyphens between, if it has 16 to 19 digits.
 CARD = r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){15,18}(?![\x20-]?[0-9])"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-#: Generators: mail-like with written-out signs, any longer number, phone-like and card-like parts of numbers.
-LIKE_EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+\x20?(?:@|\(at\)|\[at\])\x20?[A-Za-z0-9-]{1,63}+(?:\x20?(?:\.|\(dot\)|\[dot\])\x20?[A-Za-z0-9-]{1,63}+){1,6}+"
-LIKE_NUMBER = r"(?<![0-9])[+(]{0,2}[0-9](?:[\x20().-]{0,2}[0-9]){6,30}+(?![0-9])"
+#: Generators: mail-like with written-out signs, any longer number, phone-like and card-like parts of numbers, addresses with written-out dots.
+LIKE_EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++\x20?(?:@|\(at\)|\[at\])\x20?[A-Za-z0-9-]++(?:\x20?(?:\.|\(dot\)|\[dot\])\x20?[A-Za-z0-9-]++)++"
+LIKE_NUMBER = r"(?<![0-9])[+(]{0,2}[0-9](?:[\x20().-]{0,2}[0-9]){6,}+(?![0-9])"
 LIKE_PHONE = r"(?<![0-9])(?:\+?[0-9]{1,3}[\x20.-]?)?\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9])"
-LIKE_CARD = r"(?<![0-9])[0-9]{4}(?:[\x20-]?[0-9]{4}){3}(?![0-9])"
+LIKE_CARD = r"(?<![0-9])[0-9]{4}(?:[\x20.-]?[0-9]{4}){3}(?![0-9])"
+LIKE_IP = r"(?<![0-9.])[0-9]{1,3}+(?:(?:\.|\[\.\]|\x20?\(dot\)\x20?)[0-9]{1,3}+){3}(?![0-9])"
+#: Characters of context on each side, and base spans of each kind that are rewritten for training, the first by a hash.
+AROUND, SAMPLE = 24, 4000
 START_BITS = 30
 
 
@@ -70,7 +77,7 @@ def _sums(sizes: Column) -> Column:
 
 
 def matches(text: Column, pattern: str, gate: Column) -> Column:
-    """array<struct<start, text, before, after>> of a pattern's matches; places in code points, 24 around for context."""
+    """array<struct<start, text, before, after>> of a pattern's matches; places in code points, AROUND on each side for context."""
     empty = F.array().cast("array<struct<start:int,text:string,before:string,after:string>>")
     both = F.struct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("m"), F.split(text, pattern, -1).alias("p"))
 
@@ -82,7 +89,7 @@ def matches(text: Column, pattern: str, gate: Column) -> Column:
                 t.m,
                 lambda m, i: F.struct(
                     (F.get(t.at, i) + F.length(F.get(t.p, i))).cast("int").alias("start"), m.alias("text"),
-                    F.right(F.get(t.p, i), F.lit(24)).alias("before"), F.left(F.get(t.p, i + 1), F.lit(1)).alias("after"),
+                    F.right(F.get(t.p, i), F.lit(AROUND)).alias("before"), F.left(F.get(t.p, i + 1), F.lit(AROUND)).alias("after"),
                 ),
             ),
         )
@@ -133,14 +140,14 @@ def base_spans(text: Column) -> Column:
     return F.concat(*[one(kind, *check) for kind, check in enumerate(checks)])
 
 
-FEATURES = ("maker", "size", "plus", "paren", "dots", "dashes", "spaces", "runs", "longest", "before", "after", "says_phone", "says_card", "says_ip", "says_mail", "written")
+FEATURES = ("maker", "size", "plus", "paren", "dots", "dashes", "spaces", "runs", "longest", "before", "after", "says_phone", "says_card", "says_ip", "says_mail", "written", "luhn", "octets")
 
 
 def candidates(text: Column) -> Column:
     """array<struct<start, length, features...>>: what all generators propose."""
     has_digit = F.rlike(text, F.lit("[0-9]{2}"))
     mail = F.contains(text, F.lit("@")) | F.rlike(text, F.lit(r"[(\[]at[)\]]"))
-    makers = ((LIKE_EMAIL, mail), (LIKE_NUMBER, has_digit), (LIKE_PHONE, has_digit), (LIKE_CARD, has_digit))
+    makers = ((LIKE_EMAIL, mail), (LIKE_NUMBER, has_digit), (LIKE_PHONE, has_digit), (LIKE_CARD, has_digit), (LIKE_IP, has_digit))
 
     def count(s: Column, signs: str, most: int) -> Column:
         return F.least(F.length(F.regexp_replace(s, f"[^{signs}]", "")), F.lit(most))
@@ -154,6 +161,10 @@ def candidates(text: Column) -> Column:
     def says(s: Column, words: str) -> Column:
         return F.rlike(s, F.lit(f"(?i)(?:{words})")).cast("int")
 
+    def octets(t: Column) -> Column:
+        parts = F.regexp_extract_all(t, F.lit("[0-9]+"), F.lit(0))
+        return F.when(F.size(parts) == 4, F.forall(parts, lambda p: (F.length(p) < 3) | ((F.length(p) == 3) & (p <= F.lit("255")))).cast("int")).otherwise(0)
+
     def describe(maker: int):
         return lambda s: F.struct(
             s.start.alias("start"), F.length(s.text).alias("length"), F.lit(maker).alias("maker"),
@@ -162,10 +173,12 @@ def candidates(text: Column) -> Column:
             count(s.text, ".", 4).alias("dots"), count(s.text, "-", 2).alias("dashes"), count(s.text, r"\x20", 3).alias("spaces"),
             F.least(F.size(F.regexp_extract_all(s.text, F.lit("[0-9]+"), F.lit(0))), F.lit(5)).alias("runs"),
             step(F.array_max(F.transform(F.split(s.text, "[^0-9]+"), lambda x: F.length(x))), 4, 5, 10).alias("longest"),
-            near(F.right(s.before, F.lit(1))).alias("before"), near(s.after).alias("after"),
+            near(F.right(s.before, F.lit(1))).alias("before"), near(F.left(s.after, F.lit(1))).alias("after"),
             says(s.before, "phone|tel|call|fax|mobile").alias("says_phone"), says(s.before, "card|visa|credit|paid").alias("says_card"),
             says(s.before, "ip|host|server|addr").alias("says_ip"), says(s.before, "mail|contact|write").alias("says_mail"),
-            F.rlike(s.text, F.lit(r"[(\[](?:at|dot)[)\]]|\x20?@\x20")).cast("int").alias("written"),
+            F.rlike(s.text, F.lit(r"[(\[](?:at|dot|\.)[)\]]|\x20?@\x20")).cast("int").alias("written"),
+            F.when(F.length(_digits(s.text)).between(16, 19), _is_card(s.text).cast("int")).otherwise(0).alias("luhn"),
+            octets(s.text).alias("octets"),
         )
 
     return F.concat(*[F.transform(matches(text, p, gate), describe(i)) for i, (p, gate) in enumerate(makers)])
@@ -232,13 +245,71 @@ def boost(x: np.ndarray, positive: np.ndarray, negative: np.ndarray) -> tuple[fl
     return start, tuple(trees)
 
 
-def fit(found: DataFrame) -> tuple[Boosted | None, ...]:
-    """The trees of each kind, from the table (doc_id, base, candidates); None for a kind without positives."""
+def _unsigned(span: Column) -> tuple[Column, Column, Column]:
+    """Kind, start and length of a span code."""
+    mask = F.lit((1 << START_BITS) - 1)
+    return F.shiftright(span, 2 * START_BITS).cast("int"), F.shiftright(span, START_BITS).bitwiseAND(mask).cast("int"), span.bitwiseAND(mask).cast("int")
+
+
+def rewritten(kind: Column, text: Column) -> Column:
+    """array<struct<text, positive>>: a base span's other forms, and its look-alikes."""
+    digits = _digits(text)
+    swap = lambda x, a, b: F.replace(x, F.lit(a), F.lit(b))
+    last = F.right(digits, F.lit(1)).cast("int")
+    wrong = F.concat(F.left(digits, F.length(digits) - 1), ((last + 1) % 10).cast("string"))
+    quads = lambda d, sign: F.regexp_replace(d, "([0-9]{4})(?=[0-9])", "$1" + sign)
+    ten = F.right(digits, F.lit(10))
+    cut = lambda a, n: F.substring(ten, a, n)
+    forms = {
+        0: ([swap(text, "@", " (at) "), swap(text, "@", "[at]"), swap(text, "@", " @ "), swap(swap(text, "@", " (at) "), ".", " (dot) ")], [F.element_at(F.split(text, "@"), 1), F.element_at(F.split(text, "@"), -1)]),
+        1: ([swap(text, ".", "[.]"), swap(text, ".", " (dot) ")], [F.regexp_replace(text, r"^[0-9]+", "7300"), F.regexp_replace(text, r"\.[0-9]+$", ".2024"), swap(text, ".", "-")]),
+        2: ([quads(digits, ".")], [wrong, quads(wrong, " "), quads(wrong, "-"), quads(wrong, ".")]),
+        3: ([F.concat(F.lit("("), cut(1, 3), F.lit(") "), cut(4, 3), F.lit("-"), cut(7, 4)), F.concat_ws("-", cut(1, 3), cut(4, 3), cut(7, 4)), F.concat_ws(".", cut(1, 3), cut(4, 3), cut(7, 4))], [F.concat_ws("-", cut(4, 3), cut(7, 4)), F.concat_ws("-", F.lit("2024"), cut(1, 2), cut(3, 2)), F.concat_ws(".", cut(1, 2), cut(3, 2), cut(5, 4))]),
+    }
+    listed = lambda pair: F.array(*[F.struct(t.alias("text"), F.lit(good).alias("positive")) for good, ts in zip((True, False), pair) for t in ts])
+    out = F.lit(None).cast("array<struct<text:string,positive:boolean>>")
+    for k, pair in forms.items():
+        out = F.when(kind == k, listed(pair)).otherwise(out)
+    return out
+
+
+def training_candidates(found: DataFrame, texts: DataFrame) -> DataFrame:
+    """(apart, is_0 to is_3, features) of candidates in rewritten contexts of sampled base spans.
+
+    found: (doc_id, base); texts: (doc_id, text). Of each kind the first SAMPLE spans by a hash are taken; only their documents' texts are read.
+    """
+    spans = found.where("doc_id is not null").select("doc_id", F.explode("base").alias("span")).withColumn("kind", _unsigned(F.col("span"))[0])
+    order = F.xxhash64(F.lit(31), "doc_id", "span")
+    parts = [spans.where(F.col("kind") == k).orderBy(order, "doc_id", "span").limit(SAMPLE) for k in range(len(KINDS))]
+    sample = cut_lineage(parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3]).groupBy("doc_id").agg(F.collect_list("span").alias("spans")))
+    own = texts.join(F.broadcast(sample), "doc_id").select("doc_id", "text", F.explode("spans").alias("span"))
+    kind, start, length = _unsigned(F.col("span"))
+    around = own.select(
+        _apart().alias("apart"), kind.alias("kind"), F.substring(F.col("text"), F.greatest(start - AROUND, F.lit(0)) + 1, F.least(start, F.lit(AROUND))).alias("before"),
+        F.substring(F.col("text"), start + 1, length).alias("span"), F.substring(F.col("text"), start + length + 1, F.lit(AROUND)).alias("after"),
+    )
+    forms = around.select("apart", "kind", "before", "after", F.explode(rewritten(F.col("kind"), F.col("span"))).alias("form")).where("form.text <> ''")
+    placed = forms.select("apart", "kind", "form.positive", F.length("before").alias("a"), F.length("form.text").alias("n"), candidates(F.concat("before", "form.text", "after")).alias("cs"))
+    rows = placed.select("apart", "kind", "positive", "a", "n", F.explode("cs").alias("c"))
+    shared = F.least(F.col("c.start") + F.col("c.length"), F.col("a") + F.col("n")) - F.greatest("c.start", "a")
+    rows = rows.where(shared > 0)  # what else stands in the context is in the documents anyhow
+    covers = F.col("positive") & (shared * 10 >= F.col("n") * 9) & (shared * 10 >= F.col("c.length") * 9)
+    return rows.select("apart", *[(covers & (F.col("kind") == k)).cast("int").alias(f"is_{k}") for k in range(len(KINDS))], *[F.col(f"c.{f}").alias(f) for f in FEATURES])
+
+
+def _apart() -> Column:
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
+
+
+def fit(found: DataFrame, texts: DataFrame | None = None) -> tuple[Boosted | None, ...]:
+    """The trees of each kind, from the tables (doc_id, base, candidates) and (doc_id, text); None for a kind without positives."""
     c = F.col("c")
     is_base = [F.array_contains("base", code(k, c.start, c.length)).cast("int") for k in range(len(KINDS))]
-    rows = found.where(F.size("candidates") > 0).select(F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False)).alias("apart"), "base", F.explode("candidates").alias("c"))
-    keys = [F.col(f"c.{f}").alias(f) for f in FEATURES]
-    counts = rows.select("apart", *keys, *[b.alias(f"is_{k}") for k, b in zip(KINDS, is_base)]).groupBy("apart", *FEATURES).agg(F.count("*").alias("n"), *[F.sum(f"is_{k}").alias(k) for k in KINDS])
+    rows = found.where(F.size("candidates") > 0).select(_apart().alias("apart"), "base", F.explode("candidates").alias("c"))
+    rows = rows.select("apart", *[b.alias(f"is_{k}") for k, b in enumerate(is_base)], *[F.col(f"c.{f}").alias(f) for f in FEATURES])
+    if texts is not None:
+        rows = rows.unionByName(training_candidates(found.select("doc_id", "base"), texts))
+    counts = rows.groupBy("apart", *FEATURES).agg(F.count("*").alias("n"), *[F.sum(f"is_{k}").alias(name) for k, name in enumerate(KINDS)])
     table = sorted(tuple(r) for r in counts.collect())
     if not table:
         return (None,) * len(KINDS)
@@ -264,13 +335,18 @@ def fit(found: DataFrame) -> tuple[Boosted | None, ...]:
 
 
 def all_spans(model: Sequence[Boosted | None]) -> Column:
-    """array<bigint>: the base spans and the candidates over their kind's threshold, in order, without repeats."""
+    """array<bigint>: the base spans and the candidates over their kind's threshold, in order, without repeats. A candidate inside a base span
+    adds nothing, and of candidates of one kind that begin alike the longest stays."""
+    mask = F.lit((1 << START_BITS) - 1)
 
     def chosen(k: int, m: Boosted) -> Column:
-        return F.transform(F.filter("candidates", lambda c: m.score(lambda f: c[f]) >= m.threshold), lambda c: code(k, c.start, c.length))
+        inside = lambda c: F.exists("base", lambda b: (F.shiftright(b, START_BITS).bitwiseAND(mask) <= c.start) & (c.start + c.length <= F.shiftright(b, START_BITS).bitwiseAND(mask) + b.bitwiseAND(mask)))
+        return F.transform(F.filter("candidates", lambda c: (m.score(lambda f: c[f]) >= m.threshold) & ~inside(c)), lambda c: code(k, c.start, c.length))
 
     parts = [chosen(k, m) for k, m in enumerate(model) if m is not None and m.threshold < float("inf")]
-    return F.array_sort(F.array_distinct(F.concat("base", *parts)))
+    new = F.array_sort(F.array_distinct(F.concat(F.array().cast("array<bigint>"), *parts)))
+    longest = F.filter(new, lambda s, i: F.coalesce(F.shiftright(F.get(new, i + 1), START_BITS) != F.shiftright(s, START_BITS), F.lit(True)))
+    return F.array_sort(F.array_distinct(F.concat("base", longest)))
 
 
 def written(spans: Column) -> Column:
@@ -286,13 +362,14 @@ def written(spans: Column) -> Column:
 
 
 def find_spans(docs: DataFrame, keep: Sequence[str] = ("doc_id",), text: str = "text") -> DataFrame:
-    """The columns `keep`, base and spans (arrays of span codes) of every row, whole texts; a null text has none.
+    """The columns `keep`, base and spans (arrays of span codes) of every row, whole texts.
 
-    One of `keep` must be doc_id. The found spans, small beside the texts, are written to the checkpoint folder once.
+    Null and empty texts have none; repeated rows stay; rows without doc_id train nothing but are searched. One of `keep` must be doc_id. The
+    found spans, small beside the texts, are written to the checkpoint folder once. An empty table gives no rows.
     """
     body = F.coalesce(F.col(text), F.lit(""))
     found = cut_lineage(docs.select(*keep, base_spans(body).alias("base"), candidates(body).alias("candidates")))
-    return found.select(*keep, "base", all_spans(fit(found)).alias("spans"))
+    return found.select(*keep, "base", all_spans(fit(found, docs.select("doc_id", body.alias("text")))).alias("spans"))
 
 
 def redacted(text: Column, spans: Column) -> Column:
@@ -313,7 +390,8 @@ def redacted(text: Column, spans: Column) -> Column:
 
 
 def redact(docs: DataFrame) -> DataFrame:
-    """`docs` with its columns, the spans in `text` redacted and n_chars, if there, counted anew; no row goes."""
+    """`docs` with its columns, the spans in `text` redacted and n_chars, if there, counted anew; no row goes. Null texts stay null, repeated
+    rows and rows without doc_id stay."""
     rows = docs.select("doc_id", "text", F.struct(*docs.columns).alias("__row"))
     found = find_spans(rows, ("doc_id", "__row"))
     found = found.select("__row", redacted(F.col("__row.text"), F.col("spans")).alias("__new"))
@@ -322,6 +400,7 @@ def redact(docs: DataFrame) -> DataFrame:
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op8: counts, digest and all spans of every row of documents, as `find_spans` defines them."""
     found = find_spans(read_table(spark, sf_dir, "documents"))
     number = lambda k: F.size(F.filter("base", lambda s: F.shiftright(s, 2 * START_BITS) == k)).cast("long").alias(f"n_{KINDS[k]}")
     return found.select("doc_id", *[number(k) for k in range(len(KINDS))], F.sha2(written(F.col("base")).cast("binary"), 256).alias("base_sha256"), written(F.col("spans")).alias("spans"))

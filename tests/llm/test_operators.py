@@ -359,6 +359,24 @@ def test_pii_base_spans_against_patterns(spark, docs, empty):
     assert "[EMAIL]" in text[70] and "[PHONE]" in text[70] and text[72].startswith("host [IP] and 999.1.1.1 card [CARD]")
 
 
+def test_pii_finds_rewritten_findings_and_leaves_look_alikes(spark):
+    r = random.Random(15)
+    words = ["river", "stone", "walking", "table", "window", "morning"]
+    around = lambda: " ".join(r.choices(words, k=r.randint(4, 9)))
+    num = lambda n: "".join(r.choices("0123456789", k=n))
+    mail = lambda sign: f"{''.join(r.choices('abcdefgh', k=6))}.{num(2)}{sign}mail{num(1)}.example.com"
+    ip = lambda sign: sign.join(str(r.randint(1, 255)) for _ in range(4))
+    makes = [lambda: mail("@"), lambda: ip("."), lambda: f"+1 ({num(3)}) 555-{num(4)}"]
+    texts = [f"{around()} {r.choice(makes)()} {around()}" for _ in range(600)]
+    new = [f"{around()} {mail(' (at) ')} {around()}" for _ in range(20)] + [f"{around()} {ip('[.]')} {around()}" for _ in range(20)] + [f"{around()} ({num(3)}) 555-{num(4)} {around()}" for _ in range(20)]
+    plain = [f"{around()} 2024-{num(2)}-{num(2)} {around()}" for _ in range(40)]
+    rows = spark.createDataFrame([(i, t, 1) for i, t in enumerate([*texts, *new, *plain])], "doc_id long, text string, base int").repartition(8)
+    found = {x.doc_id: (x.n, x.s) for x in pii.find_spans(rows).select("doc_id", F.size("base").alias("n"), pii.written(F.col("spans")).alias("s")).collect()}
+    hits = [sum(kind in found[600 + 20 * g + i][1] for i in range(20)) for g, kind in enumerate(("email", "ip", "phone"))]
+    assert all(h >= 18 for h in hits) and not any(found[660 + i][1] for i in range(40)), hits
+    assert all(len(found[i][1].split(",")) == 1 for i in range(600))
+
+
 def test_secrets_base_and_network(docs, empty):
     found = {r.doc_id: r for r in secrets.find_secrets(docs).collect()}
     kinds = [(s.kind) for s in found[71].base]
