@@ -124,8 +124,10 @@ def nearest(queries: DataFrame, vectors: DataFrame, k: int = NEIGHBOURS) -> Data
     """The k nearest vectors of each query, both tables as `usable` gives them: query_id, rank, vec_id, score.
 
     Only vectors with the query's number of dimensions are compared. Rows with the query's id are its own and are left
-    out. A query with fewer candidates gets them all; one without any gets no row.
+    out; repeats of a row (one id and vector) are one candidate. A query with fewer candidates gets them all; one without any
+    gets no row, as does an empty table.
     """
+    queries, vectors = queries.distinct(), vectors.distinct()
     counted = {"q": queries.groupBy("n").count().collect(), "v": vectors.groupBy("n").count().collect()}
     blocks = {side: {r.n: max(1, math.ceil(r["count"] / size)) for r in counted[side]} for side, size in (("q", BLOCK_QUERIES), ("v", BLOCK_VECTORS))}
     shared = sorted(set(blocks["q"]) & set(blocks["v"]))
@@ -143,5 +145,6 @@ def nearest(queries: DataFrame, vectors: DataFrame, k: int = NEIGHBOURS) -> Data
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op4: the nearest of every vector whose id is divisible by 50, as `nearest` defines them; other columns are not read."""
     vectors = usable(read_table(spark, sf_dir, "embeddings"))
     return nearest(vectors.where("id % 50 = 0"), vectors)

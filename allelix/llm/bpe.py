@@ -246,10 +246,29 @@ def load(path: str, spec: str) -> Vocabulary:
     return _loaded[path]
 
 
+def known_form(spec: str) -> None:
+    """Raise unless the tokenizer file is what this encoder does: byte-level words by the public pattern, merges, plain special strings."""
+    told = json.loads(spec)
+    cut, back, model = told.get("pre_tokenizer") or {}, told.get("decoder") or {}, told["model"]
+    wrong = [
+        name
+        for name, fine in (
+            ("normalizer", told.get("normalizer") is None), ("pre_tokenizer", cut.get("type") == "ByteLevel" and not cut.get("add_prefix_space") and cut.get("use_regex", True)),
+            ("decoder", back.get("type") == "ByteLevel"), ("model", model.get("type", "BPE") == "BPE" and not model.get("dropout") and not model.get("ignore_merges") and not model.get("byte_fallback") and not model.get("continuing_subword_prefix") and not model.get("end_of_word_suffix")),
+            ("added_tokens", not any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] and told.get("normalizer") for t in told.get("added_tokens", ()))),
+        )
+        if not fine
+    ]
+    if wrong:
+        raise ValueError(f"no byte-level tokenizer of the known form: {', '.join(wrong)}")
+
+
 def _vocabulary(docs: DataFrame, path: str):
     """A function that gives the vocabulary on an executor; the file, of fixed size, is read on the driver."""
     with open(path, encoding="utf-8") as f:
-        spec = docs.sparkSession.sparkContext.broadcast(f.read())
+        told = f.read()
+    known_form(told)
+    spec = docs.sparkSession.sparkContext.broadcast(told)
     return lambda: load(path, spec.value)
 
 
@@ -339,4 +358,5 @@ def _whole(data: bytes) -> int:
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op7: digests of every row of documents, as `round_trip` defines them."""
     return round_trip(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))

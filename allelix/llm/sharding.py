@@ -176,5 +176,9 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, slots: int = SLOTS, t
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op2: every row of documents in a shard of near-equal bytes, as `shard_documents` defines them.
+
+    Ties between slots go by their number, rows of one slot stand in order of id, checksum and size; repeated rows have places of their own.
+    """
     placed, table = shard_documents(read_table(spark, sf_dir, "documents"))
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "virtual_slot", F.lit(table.version).alias("map_version"))

@@ -598,4 +598,5 @@ def one_of_each(docs: DataFrame, words: int = WORDS, budget: int = BUDGET, simil
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op1: fingerprint and component of every row of documents, as `near_duplicates` defines them."""
     return near_duplicates(read_table(spark, sf_dir, "documents"))
