@@ -94,10 +94,23 @@ def merge_counters(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataF
     return old.unionByName(new).groupBy(*keys).agg(F.sum("value").alias("value"))
 
 
+def merge_ancestry(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Ancestry points (keys, value) of two batches as one: where both have a point the new one's value counts."""
+    both = old.withColumn("__batch", F.lit(0)).unionByName(new.withColumn("__batch", F.lit(1)))
+    return both.groupBy(*keys).agg(F.max_by("value", "__batch").alias("value"))
+
+
 def fold_records(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of one record folded: smallest p, the first label that is not blank by row key, the number of ancestries."""
+    """Rows of one record folded: smallest p, the first label that is not blank by row key, the ancestry map and the map of source codes to
+    frequencies (the newest row's of each)."""
     first = lambda c: F.min_by(fn.clean_string(F.col(c)), F.when(fn.clean_string(F.col(c)).isNotNull(), F.col("row_key"))).alias(c)
-    return df.groupBy(*keys).agg(F.min("p_value").alias("p_value"), first("variation_type"), first("clinical_significance"), F.count_distinct("ancestry").alias("n_ancestries"))
+    heads = df.groupBy(*keys).agg(F.min("p_value").alias("p_value"), *[first(c) for c, _ in AXES.values()], F.count_distinct("ancestry").alias("n_ancestries"))
+    order = F.struct(F.unix_micros("ingested_at").alias("t"), F.col("row_key").alias("row"))
+    for name, column in (("ancestry", "ancestry"), ("source_ancestry", "ancestry_source_code")):
+        one = df.where(F.col(column).isNotNull() & F.col("ancestry_af").isNotNull()).groupBy(*keys, column).agg(F.max_by("ancestry_af", order).alias("value"))
+        gathered = one.groupBy(*keys).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(column, "value")))).alias(name))
+        heads = heads.join(gathered, list(keys), "left")
+    return heads
 
 
 def group_sizes(df: DataFrame, keys: Sequence[str]) -> DataFrame:

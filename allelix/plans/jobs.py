@@ -696,3 +696,35 @@ def _(s, d):
 @add("J2_label_transcripts", f"{TRANSCRIPT_SQL} SELECT gene_id, count(*) AS n FROM transcripts WHERE is_canonical GROUP BY ALL")
 def _(s, d):
     return cat.canonical_transcripts(transcripts(s, d)).where("is_canonical").join(transcripts(s, d).where("is_canonical").groupBy("gene_id").agg(F.count("*").alias("n")), "gene_id").select("gene_id", "n")
+
+
+_POINT = ["dataset_type", "gene_id", "phenotype", "ancestry", "variant_id"]
+_HALF = "SELECT dataset_type, gene_id, phenotype, ancestry, variant_id, ancestry_af AS value FROM points WHERE {} QUALIFY row_number() OVER (PARTITION BY dataset_type, gene_id, phenotype, ancestry, variant_id ORDER BY ingested_at DESC, row_key DESC) = 1"
+
+
+@add("F22_merge_ancestry", f"{SQL}, o AS ({_HALF.format(_TWO[0])}), n AS ({_HALF.format(_TWO[1])}) SELECT {', '.join(_POINT)}, coalesce(n.value, o.value) AS value FROM o FULL JOIN n USING ({', '.join(_POINT)})")
+def _(s, d):
+    return ag.merge_ancestry(*[ag.ancestry_points(points(s, d).where(w), _POINT[:3]) for w in _TWO], _POINT)
+
+
+_ATTRIBUTES = "concat('gene_id \"', p_brand, '.3\"; tag \"a', cast(p_size AS varchar(12)), '\"; exon_number ', cast(p_size AS varchar(12)), '; tag \"b\";')"
+
+
+@add("C22_gtf_attributes", "SELECT p_partkey, p_brand || '.3' AS gene_id, 'a' || p_size || ',b' AS tags, cast(p_size AS varchar) AS exon_number FROM part")
+def _(s, d):
+    rows = read(s, d, "part").selectExpr("p_partkey", f"{_ATTRIBUTES} AS a").select("p_partkey", fn.gtf_attributes(c("a")).alias("m"))
+    return rows.select("p_partkey", c("m")["gene_id"][0].alias("gene_id"), F.array_join(c("m")["tag"], ",").alias("tags"), c("m")["exon_number"][0].alias("exon_number"))
+
+
+@add("C41_adapter_metadata", f"WITH {_raw_sql(_WIDE)} SELECT coalesce(\"rsID\", variation_id) AS variant_id, source_file FROM raw")
+def _(s, d):
+    return ad.wide_populations(_raw(s, d, _WIDE), types(s)).select("variant_id", F.get_json_object("metadata", "$.source_file").alias("source_file"))
+
+
+@add("N1_ingestion", f"WITH {_raw_sql(_PREP)}, r AS (SELECT gene AS gene_id, rsid AS variant_id, {q.slug('phenotype')} AS phenotype, coalesce(pm_type, 'CVD') AS dataset_type, {q.clean('var_class')} AS variation_type FROM raw LEFT JOIN {_TYPE_SQL} ON {q.slug('phenotype')} = pm_slug WHERE NOT regexp_matches(gene, '^[0-9]+$')) SELECT dataset_type, gene_id, variant_id, phenotype, coalesce(variation_type, 'Unknown') AS variation_type, 'African' AS ancestry FROM r")
+def _(s, d):
+    from allelix.plans import ingestion
+
+    table = _raw(s, d, _PREP)
+    records = ingestion.validated(ad.ingest(s, [{"adapter": "legacy_csv", "paths": "x"}], types(s), lambda *_: table))
+    return ingestion.canonical_points(records).select("dataset_type", "gene_id", "variant_id", "phenotype", "variation_type", "ancestry")

@@ -256,7 +256,16 @@ _add(
 _add("F15_both_types", lambda s, d: points(s, d).groupBy("variant_id").agg(F.count_distinct("dataset_type").alias("n")).where("n = 2"), f"{SQL} SELECT variant_id, count(DISTINCT dataset_type) AS n FROM points GROUP BY ALL HAVING n = 2")
 _add("F16_flags", lambda s, d: points(s, d).groupBy("gene_id").agg(F.bool_or(c("dataset_type") == "CVD").alias("has_cvd"), F.bool_or(c("p_value").isNull()).alias("has_null_p")), f"{SQL} SELECT gene_id, bool_or(dataset_type = 'CVD') AS has_cvd, bool_or(p_value IS NULL) AS has_null_p FROM points GROUP BY ALL")
 _add("F18_group_sizes", lambda s, d: ag.group_sizes(points(s, d), _OVER), f"{SQL} SELECT dataset_type, gene_id, count(*) AS n FROM points GROUP BY ALL")
-_add("F21_fold_records", lambda s, d: ag.fold_records(points(s, d), _BK), f"{SQL} SELECT dataset_type, gene_id, variant_id, phenotype, min(p_value) AS p_value, arg_min({_clean('variation_type')}, CASE WHEN {_clean('variation_type')} IS NOT NULL THEN row_key END) AS variation_type, arg_min({_clean('clinical_significance')}, CASE WHEN {_clean('clinical_significance')} IS NOT NULL THEN row_key END) AS clinical_significance, count(DISTINCT ancestry) AS n_ancestries FROM points GROUP BY ALL")
+_FIRST = lambda x: f"arg_min({_clean(x)}, CASE WHEN {_clean(x)} IS NOT NULL THEN row_key END) AS {x}"
+_NEWEST = lambda x: f"SELECT dataset_type, gene_id, variant_id, phenotype, {x}, ancestry_af FROM points QUALIFY row_number() OVER (PARTITION BY dataset_type, gene_id, variant_id, phenotype, {x} ORDER BY ingested_at DESC, row_key DESC) = 1"
+_add(
+    "F21_fold_records",
+    lambda s, d: ag.fold_records(points(s, d), _BK).withColumns({"groups": F.array_join(F.map_keys("ancestry"), ","), "most_af": F.array_max(F.map_values("ancestry")), "codes": F.array_join(F.map_keys("source_ancestry"), ",")}).drop("ancestry", "source_ancestry"),
+    f"{SQL}, h AS (SELECT dataset_type, gene_id, variant_id, phenotype, min(p_value) AS p_value, {_FIRST('variation_type')}, {_FIRST('clinical_significance')}, {_FIRST('most_severe_consequence')}, count(DISTINCT ancestry) AS n_ancestries FROM points GROUP BY ALL), "
+    f"a AS (SELECT dataset_type, gene_id, variant_id, phenotype, string_agg(ancestry, ',' ORDER BY ancestry) AS groups, max(ancestry_af) AS most_af FROM ({_NEWEST('ancestry')}) GROUP BY ALL), "
+    f"b AS (SELECT dataset_type, gene_id, variant_id, phenotype, string_agg(ancestry_source_code, ',' ORDER BY ancestry_source_code) AS codes FROM ({_NEWEST('ancestry_source_code')}) GROUP BY ALL) "
+    "SELECT * FROM h JOIN a USING (dataset_type, gene_id, variant_id, phenotype) JOIN b USING (dataset_type, gene_id, variant_id, phenotype)",
+)
 _halves = lambda s, d: [ag.aggregate_variants(rec.core_keys(points(s, d)).where(w), _OVER) for w in ("source_file < 'file_3'", "source_file >= 'file_3'")]
 _half = lambda w: f"(WITH h AS (SELECT * FROM points WHERE {_GENE} AND {w}), {_axes('dataset_type, gene_id', 'h')})"
 _add("F22_merge_counters", lambda s, d: ag.merge_counters(*_halves(s, d), ["dataset_type", "gene_id", "axis", "name"]), SQL + " SELECT dataset_type, gene_id, axis, name, cast(sum(value) AS bigint) AS value FROM (" + _half("source_file < 'file_3'") + " UNION ALL " + _half("source_file >= 'file_3'") + ") GROUP BY ALL")

@@ -154,3 +154,18 @@ def test_labels_have_literal_values(spark):
     assert [tuple(r) for r in found] == [("benign", "XYZ", "rs7-A"), ("pathogenic", "European", "1:5"), ("association", None, None)]
     json_rows = spark.createDataFrame([('{"A": 0.5, "B": {"maf": 0.25}, "C": null, "D": {"MAF": "nan"}}',)], "j string")
     assert json_rows.select(fn.parse_ancestry(F.col("j"))).first()[0] == {"A": "0.5", "B": "0.25"}
+
+
+def test_configured_ingestion_publishes(spark, tmp_path):
+    from allelix.plans import ingestion
+
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in/a.csv").write_text('gene,rsid,phenotype,pval,var_class,clinical_significance,ancestry_data\nTTN,rs1,1-URGENT,0.5,snp,Benign,"{""African"": 0.25}"\nTTN,rs1,1-URGENT,0.1,indel,,\n12,rs2,x,,,,\n')
+    manifests = {"prep": {"adapter": "legacy_csv", "delimiter": "comma", "default_params": {"source": "a", "dataset_id": "d"}}}
+    sources = ingestion.with_defaults(manifests, [{"source": "prep", "paths": str(tmp_path / "in"), "params": {"dataset_id": "e"}}])
+    assert sources[0]["params"] == {"source": "a", "dataset_id": "e"}
+    leaves = paths.tree_tables(spark, TREE)[0]
+    ingestion.run(spark, sources, str(tmp_path / "out"), None, leaves, paths.rollup_map(spark, TREE), priority=("a",))
+    payload = json.loads(spark.read.json(str(tmp_path / "out/final/association")).first().payload_json)
+    assert [e["disease"] for e in payload] == [["heart", "1-urgent"]] and payload[0]["vc"] == [{"name": "INDEL", "value": 1}]
+    assert sinks.read_canonical(spark, str(tmp_path / "out/canonical")).count() == 2
