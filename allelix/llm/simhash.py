@@ -27,11 +27,16 @@ from allelix.llm.graph import connected_components
 
 BITS = 64
 SEED = 42
-#: Of groups that are verified: words of a shingle, differing bits for which buckets are cut, those up to which values that meet in a
-#: bucket are candidates, Jaccard similarity, and independent fingerprints. By the binomial model a pair at 0.8 is found with 99.6 %.
-WORDS, BUDGET, NEAR, SIMILAR, LOOKS = 5, 7, 12, 0.8, 5
-#: Differing bits for which the buckets of the first, coarse search are cut: one of four whole blocks is then equal.
-COARSE = 3
+#: Of groups that are verified: words of a shingle, Jaccard similarity, and independent fingerprints of each set.
+WORDS, SIMILAR, LOOKS = 5, 0.8, 2
+#: Differing bits up to which fingerprints are candidates: by the binomial model a pair at 0.8 has 9.7 in the mean and more than 22 once in 10^5.
+NEAR = 22
+#: Coarse search: differing bits for which its buckets are cut (one of four whole blocks is then equal), and those of its candidates.
+COARSE, COARSE_NEAR = 3, 12
+#: Differing bits for which the buckets of a shingle that is in too many prefixes are cut.
+BUDGET = 7
+#: Texts that tell, by a sample, which shingles are frequent, and in how many of them a frequent one is at least.
+HOT_TEXTS, HOT_AT = 4096, 4
 #: Fingerprints that one bucket may hold before it is cut by further bits.
 BUCKET_ROWS = 1024
 #: Sum of squared bucket sizes that one call of the trie walk takes.
@@ -371,7 +376,7 @@ def hamming_links(values: DataFrame, budget: int = 3, bucket_rows: int = BUCKET_
     return _dealt(values.select("fp"), budget, bucket_rows, _walk_buckets(budget), "a bigint, b bigint")
 
 
-def near_links(values: DataFrame, budget: int = BUDGET, near: int = NEAR, crossing: bool = False, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+def near_links(values: DataFrame, budget: int = COARSE, near: int = COARSE_NEAR, crossing: bool = False, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """Pairs (look, a, b, more) of the distinct longs `fp` of one look (with `comp`) that meet in a bucket and differ in at most `near` bits.
 
     All looks are walked at once, a look being the first part of a bucket's path. Buckets are those in which all pairs of at most `budget` bits meet; further ones meet by chance. See _walk_near for what is sent.
@@ -428,21 +433,46 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", wor
     return found.select(F.col("doc_id").alias(id), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def sketches(docs: DataFrame, words: int, looks: int) -> DataFrame:
-    """doc_id, key (the name of the text's shingle set), size of the set and prints (its fingerprints, one for each look)."""
+def frequent_shingles(docs: DataFrame, words: int) -> np.ndarray:
+    """Sorted hashes of shingles that are in HOT_AT or more of some HOT_TEXTS texts, the first by a hash. They only decide an order that
+    every set shares; which they are changes costs, not results."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for x in batch.column(0):
+                yield pa.RecordBatch.from_arrays([pa.array(shingle_set(x.as_py(), words).view(np.int64))], names=["shingle"])
+
+    part = F.pmod(F.xxhash64(F.lit(41), "doc_id", "text"), F.lit(max(1, docs.count() // HOT_TEXTS))) == 0
+    found = in_small_batches(docs.where(part).select(utf8("text"))).mapInArrow(run, "shingle bigint").groupBy("shingle").count().where(F.col("count") >= HOT_AT)
+    return np.sort(np.array([r.shingle for r in found.select("shingle").toLocalIterator()], dtype=np.int64).view(np.uint64))
+
+
+def prefix(shingles: np.ndarray, hot: np.ndarray, similar: float) -> np.ndarray:
+    """The first shingles of a set, frequent ones last, so many that two sets of this Jaccard similarity or more share one of them."""
+    at = np.searchsorted(hot, shingles)
+    is_hot = np.zeros(len(shingles), dtype=bool)
+    is_hot[at < len(hot)] = hot[at[at < len(hot)]] == shingles[at < len(hot)]
+    ordered = np.concatenate([shingles[~is_hot], shingles[is_hot]])
+    return ordered[: len(shingles) - math.ceil(similar * len(shingles) - 1e-9) + 1] if len(shingles) else ordered
+
+
+def sketches(docs: DataFrame, words: int, looks: int, similar: float = SIMILAR) -> DataFrame:
+    """doc_id, key (the name of the text's shingle set), size of the set, prints (its fingerprints, one for each look) and prefix."""
+    sent = docs.sparkSession.sparkContext.broadcast(frequent_shingles(docs, words))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hot, longs = sent.value, pa.list_(pa.int64())
         for batch in batches:
-            keys, sizes, prints = [], [], []
+            keys, sizes, prints, first = [], [], [], []
             for x in batch.column(1):
                 found = shingle_set(x.as_py(), words)
                 keys.append(set_key(found))
                 sizes.append(len(found))
                 prints.append(np.array([majority([remixed(found, look)]) for look in range(looks)], dtype=np.uint64).view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.int64()), pa.array(sizes, pa.int64()), pa.array(prints, pa.list_(pa.int64()))], names=["doc_id", "key", "size", "prints"])
+                first.append(prefix(found, hot, similar).view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.int64()), pa.array(sizes, pa.int64()), pa.array(prints, longs), pa.array(first, longs)], names=["doc_id", "key", "size", "prints", "prefix"])
 
     ids = docs.schema["doc_id"].dataType.simpleString()
-    return in_small_batches(docs.select("doc_id", utf8("text"))).mapInArrow(run, f"doc_id {ids}, key bigint, size bigint, prints array<bigint>")
+    return in_small_batches(docs.select("doc_id", utf8("text"))).mapInArrow(run, f"doc_id {ids}, key bigint, size bigint, prints array<bigint>, prefix array<bigint>")
 
 
 def shingle_sets(texts: DataFrame, words: int) -> DataFrame:
@@ -478,15 +508,103 @@ def _candidates(nodes: DataFrame, looks: int, budget: int, near: int) -> DataFra
     return named.select(F.col("ka").alias("a"), F.col("kb").alias("b"), F.expr("more or na > 1 or nb > 1").alias("more")).unionByName(equal)
 
 
-def _crossing(nodes: DataFrame, looks: int, budget: int, near: int) -> DataFrame:
-    """All pairs (a, b) of keys (key, prints, root) that are candidates of a look and have different roots."""
-    at, tops = _by_print(nodes, looks)
-    links = near_links(tops.select("look", "fp", "comp"), budget, near, crossing=True)
-    end = lambda c, fp: at.select("look", F.col("fp").alias(fp), F.col("key").alias(f"k{c}"), F.col("root").alias(f"r{c}"))
-    named = links.join(end("a", "a"), ["look", "a"]).join(end("b", "b"), ["look", "b"]).select("ka", "ra", "kb", "rb")
-    several = tops.where("n > 1").select("look", "fp")
-    equal = end("a", "fp").join(several, ["look", "fp"], "left_semi").join(end("b", "fp"), ["look", "fp"]).where("ka < kb").select("ka", "ra", "kb", "rb")
-    return named.unionByName(equal).where("ra <> rb").select(F.col("ka").alias("a"), F.col("kb").alias("b"))
+def _member_pairs(fp: np.ndarray, comp: np.ndarray, starts: np.ndarray, near: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of pairs of rows of one bucket whose fingerprints differ in at most `near` bits, but not of one comp. Rows are in order of
+    (bucket, fingerprint); starts: where buckets begin, and the end."""
+    head = np.ones(len(fp), dtype=bool)
+    head[1:] = fp[1:] != fp[:-1]
+    head[starts[:-1]] = True
+    first = np.flatnonzero(head)
+    size = np.diff(np.append(first, len(fp)))
+    one = np.minimum.reduceat(comp, first) == np.maximum.reduceat(comp, first)
+    name = np.where(one, comp[first], -1)
+    a, b = trie_walk(np.searchsorted(first, starts), fp[first], near)
+    same = np.flatnonzero((size > 1) & (name == -1))
+    a, b = np.concatenate([a, same]), np.concatenate([b, same])
+    keep = (name[a] != name[b]) | (name[a] == -1)
+    a, b = a[keep], b[keep]
+    # all rows of one fingerprint with all of the other
+    na, nb = size[a], size[b]
+    pair = np.repeat(np.arange(len(a)), na * nb)
+    place = np.arange(len(pair)) - np.repeat(np.cumsum(na * nb) - na * nb, na * nb)
+    x, y = first[a][pair] + place // nb[pair], first[b][pair] + place % nb[pair]
+    open_ = (comp[x] != comp[y]) & ((a[pair] != b[pair]) | (x < y))
+    return x[open_], y[open_]
+
+
+def _walk_prefix(near: int, similar: float, crossing: bool):
+    """Candidates of buckets (path, fp, key, comp, size, pos) of one shingle of prefixes: key pairs of different comps whose fingerprints are near
+    and whose sizes and places of the shingle allow the similarity, if it is the first that they share. A spanning forest of each bucket's comps, nearer
+    pairs first, and whether others were left out; or, `crossing`, all of them."""
+    def joined(path: np.ndarray, fp: np.ndarray, key: np.ndarray, comp: np.ndarray, size: np.ndarray, pos: np.ndarray) -> Iterator[pa.RecordBatch]:
+        starts = np.concatenate([[0], np.flatnonzero(np.diff(path)) + 1, [len(path)]])
+        mixed = np.minimum.reduceat(comp, starts[:-1]) != np.maximum.reduceat(comp, starts[:-1])
+        rows = np.repeat(mixed, np.diff(starts))
+        fp, key, comp, size, pos = (x[rows] for x in (fp, key, comp, size, pos))
+        count = np.diff(starts)[mixed]
+        starts = np.concatenate([[0], np.cumsum(count)])
+        cuts, total = [0], 0
+        for i, n in enumerate(count.tolist()):
+            total += n * n
+            if total > WALK_PAIRS:
+                cuts.append(i + 1)
+                total = 0
+        for x, y in zip(cuts, [*cuts[1:], len(count)]):
+            if y <= x:
+                continue
+            base, end = starts[x], starts[y]
+            own, names, group, sizes, place = (z[base:end] for z in (fp, key, comp, size, pos))
+            a, b = _member_pairs(own, group, starts[x : y + 1] - base, near)
+            least, most = np.minimum(sizes[a], sizes[b]), np.maximum(sizes[a], sizes[b])
+            common = np.minimum(sizes[a] - place[a], sizes[b] - place[b])  # this shingle and all behind it
+            able = (least >= similar * most - 1e-9) & (common >= similar / (1 + similar) * (sizes[a] + sizes[b]) - 1e-9)
+            a, b = a[able], b[able]
+            more = np.ones(len(a), dtype=bool)
+            if not crossing and len(a):
+                bucket = np.repeat(np.arange(y - x), np.diff(starts[x : y + 1]))
+                node = np.unique(np.stack([bucket, np.unique(group, return_inverse=True)[1]]), axis=1, return_inverse=True)[1].reshape(-1)
+                label = spanning(len(own), node[a], node[b])
+                links = np.bincount(label[node[a]], minlength=len(own))
+                a, b = nearest_forest(own, node, a, b)
+                more = (links > np.bincount(label[node[a]], minlength=len(own)))[label[node[a]]]
+            yield pa.RecordBatch.from_arrays([pa.array(names[a]), pa.array(names[b]), pa.array(more)], names=["a", "b", "more"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [np.zeros(0, dtype=t) for t in (np.int64, np.uint64, np.int64, np.int64, np.int64, np.int64)]
+        for batch in batches:
+            held = [np.concatenate([x, c.to_numpy().view(x.dtype)]) for x, c in zip(held, batch.columns)]
+            if len(held[0]) >= 1 << 17:
+                other = np.flatnonzero(held[0] != held[0][-1])
+                if len(other):
+                    end = int(other[-1]) + 1
+                    yield from joined(*(x[:end] for x in held))
+                    held = [x[end:] for x in held]
+        if len(held[0]):
+            yield from joined(*held)
+
+    return run
+
+
+def _prefix_candidates(nodes: DataFrame, near: int, similar: float, crossing: bool = False, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """Pairs (a, b, more) of keys (key, root, size, prints, prefix) with different roots that share a shingle of their prefixes and have near
+    fingerprints: what connects the roots, or, `crossing`, all of them.
+
+    A shingle's bucket with more rows than `bucket_rows` and several roots is cut by blocks of the fingerprint, as any hot bucket is.
+    """
+    rows = nodes.select("key", F.col("root").alias("comp"), "size", F.col("prints")[0].alias("fp"), F.posexplode("prefix").alias("pos", "path"))
+    rows = rows.select("path", "fp", "key", "comp", "size", F.col("pos").cast("long").alias("pos"))
+    counted = rows.groupBy("path").agg(F.count("*").alias("n"), F.min("comp").alias("x"), F.max("comp").alias("y"))
+    hot = _marked(counted.where((F.col("n") > bucket_rows) & (F.col("x") != F.col("y"))).select("path"))
+    unsigned = F.col("fp").bitwiseXOR(F.lit(-(1 << (BITS - 1))))
+
+    def walk(df: DataFrame) -> DataFrame:
+        return df.repartition(shuffle_width(nodes), "path").sortWithinPartitions("path", unsigned, "key").mapInArrow(_walk_prefix(near, similar, crossing), "a bigint, b bigint, more boolean")
+
+    if hot is None:
+        return walk(rows)
+    masks = F.array(*[F.lit(_signed(m)) for _, ms in _blocks((1 << BITS) - 1, BUDGET) for m in ms])
+    cut = rows.join(hot, "path", "left_semi").select(*rows.columns, F.explode(masks).alias("mask")).withColumn("path", _bucket("fp")).drop("mask")
+    return walk(rows.join(hot, "path", "left_anti")).unionByName(walk(cut.select(rows.columns)))
 
 
 def most_bits(similar: float, bits: int) -> int:
@@ -523,42 +641,43 @@ def _rooted(nodes: DataFrame, links: DataFrame) -> DataFrame:
     return cut_lineage(nodes.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key")))
 
 
-def _grouped(docs: DataFrame, words: int, budget: int, near: int, similar: float, looks: int) -> DataFrame:
+def _grouped(docs: DataFrame, words: int, similar: float, looks: int, near: int) -> DataFrame:
     """doc_id, key (of its shingle set) and root (least key of the group) of every row that has a doc_id."""
     docs = docs.where("doc_id is not null")
-    found = cut_lineage(sketches(docs, words, looks))
-    nodes = cut_lineage(found.groupBy("key").agg(F.min("doc_id").alias("least"), F.first("size").alias("size"), F.first("prints").alias("prints")))
+    found = cut_lineage(sketches(docs, words, looks, similar))
+    firsts = [F.first(c).alias(c) for c in ("size", "prints", "prefix")]
+    nodes = cut_lineage(found.groupBy("key").agg(F.min("doc_id").alias("least"), *firsts))
     # First the pairs of one look that agree in one of a few whole blocks: they join most of a large group, so that the full search, which
     # sends only what connects different groups, has little left to send.
     alone = nodes.withColumn("root", F.col("key"))
-    links = cut_lineage(_ordered(_candidates(alone, 1, COARSE, near), "more").groupBy("a", "b").agg(F.max("more").alias("more")))
+    links = cut_lineage(_ordered(_candidates(alone, 1, COARSE, COARSE_NEAR), "more").groupBy("a", "b").agg(F.max("more").alias("more")))
     good = _verified(links, docs, nodes, words, similar, looks)
     rooted = _rooted(nodes, good)
-    found_links = _ordered(_candidates(rooted, looks, budget, near), "more").groupBy("a", "b").agg(F.max("more").alias("more"))
-    links = cut_lineage(links.unionByName(found_links).groupBy("a", "b").agg(F.max("more").alias("more")))
-    new = _verified(links.join(good.select("a", "b"), ["a", "b"], "left_anti"), docs, nodes, words, similar, looks)
-    good = cut_lineage(good.unionByName(new))
+    links = cut_lineage(_ordered(_prefix_candidates(rooted, near, similar), "more").groupBy("a", "b").agg(F.max("more").alias("more")))
+    good = cut_lineage(good.unionByName(_verified(links, docs, nodes, words, similar, looks)))
     rooted = _rooted(nodes, good)
-    # Candidates were left out only beside links marked so, and one whose ends are still apart has a failed such link at both groups.
+    # Pairs were left out only beside links marked so, and one whose ends are still apart has a failed such link at both groups.
     root = lambda c: rooted.select(F.col("key").alias(c), F.col("root").alias(f"r{c}"))
     failed = links.where("more").join(root("a"), "a").join(root("b"), "b").where("ra <> rb")
     apart = _marked(failed.select(F.explode(F.array("ra", "rb")).alias("root")).distinct())
     if apart is not None:
         left = cut_lineage(rooted.join(apart, "root", "left_semi"))
-        rest = cut_lineage(_ordered(_crossing(left, looks, budget, near)).distinct().join(links.select("a", "b"), ["a", "b"], "left_anti"))
+        rest = cut_lineage(_ordered(_prefix_candidates(left, near, similar, True)).distinct().join(links.select("a", "b"), ["a", "b"], "left_anti"))
         rooted = _rooted(nodes, good.unionByName(_verified(rest, docs, nodes, words, similar, looks)))
     return found.select("doc_id", "key").join(rooted.select("key", "root"), "key")
 
 
-def verified_groups(docs: DataFrame, words: int = WORDS, budget: int = BUDGET, similar: float = SIMILAR, looks: int = LOOKS, near: int = NEAR) -> DataFrame:
-    """(doc_id, component_id): groups by links between texts whose sets of `words`-word shingles are `similar` or more
-    (Jaccard), found as fingerprints of the sets that meet in a bucket and differ in at most `near` bits in one of `looks` fingerprints.
+def verified_groups(docs: DataFrame, words: int = WORDS, similar: float = SIMILAR, looks: int = LOOKS, near: int = NEAR) -> DataFrame:
+    """(doc_id, component_id): groups by links between texts whose sets of `words`-word shingles are `similar` or more (Jaccard).
 
-    Repeats of a shingle do not count, so a line that fills half of a text does not decide its fingerprint. Texts with
-    equal shingle sets, and so all without words, are in one group. First the nearest candidates that connect a bucket
-    are verified, those of all looks at once; then all others whose ends are still in different groups. Null ids are left out.
+    Two such sets share a shingle among the first of each in one common order, frequent ones last; so the fingerprints of the sets are
+    bucketed by these shingles, and in each bucket the trie is walked against itself: pairs that differ in at most `near` bits are candidates,
+    if sizes and places of the shingle allow the similarity. A passage that many texts share comes last in the order, so it brings together
+    only texts that are little else. Repeats of a shingle do not count. Texts with equal shingle sets, and so all without words, are in one
+    group. First what connects the groups of a bucket is verified, nearest first; then all others whose ends are still in different groups. Null ids are
+    left out; an empty table gives no rows.
     """
-    found = cut_lineage(_grouped(docs, words, budget, near, similar, looks))
+    found = cut_lineage(_grouped(docs, words, similar, looks, near))
     names = found.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     return found.join(names, "root").select("doc_id", "component_id")
 
@@ -575,14 +694,14 @@ def _keyed(docs: DataFrame, words: int) -> DataFrame:
     return in_small_batches(docs).mapInArrow(run, StructType([*docs.schema.fields, StructField("__key", LongType())]))
 
 
-def one_of_each(docs: DataFrame, words: int = WORDS, budget: int = BUDGET, similar: float = SIMILAR, looks: int = LOOKS, near: int = NEAR) -> DataFrame:
+def one_of_each(docs: DataFrame, words: int = WORDS, similar: float = SIMILAR, looks: int = LOOKS, near: int = NEAR) -> DataFrame:
     """The rows of `docs` (with doc_id and text) without near copies: of each group the row with the least doc_id.
 
     Rows with one doc_id are decided each by its own text; of a group's rows with the least doc_id the one with the
     least shingle set's name and then the least text stays. A row without doc_id cannot be named by a decision, so it
     stays. All columns are kept.
     """
-    found = cut_lineage(_grouped(docs, words, budget, near, similar, looks))
+    found = cut_lineage(_grouped(docs, words, similar, looks, near))
     first = found.groupBy("root").agg(F.min(F.struct("doc_id", "key")).alias("first"))
     decided = found.join(first, "root").select("doc_id", "key", (F.struct("doc_id", "key") == F.col("first")).alias("stays"))
     ids = cut_lineage(decided.groupBy("doc_id").agg(F.count("*").alias("rows"), F.max("stays").alias("stays")))
