@@ -18,6 +18,8 @@ from allelix.operators import records as rec
 from allelix.operators.meta import Manifest
 
 GENE = ("dataset_type", "gene_id")
+#: Key of a payload's provenance; set it to what the payloads' readers expect.
+META_KEY = "_meta"
 AXIS_KINDS = {"vc": "variation", "msc": "most_severe_consequence", "cs": "clinical_significance"}
 _ITEMS = "array<struct<name:string,value:bigint>>"
 
@@ -53,8 +55,8 @@ def entries(points: DataFrame, scope: Sequence[str], digits: int = 6, unknown: b
 
 
 def _with_meta(body: Column, meta: Column) -> Column:
-    """A JSON object with the JSON `meta` as its _datahub, if there is any."""
-    return F.when(meta.isNull(), body).otherwise(F.concat(F.substring(body, 1, F.length(body) - 1), F.lit(',"_datahub":'), meta, F.lit("}")))
+    """A JSON object with the JSON `meta` at META_KEY, if there is any."""
+    return F.when(meta.isNull(), body).otherwise(F.concat(F.substring(body, 1, F.length(body) - 1), F.lit(f',"{META_KEY}":'), meta, F.lit("}")))
 
 
 def association_payloads(found: DataFrame, label: str = "label_path", order: Column | None = None) -> DataFrame:
@@ -174,9 +176,9 @@ def normalised_counters(counters: DataFrame, scope: Sequence[str], unknown: bool
 
 _ENTRY = (
     "array<struct<trait:array<string>,disease:array<string>,vc:array<struct<name:string,value:bigint>>,msc:array<struct<name:string,value:bigint>>,"
-    "cs:array<struct<name:string,value:bigint>>,pvals:map<string,string>,_datahub:variant>>"
+    f"cs:array<struct<name:string,value:bigint>>,pvals:map<string,string>,{META_KEY}:variant>>"
 )
-_TOTALS = "struct<data:struct<vc:map<string,bigint>,msc:map<string,bigint>,cs:map<string,bigint>>,pvals:map<string,string>,_datahub:variant>"
+_TOTALS = f"struct<data:struct<vc:map<string,bigint>,msc:map<string,bigint>,cs:map<string,bigint>>,pvals:map<string,string>,{META_KEY}:variant>"
 
 
 def association_summary(payload: Column) -> Column:

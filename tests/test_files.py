@@ -85,7 +85,7 @@ def test_unified_publish_writes_and_serves(spark, tmp_path):
     sinks.write_published(found, str(tmp_path))
     overall = spark.read.json(str(tmp_path / "final/overall"))
     payload = json.loads(overall.first().payload_json)
-    assert set(payload["data"]) == {"vc", "msc", "cs", "ancestry"} and payload["pvals"] == {} and payload["_datahub"]["manifest_id"] == "m1"
+    assert set(payload["data"]) == {"vc", "msc", "cs", "ancestry"} and payload["pvals"] == {} and payload[pub.META_KEY]["manifest_id"] == "m1"
     association = spark.read.json(str(tmp_path / "final/association"))
     for r in association.collect():
         entries = json.loads(r.payload_json)
@@ -93,7 +93,7 @@ def test_unified_publish_writes_and_serves(spark, tmp_path):
         assert [e[key][-1] for e in entries] == sorted(e[key][-1] for e in entries) and all(p["data"] == sorted(p["data"], key=lambda x: x["rsid"]) for e in entries for p in e["ancestry"])
     tables = serving.build({"association": association, "overall": overall}, manifest=Manifest.of(MANIFEST))
     summary = json.loads(tables["association_summary_payloads"].first().payload_json)
-    assert all("ancestry" not in e and "vc" in e and "_datahub" in e for e in summary)
+    assert all("ancestry" not in e and "vc" in e and pub.META_KEY in e for e in summary)
     sinks.write_tables({k.removesuffix("_gene_payloads"): v for k, v in tables.items() if k in ("association_gene_payloads", "overall_gene_payloads")}, str(tmp_path / "serving"))
     rows = spark.createDataFrame([("Brand#1", "{}"), ("NEW", "{}")], "gene_id string, payload_json string")
     for _ in range(2):
