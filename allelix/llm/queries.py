@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from allelix.llm import ann, bpe, minhash, mixing, pii, secrets, sharding, simhash, token_counts, toxicity
+from allelix.llm import ann, bpe, byte_bpe, hard_negatives, minhash, mixing, pii, secrets, sharding, simhash, token_counts, toxicity, vector_codes
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,8 +21,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_pii": pii.query,
         "op9_secrets": secrets.query,
         "op10_toxicity": toxicity.query,
+        "op11_byte_bpe": byte_bpe.query,
+        "op12_hard_negatives": hard_negatives.query,
+        "op13_vector_codes": vector_codes.query,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op12_hard_negatives": hard_negatives.SQL, "op13_vector_codes": vector_codes.SQL}
