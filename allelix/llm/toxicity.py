@@ -201,19 +201,32 @@ def calibrate(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return w
 
 
-def best_cut(steps: dict[int, list[int]]) -> float:
-    """Of the cuts between the steps, each with its ordinary and toxic documents, the middle of the best by both classes' errors."""
+def best_cut(steps: dict[int, list[int]]) -> float | None:
+    """Of the cuts between the steps, each with its ordinary and toxic documents, the middle of the best by both classes' errors.
+
+    None where the sums tell nothing: where even the best cut parts the classes no better than two samples of their sizes from one distribution may
+    be parted (the Kolmogorov-Smirnov bound at 5 %).
+    """
     at = sorted(steps)
-    if len(at) < 2:
-        return 0.0
-    n = np.array([steps[i] for i in at], dtype=float)
-    below = np.cumsum(n, axis=0)[:-1] / np.maximum(1, n.sum(axis=0))
+    n = np.array([steps[i] for i in at], dtype=float).reshape(-1, 2)
+    ordinary, toxic = n.sum(axis=0)
+    if len(at) < 2 or not ordinary or not toxic:
+        return None
+    below = np.cumsum(n, axis=0)[:-1] / n.sum(axis=0)
     wrong = below[:, 1] + 1 - below[:, 0]
+    if 1 - wrong.min() <= 1.36 * math.sqrt((ordinary + toxic) / (ordinary * toxic)):
+        return None
     best = np.flatnonzero(wrong <= wrong.min() + 1e-12)
     i = int(best[len(best) // 2])
     return (at[i] + at[i + 1] + 1) / 2 / STEPS
 
 
+def prior(steps: dict[int, list[int]]) -> float:
+    """The log-odds of a toxic label, under even odds: what a score says where nothing but the labels' counts is known. It rejects nothing."""
+    ordinary, toxic = (sum(n[i] for n in steps.values()) for i in (0, 1))
+    return min(math.log((toxic + 1) / (ordinary + 1)), math.log(0.49 / 0.51))
+
+
 def held_out(id: str = "doc_id"):
     """Whether crc32 of the id as text is divisible by 5; a row without id is not held out."""
     return F.coalesce(F.crc32(F.col(id).cast("string").cast("binary")) % 5 == 0, F.lit(False))
@@ -275,7 +288,8 @@ def fitted(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "
     texts; of different labels of one id the greater counts. The sample is the first by a hash of the id, equal texts of
     one label once. Of the sample bounded numbers of windows and the counts reach the driver, of all documents a
     histogram. Texts are never shuffled but for the sample: all rows are summed where they lie and the sums joined
-    with the labels. Without labels of both kinds, or with an empty table, every score is 0.
+    with the labels. Without labels of both kinds, or with an empty table, every score is 0; where windows do not tell the labels apart, every
+    score is the share of toxic labels, under 0.5.
     """
     docs = docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text"))
     known = labels.where("toxic in (0, 1) and doc_id is not null").where(~held_out()).groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
@@ -313,7 +327,10 @@ def fitted(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "
     steps: dict[int, list[int]] = {}
     for r in found.join(known, "doc_id").groupBy("toxic", F.floor(F.col("judged") * STEPS).cast("int").alias("step")).count().collect():
         steps.setdefault(r.step, [0, 0])[r.toxic] = r["count"]
-    model.bias = -best_cut(steps)
+    cut = best_cut(steps)
+    if cut is None:
+        return Model(model.ordinary, model.toxic, nothing, prior(steps), chance), found.select("doc_id", F.lit(0.0).alias("sum"))
+    model.bias = -cut
     return model, found.select("doc_id", "sum")
 
 

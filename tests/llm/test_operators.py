@@ -180,6 +180,14 @@ def test_sharding(docs, empty, spark, tmp_path):
     assert sharding.load(spark, str(tmp_path / "m")) == grown and sharding.load(spark, str(tmp_path / "m"), 1) == table
 
 
+def test_shards_stay_near_equal_where_a_third_of_all_rows_has_one_id(spark):
+    r = random.Random(4)
+    rows = [(7 if i % 3 == 0 else i if i % 7 else None, f"{i} " + "w" * r.randint(0, 400)) for i in range(12_000)]
+    placed, _ = sharding.shard_documents(spark.createDataFrame(rows, "doc_id long, text string"))
+    sizes = [x.b for x in placed.groupBy("shard").agg(F.sum("size").alias("b")).collect()]
+    assert len(sizes) == 16 and max(sizes) < 1.01 * min(sizes)
+
+
 def test_slots_balance_bytes():
     r = random.Random(1)
     sizes = [(int(r.paretovariate(1.5) * 1000), 1) for _ in range(4096)]
@@ -456,3 +464,30 @@ def test_toxicity_learns_from_whole_texts_with_one_opening(spark):
     scored = {x.doc_id: x.score for x in toxicity.score_documents(docs, toxicity.fit(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))).collect()}
     held = [i for i in range(120) if zlib.crc32(str(i).encode()) % 5 == 0]
     assert all((scored[i] >= 0.5) == (i % 3 == 0) for i in held) and scored[1000] < 0.5
+
+
+def test_toxicity_without_signal_rejects_nothing(spark):
+    """Labels of both kinds that nothing separates, and labels of which most are toxic: every score is under 0.5, and the pipeline's stage keeps all rows."""
+    r = random.Random(12)
+    plain = ["river", "stone", "walking", "table", "window", "morning", "garden", "paper", "letter", "coffee"]
+    docs = spark.createDataFrame([(i, " ".join(r.choices(plain, k=30)), "en", "s", 1) for i in range(300)], SCHEMA)
+    for share in (5, 2):
+        labels = spark.createDataFrame([(i, int(r.random() < 1 / share)) for i in range(300)], "doc_id long, toxic int")
+        assert all(x.score < 0.5 for x in toxicity.classified(docs, labels).collect())
+        assert toxicity.without_toxic(docs, labels).count() == 300
+    mostly = spark.createDataFrame([(i, int(i % 5 > 0)) for i in range(300)], "doc_id long, toxic int")
+    assert toxicity.without_toxic(docs, mostly).count() == 300
+
+
+def test_cuts_that_tell_nothing_are_none():
+    assert toxicity.best_cut({}) is None and toxicity.best_cut({3: [5, 5]}) is None and toxicity.best_cut({0: [58, 6], 9: [0, 0], 4: [0, 4]}) is None
+    assert toxicity.best_cut({0: [90, 1], 64: [2, 30]}) == (64 + 0 + 1) / 2 / 64
+    assert toxicity.best_cut({0: [0, 9], 64: [9, 0]}) is None and toxicity.prior({0: [1, 99]}) < 0
+
+
+def test_few_labels_of_the_smallest_tables_reject_no_ordinary_document(spark):
+    data = "/root/testdata/sf0.001"
+    docs, labels = spark.read.parquet(f"{data}/documents.parquet"), spark.read.parquet(f"{data}/labels.parquet")
+    scored = toxicity.classified(docs, labels).join(labels, "doc_id").where(toxicity.held_out()).collect()
+    assert scored and all(x.score < 0.5 for x in scored if not x.toxic)
+    assert toxicity.without_toxic(docs, labels).count() > 0.8 * docs.count()
