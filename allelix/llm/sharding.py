@@ -1,6 +1,6 @@
 """Sharding by fixed virtual slots: records hash to slots, slots map to shards, and only the map is ever edited.
 
-The slot of a record depends on its key and the number of slots, which never changes. What is balanced is a table of
+The slot of a record depends on its id, its text's checksum and the number of slots, which never change. What is balanced is a table of
 one row per slot (its bytes and rows); its size is the slot count, whatever the data. A map from slots to shards is
 kept in versions: rebalancing writes a new version in which as few slots as possible move.
 """
@@ -43,9 +43,9 @@ class SlotMap:
 MAP_SCHEMA = "version int, shards int, slot int, shard int, bytes bigint, rows bigint"
 
 
-def slot_of(key: Column, slots: int = SLOTS) -> Column:
-    """The fixed virtual slot of a key that is not null."""
-    return F.pmod(F.xxhash64(key), F.lit(slots)).cast("int")
+def slot_of(*key: Column, slots: int = SLOTS) -> Column:
+    """The fixed virtual slot of a key of one or more columns; nulls count as nothing."""
+    return F.pmod(F.xxhash64(*key), F.lit(slots)).cast("int")
 
 
 def _fill(sizes: list[tuple[int, int]], shards: int) -> list[int]:
@@ -132,13 +132,13 @@ def load(spark: SparkSession, path: str, version: int | None = None) -> SlotMap:
 def records(docs: DataFrame, id: str = "doc_id", text: str = "text", slots: int = SLOTS) -> DataFrame:
     """doc_id, size (UTF-8 bytes and one; 1 for a null text), text_crc32 (0 for a null text) and virtual_slot.
 
-    A row without id hashes by its text, so that such rows spread too."""
+    A row's slot comes from its id and its text's checksum, so that texts under one id, or under none, spread too."""
     body = F.coalesce(F.col(text), F.lit("")).cast("binary")
     return docs.select(
         F.col(id).alias("doc_id"),
         (F.octet_length(body) + 1).cast("long").alias("size"),
         F.crc32(body).alias("text_crc32"),
-        slot_of(F.coalesce(F.col(id).cast("string"), F.crc32(body).cast("string")), slots).alias("virtual_slot"),
+        slot_of(F.col(id).cast("string"), F.crc32(body), slots=slots).alias("virtual_slot"),
     )
 
 
@@ -163,7 +163,7 @@ def place(found: DataFrame, table: SlotMap) -> DataFrame:
 def shard_documents(docs: DataFrame, shards: int = SHARDS, slots: int = SLOTS, table: SlotMap | None = None, id: str = "doc_id", text: str = "text") -> tuple[DataFrame, SlotMap]:
     """Every row of `docs` with its shard, by near-equal bytes, and the map used.
 
-    With `table` its shards hold, sizes being counted anew. Rows with equal keys share a slot.
+    With `table` its shards hold, sizes being counted anew. Rows with one id and one text share a slot.
     An empty table gives no rows. Other columns are not read, whatever their names.
     """
     found = cut_lineage(records(docs, id, text, slots))
