@@ -116,17 +116,28 @@ def kept_points(points: DataFrame, priority: Sequence[str], leaves: DataFrame, t
     return paths.with_label_path(rec.dedup_by_source(rec.of_types(rec.core_keys(points), types), priority), leaves)
 
 
-def unified(points: DataFrame, priority: Sequence[str], leaves: DataFrame, rollup: DataFrame, manifest: Manifest | None = None, types: Sequence[str] = (), unknown: bool = False, digits: int = 6) -> Published:
-    """The unified publish: source-priority de-duplication, then associations by label path, overall totals, roll-up and variant index."""
-    kept = kept_points(points, priority, leaves, types)
-    by_label, rolled_scope = [*GENE, "label_path"], [*GENE, "label_path"]
+def of_kept(kept: DataFrame, rollup: DataFrame, manifest: Manifest | None = None, unknown: bool = False, digits: int = 6) -> Published:
+    """Everything that is published, of points as `kept_points` gives them. Every table reads them anew, so let them be read from files."""
+    by_label = [*GENE, "label_path"]
     rolled = ag.roll_up(kept, rollup).withColumn("label_path", F.array("category", "label"))
     return Published(
         entries(kept, by_label, digits, unknown, manifest), entries(kept, GENE, digits, unknown, manifest, True),
-        entries(rolled, rolled_scope, digits, unknown), entries(rolled, GENE, digits, unknown), ag.variant_index(kept, by_label),
+        entries(rolled, by_label, digits, unknown), entries(rolled, GENE, digits, unknown), ag.variant_index(kept, by_label),
     )
 
 
+def unified(points: DataFrame, priority: Sequence[str], leaves: DataFrame, rollup: DataFrame, manifest: Manifest | None = None, types: Sequence[str] = (), unknown: bool = False, digits: int = 6, scratch: str | None = None) -> Published:
+    """The unified publish: source-priority de-duplication, then associations by label path, overall totals, roll-up and variant index.
+
+    With `scratch`, a new folder that driver and executors share, the de-duplicated points are written there once and every table reads the files.
+    """
+    kept = kept_points(points, priority, leaves, types)
+    if scratch is not None:
+        kept.write.parquet(scratch)
+        kept = points.sparkSession.read.parquet(scratch)
+    return of_kept(kept, rollup, manifest, unknown, digits)
+
+
 def index_backfill(points: DataFrame, priority: Sequence[str], leaves: DataFrame) -> DataFrame:
     """The variant index alone, from one best record for each key and the best frequency for each of its populations."""
     keys = ["dataset_type", "gene_id", "variant_id", "phenotype"]

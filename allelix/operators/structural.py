@@ -115,16 +115,25 @@ def patch_candidates(payloads: DataFrame, parts: int = 1, part: int = 0, limit:
     return lacking if limit is None else lacking.orderBy("gene_id").limit(max(limit, 0))
 
 
-def build(variants: DataFrame, genes: DataFrame, seed: DataFrame, annotation: DataFrame, terms: Sequence[str] = (), fallback: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """The structural-variant job: variants that speak of `terms`, with the genes they overlap and their metadata, folded by gene; and one row of
-    run counts."""
-    wanted = variants.where(fn.matches_terms(F.col("phenotypes"), tuple(terms)))
-    hits = overlaps(wanted, genes, fallback)
+def described_hits(variants: DataFrame, genes: DataFrame, seed: DataFrame, annotation: DataFrame, terms: Sequence[str] = (), fallback: DataFrame | None = None) -> DataFrame:
+    """Variants that speak of `terms`, each with every gene that it overlaps and the gene's metadata: the rows that `fold_by_gene` folds."""
+    hits = overlaps(variants.where(fn.matches_terms(F.col("phenotypes"), tuple(terms))), genes, fallback)
     regions = hits.select("gene_id", "gene_stable_id", F.col("g_start").alias("start"), F.col("g_end").alias("end"), "strand", "biotype")
     described = gene_metadata(regions, seed, annotation)
-    rows = hits.drop("strand", "biotype").join(described, ["gene_id", "gene_stable_id"]).withColumnsRenamed({"v_start": "start", "v_end": "end"})
+    return hits.drop("strand", "biotype").join(described, ["gene_id", "gene_stable_id"]).withColumnsRenamed({"v_start": "start", "v_end": "end", "v_chrom": "chrom"}).drop("g_start", "g_end")
+
+
+def run_counts(variants: DataFrame, hits: DataFrame, terms: Sequence[str] = ()) -> DataFrame:
+    """One row: variants seen, without type, without phenotype and left out by their terms, and hits."""
     seen = variants.agg(F.count("*").alias("rows_seen"), F.count_if(F.col("variant_type").isNull()).alias("no_type"), F.count_if(F.size("phenotypes") == 0).alias("no_phenotype"), F.count_if(~fn.matches_terms(F.col("phenotypes"), tuple(terms))).alias("filtered"))
-    return fold_by_gene(rows), seen.crossJoin(hits.agg(F.count("*").alias("records_emitted")))
+    return seen.crossJoin(hits.agg(F.count("*").alias("records_emitted")))
+
+
+def build(variants: DataFrame, genes: DataFrame, seed: DataFrame, annotation: DataFrame, terms: Sequence[str] = (), fallback: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """The structural-variant job: variants that speak of `terms`, with the genes they overlap and their metadata, folded by gene; and one row of
+    run counts."""
+    hits = described_hits(variants, genes, seed, annotation, terms, fallback)
+    return fold_by_gene(hits), run_counts(variants, hits, terms)
 
 
 def backfill(payloads: DataFrame, exon_rows: DataFrame, parts: int = 1, part: int = 0) -> tuple[DataFrame, DataFrame]:

@@ -103,11 +103,11 @@ def prepared_records(df: DataFrame, mapping: DataFrame | None = None, dataset_id
     new = {
         "gene_id": text("gene"), "variant_id": text("rsid"), "phenotype": _slugged(text("phenotype")), "variation_type": text("var_class"), "clinical_significance": text("clinical_significance"),
         "most_severe_consequence": text("most_severe_consequence"), "p_value": fn.to_float(text("pval")), "pmid": text("pmid"),
-        "ancestry": F.coalesce(fn.parse_ancestry(text("ancestry_data")), F.create_map().cast("map<string,string>")), "m_class": text("functional_class"),
+        "ancestry": F.coalesce(fn.parse_ancestry(text("ancestry_data")), F.create_map().cast("map<string,string>")), "m_class": text("functional_class"), "m_file": text("source_file"),
     }
     rows = resolved(df.select(*[c.alias(n) for n, c in new.items()]), mapping).where(fn.is_gene(F.col("gene_id")))
     rows = rows.withColumns({"dataset_type": F.upper("mapped_type"), "disease_category": F.col("mapped_category")})
-    return rec.of_types(_canonical(rows, dataset_id, source, {"functional_class": F.col("m_class")}), types)
+    return rec.of_types(_canonical(rows, dataset_id, source, {"functional_class": F.col("m_class"), "source_file": F.col("m_file")}), types)
 
 
 STATISTICS = {
@@ -133,6 +133,20 @@ def long_rows(df: DataFrame, mapping: DataFrame | None = None, overrides: dict |
     return rows.where("gene_id is not null and variant_id is not null and phenotype is not null").drop("mapped_type", "mapped_category")
 
 
+LONG_KEY = ("source_file", "dataset_type", "gene_id", "variant_id", "merge_key")
+
+
+def one_per_ancestry(rows: DataFrame) -> DataFrame:
+    """`long_rows` with merge_key (phenotype key, else phenotype), cut to one row for each key and ancestry: the smallest p-value, then the first
+    by its statistics. Cutting twice, or parts first and then their union, gives the same rows."""
+    keyed = rows.withColumn("merge_key", F.coalesce("phenotype_key", "phenotype"))
+    return keyed.withColumn("__n", F.row_number().over(Window.partitionBy(*LONG_KEY, "group").orderBy(*_long_order(keyed)))).where("__n = 1").drop("__n")
+
+
+def _long_order(rows: DataFrame) -> list[Column]:
+    return [F.col("p_value").asc_nulls_last(), F.xxhash64(*sorted(c for c in rows.columns if c not in ("source_file", "merge_key", "__n")))]
+
+
 def merged_long(rows: DataFrame, dataset_id: str = "mvp", source: str = "million_veteran_program") -> DataFrame:
     """Canonical records of `long_rows`: one for each file, type, gene, variant and phenotype, with the ancestry map, each ancestry's
     statistics and those of the row with the smallest p-value.
@@ -140,10 +154,8 @@ def merged_long(rows: DataFrame, dataset_id: str = "mvp", source: str = "million
     Of several rows of one ancestry the one with the smallest p-value counts, then the first by its statistics. Rows are first cut to
     one for each ancestry, so a group gathers at most as many as there are ancestries.
     """
-    key = ["source_file", "dataset_type", "gene_id", "variant_id", "__phenotype"]
-    order = [F.col("p_value").asc_nulls_last(), F.xxhash64(*[c for c in rows.columns if c != "source_file"])]
-    keyed = rows.withColumn("__phenotype", F.coalesce("phenotype_key", "phenotype"))
-    one = keyed.withColumn("__n", F.row_number().over(Window.partitionBy(*key, "group").orderBy(*order))).where("__n = 1").drop("__n")
+    key, one = list(LONG_KEY), one_per_ancestry(rows)
+    order = _long_order(one)
     stats = [F.col(f"s_{n}").alias(n) for n in STATISTICS]
     each = F.struct(F.col("group").alias("key"), F.struct("af", *stats, F.col("code").alias("source_ancestry_code"), F.col("label").alias("source_ancestry_label"), F.col("group").alias("canonical_ancestry_group")).alias("value"))
     best = ["phenotype", "disease_category", "p_value", "chrom", "pos", "ref", "alt", "effect_allele", "phenotype_key", "description", "parent_phenotype", "is_sub_phenotype", *[f"s_{n}" for n in STATISTICS]]
@@ -232,7 +244,7 @@ def prepared_export(records: DataFrame, change: Column | None = None) -> DataFra
     return records.select(*[F.coalesce(c, nothing).alias(n) for n, c in out.items()])
 
 
-def structural_rows(df: DataFrame) -> DataFrame:
+def structural_rows(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Structural-variant rows with chromosome, start and end in order, type, phenotypes, significance and assembly. Rows without id, study or
     place are dropped. A byte-order mark before the first column's name is taken off."""
     clean = df.withColumnsRenamed({c: c.lstrip("﻿") for c in df.columns})
@@ -244,11 +256,21 @@ def structural_rows(df: DataFrame) -> DataFrame:
         text("Variant ID").alias("variant_id"), text("Study ID").alias("study_id"), fn.chromosome(text("Chromosome")).alias("chrom"), F.least(a, b).alias("start"), F.greatest(a, b).alias("end"),
         F.when(a.isNotNull() & b.isNotNull(), True).alias("__placed"), fn.variant_type(text("Variant Call type"), text("Variant Region type")).alias("variant_type"),
         F.coalesce(fn.phenotype_list(text("Subject Phenotype")), F.array().cast("array<string>")).alias("phenotypes"), text("Clinical Interpretation").alias("clinical_significance"),
-        text("Assembly Name").alias("assembly_name"), given(clean, "source_file").alias("source_file"),
+        text("Assembly Name").alias("assembly_name"), given(clean, "source_file").alias("source_file"), *keep,
     )
     return rows.where("variant_id is not null and study_id is not null and chrom is not null and __placed").drop("__placed")
 
 
+def structural_records(df: DataFrame, dataset_id: str = "dbvar", source: str = "dbvar", dataset_type: str = "STRUCTURAL_VARIANT", genes: str = "gene_id") -> DataFrame:
+    """Canonical records of structural-variant rows that name a gene: one for each phenotype, the place and assembly in the metadata.
+
+    Rows without the column `genes`, or with a null in it, have no record: their genes come from the overlap (`structural.build`).
+    """
+    rows = structural_rows(df.withColumn("__gene", given(df, genes)), keep=("__gene",)).where("__gene is not null and size(phenotypes) > 0")
+    rows = rows.select("*", F.col("__gene").alias("gene_id"), F.explode("phenotypes").alias("__p")).withColumns({"phenotype": _slugged(F.col("__p")), "variation_type": F.col("variant_type"), "dataset_type": F.lit(dataset_type), "ancestry": F.create_map().cast("map<string,string>")})
+    return _canonical(rows, dataset_id, source, {n: F.col(n) for n in ("study_id", "chrom", "start", "end", "assembly_name", "source_file")})
+
+
 def source_normalised(df: DataFrame, source_id: str, release_id: str) -> DataFrame:
     """Prepared rows as the source-normalised table: all fields trimmed, blanks instead of nulls, and a row id from source, release and the
     row's content, with a number for repeats, so that a rerun gives the same ids."""
@@ -268,6 +290,7 @@ def source_normalised(df: DataFrame, source_id: str, release_id: str) -> DataFra
 #: Adapters by name: (raw table, phenotype map, further arguments) to canonical records. Users add their own.
 ADAPTERS: dict[str, Callable[..., DataFrame]] = {
     "gwas": gwas, "ensembl": wide_populations, "clinvar": clinical, "legacy_csv": prepared_records, "mvp": lambda df, mapping=None, **more: merged_long(long_rows(df, mapping), **more),
+    "dbvar": lambda df, mapping=None, **more: structural_records(df, **more),
 }
 
 

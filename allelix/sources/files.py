@@ -2,19 +2,17 @@
 
 from __future__ import annotations
 
-import io
+import itertools
 import os
-import zipfile
 from collections.abc import Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from allelix.functions import text as fn
-from allelix.sources.readers import delimited, header_inventory
-
-TABLES = "*.{csv,csv.gz,csv.zip}"
+from allelix.sources import archives
+from allelix.sources.readers import TABLES, columns_of, delimited, header_inventory, header_of
 
 
 def expanded(paths: str | Sequence[str]) -> list[str]:
@@ -29,45 +27,60 @@ def input_files(spark: SparkSession, paths: str | Sequence[str], pattern: str =
     return found.select(F.col("path").alias("file"), F.element_at(F.split("path", "/"), -1).alias("name"), F.col("length").alias("bytes"), F.col("modificationTime").alias("modified"))
 
 
-def sniffed(spark: SparkSession, paths: str | Sequence[str], delimiter: str = "auto", strict: bool = False, keep_broken: bool = True) -> DataFrame:
-    """Delimited files as strings with source_file. `auto` takes each file's delimiter from its header: one read for each delimiter that
-    occurs, columns united by name; `comma` and `tab` fix it. The driver learns file names only."""
-    if delimiter != "auto":
-        return delimited(spark, expanded(paths), {"comma": ",", "tab": "\t"}.get(delimiter, delimiter), strict, keep_broken)
-    groups: dict[str, list[str]] = {}
-    for path in expanded(paths):
-        for r in header_inventory(spark, path).select("file", "delimiter").collect():
-            groups.setdefault(r.delimiter, []).append(r.file)
-    parts = [delimited(spark, sorted(set(files)), d, strict, keep_broken) for d, files in sorted(groups.items())]
+def headers(spark: SparkSession, names: DataFrame) -> DataFrame:
+    """(file, delimiter, columns, fingerprint, error) of the files in the column `file`, plain, gzipped or zipped: see `readers.header_of`."""
+    return header_of(archives.first_lines(names))
+
+
+def tables(spark: SparkSession, heads: DataFrame, strict: bool = False, keep_broken: bool = True) -> DataFrame:
+    """The files of a header inventory (file, delimiter, columns) as strings with source_file, columns united by name.
+
+    Plain and gzipped files are read by Spark, one read for each header that occurs, so that a plain file is split; archives are read
+    member by member. The driver learns names and headers of the files, as for any list of files.
+    """
+    plain: dict[tuple, list[str]] = {}
+    zipped: list[tuple[str, None, str]] = []
+    order: dict[str, None] = {}
+    for r in heads.select("file", "delimiter", "columns").orderBy("file").toLocalIterator():
+        if r.file.lower().endswith(".zip"):
+            zipped.append((r.file, None, r.delimiter))
+            order |= dict.fromkeys(r.columns)
+        else:
+            plain.setdefault((r.delimiter, tuple(r.columns)), []).append(r.file)
+    parts = [delimited(spark, own, d, strict, keep_broken) for (d, _), own in sorted(plain.items())]
+    if zipped:
+        parts.append(archives.zipped_tables(spark, zipped, [c for c in order if c and c != "source_file"], strict, keep_broken))
     if not parts:
-        raise FileNotFoundError(f"no file at {paths}")
+        raise FileNotFoundError("no file to read")
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part, allowMissingColumns=True)
     return out
 
 
+def sniffed(spark: SparkSession, paths: str | Sequence[str], delimiter: str = "auto", strict: bool = False, keep_broken: bool = True) -> DataFrame:
+    """Delimited files, plain, gzipped or zipped, as strings with source_file. `auto` takes each file's delimiter from its header; `comma` and `tab` fix it.
+    A file that cannot be read is an error, as is a path without files."""
+    heads = header_inventory(spark, expanded(paths))
+    broken = heads.where("error is not null").first()
+    if broken is not None:
+        raise ValueError(f"{broken.file}: {broken.error}")
+    if delimiter != "auto":
+        heads = heads.withColumn("delimiter", F.lit({"comma": ",", "tab": "\t"}.get(delimiter, delimiter)))
+        heads = heads.withColumn("columns", columns_of(F.col("line"), F.col("delimiter")))
+    return tables(spark, heads, strict, keep_broken)
+
+
 def zipped_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(file, value): the lines of zip archives with a single member. An archive is one row, decompressed as a stream in its task."""
-    def lines(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for file, content in zip(frame["path"], frame["content"]):
-                with zipfile.ZipFile(io.BytesIO(content)) as archive:
-                    names = [n for n in archive.namelist() if not n.endswith("/")]
-                    if len(names) != 1:
-                        raise ValueError(f"{file} holds {len(names)} members instead of one")
-                    with io.TextIOWrapper(archive.open(names[0]), "utf-8-sig", newline=None) as stream:
-                        held = []
-                        for line in stream:
-                            held.append(line.rstrip("\n"))
-                            if len(held) == 10_000:
-                                yield pd.DataFrame({"file": file, "value": held})
-                                held = []
-                        if held:
-                            yield pd.DataFrame({"file": file, "value": held})
-
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path)
-    return files.select("path", "content").mapInPandas(lines, "file string, value string")
+    """(file, value): the lines of zip archives with a single member, decompressed as a stream."""
+    def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for file in batch.column(0).to_pylist():
+                with archives.text_stream(file) as stream:
+                    while held := [line.rstrip("\r\n") for line in itertools.islice(stream, 10_000)]:
+                        yield pa.RecordBatch.from_arrays([pa.array([file] * len(held)), pa.array(held, pa.string())], names=["file", "value"])
+
+    return input_files(spark, path, "*.zip").select("file").mapInArrow(lines, "file string, value string")
 
 
 def json_map(spark: SparkSession, path: str) -> DataFrame:

@@ -4,20 +4,41 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from allelix.functions import text as fn
+from allelix.sources import archives
 
 
-def header_inventory(spark: SparkSession, path: str) -> DataFrame:
-    """file, delimiter, columns and fingerprint of every file's header line; the delimiter is the commonest of , tab ; |."""
-    first = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"), "value")
-    header = first.where("at = 0").groupBy("file").agg(F.first("value").alias("line"))
+#: File names that are taken for delimited tables in folders.
+TABLES = "*.{csv,csv.gz,csv.zip}"
+
+
+def columns_of(line: Column, delimiter: Column) -> Column:
+    """The column names of a header line, without white space and quotes around them."""
+    return F.transform(F.split(line, F.concat(F.lit("\\Q"), delimiter, F.lit("\\E"))), lambda c: F.regexp_replace(fn.strip(c), '^"|"$', ""))
+
+
+def header_of(lines: DataFrame) -> DataFrame:
+    """(file, line, delimiter, columns, fingerprint, error) of first lines (file, line, error); the delimiter is the commonest of , tab | ; in the line."""
     counted = F.array(*[F.struct(F.length(F.regexp_replace("line", f"[^{p}]", "")).alias("n"), F.lit(-i).alias("order"), F.lit(d).alias("d")) for i, (d, p) in enumerate(((",", ","), ("\t", "\t"), ("|", "|"), (";", ";")))])
-    cut = header.withColumn("delimiter", F.array_max(counted)["d"])
-    columns = F.transform(F.split("line", F.concat(F.lit("\\Q"), F.col("delimiter"), F.lit("\\E"))), lambda c: F.regexp_replace(fn.strip(c), '^"|"$', ""))
-    return cut.select("file", "delimiter", columns.alias("columns")).withColumn("fingerprint", F.sha2(F.to_json("columns"), 256))
+    cut = lines.withColumn("delimiter", F.array_max(counted)["d"])
+    return cut.select("file", "line", "delimiter", columns_of(F.col("line"), F.col("delimiter")).alias("columns"), "error").withColumn("fingerprint", F.sha2(F.to_json("columns"), 256))
+
+
+def header_inventory(spark: SparkSession, paths: str | Sequence[str], pattern: str = "*") -> DataFrame:
+    """file, line, delimiter, columns, fingerprint and error of every file's header, as `header_of` has them.
+
+    Of each file only its first block is read, in a task that opens it. Where only Spark can open the path, the first line of each plain or gzipped
+    file comes from a text scan.
+    """
+    given = [paths] if isinstance(paths, str) else list(paths)
+    if all(map(archives.opens, given)):
+        listed = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(given).select(F.col("path").alias("file"))
+        return header_of(archives.first_lines(listed))
+    rows = spark.read.option("pathGlobFilter", pattern).text(given).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"), "value", F.monotonically_increasing_id().alias("n"))
+    return header_of(rows.where("at = 0").groupBy("file").agg(F.min_by("value", "n").alias("line")).withColumn("error", F.lit(None).cast("string")))
 
 
 def delimited(spark: SparkSession, paths: Sequence[str], delimiter: str = ",", strict: bool = False, keep_broken: bool = True) -> DataFrame:

@@ -1,3 +1,4 @@
+import os
 import shutil
 import subprocess
 import sys
@@ -21,7 +22,7 @@ def names(tmp_path, *gone):
             shutil.rmtree(at)
         else:
             at.unlink(missing_ok=True)
-    done = subprocess.run([sys.executable, "-c", SAY], cwd=tmp_path, capture_output=True, text=True, check=True)
+    done = subprocess.run([sys.executable, "-c", SAY], cwd=tmp_path, env=os.environ | {"PYTHONPATH": str(tmp_path)}, capture_output=True, text=True, check=True)
     count, numbered, pipeline, known = done.stdout.split()
     return int(count), int(numbered), pipeline == "True", known == "True"
 
@@ -40,4 +41,4 @@ def test_a_module_that_cannot_be_imported_takes_only_its_own_queries(tmp_path):
 
 def test_without_the_pipeline_file_the_rest_stays(tmp_path):
     pytest.importorskip("allelix.llm.queries")
-    assert names(tmp_path, "corpus_pipeline.py")[1:3] == (10, False)
+    assert names(tmp_path, "corpus_pipeline.py")[1:3] == (13, False)

@@ -13,6 +13,7 @@ from allelix.operators.meta import Bundles, Manifest, merge_names, merge_objects
 from allelix.plans.jobs import MANIFEST, TREE
 from allelix.plans.points import PRIORITY, points
 from allelix.sources import adapters, files, sinks
+from allelix.sources.store import Store
 
 DATA = "/root/testdata/sf0.001"
 
@@ -94,10 +95,11 @@ def test_unified_publish_writes_and_serves(spark, tmp_path):
     tables = serving.build({"association": association, "overall": overall}, manifest=Manifest.of(MANIFEST))
     summary = json.loads(tables["association_summary_payloads"].first().payload_json)
     assert all("ancestry" not in e and "vc" in e and pub.META_KEY in e for e in summary)
-    sinks.write_tables({k.removesuffix("_gene_payloads"): v for k, v in tables.items() if k in ("association_gene_payloads", "overall_gene_payloads")}, str(tmp_path / "serving"))
+    store = Store(spark, str(tmp_path / "serving"))
+    serving.write_build(store, {k: v for k, v in tables.items() if k in ("association_gene_payloads", "overall_gene_payloads")})
     rows = spark.createDataFrame([("Brand#1", "{}"), ("NEW", "{}")], "gene_id string, payload_json string")
     for _ in range(2):
-        catalog = serving.apply_secondary(spark, str(tmp_path / "serving"), "expression", serving.secondary_rows(rows))
+        catalog = serving.apply_secondary(store, "expression", serving.secondary_rows(rows), {"version": 2})
     assert {r.gene_id: r.has_cvd for r in catalog.where("has_expression").collect()} == {"Brand#1": True, "NEW": False} if overall.where("gene_id = 'Brand#1'").count() else True
 
 
@@ -109,7 +111,7 @@ def test_sinks_replace_and_reread(spark, tmp_path):
     schema = "source string, source_file string, variant_id string"
     sinks.upsert_points(spark.createDataFrame([("s", "f1", "rs1"), ("t", "f1", "rs2"), ("s", "f2", "rs3")], schema), str(tmp_path / "p"))
     sinks.upsert_points(spark.createDataFrame([("s", "f1", "rs9")], schema), str(tmp_path / "p"))
-    assert sorted(r.variant_id for r in spark.read.parquet(str(tmp_path / "p")).collect()) == ["rs3", "rs9"]
+    assert sorted(r.variant_id for r in sinks.read_points(spark, str(tmp_path / "p")).collect()) == ["rs2", "rs3", "rs9"]
     empty = adapters.prepared(spark.createDataFrame([], "MarkerID string"), "CVD", "x")
     sinks.write_prepared(empty, str(tmp_path / "e"))
     text = spark.read.option("header", True).csv(str(tmp_path / "e"))

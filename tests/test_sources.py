@@ -27,6 +27,6 @@ def test_upsert_and_stream_are_idempotent(spark, tmp_path):
     spark.createDataFrame([("s", "f1", "rs1", 0.5), ("s", "f2", "rs2", 0.1)], schema).write.parquet(incoming)
     for _ in range(2):
         ingest.ingest_files(spark, incoming, schema, out, state)
-    assert spark.read.parquet(out).count() == 2
+    assert sinks.read_points(spark, out).count() == 2
     sinks.upsert_points(spark.createDataFrame([("s", "f1", "rs9", 0.2)], schema), out)
-    assert sorted(r.variant_id for r in spark.read.parquet(out).collect()) == ["rs2", "rs9"]
+    assert sorted(r.variant_id for r in sinks.read_points(spark, out).collect()) == ["rs2", "rs9"]
