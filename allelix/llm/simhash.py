@@ -33,8 +33,9 @@ WORDS, SIMILAR, LOOKS = 5, 0.8, 2
 NEAR = 22
 #: Coarse search: differing bits for which its buckets are cut (one of four whole blocks is then equal), and those of its candidates.
 COARSE, COARSE_NEAR = 3, 12
-#: Differing bits for which the buckets of a shingle that is in too many prefixes are cut.
-BUDGET = 7
+#: Prefix shingles before its own that a row of the last search carries, to tell whether a pair has met before; and rows of one half of a
+#: large bucket's pair of blocks.
+BEFORE, BLOCK_ROWS = 6, 2048
 #: Texts that tell, by a sample, which shingles are frequent, and in how many of them a frequent one is at least.
 HOT_TEXTS, HOT_AT = 4096, 4
 #: Fingerprints that one bucket may hold before it is cut by further bits.
@@ -532,15 +533,28 @@ def _member_pairs(fp: np.ndarray, comp: np.ndarray, starts: np.ndarray, near: in
     return x[open_], y[open_]
 
 
+def _met_before(before: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether the rows of each pair share one of the prefix shingles right before the bucket's own (zero: none). Such a pair meets in that shingle's
+    bucket too, and so in the end in the bucket of one of its shared shingles that has none before it."""
+    out = np.zeros(len(a), dtype=bool)
+    for i in range(before.shape[1]):
+        left = before[a, i]
+        for j in range(before.shape[1]):
+            out |= (left != 0) & (left == before[b, j])
+    return out
+
+
 def _walk_prefix(near: int, similar: float, crossing: bool):
-    """Candidates of buckets (path, fp, key, comp, size, pos) of one shingle of prefixes: key pairs of different comps whose fingerprints are near
-    and whose sizes and places of the shingle allow the similarity, if it is the first that they share. A spanning forest of each bucket's comps, nearer
-    pairs first, and whether others were left out; or, `crossing`, all of them."""
-    def joined(path: np.ndarray, fp: np.ndarray, key: np.ndarray, comp: np.ndarray, size: np.ndarray, pos: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Candidates of buckets (path, fp, key, comp, size, pos, side, before ...) of one shingle of prefixes: key pairs of different comps whose fingerprints are
+    near and whose sizes and places of the shingle allow the similarity. A spanning forest of each bucket's comps, nearer pairs first, and whether
+    others were left out; or, `crossing`, all of them, each about once: a pair that shares one of the shingles before is left to that shingle's bucket.
+    Rows of different sides (0 and 1) are paired with each other only, rows of side 2 with all."""
+    def joined(path: np.ndarray, fp: np.ndarray, key: np.ndarray, comp: np.ndarray, size: np.ndarray, pos: np.ndarray, side: np.ndarray, *before: np.ndarray) -> Iterator[pa.RecordBatch]:
         starts = np.concatenate([[0], np.flatnonzero(np.diff(path)) + 1, [len(path)]])
         mixed = np.minimum.reduceat(comp, starts[:-1]) != np.maximum.reduceat(comp, starts[:-1])
         rows = np.repeat(mixed, np.diff(starts))
-        fp, key, comp, size, pos = (x[rows] for x in (fp, key, comp, size, pos))
+        fp, key, comp, size, pos, side = (x[rows] for x in (fp, key, comp, size, pos, side))
+        earlier = np.stack([x[rows] for x in before], axis=1) if before else None
         count = np.diff(starts)[mixed]
         starts = np.concatenate([[0], np.cumsum(count)])
         cuts, total = [0], 0
@@ -555,6 +569,11 @@ def _walk_prefix(near: int, similar: float, crossing: bool):
             base, end = starts[x], starts[y]
             own, names, group, sizes, place = (z[base:end] for z in (fp, key, comp, size, pos))
             a, b = _member_pairs(own, group, starts[x : y + 1] - base, near)
+            sides = side[base:end]
+            open_ = (sides[a] != sides[b]) | (sides[a] == 2)
+            if earlier is not None:
+                open_ &= ~_met_before(earlier[base:end], a, b)
+            a, b = a[open_], b[open_]
             least, most = np.minimum(sizes[a], sizes[b]), np.maximum(sizes[a], sizes[b])
             common = np.minimum(sizes[a] - place[a], sizes[b] - place[b])  # this shingle and all behind it
             able = (least >= similar * most - 1e-9) & (common >= similar / (1 + similar) * (sizes[a] + sizes[b]) - 1e-9)
@@ -570,7 +589,7 @@ def _walk_prefix(near: int, similar: float, crossing: bool):
             yield pa.RecordBatch.from_arrays([pa.array(names[a]), pa.array(names[b]), pa.array(more)], names=["a", "b", "more"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [np.zeros(0, dtype=t) for t in (np.int64, np.uint64, np.int64, np.int64, np.int64, np.int64)]
+        held = [np.zeros(0, dtype=np.uint64 if i == 1 else np.int64) for i in range(7 + (BEFORE if crossing else 0))]
         for batch in batches:
             held = [np.concatenate([x, c.to_numpy().view(x.dtype)]) for x, c in zip(held, batch.columns)]
             if len(held[0]) >= 1 << 17:
@@ -585,26 +604,32 @@ def _walk_prefix(near: int, similar: float, crossing: bool):
     return run
 
 
-def _prefix_candidates(nodes: DataFrame, near: int, similar: float, crossing: bool = False, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+def _prefix_candidates(nodes: DataFrame, near: int, similar: float, crossing: bool = False, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Pairs (a, b, more) of keys (key, root, size, prints, prefix) with different roots that share a shingle of their prefixes and have near
     fingerprints: what connects the roots, or, `crossing`, all of them.
 
-    A shingle's bucket with more rows than `bucket_rows` and several roots is cut by blocks of the fingerprint, as any hot bucket is.
+    A shingle's bucket with several roots and more than twice `block_rows` rows is cut into blocks by key, and every pair of blocks is a bucket, so
+    that no pair is lost and none is in two.
     """
-    rows = nodes.select("key", F.col("root").alias("comp"), "size", F.col("prints")[0].alias("fp"), F.posexplode("prefix").alias("pos", "path"))
-    rows = rows.select("path", "fp", "key", "comp", "size", F.col("pos").cast("long").alias("pos"))
+    before = [F.coalesce(F.get("prefix", F.col("pos") - i), F.lit(0)).cast("long").alias(f"before{i}") for i in range(1, BEFORE + 1)] if crossing else []
+    rows = nodes.select("key", F.col("root").alias("comp"), "size", F.col("prints")[0].alias("fp"), "prefix", F.posexplode("prefix").alias("pos", "path"))
+    rows = rows.select("path", "fp", "key", "comp", "size", F.col("pos").cast("long").alias("pos"), F.lit(2).cast("long").alias("side"), *before)
     counted = rows.groupBy("path").agg(F.count("*").alias("n"), F.min("comp").alias("x"), F.max("comp").alias("y"))
-    hot = _marked(counted.where((F.col("n") > bucket_rows) & (F.col("x") != F.col("y"))).select("path"))
+    large = cut_lineage(counted.where((F.col("n") > 2 * block_rows) & (F.col("x") != F.col("y"))).select("path", F.ceil(F.col("n") / block_rows).cast("long").alias("blocks")))
     unsigned = F.col("fp").bitwiseXOR(F.lit(-(1 << (BITS - 1))))
 
     def walk(df: DataFrame) -> DataFrame:
         return df.repartition(shuffle_width(nodes), "path").sortWithinPartitions("path", unsigned, "key").mapInArrow(_walk_prefix(near, similar, crossing), "a bigint, b bigint, more boolean")
 
-    if hot is None:
+    n = large.count()
+    if not n:
         return walk(rows)
-    masks = F.array(*[F.lit(_signed(m)) for _, ms in _blocks((1 << BITS) - 1, BUDGET) for m in ms])
-    cut = rows.join(hot, "path", "left_semi").select(*rows.columns, F.explode(masks).alias("mask")).withColumn("path", _bucket("fp")).drop("mask")
-    return walk(rows.join(hot, "path", "left_anti")).unionByName(walk(cut.select(rows.columns)))
+    large = F.broadcast(large) if n <= FEW else large
+    own, other = F.pmod(F.xxhash64(F.lit(43), "key"), F.col("blocks")), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    cut = rows.join(large, "path").select(*rows.columns, own.alias("own"), other.alias("other"))
+    pair = F.xxhash64("path", F.least("own", "other"), F.greatest("own", "other"))
+    cut = cut.select(pair.alias("path"), *rows.columns[1:6], F.when(F.col("own") == F.col("other"), 2).otherwise(F.when(F.col("own") < F.col("other"), 0).otherwise(1)).cast("long").alias("side"), *rows.columns[7:])
+    return walk(rows.join(large.select("path"), "path", "left_anti")).unionByName(walk(cut))
 
 
 def most_bits(similar: float, bits: int) -> int:
@@ -672,7 +697,7 @@ def verified_groups(docs: DataFrame, words: int = WORDS, similar: float = SIMILA
 
     Two such sets share a shingle among the first of each in one common order, frequent ones last; so the fingerprints of the sets are
     bucketed by these shingles, and in each bucket the trie is walked against itself: pairs that differ in at most `near` bits are candidates,
-    if sizes and places of the shingle allow the similarity. A passage that many texts share comes last in the order, so it brings together
+    if sizes and places of the shingle allow the similarity. A large bucket is compared by pairs of its blocks, so none is lost there. A passage that many texts share comes last in the order, so it brings together
     only texts that are little else. Repeats of a shingle do not count. Texts with equal shingle sets, and so all without words, are in one
     group. First what connects the groups of a bucket is verified, nearest first; then all others whose ends are still in different groups. Null ids are
     left out; an empty table gives no rows.

@@ -161,6 +161,31 @@ def test_verified_groups_try_candidates_that_a_forest_leaves_out(spark):
                 assert found[i] == found[j]
 
 
+def test_large_prefix_buckets_lose_no_pair_and_repeat_few(spark):
+    """A family that shares only frequent shingles, in buckets of all its rows: cut into pairs of blocks it gives the pairs of brute force, each about once."""
+    r = random.Random(14)
+    words = [f"w{i}" for i in range(30_000)]
+    common = r.sample(words, 160)
+    texts = [" ".join(common + r.sample(words, r.randint(5, 60))) for _ in range(400)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = simhash.sketches(docs, 5, 2).groupBy("key").agg(*[F.first(c).alias(c) for c in ("size", "prints", "prefix")]).withColumn("root", F.col("key"))
+    nodes = found.collect()
+    expected = set()
+    for i, x in enumerate(nodes):
+        for y in nodes[:i]:
+            least, most = sorted((x["size"], y["size"]))
+            common_prefix = [s for s in x.prefix if s in set(y.prefix)]
+            if not common_prefix or least < 0.8 * most or (np.uint64(x.prints[0] % 2**64) ^ np.uint64(y.prints[0] % 2**64)).item().bit_count() > simhash.NEAR:
+                continue
+            rest = min(x["size"] - x.prefix.index(common_prefix[0]), y["size"] - y.prefix.index(common_prefix[0]))
+            if rest >= 0.8 / 1.8 * (x["size"] + y["size"]):
+                expected.add(tuple(sorted((x.key, y.key))))
+    assert len(expected) > 5000
+    for block in (40, 5000):
+        pairs = [tuple(sorted((p.a, p.b))) for p in simhash._prefix_candidates(found, simhash.NEAR, 0.8, True, block).collect()]
+        assert expected <= set(pairs) and len(pairs) < 1.2 * len(set(pairs))
+
+
 def test_sharding(docs, empty, spark, tmp_path):
     placed, table = sharding.shard_documents(docs, shards=4, slots=256)
     rows = placed.collect()
