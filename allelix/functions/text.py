@@ -29,9 +29,13 @@ def literal_map(values: dict) -> Column:
     return F.create_map(*[F.lit(x) for kv in values.items() for x in kv])
 
 
+#: White space as regular expressions take it.
+BLANKS = " \t\n\x0b\f\r"
+
+
 def strip(x: Column) -> Column:
-    """Without white space around, of any kind."""
-    return F.regexp_replace(x, r"^\s+|\s+$", "")
+    """Without white space around, of any kind. No regular expression: this runs for every key of every row."""
+    return F.btrim(x, F.lit(BLANKS))
 
 
 def clean_string(x: Column, tokens: tuple[str, ...] = NULL_TOKENS) -> Column:

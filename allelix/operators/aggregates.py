@@ -50,15 +50,15 @@ def roll_up(df: DataFrame, mapping: DataFrame) -> DataFrame:
     parent_phenotype, if it is there and no number, else the category, else the slug of the phenotype.
     """
     keyed = df.withColumn("slug", fn.slug(F.col("phenotype")))
-    typed = mapping.where("dataset_type <> ''").select("dataset_type", "slug", F.col("mapped_category").alias("__typed"))
-    plain = mapping.where("dataset_type = ''").select("slug", F.col("mapped_category").alias("__plain"))
-    found = keyed.join(typed, ["dataset_type", "slug"], "left").join(plain, "slug", "left")
+    entry = F.struct("dataset_type", F.coalesce("mapped_category", F.lit("")).alias("category"))
+    by_type = mapping.dropDuplicates(["dataset_type", "slug"]).groupBy("slug").agg(F.map_from_entries(F.collect_list(entry)).alias("__by_type"))
+    found = keyed.join(by_type, "slug", "left")
     blank = lambda c: F.nullif(c, F.lit(""))
-    category = F.coalesce(blank(F.col("__typed")), blank(F.col("__plain")), fn.slug(F.col("disease_category")), F.lit(""))
+    category = F.coalesce(blank(F.try_element_at("__by_type", F.col("dataset_type"))), blank(F.try_element_at("__by_type", F.lit(""))), fn.slug(F.col("disease_category")), F.lit(""))
     parent = blank(fn.slug(F.col("parent_phenotype"))) if "parent_phenotype" in df.columns else F.lit(None).cast("string")
     out = found.withColumn("category", category)
     label = F.coalesce(F.when(~parent.rlike("^[0-9]+$"), parent), blank(F.col("category")), F.col("slug"))
-    return out.withColumn("label", label).drop("__typed", "__plain")
+    return out.withColumn("label", label).drop("__by_type")
 
 
 def ancestry_points(df: DataFrame, scope: Sequence[str]) -> DataFrame:
@@ -69,16 +69,27 @@ def ancestry_points(df: DataFrame, scope: Sequence[str]) -> DataFrame:
 
 def variant_index(df: DataFrame, scope: Sequence[str]) -> DataFrame:
     """One row for each (scope, variant): labels, p-value and source of the best row, merged ancestry frequencies (the newest row's of
-    each population), sources, files, phenotype keys and record count."""
+    each population), sources, files, phenotype keys and record count.
+
+    `df` is read once and dealt once, by scope and variant: a first group by population too, so that repeats are folded before anything is gathered,
+    then the groups of a variant lie together.
+    """
     keys = [*scope, "variant_id"]
-    best = best_per_variant(df, scope, ("source", "variation_type", "most_severe_consequence", "clinical_significance", "p_value"))
-    sets = df.groupBy(*keys).agg(
-        F.array_sort(F.collect_set("source")).alias("sources"), F.array_sort(F.collect_set("source_file")).alias("source_files"),
-        F.array_sort(F.collect_set(F.nullif("phenotype_key", F.lit("")) if "phenotype_key" in df.columns else F.lit(None).cast("string"))).alias("phenotype_keys"), F.count("*").alias("record_count"),
+    key = F.nullif("phenotype_key", F.lit("")) if "phenotype_key" in df.columns else F.lit(None).cast("string")
+    labels = ["variation_type", "clinical_significance", "most_severe_consequence"]
+    rows = df.select(*keys, "source", "source_file", *labels, "p_value", "row_key", "ancestry", "ancestry_af", "ingested_at", key.alias("__key")).repartition(*[F.col(k) for k in keys])
+    rank = F.struct(F.col("p_value").isNull(), "p_value", F.col("row_key").isNull(), "row_key")
+    newest = F.when(F.col("ancestry").isNotNull() & F.col("ancestry_af").isNotNull(), F.struct(F.unix_micros("ingested_at"), "row_key"))
+    each = rows.groupBy(*keys, "ancestry").agg(
+        F.min_by(F.struct(*labels, "p_value", "source"), rank).alias("best"), F.min(rank).alias("rank"), F.max_by("ancestry_af", newest).alias("value"), F.count("*").alias("n"),
+        F.collect_set("source").alias("s"), F.collect_set("source_file").alias("f"), F.collect_set("__key").alias("k"),
     )
-    merged = ancestry_points(df, scope).groupBy(*keys).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("ancestry", "value")))).alias("ancestry"))
-    labels = [fn.variation_label(F.col("variation_type")).alias("variation"), fn.significance_label(F.col("clinical_significance")).alias("significance"), fn.consequence_label(F.col("most_severe_consequence")).alias("consequence")]
-    return best.join(sets, keys).join(merged, keys, "left").select(*keys, *labels, "p_value", "source", "ancestry", "sources", "source_files", "phenotype_keys", "record_count")
+    united = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(c))))
+    people = F.collect_list(F.when(F.col("value").isNotNull(), F.struct("ancestry", "value")))
+    found = each.groupBy(*keys).agg(F.min_by("best", "rank").alias("b"), people.alias("people"), united("s").alias("sources"), united("f").alias("source_files"), united("k").alias("phenotype_keys"), F.sum("n").alias("record_count"))
+    named = [fn.variation_label(F.col("b.variation_type")).alias("variation"), fn.significance_label(F.col("b.clinical_significance")).alias("significance"), fn.consequence_label(F.col("b.most_severe_consequence")).alias("consequence")]
+    ancestry = F.when(F.size("people") > 0, F.map_from_entries(F.array_sort("people"))).alias("ancestry")
+    return found.select(*keys, *named, "b.p_value", "b.source", ancestry, "sources", "source_files", "phenotype_keys", "record_count")
 
 
 def provenance(df: DataFrame, scope: Sequence[str]) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from allelix.functions import text as fn
 from allelix.operators import catalog as cat
+from allelix.sources.scratch import folder
 
 FEATURE = ("start", "end", "label", "type", "source", "accession", "description")
 GROUPS = (*[name for name, _ in fn.FEATURE_CLASSES], "other_features")
@@ -68,23 +69,45 @@ def ebi_features(df: DataFrame) -> DataFrame:
     return _shaped(df, "ebi_proteins", F.coalesce(*[F.nullif(x, F.lit("")) for x in (_text(df, "description", "alternativeSequence", "ligand"), accession, kind)]), kind, accession)
 
 
-_FRAGMENT = "struct<start:string,end:string>"
-_LOCATION = f"struct<start:string,end:string,fragments:array<{_FRAGMENT}>>"
-_PROTEIN = f"struct<entry_protein_locations:array<{_LOCATION}>,locations:array<{_LOCATION}>,matches:array<{_LOCATION}>>"
-ENTRY = f"struct<metadata:struct<accession:string,type:string,name:string,description:string>,proteins:array<{_PROTEIN}>,locations:array<{_LOCATION}>,matches:array<{_LOCATION}>,fragments:array<{_FRAGMENT}>>"
+#: Keys below which fragments may lie.
+NESTED = ("fragments", "entry_protein_locations", "locations", "proteins", "matches", "representative")
+
+
+def nested_fragments(entries: DataFrame, entry: str = "entry", most_rounds: int = 100) -> DataFrame:
+    """`entries` without `entry` (JSON), with fragment (variant): every object with a start and an end, at any depth below NESTED keys.
+
+    One round opens all objects and lists of one depth and keeps what may hold fragments; rounds end when nothing is left, so their number is the
+    greatest depth. Each round's rows are written and read again.
+    """
+    columns = [c for c in entries.columns if c != entry]
+    spark = entries.sparkSession
+    is_object, is_list = F.schema_of_variant("__v").startswith("OBJECT"), F.schema_of_variant("__v").startswith("ARRAY")
+    open_ = entries.select(*columns, F.try_parse_json(F.col(entry)).alias("__v")).where(F.col("__v").isNotNull())
+    out = None
+    for _ in range(most_rounds):
+        open_ = open_.withColumn("__kind", F.when(is_object, "o").when(is_list, "l")).where("__kind is not null")
+        at = folder(spark, "fragments")
+        open_.write.parquet(at)
+        open_ = spark.read.parquet(at)
+        if open_.isEmpty():
+            break
+        has = lambda k: F.array_contains(F.json_object_keys(F.to_json("__v")), k)
+        found = open_.where((F.col("__kind") == "o") & has("start") & has("end")).select(*columns, F.col("__v").alias("fragment"))
+        out = found if out is None else out.unionByName(found)
+        items = open_.lateralJoin(spark.tvf.variant_explode(F.col("__v").outer()))
+        open_ = items.where((F.col("__kind") == "l") | F.col("key").isin(*NESTED)).select(*columns, F.col("value").alias("__v"))
+    else:
+        raise ValueError(f"entries are nested more than {most_rounds} deep")
+    return entries.select(*columns, F.parse_json(F.lit("{}")).alias("fragment")).limit(0) if out is None else out
 
 
 def entry_fragments(entries: DataFrame) -> DataFrame:
-    """(transcript_id, features in the common shape) of nested domain entries (transcript_id, entry as JSON): every fragment at any of the known
-    depths, once for each accession and range."""
-    rows = entries.select("transcript_id", F.from_json("entry", ENTRY).alias("e"))
-    listed = lambda x, kind: F.coalesce(x, F.array().cast(f"array<{kind}>"))
-    inner = listed(F.flatten(F.transform(listed(F.col("e.proteins"), _PROTEIN), lambda p: F.concat(*[listed(p[k], _LOCATION) for k in ("entry_protein_locations", "locations", "matches")]))), _LOCATION)
-    places = F.concat(inner, listed(F.col("e.locations"), _LOCATION), listed(F.col("e.matches"), _LOCATION))
-    own = F.filter(F.transform(places, lambda x: F.struct(x.start.alias("start"), x.end.alias("end"))), lambda x: x.start.isNotNull())
-    parts = F.concat(F.flatten(F.transform(places, lambda x: listed(x.fragments, _FRAGMENT))), own, listed(F.col("e.fragments"), _FRAGMENT))
-    flat = rows.select("transcript_id", F.col("e.metadata.accession").alias("accession"), F.col("e.metadata.type").alias("type"), F.col("e.metadata.name").alias("name"), F.col("e.metadata.description").alias("description"), F.explode(parts).alias("x"))
-    flat = flat.select("transcript_id", "accession", "type", "name", "description", "x.*")
+    """(transcript_id, features in the common shape) of nested domain entries (transcript_id, entry as JSON): every fragment at any depth, once for
+    each accession and range."""
+    about = lambda k: F.get_json_object("entry", f"$.metadata.{k}").alias(k)
+    rows = entries.select("transcript_id", *[about(k) for k in ("accession", "type", "name", "description")], "entry")
+    inside = lambda k: F.try_variant_get("fragment", f"$.{k}", "string").alias(k)
+    flat = nested_fragments(rows).select("transcript_id", "accession", "type", "name", "description", inside("start"), inside("end"))
     kind = F.coalesce(F.nullif("type", F.lit("")), F.lit("InterPro"))
     shaped = _shaped(flat, "interpro", F.coalesce("name", "accession", kind), kind, _text(flat, "accession"))
     return shaped.dropDuplicates(["transcript_id", "accession", "start", "end"])

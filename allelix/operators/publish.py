@@ -8,7 +8,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from allelix.functions import text as fn
@@ -16,6 +16,7 @@ from allelix.operators import aggregates as ag
 from allelix.operators import paths
 from allelix.operators import records as rec
 from allelix.operators.meta import Manifest
+from allelix.sources.scratch import folder
 
 GENE = ("dataset_type", "gene_id")
 #: Key of a payload's provenance; set it to what the payloads' readers expect.
@@ -77,21 +78,60 @@ def overall_payloads(found: DataFrame) -> DataFrame:
     return found.select(*GENE, _with_meta(body, F.col("meta")).alias("payload_json"))
 
 
-def index_payloads(index: DataFrame, label: str = "label_path") -> DataFrame:
-    """(dataset_type, gene_id, payload_json) of the variant index, entries in order of path and variant."""
+def index_entry(label: str = "label_path") -> Column:
+    """One entry of the variant index as JSON."""
     path, given = F.col(label), lambda c: F.when(F.size(c) > 0, F.col(c))
     metadata = F.when((F.size("source_files") > 0) | (F.size("phenotype_keys") > 0), F.struct(given("source_files").alias("source_files"), given("phenotype_keys").alias("phenotype_keys")))
     named = lambda name, kind: F.when((F.col("dataset_type") == "TRAIT") == F.lit(kind), path).alias(name)
-    entry = F.struct(
+    return F.to_json(F.struct(
         "variant_id", "gene_id", "dataset_type", F.element_at(path, -1).alias("phenotype"), path.alias("phenotype_path"),
         F.when(F.col("dataset_type") == "TRAIT", "trait").otherwise("disease").alias("label_key"), named("trait", True), named("disease", False),
         F.col("variation").alias("variation_type"), F.col("consequence").alias("most_severe_consequence"), F.col("significance").alias("clinical_significance"),
         "p_value", "ancestry", given("sources").alias("sources"), "source", metadata.alias("metadata"),
-    )
-    rows = index.select(*GENE, F.struct(path.alias("p"), F.col("variant_id").alias("v"), F.to_json(entry).alias("j")).alias("x"))
+    ))
+
+
+def index_payloads(index: DataFrame, label: str = "label_path") -> DataFrame:
+    """(dataset_type, gene_id, payload_json) of the variant index, entries in order of path and variant. A gene is one row; `index_chunks` has no
+    such bound."""
+    rows = index.select(*GENE, F.struct(F.col(label).alias("p"), F.col("variant_id").alias("v"), index_entry(label).alias("j")).alias("x"))
     return rows.groupBy(*GENE).agg(F.concat(F.lit("["), F.array_join(F.transform(F.array_sort(F.collect_list("x")), lambda x: x.j), ","), F.lit("]")).alias("payload_json"))
 
 
+#: Entries of one chunk of a gene's payload, and bytes after which a chunk is closed before that.
+CHUNK_ENTRIES, CHUNK_BYTES = 5000, 8 << 20
+
+
+def chunked(rows: DataFrame, order: Sequence[str], entry: str = "entry", per_chunk: int = CHUNK_ENTRIES, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """(dataset_type, gene_id, chunk, entries, payload_json) of rows (dataset_type, gene_id, order columns, entry as JSON): each gene's entries in order, in
+    lists of at most `per_chunk` entries and about `chunk_bytes` bytes, however many a gene has; and a footer row (chunk -1) with the gene's numbers
+    of chunks and entries.
+
+    Rows are sorted by range, so a gene with a third of all rows lies in many tasks. Chunks are numbered by the entries of the ranges before, which
+    is one row for each gene and range. The lists of a gene's chunks one after the other are its payload.
+    """
+    dealt = rows.repartitionByRange(*GENE, *order).sortWithinPartitions(*GENE, *order)
+    at = folder(rows.sparkSession, "chunks")
+    dealt.withColumn("__range", F.spark_partition_id()).write.parquet(at)
+    placed = rows.sparkSession.read.parquet(at)
+    inside = Window.partitionBy(*GENE, "__range").orderBy(*order)
+    numbered = placed.withColumns({"__n": F.row_number().over(inside) - 1, "__b": F.sum(F.octet_length(entry)).over(inside.rowsBetween(Window.unboundedPreceding, -1))})
+    local = numbered.withColumn("__chunk", F.greatest(F.floor(F.col("__n") / per_chunk), F.floor(F.coalesce("__b", F.lit(0)) / chunk_bytes)))
+    lists = local.groupBy(*GENE, "__range", "__chunk").agg(F.array_sort(F.collect_list(F.struct("__n", entry))).alias("x"))
+    lists = lists.select(*GENE, F.struct("__range", "__chunk").alias("__place"), F.size("x").cast("bigint").alias("entries"), F.concat(F.lit("["), F.array_join(F.transform("x", lambda x: x[entry]), ","), F.lit("]")).alias("payload_json"))
+    kept = folder(rows.sparkSession, "chunks")
+    lists.write.parquet(kept)
+    lists = rows.sparkSession.read.parquet(kept)
+    number = lists.select(*GENE, "__place", (F.row_number().over(Window.partitionBy(*GENE).orderBy("__place")) - 1).alias("chunk"))
+    footer = lists.groupBy(*GENE).agg(F.lit(-1).alias("chunk"), F.sum("entries").alias("entries"), F.to_json(F.struct(F.count("*").alias("chunks"), F.sum("entries").alias("entries"))).alias("payload_json"))
+    return lists.join(number, [*GENE, "__place"]).select(*GENE, "chunk", "entries", "payload_json").unionByName(footer)
+
+
+def index_chunks(index: DataFrame, label: str = "label_path", **sizes: int) -> DataFrame:
+    """The variant index as `chunked` payloads, entries in order of path and variant."""
+    return chunked(index.select(*GENE, F.col(label).alias("__path"), F.col("variant_id").alias("__variant"), index_entry(label).alias("entry")), ("__path", "__variant"), **sizes)
+
+
 @dataclass(frozen=True)
 class Published:
     """What the unified job publishes; every table is a plan, run when it is written."""
@@ -117,7 +157,12 @@ def kept_points(points: DataFrame, priority: Sequence[str], leaves: DataFrame, t
 
 
 def of_kept(kept: DataFrame, rollup: DataFrame, manifest: Manifest | None = None, unknown: bool = False, digits: int = 6) -> Published:
-    """Everything that is published, of points as `kept_points` gives them. Every table reads them anew, so let them be read from files."""
+    """Everything that is published, of points as `kept_points` gives them. Every table reads them anew, so let them be read from files.
+
+    A manifest whose promoted fields the points lack is refused before anything is computed.
+    """
+    if manifest and (lacking := manifest.missing(kept.columns)):
+        raise ValueError(f"promoted fields that the points lack: {', '.join(lacking)}")
     by_label = [*GENE, "label_path"]
     rolled = ag.roll_up(kept, rollup).withColumn("label_path", F.array("category", "label"))
     return Published(

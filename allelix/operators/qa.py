@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from allelix.functions import text as fn
 from allelix.operators import records as rec
+from allelix.sources import archives
+from allelix.sources.store import Store, Upsert
 
 # Fields that each kind of dataset requires or may have; (field, required, strategy, marker).
 PROFILES = {
@@ -38,13 +40,18 @@ def row_ids(df: DataFrame, source: str, release: str) -> DataFrame:
     sha = F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"ignoreNullFields": "false"}), 256)
     rows = df.withColumn("__sha", sha)
     number = F.row_number().over(Window.partitionBy("__sha").orderBy(F.lit(1)))
-    return rows.withColumn("row_id", F.concat_ws(":", F.lit(source), F.lit(release), F.substring("__sha", 1, 16), number.cast("string"))).drop("__sha")
+    return rows.withColumn("row_id", F.concat_ws(":", F.lit(source), F.lit(release), "__sha", number.cast("string"))).drop("__sha")
 
 
 def file_inventory(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
-    """(file, name, bytes, sha256) of files. Each file's bytes are one row of a task, so files are limited to 2 GB."""
+    """(file, name, bytes, sha256) of files. A file is digested as a stream in its task, so it may have any size; where only Spark can open the
+    path its bytes are one row, of 2 GB at most."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True).load(path)
-    return files.select(F.col("path").alias("file"), F.element_at(F.split("path", "/"), -1).alias("name"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+    told = [F.col("path").alias("file"), F.element_at(F.split("path", "/"), -1).alias("name"), F.col("length").alias("bytes")]
+    if not archives.opens(path):
+        return files.select(*told, F.sha2("content", 256).alias("sha256"))
+    listed = files.select(*told)
+    return listed.join(archives.digests(listed.repartition("file")), "file")
 
 
 def release_tables(inventory: DataFrame, headers: DataFrame, source: str, release: str, modality: str, expected: Sequence[str] = (), groups: Sequence[Sequence[str]] = ()) -> dict[str, DataFrame]:
@@ -59,10 +66,18 @@ def release_tables(inventory: DataFrame, headers: DataFrame, source: str, releas
     }
 
 
-def register_release(tables: dict[str, DataFrame], root: str) -> None:
-    """Write a release's tables; rows of the same source, release and modality are replaced, all others stay."""
+RELEASE = ("source_id", "release_id", "modality")
+
+
+def register_release(store: Store, tables: dict[str, DataFrame]) -> int:
+    """Write a release's tables in one version; rows of the same source, release and modality are replaced in all of them, all others stay, also where
+    the release now has no rows in a table."""
+    commit = store.begin()
+    own = commit.write("release_registry", Upsert(tables["release_registry"], RELEASE))
     for name, df in tables.items():
-        df.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("source_id", "release_id", "modality").parquet(f"{root}/{name}")
+        if name != "release_registry":
+            commit.write(name, Upsert(df, RELEASE, own.select(*RELEASE)))
+    return commit.publish()
 
 
 def catalog_summary(manifests: DataFrame) -> DataFrame:

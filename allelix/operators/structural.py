@@ -31,14 +31,14 @@ def gene_metadata(genes: DataFrame, seed: DataFrame, annotation: DataFrame) -> D
     return rows.select("gene_id", "gene_stable_id", *[F.when(whole, F.col(f"__s_{f}")).otherwise(c).alias(f) for f, c in found.items()])
 
 
-def overlaps(variants: DataFrame, genes: DataFrame, fallback: DataFrame | None = None, size: int = iv.BIN) -> DataFrame:
+def overlaps(variants: DataFrame, genes: DataFrame, fallback: DataFrame | None = None) -> DataFrame:
     """Variants (chrom, start, end, ...) with each gene (gene_id, gene_stable_id, chrom, start, end, strand, biotype) that they overlap; genes of
-    `fallback` where a variant has none. The join is on bins of the chromosome."""
+    `fallback` where a variant has none. The join is on bins of several sizes, as a structural variant may be as long as a chromosome."""
     v = variants.withColumnsRenamed({"start": "v_start", "end": "v_end", "chrom": "v_chrom"}).withColumn("__id", F.xxhash64("variant_id", "study_id", "v_chrom", "v_start", "v_end", "variant_type"))
 
     def hits(table: DataFrame, rows: DataFrame) -> DataFrame:
         g = table.select("gene_id", "gene_stable_id", F.col("chrom").alias("g_chrom"), F.col("start").alias("g_start"), F.col("end").alias("g_end"), "strand", "biotype")
-        return iv.overlap_join(rows, g, ("v_chrom", "g_chrom"), ("v_start", "g_start"), ("v_end", "g_end"), size)
+        return iv.overlap_join_of_any_length(rows, g, ("v_chrom", "g_chrom"), ("v_start", "g_start"), ("v_end", "g_end"))
 
     local = hits(genes, v)
     if fallback is not None:

@@ -18,6 +18,7 @@ from allelix.plans import sqltext as q
 from allelix.plans.points import INTERVALS_SQL, PRIORITY, SQL, TRANSCRIPT_SQL, intervals, points, read, transcripts
 from allelix.sources import adapters as ad
 from allelix.sources import files
+from allelix.sources.scratch import folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -152,7 +153,7 @@ _LABELS = "dataset_type, gene_id, path"
 
 
 def published(s: SparkSession, d: str) -> pub.Published:
-    return pub.unified(points(s, d), PRIORITY, leaves(s), paths.rollup_map(s, TREE), meta.Manifest.of(MANIFEST))
+    return pub.unified(points(s, d), PRIORITY, leaves(s), paths.rollup_map(s, TREE), meta.Manifest.of(MANIFEST), scratch=folder(s, "kept"))
 
 
 def _counted(payloads: DataFrame, summary, schema: str) -> DataFrame:
@@ -693,11 +694,6 @@ def _(s, d):
     return refresh_genes(kept, kept.where(_TWO[1]), old)
 
 
-@add("J2_label_transcripts", f"{TRANSCRIPT_SQL} SELECT gene_id, count(*) AS n FROM transcripts WHERE is_canonical GROUP BY ALL")
-def _(s, d):
-    return cat.canonical_transcripts(transcripts(s, d)).where("is_canonical").join(transcripts(s, d).where("is_canonical").groupBy("gene_id").agg(F.count("*").alias("n")), "gene_id").select("gene_id", "n")
-
-
 _POINT = ["dataset_type", "gene_id", "phenotype", "ancestry", "variant_id"]
 _HALF = "SELECT dataset_type, gene_id, phenotype, ancestry, variant_id, ancestry_af AS value FROM points WHERE {} QUALIFY row_number() OVER (PARTITION BY dataset_type, gene_id, phenotype, ancestry, variant_id ORDER BY ingested_at DESC, row_key DESC) = 1"
 

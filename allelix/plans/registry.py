@@ -12,7 +12,7 @@ from allelix.operators import aggregates as ag
 from allelix.operators import catalog as cat
 from allelix.operators import intervals as iv
 from allelix.operators import records as rec
-from allelix.plans import jobs
+from allelix.plans import filed, jobs, stored
 from allelix.plans.points import INTERVALS_SQL, PRIORITY, SQL, TRANSCRIPT_SQL, intervals, points, read, transcripts
 from allelix.plans.sqltext import BEST as _BEST
 from allelix.plans.sqltext import G1 as _G1
@@ -41,11 +41,11 @@ def _add(name: str, query: Query, sql: str | None = None) -> None:
 
 
 def queries() -> dict[str, Query]:
-    return _QUERIES | jobs.QUERIES
+    return _QUERIES | jobs.QUERIES | stored.QUERIES | filed.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return _SQL | jobs.ORACLES
+    return _SQL | jobs.ORACLES | stored.ORACLES | filed.ORACLES
 
 
 def _scalar(name: str, column: Callable[[], Column], sql: str) -> None:

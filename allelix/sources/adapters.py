@@ -284,7 +284,7 @@ def source_normalised(df: DataFrame, source_id: str, release_id: str) -> DataFra
         *[text(c).alias(c) for c in late], F.coalesce(F.nullif(text("ancestry_data"), F.lit("")), F.lit("{}")).alias("ancestry_data_json"), F.lit("{}").alias("raw_payload_json"), F.lit("{}").alias("metadata_json"), content.alias("__sha"),
     )
     number = F.row_number().over(Window.partitionBy("source_file", "__sha").orderBy(F.lit(1)))
-    return rows.withColumn("source_row_id", F.concat_ws(":", "source_id", "release_id", F.substring("__sha", 1, 16), number.cast("string"))).drop("__sha")
+    return rows.withColumn("source_row_id", F.concat_ws(":", "source_id", "release_id", "__sha", number.cast("string"))).drop("__sha")
 
 
 #: Adapters by name: (raw table, phenotype map, further arguments) to canonical records. Users add their own.

@@ -83,15 +83,16 @@ def zipped_lines(spark: SparkSession, path: str) -> DataFrame:
     return input_files(spark, path, "*.zip").select("file").mapInArrow(lines, "file string, value string")
 
 
-def json_map(spark: SparkSession, path: str) -> DataFrame:
-    """(key, value) of JSON objects, one for each file or one for each line; values stay JSON text, strings without quotes."""
-    rows = spark.read.text(path, wholetext=True).select(F.explode(F.from_json("value", "map<string,string>")))
+def json_map(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """(key, value) of JSON objects, one for each file or, with `lines`, one for each line, which files of any size can be split at; values stay
+    JSON text, strings without quotes."""
+    rows = spark.read.text(path, wholetext=not lines).select(F.explode(F.from_json("value", "map<string,string>")))
     return rows.select("key", "value")
 
 
-def expression_entries(spark: SparkSession, path: str) -> DataFrame:
+def expression_entries(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
     """(gene_id, entry) of an expression map."""
-    return json_map(spark, path).select(F.col("key").alias("gene_id"), F.col("value").alias("entry"))
+    return json_map(spark, path, lines).select(F.col("key").alias("gene_id"), F.col("value").alias("entry"))
 
 
 def gene_seed(spark: SparkSession, path: str) -> DataFrame:
@@ -113,13 +114,18 @@ def _decoded(name):
 
 def artifact_files(spark: SparkSession, path: str) -> DataFrame:
     """(gene_id, gene_id_normalized, payload, source_path) of JSON files named by percent-encoded gene, plain or gzipped; of a gene's files,
-    in any case of letters, one stays: gzipped first, then by name. Hidden and metadata files are left out."""
-    name = F.col("_metadata.file_name")
-    files = spark.read.option("pathGlobFilter", "*.json*").option("recursiveFileLookup", True).text(path, wholetext=True)
-    rows = files.where(~name.rlike(r"^(\.|metadata\.)")).select(
-        _decoded(F.regexp_extract(name, r"^(.*?)\.json(\.gz)?$", 1)).alias("gene_id"), name.endswith(".gz").alias("zipped"), F.col("value").alias("payload"), F.col("_metadata.file_path").alias("source_path")
+    in any case of letters, one stays: gzipped first, then by name. Hidden and metadata files are left out.
+
+    Which files stay is decided by their names alone; payloads meet only the list of names that stay, and are not grouped.
+    """
+    place = F.col("_metadata.file_path")
+    names = spark.read.format("binaryFile").option("pathGlobFilter", "*.json*").option("recursiveFileLookup", True).load(path).select(place.alias("source_path"), F.col("_metadata.file_name").alias("name"))
+    shown = names.where(~F.col("name").rlike(r"^(\.|metadata\.)")).select(
+        _decoded(F.regexp_extract("name", r"^(.*?)\.json(\.gz)?$", 1)).alias("gene_id"), F.col("name").endswith(".gz").alias("zipped"), F.lit(None).cast("string").alias("payload"), "source_path"
     )
-    return newest_first(rows)
+    chosen = newest_first(shown).drop("payload")
+    texts = spark.read.option("pathGlobFilter", "*.json*").option("recursiveFileLookup", True).text(path, wholetext=True).select(F.col("value").alias("payload"), place.alias("source_path"))
+    return texts.join(chosen, "source_path").select("gene_id", "gene_id_normalized", "payload", "source_path")
 
 
 def newest_first(rows: DataFrame) -> DataFrame:

@@ -125,12 +125,13 @@ def test_release_registration_replaces_its_own_rows(spark, tmp_path):
     (tmp_path / "raw/a.csv").write_text("id,p\n1,2\n")
     from allelix.sources.readers import header_inventory
 
+    registry = Store(spark, str(tmp_path / "reg"))
     for release in ("r1", "r2", "r1"):
         tables = qa.release_tables(qa.file_inventory(spark, str(tmp_path / "raw")), header_inventory(spark, str(tmp_path / "raw")), "s", release, "gwas", ["id"])
-        qa.register_release(tables, str(tmp_path / "reg"))
-    rows = spark.read.parquet(str(tmp_path / "reg/file_inventory")).collect()
+        qa.register_release(registry, tables)
+    rows = registry.read("file_inventory").collect()
     assert sorted(r.release_id for r in rows) == ["r1", "r2"] and all(r.columns == ["id", "p"] and len(r.sha256) == 64 for r in rows)
-    assert {r.status for r in spark.read.parquet(str(tmp_path / "reg/drift_reports")).collect()} == {"compatible_with_additions"}
+    assert {r.status for r in registry.read("drift_reports").collect()} == {"compatible_with_additions"}
     report = qa.qa_report(qa.artifact_report(qa.file_inventory(spark, str(tmp_path / "raw")), F.lit("g")), qa.table_counts({"t": spark.range(3)}), qa.catalog_summary(spark.createDataFrame([("integrated", "x")], "integration_status string, data_category string")))
     found = json.loads(report.first().report_json)
     assert found["published_outputs"][0]["payload_count"] == 1 and found["tables"] == [{"table_name": "t", "row_count": 3}] and len(found["source_catalog"]) == 3
@@ -171,3 +172,71 @@ def test_configured_ingestion_publishes(spark, tmp_path):
     payload = json.loads(spark.read.json(str(tmp_path / "out/final/association")).first().payload_json)
     assert [e["disease"] for e in payload] == [["heart", "1-urgent"]] and payload[0]["vc"] == [{"name": "INDEL", "value": 1}]
     assert sinks.read_canonical(spark, str(tmp_path / "out/canonical")).count() == 2
+
+
+def test_promoted_fields_that_points_lack_are_refused(spark):
+    some = points(spark, DATA).limit(5)
+    lacking = Manifest.of({**MANIFEST, "promoted_fields": ["gene_id", "cell_type"]})
+    with pytest.raises(ValueError, match="cell_type"):
+        pub.unified(some, PRIORITY, paths.tree_tables(spark, TREE)[0], paths.rollup_map(spark, TREE), lacking)
+
+
+def test_the_variant_index_reads_each_table_once_and_deals_its_points_once(spark):
+    from allelix.operators import aggregates as ag
+    from allelix.operators import records as rec
+
+    found = ag.variant_index(rec.dedup_by_source(rec.core_keys(points(spark, DATA)), PRIORITY), ["dataset_type", "gene_id", "phenotype"])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 6
+
+
+def test_chunks_of_a_hot_gene_are_bounded_and_whole(spark):
+    """One gene with nearly all entries: chunks by number and by bytes, in order, with a footer."""
+    rows = spark.range(3000).select(F.lit("CVD").alias("dataset_type"), F.when(F.col("id") < 2900, "HOT").otherwise("COLD").alias("gene_id"), F.col("id").alias("o"), F.to_json(F.struct("id", F.repeat(F.lit("x"), (F.col("id") % 50).cast("int")).alias("t"))).alias("entry"))
+    for sizes in ({"per_chunk": 70}, {"chunk_bytes": 900}):
+        found = pub.chunked(rows.repartition(7), ("o",), **sizes).collect()
+        for gene, ids in (("HOT", range(2900)), ("COLD", range(2900, 3000))):
+            chunks = sorted((r.chunk, r) for r in found if r.gene_id == gene and r.chunk >= 0)
+            assert [n for n, _ in chunks] == list(range(len(chunks))) and len(chunks) > 1
+            assert [e["id"] for _, r in chunks for e in json.loads(r.payload_json)] == list(ids)
+            (footer,) = [r for r in found if r.gene_id == gene and r.chunk == -1]
+            assert json.loads(footer.payload_json) == {"chunks": len(chunks), "entries": len(ids)}
+            assert all(r.entries <= 70 if "per_chunk" in sizes else len(r.payload_json) <= 1100 for _, r in chunks)
+
+
+def test_row_ids_stay_in_any_partitioning(spark):
+    rows = [(f"g{i % 7}", f"rs{i % 11}", None if i % 5 else "x") for i in range(300)]
+    df = spark.createDataFrame(rows, "gene string, rsid string, source_file string")
+    ids = lambda x, n: sorted(r[0] for r in adapters.source_normalised(x, "s", "r").select("source_row_id").collect()) if n else sorted(r.row_id for r in qa.row_ids(x, "s", "r").collect())
+    for n in (0, 1):
+        assert ids(df.repartition(1), n) == ids(df.repartition(5, "rsid").sort("gene"), n) and len(set(ids(df, n))) == 300
+        assert set(ids(df.where("gene = 'g1'"), n)) <= set(ids(df, n))
+
+
+def test_checksums_are_streamed(spark, tmp_path):
+    import hashlib
+
+    body = bytes(range(256)) * 20_000
+    (tmp_path / "big file.bin").write_bytes(body)
+    (row,) = qa.file_inventory(spark, str(tmp_path)).collect()
+    assert (row.sha256, row.bytes, row.name) == (hashlib.sha256(body).hexdigest(), len(body), "big file.bin")
+    from allelix.sources import archives
+
+    assert archives.digests(qa.file_inventory(spark, str(tmp_path)).drop("sha256"), block=1000).first().sha256 == row.sha256
+
+
+def test_overlaps_of_any_length_are_those_of_all_pairs(spark):
+    import random
+
+    from allelix.operators import intervals as iv
+
+    r = random.Random(1)
+    one = lambda: (r.choice("ab"), s := r.randint(0, 3 * 10**8), s + r.choice([0, 1, 5000, 16383, 16384, 300_000, 5_000_000, 10**8, -1]))
+    left, right = [(i, *one()) for i in range(250)], [(i, *one()) for i in range(250)]
+    a = spark.createDataFrame(left, "i long, ca string, sa long, ea long")
+    b = spark.createDataFrame(right, "j long, cb string, sb long, eb long")
+    found = iv.overlap_join_of_any_length(a, b, ("ca", "cb"), ("sa", "sb"), ("ea", "eb"))
+    expected = sorted((i, j) for i, c, s, e in left for j, d, t, f in right if c == d and s <= e and t <= f and s <= f and t <= e)
+    assert sorted((x.i, x.j) for x in found.collect()) == expected and found.columns == [*a.columns, *b.columns]
+    placed = iv._placed(a, "sa", "ea", "a", True).groupBy("i").count().agg(F.max("count")).first()[0]
+    assert placed <= 2 * len(iv.LEVELS)
