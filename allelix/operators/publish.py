@@ -43,16 +43,17 @@ def _empty(column: str, kind: str) -> Column:
     return F.coalesce(F.col(column), F.array().cast(kind)).alias(column)
 
 
-def entries(points: DataFrame, scope: Sequence[str], digits: int = 6, unknown: bool = False, manifest: Manifest | None = None, overall: bool = False) -> DataFrame:
-    """(scope, vc, msc, cs, ancestry, meta) of every group of points."""
+def entries(points: DataFrame, scope: Sequence[str], digits: int = 6, unknown: bool = False, manifest: Manifest | None = None, overall: bool = False, people: bool = True) -> DataFrame:
+    """(scope, vc, msc, cs, ancestry, meta) of every group of points; without `people` the ancestry is empty."""
     keys = points.select(*scope).distinct()
-    out = keys.join(_by_axis(ag.aggregate_variants(points, scope, unknown), scope), list(scope), "left").join(_populations(points, scope, digits), list(scope), "left")
+    out = keys.join(_by_axis(ag.aggregate_variants(points, scope, unknown), scope), list(scope), "left")
+    out = out.join(_populations(points, scope, digits), list(scope), "left") if people else out.withColumn("ancestry", F.lit(None))
     populations = "array<struct<name:string,data:array<struct<rsid:string,value:double>>>>"
     if manifest:
         out = out.join(manifest.publish_meta(points, scope, overall), list(scope), "left")
     else:
         out = out.withColumn("meta", F.lit(None).cast("string"))
-    return out.select(*scope, *[_empty(a, _ITEMS) for a in AXIS_KINDS], _empty("ancestry", populations), "meta")
+    return out.withColumn("ancestry", F.col("ancestry").cast(populations)).select(*scope, *[_empty(a, _ITEMS) for a in AXIS_KINDS], _empty("ancestry", populations), "meta")
 
 
 def _with_meta(body: Column, meta: Column) -> Column:
@@ -60,12 +61,15 @@ def _with_meta(body: Column, meta: Column) -> Column:
     return F.when(meta.isNull(), body).otherwise(F.concat(F.substring(body, 1, F.length(body) - 1), F.lit(f',"{META_KEY}":'), meta, F.lit("}")))
 
 
+def _association_entry(path: Column) -> Column:
+    named = lambda name, kind: F.when((F.col("dataset_type") == "TRAIT") == F.lit(kind), path).alias(name)
+    return _with_meta(F.to_json(F.struct("ancestry", "vc", "msc", "cs", named("trait", True), named("disease", False))), F.col("meta"))
+
+
 def association_payloads(found: DataFrame, label: str = "label_path", order: Column | None = None) -> DataFrame:
     """(dataset_type, gene_id, payload_json): the gene's entries in order of the last part of their label."""
     path = F.col(label)
-    named = lambda name, kind: F.when((F.col("dataset_type") == "TRAIT") == F.lit(kind), path).alias(name)
-    body = F.to_json(F.struct("ancestry", "vc", "msc", "cs", named("trait", True), named("disease", False)))
-    rows = found.select(*GENE, F.struct((F.element_at(path, -1) if order is None else order).alias("o"), path.alias("p"), _with_meta(body, F.col("meta")).alias("j")).alias("x"))
+    rows = found.select(*GENE, F.struct((F.element_at(path, -1) if order is None else order).alias("o"), path.alias("p"), _association_entry(path).alias("j")).alias("x"))
     listed = F.array_join(F.transform(F.array_sort(F.collect_list("x")), lambda x: x.j), ",")
     return rows.groupBy(*GENE).agg(F.concat(F.lit("["), listed, F.lit("]")).alias("payload_json"))
 
@@ -132,6 +136,21 @@ def index_chunks(index: DataFrame, label: str = "label_path", **sizes: int) -> D
     return chunked(index.select(*GENE, F.col(label).alias("__path"), F.col("variant_id").alias("__variant"), index_entry(label).alias("entry")), ("__path", "__variant"), **sizes)
 
 
+def association_chunks(kept: DataFrame, manifest: Manifest | None = None, unknown: bool = False, **sizes: int) -> DataFrame:
+    """The association entries of `kept_points` as `chunked` payloads in the order of `association_payloads`, with empty ancestries: the ancestry
+    points, which grow with a gene's variants, are in `population_chunks`."""
+    found = entries(kept, [*GENE, "label_path"], unknown=unknown, manifest=manifest, people=False)
+    return chunked(found.select(*GENE, F.element_at("label_path", -1).alias("__last"), F.col("label_path").alias("__path"), _association_entry(F.col("label_path")).alias("entry")), ("__last", "__path"), **sizes)
+
+
+def population_chunks(kept: DataFrame, digits: int = 6, **sizes: int) -> DataFrame:
+    """The ancestry points of `kept_points` as `chunked` payloads: objects of path, population, rsid and value in this order."""
+    known = kept.withColumn("ancestry", F.nullif(fn.strip(F.col("ancestry")), F.lit("")))
+    found = ag.ancestry_points(known, [*GENE, "label_path"])
+    entry = F.to_json(F.struct(F.col("label_path").alias("path"), F.col("ancestry").alias("population"), F.col("variant_id").alias("rsid"), F.round("value", digits).alias("value")))
+    return chunked(found.select(*GENE, "label_path", "ancestry", "variant_id", entry.alias("entry")), ("label_path", "ancestry", "variant_id"), **sizes)
+
+
 @dataclass(frozen=True)
 class Published:
     """What the unified job publishes; every table is a plan, run when it is written."""

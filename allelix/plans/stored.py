@@ -265,6 +265,22 @@ def _(s, d):
     return joined.join(footer, list(pub.GENE)).select(*pub.GENE, "entries", "n", "footer", "small")
 
 
+@add("B3_association_chunks", jobs.ORACLES["N5_association_payloads"])
+def _(s, d):
+    """Counters of all associations, in chunks of at most 3 entries."""
+    found = pub.association_chunks(jobs.pathed(s, d), per_chunk=3)
+    if found.where("chunk >= 0 and entries > 3").count():
+        raise ValueError("a chunk holds more entries than it may")
+    return jobs._counted(found.where("chunk >= 0"), pub.association_summary, jobs._ENTRY)
+
+
+@add("B4_population_chunks", f"{jobs.KEPT} SELECT dataset_type, gene_id, path, ancestry, variant_id, round(ancestry_af, 9) AS value FROM pathed QUALIFY row_number() OVER (PARTITION BY dataset_type, gene_id, path, ancestry, variant_id ORDER BY ingested_at DESC, row_key DESC) = 1")
+def _(s, d):
+    found = pub.population_chunks(jobs.pathed(s, d), digits=9, per_chunk=50)
+    rows = found.where("chunk >= 0").select(*pub.GENE, F.explode(F.from_json("payload_json", "array<struct<path:array<string>,population:string,rsid:string,value:double>>")).alias("x"))
+    return rows.select(*pub.GENE, F.array_join("x.path", ",").alias("path"), c("x.population").alias("ancestry"), c("x.rsid").alias("variant_id"), F.round("x.value", 9).alias("value"))
+
+
 @add(
     "K5_releases",
     "SELECT release_id, n_nationkey, sha256(n_name || chr(10)) AS sha256, length(n_name) + 1 AS bytes FROM nation, (VALUES ('r1'), ('r2')) AS r(release_id) WHERE release_id = 'r2' OR n_nationkey % 2 = 0",

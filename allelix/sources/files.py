@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import itertools
 import os
+import re
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -60,8 +62,14 @@ def tables(spark: SparkSession, heads: DataFrame, strict: bool = False, keep_bro
 
 def sniffed(spark: SparkSession, paths: str | Sequence[str], delimiter: str = "auto", strict: bool = False, keep_broken: bool = True) -> DataFrame:
     """Delimited files, plain, gzipped or zipped, as strings with source_file. `auto` takes each file's delimiter from its header; `comma` and `tab` fix it.
-    A file that cannot be read is an error, as is a path without files."""
-    heads = header_inventory(spark, expanded(paths))
+    Of folders and globs only tables by their names are taken, a file that is named is taken whatever its name. A file that cannot be read is an error, as
+    is a path without files."""
+    given = expanded(paths)
+    named = [p for p in given if re.search(r"\.\w+$", p.rpartition("/")[2]) and not re.search(r"[*?{\[]", p)]
+    parts = [header_inventory(spark, own, pattern) for own, pattern in ((named, "*"), ([p for p in given if p not in named], TABLES)) if own]
+    if not parts:
+        raise FileNotFoundError(f"no path in {paths!r}")
+    heads = reduce(DataFrame.unionByName, parts)
     broken = heads.where("error is not null").first()
     if broken is not None:
         raise ValueError(f"{broken.file}: {broken.error}")

@@ -188,6 +188,7 @@ def test_raw_files_in_any_order_become_points_and_broken_ones_are_put_aside(spar
 
 def test_archives_are_tables_like_other_files(spark, tmp_path):
     (tmp_path / "a.csv").write_text("id,name\n1,plain\n")
+    (tmp_path / "notes.txt").write_text("no table\n")
     with zipfile.ZipFile(tmp_path / "b.csv.zip", "w", zipfile.ZIP_DEFLATED) as z:
         z.writestr("b.csv", '﻿id|name|more\n2|"x|\ny"|\n\n3|"say ""hi"""|m|too many\n4\n')
     rows = sorted((r.id, r.name, r.more, r.source_file.rpartition("/")[2]) for r in files.sniffed(spark, str(tmp_path)).collect())
@@ -195,7 +196,7 @@ def test_archives_are_tables_like_other_files(spark, tmp_path):
     assert [r.id for r in files.sniffed(spark, str(tmp_path / "b.csv.zip"), keep_broken=False).collect()] == ["2"]
     with pytest.raises(Exception, match="4 fields under 3"):
         files.sniffed(spark, str(tmp_path / "b.csv.zip"), strict=True).collect()
-    heads = {r.file.rpartition("/")[2]: (r.delimiter, r.columns) for r in readers.header_inventory(spark, str(tmp_path)).collect()}
+    heads = {r.file.rpartition("/")[2]: (r.delimiter, r.columns) for r in readers.header_inventory(spark, str(tmp_path), readers.TABLES).collect()}
     assert heads == {"a.csv": (",", ["id", "name"]), "b.csv.zip": ("|", ["id", "name", "more"])}
     with zipfile.ZipFile(tmp_path / "two.zip", "w") as z:
         z.writestr("x/1.csv", "id\n5\n")
