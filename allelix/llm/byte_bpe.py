@@ -55,6 +55,15 @@ class Ranks(bpe.Vocabulary):
             except UnicodeDecodeError:
                 continue
 
+        self.small = max(self.bytes_of) < 1 << 16
+
+    def packed(self, ids: bytes) -> bytes:
+        """Ids (32 bits each) as they are sent between tasks: in 16 bits, if all of the vocabulary's fit."""
+        return np.frombuffer(ids, dtype="<u4").astype("<u2").tobytes() if self.small else ids
+
+    def numbers(self, packed: bytes) -> np.ndarray:
+        return np.frombuffer(packed, dtype="<u2" if self.small else "<u4")
+
     def learn(self, words: set[str]) -> None:
         """Merge the words that are not yet remembered; a word that is a token by itself is never merged."""
         own = words & self.whole.keys()
@@ -112,10 +121,6 @@ def _body(text: str):
     return F.coalesce(F.make_valid_utf8(F.col(text).cast("string")), F.lit("")).cast("binary")
 
 
-def _ids(vocabulary: Ranks, text: str) -> bytes:
-    return b"".join(vocabulary.encode(text))
-
-
 def _chunks(long: DataFrame, chunk: int, overlap: int) -> DataFrame:
     """(__key, __n, id, __body, __last, __copies) of (id, __text): overlapping chunks, spread over tasks by text and number. Repeats of a row are one."""
     size = F.octet_length("__text")
@@ -127,7 +132,7 @@ def _chunks(long: DataFrame, chunk: int, overlap: int) -> DataFrame:
 
 
 def long_pieces(long: DataFrame, path: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
-    """(__key, id, __copies, __piece, __ids) of the texts (id, __text) of more than one chunk, __ids as little-endian 32-bit integers.
+    """(__key, id, __copies, __piece, __ids) of the texts (id, __text) of more than one chunk, __ids as `Ranks.packed` gives them.
 
     Chunks are dealt by text and number, so one huge text is many tasks' work. Only places of boundaries meet by text.
     """
@@ -150,20 +155,34 @@ def long_pieces(long: DataFrame, path: str, chunk: int = CHUNK, overlap: int = O
     so_far, later = by.rowsBetween(Window.unboundedPreceding, 0), by.rowsBetween(1, Window.unboundedFollowing)
     places = stitched.select(
         "__key", "__n", F.max(F.when(F.col("cut").isNotNull(), F.col("__n"))).over(so_far).alias("__piece"), F.max("cut").over(so_far).alias("__from"), F.min("cut").over(later).alias("__to"),
+        (F.col("cut").isNotNull() & F.lead("cut", 1, 0).over(by).isNotNull()).alias("__alone"),
     )
     pieces = chunks.join(places, ["__key", "__n"])
+    schema, names = f"__key string, id {kind}, __copies bigint, __piece int, __ids binary", ["__key", "id", "__copies", "__piece", "__ids"]
+
+    def part_of(body: bytes, piece: int, start: int, end: int | None) -> str:
+        base = piece * chunk
+        return body[start - base : len(body) if end is None else end - base].decode("utf-8", "replace")
 
-    def encode(rows: pa.Table) -> pa.Table:
+    def alone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = get()
+        for batch in batches:
+            texts = [part_of(b.as_py(), n, start, end) for b, n, start, end in zip(batch.column(3), batch.column(4).to_pylist(), batch.column(5).to_pylist(), batch.column(6).to_pylist())]
+            ids = [vocabulary.packed(x) for x in vocabulary.encode_many(texts)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], batch.column(4), pa.array(ids, pa.binary())], names=names)
+
+    def joined(rows: pa.Table) -> pa.Table:
         rows = rows.sort_by("__n")
-        vocabulary, first = get(), rows.slice(0, 1).to_pylist()[0]
+        vocabulary = get()
+        piece, start, end, copies = (rows.column(n)[0].as_py() for n in ("__piece", "__from", "__to", "__copies"))
         bodies = [b.as_py() for b in rows.column("__body")]
-        whole = b"".join([*(b[:chunk] for b in bodies[:-1]), bodies[-1]])
-        base = first["__piece"] * chunk
-        end = len(whole) if first["__to"] is None else first["__to"] - base
-        ids = _ids(vocabulary, whole[first["__from"] - base : end].decode("utf-8", "replace"))
-        return pa.table({"__key": [first["__key"]], "id": rows.column("id").slice(0, 1), "__copies": [first["__copies"]], "__piece": pa.array([first["__piece"]], pa.int32()), "__ids": pa.array([ids], pa.binary())})
+        text = part_of(b"".join([*(b[:chunk] for b in bodies[:-1]), bodies[-1]]), piece, start, end)
+        ids = vocabulary.packed(b"".join(vocabulary.encode(text)))
+        return pa.table([rows.column("__key").slice(0, 1), rows.column("id").slice(0, 1), pa.array([copies], pa.int64()), pa.array([piece], pa.int32()), pa.array([ids], pa.binary())], names=names)
 
-    return pieces.groupBy("__key", "__piece").applyInArrow(encode, f"__key string, id {kind}, __copies bigint, __piece int, __ids binary")
+    # a piece of one chunk is encoded where its row lies; only chunks that are joined to one piece are brought together
+    one = pieces.where("__alone").select("__key", "id", "__copies", "__body", "__piece", "__from", "__to").mapInArrow(alone, schema)
+    return one.unionByName(pieces.where("not __alone").groupBy("__key", "__piece").applyInArrow(joined, schema))
 
 
 def _parted(docs: DataFrame, id: str, text: str, chunk: int, overlap: int) -> tuple[DataFrame, DataFrame]:
@@ -179,8 +198,8 @@ class _Digest:
     def __init__(self) -> None:
         self.n, self.ids, self.text = 0, hashlib.sha256(), hashlib.sha256()
 
-    def add(self, vocabulary: Ranks, ids: bytes) -> None:
-        numbers = np.frombuffer(ids, dtype="<u4").tolist()
+    def add(self, vocabulary: Ranks, ids: np.ndarray) -> None:
+        numbers = ids.tolist()
         if numbers:
             self.ids.update((("," if self.n else "") + ",".join(map(str, numbers))).encode())
             self.text.update(b"".join(map(vocabulary.bytes_of.__getitem__, numbers)))
@@ -213,7 +232,7 @@ def round_trip(docs: DataFrame, path: str, id: str = "doc_id", text: str = "text
             for _, texts in bpe._in_parts(batch.column(1)):
                 for ids in vocabulary.encode_many(texts):
                     digest = _Digest()
-                    digest.add(vocabulary, ids)
+                    digest.add(vocabulary, np.frombuffer(ids, dtype="<u4"))
                     found.append(digest.values())
             yield batch_of(batch.column(0), found)
 
@@ -225,7 +244,7 @@ def round_trip(docs: DataFrame, path: str, id: str = "doc_id", text: str = "text
                     if now is not None:
                         yield batch_of(pa.concat_arrays([own] * copies), [digest.values()] * copies)
                     now, digest, own, copies = key, _Digest(), batch.column(1).slice(i, 1), n
-                digest.add(vocabulary, ids.as_py())
+                digest.add(vocabulary, vocabulary.numbers(ids.as_py()))
         if now is not None:
             yield batch_of(pa.concat_arrays([own] * copies), [digest.values()] * copies)
 
@@ -248,7 +267,7 @@ def encode_documents(docs: DataFrame, path: str, id: str = "doc_id", text: str =
 
     def numbers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [np.frombuffer(x.as_py(), dtype="<i4") for x in batch.column(4)]
+            found = [get().numbers(x.as_py()).astype(np.int32) for x in batch.column(4)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(found, pa.list_(pa.int32()))], names=["__key", "id", "__copies", "__piece", "ids"])
 
     pieces = long_pieces(long, path, chunk, overlap).select("__key", "id", "__copies", "__piece", "__ids").mapInArrow(numbers, f"__key string, id {kind}, __copies bigint, __piece int, ids array<int>")
