@@ -33,6 +33,8 @@ WORDS, SIMILAR, LOOKS = 5, 0.8, 2
 NEAR = 22
 #: Coarse search: differing bits for which its buckets are cut (one of four whole blocks is then equal), and those of its candidates.
 COARSE, COARSE_NEAR = 3, 12
+#: Candidates that each text sends at least, its nearest ones, beside those that connect groups.
+CLOSE = 3
 #: Prefix shingles before its own that a row of the last search carries, to tell whether a pair has met before; and rows of one half of a
 #: large bucket's pair of blocks.
 BEFORE, BLOCK_ROWS = 6, 2048
@@ -199,6 +201,17 @@ def nearest_forest(values: np.ndarray, node: np.ndarray, a: np.ndarray, b: np.nd
     return a[kept], b[kept]
 
 
+def nearest_of_each(values: np.ndarray, a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
+    """Whether each of the pairs (a, b) is among the n nearest of one of its ends."""
+    ends, pair = np.concatenate([a, b]), np.tile(np.arange(len(a)), 2)
+    order = np.lexsort((np.bitwise_count(values[a] ^ values[b])[pair], ends))
+    first = np.concatenate([[0], np.flatnonzero(np.diff(ends[order])) + 1])
+    rank = np.arange(len(order)) - np.repeat(first, np.diff(np.append(first, len(order))))
+    out = np.zeros(len(a), dtype=bool)
+    out[pair[order[rank < n]]] = True
+    return out
+
+
 def _first_met(diff: np.ndarray, masks: list[int]) -> np.ndarray:
     """For each pair's differing bits the place of the first mask that has none of them."""
     first = np.full(len(diff), len(masks))
@@ -545,15 +558,17 @@ def _met_before(before: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _walk_prefix(near: int, similar: float, crossing: bool):
-    """Candidates of buckets (path, fp, key, comp, size, pos, side, before ...) of one shingle of prefixes: key pairs of different comps whose fingerprints are
-    near and whose sizes and places of the shingle allow the similarity. A spanning forest of each bucket's comps, nearer pairs first, and whether
-    others were left out; or, `crossing`, all of them, each about once: a pair that shares one of the shingles before is left to that shingle's bucket.
-    Rows of different sides (0 and 1) are paired with each other only, rows of side 2 with all."""
-    def joined(path: np.ndarray, fp: np.ndarray, key: np.ndarray, comp: np.ndarray, size: np.ndarray, pos: np.ndarray, side: np.ndarray, *before: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Candidates of buckets (path, fp, key, comp, place, before ...) of one shingle of prefixes: key pairs of different comps whose fingerprints are
+    near and whose sizes and places of the shingle allow the similarity. A spanning forest of each bucket's comps, nearer pairs first, with the nearest
+    few of each row, and whether others were left out; or, `crossing`, all of them, each about once: a pair that shares one of the shingles before is left to that shingle's bucket.
+    place holds the size of the set, the shingle's position in the prefix and the side: rows of sides 0 and 1 are paired with each other only, rows of
+    side 2 with all."""
+    def joined(path: np.ndarray, fp: np.ndarray, key: np.ndarray, comp: np.ndarray, place: np.ndarray, *before: np.ndarray) -> Iterator[pa.RecordBatch]:
         starts = np.concatenate([[0], np.flatnonzero(np.diff(path)) + 1, [len(path)]])
         mixed = np.minimum.reduceat(comp, starts[:-1]) != np.maximum.reduceat(comp, starts[:-1])
         rows = np.repeat(mixed, np.diff(starts))
-        fp, key, comp, size, pos, side = (x[rows] for x in (fp, key, comp, size, pos, side))
+        fp, key, comp, place = (x[rows] for x in (fp, key, comp, place))
+        size, pos, side = place >> 34, place >> 2 & 0xFFFFFFFF, place & 3
         earlier = np.stack([x[rows] for x in before], axis=1) if before else None
         count = np.diff(starts)[mixed]
         starts = np.concatenate([[0], np.cumsum(count)])
@@ -567,7 +582,7 @@ def _walk_prefix(near: int, similar: float, crossing: bool):
             if y <= x:
                 continue
             base, end = starts[x], starts[y]
-            own, names, group, sizes, place = (z[base:end] for z in (fp, key, comp, size, pos))
+            own, names, group, sizes, at = (z[base:end] for z in (fp, key, comp, size, pos))
             a, b = _member_pairs(own, group, starts[x : y + 1] - base, near)
             sides = side[base:end]
             open_ = (sides[a] != sides[b]) | (sides[a] == 2)
@@ -575,7 +590,7 @@ def _walk_prefix(near: int, similar: float, crossing: bool):
                 open_ &= ~_met_before(earlier[base:end], a, b)
             a, b = a[open_], b[open_]
             least, most = np.minimum(sizes[a], sizes[b]), np.maximum(sizes[a], sizes[b])
-            common = np.minimum(sizes[a] - place[a], sizes[b] - place[b])  # this shingle and all behind it
+            common = np.minimum(sizes[a] - at[a], sizes[b] - at[b])  # this shingle and all behind it
             able = (least >= similar * most - 1e-9) & (common >= similar / (1 + similar) * (sizes[a] + sizes[b]) - 1e-9)
             a, b = a[able], b[able]
             more = np.ones(len(a), dtype=bool)
@@ -584,12 +599,14 @@ def _walk_prefix(near: int, similar: float, crossing: bool):
                 node = np.unique(np.stack([bucket, np.unique(group, return_inverse=True)[1]]), axis=1, return_inverse=True)[1].reshape(-1)
                 label = spanning(len(own), node[a], node[b])
                 links = np.bincount(label[node[a]], minlength=len(own))
-                a, b = nearest_forest(own, node, a, b)
+                close = nearest_of_each(own, a, b, CLOSE)
+                c, d = nearest_forest(own, node, a, b)
+                a, b = np.unique(np.stack([np.concatenate([a[close], c]), np.concatenate([b[close], d])]), axis=1)
                 more = (links > np.bincount(label[node[a]], minlength=len(own)))[label[node[a]]]
             yield pa.RecordBatch.from_arrays([pa.array(names[a]), pa.array(names[b]), pa.array(more)], names=["a", "b", "more"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [np.zeros(0, dtype=np.uint64 if i == 1 else np.int64) for i in range(7 + (BEFORE if crossing else 0))]
+        held = [np.zeros(0, dtype=np.uint64 if i == 1 else np.int64) for i in range(5 + (BEFORE if crossing else 0))]
         for batch in batches:
             held = [np.concatenate([x, c.to_numpy().view(x.dtype)]) for x, c in zip(held, batch.columns)]
             if len(held[0]) >= 1 << 17:
@@ -604,16 +621,17 @@ def _walk_prefix(near: int, similar: float, crossing: bool):
     return run
 
 
-def _prefix_candidates(nodes: DataFrame, near: int, similar: float, crossing: bool = False, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def _prefix_candidates(nodes: DataFrame, near: int, similar: float, crossing: bool = False, block_rows: int = BLOCK_ROWS, look: int = 0) -> DataFrame:
     """Pairs (a, b, more) of keys (key, root, size, prints, prefix) with different roots that share a shingle of their prefixes and have near
-    fingerprints: what connects the roots, or, `crossing`, all of them.
+    fingerprints (of one look): what connects the roots, or, `crossing`, all of them.
 
     A shingle's bucket with several roots and more than twice `block_rows` rows is cut into blocks by key, and every pair of blocks is a bucket, so
     that no pair is lost and none is in two.
     """
     before = [F.coalesce(F.get("prefix", F.col("pos") - i), F.lit(0)).cast("long").alias(f"before{i}") for i in range(1, BEFORE + 1)] if crossing else []
-    rows = nodes.select("key", F.col("root").alias("comp"), "size", F.col("prints")[0].alias("fp"), "prefix", F.posexplode("prefix").alias("pos", "path"))
-    rows = rows.select("path", "fp", "key", "comp", "size", F.col("pos").cast("long").alias("pos"), F.lit(2).cast("long").alias("side"), *before)
+    rows = nodes.select("key", F.col("root").alias("comp"), "size", F.col("prints")[look].alias("fp"), "prefix", F.posexplode("prefix").alias("pos", "path"))
+    place = F.shiftleft(F.col("size").cast("long"), 34) + F.shiftleft(F.col("pos").cast("long"), 2) + 2
+    rows = rows.select("path", "fp", "key", "comp", place.alias("place"), *before)
     counted = rows.groupBy("path").agg(F.count("*").alias("n"), F.min("comp").alias("x"), F.max("comp").alias("y"))
     large = cut_lineage(counted.where((F.col("n") > 2 * block_rows) & (F.col("x") != F.col("y"))).select("path", F.ceil(F.col("n") / block_rows).cast("long").alias("blocks")))
     unsigned = F.col("fp").bitwiseXOR(F.lit(-(1 << (BITS - 1))))
@@ -628,7 +646,8 @@ def _prefix_candidates(nodes: DataFrame, near: int, similar: float, crossing: bo
     own, other = F.pmod(F.xxhash64(F.lit(43), "key"), F.col("blocks")), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
     cut = rows.join(large, "path").select(*rows.columns, own.alias("own"), other.alias("other"))
     pair = F.xxhash64("path", F.least("own", "other"), F.greatest("own", "other"))
-    cut = cut.select(pair.alias("path"), *rows.columns[1:6], F.when(F.col("own") == F.col("other"), 2).otherwise(F.when(F.col("own") < F.col("other"), 0).otherwise(1)).cast("long").alias("side"), *rows.columns[7:])
+    side = F.when(F.col("own") == F.col("other"), 0).otherwise(F.when(F.col("own") < F.col("other"), 2).otherwise(1))  # taken from side 2
+    cut = cut.select(pair.alias("path"), *rows.columns[1:4], (F.col("place") - side).alias("place"), *rows.columns[5:])
     return walk(rows.join(large.select("path"), "path", "left_anti")).unionByName(walk(cut))
 
 
@@ -666,6 +685,15 @@ def _rooted(nodes: DataFrame, links: DataFrame) -> DataFrame:
     return cut_lineage(nodes.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key")))
 
 
+def _apart(rooted: DataFrame, links: DataFrame) -> DataFrame | None:
+    """The nodes of groups that may have links among the pairs that were left out: pairs were left out only beside links marked so (`more`), and one whose
+    ends are still apart has a failed such link at both groups. None if there are none."""
+    root = lambda c: rooted.select(F.col("key").alias(c), F.col("root").alias(f"r{c}"))
+    failed = links.where("more").join(root("a"), "a").join(root("b"), "b").where("ra <> rb")
+    found = _marked(failed.select(F.explode(F.array("ra", "rb")).alias("root")).distinct())
+    return None if found is None else cut_lineage(rooted.join(found, "root", "left_semi"))
+
+
 def _grouped(docs: DataFrame, words: int, similar: float, looks: int, near: int) -> DataFrame:
     """doc_id, key (of its shingle set) and root (least key of the group) of every row that has a doc_id."""
     docs = docs.where("doc_id is not null")
@@ -681,12 +709,13 @@ def _grouped(docs: DataFrame, words: int, similar: float, looks: int, near: int)
     links = cut_lineage(_ordered(_prefix_candidates(rooted, near, similar), "more").groupBy("a", "b").agg(F.max("more").alias("more")))
     good = cut_lineage(good.unionByName(_verified(links, docs, nodes, words, similar, looks)))
     rooted = _rooted(nodes, good)
-    # Pairs were left out only beside links marked so, and one whose ends are still apart has a failed such link at both groups.
-    root = lambda c: rooted.select(F.col("key").alias(c), F.col("root").alias(f"r{c}"))
-    failed = links.where("more").join(root("a"), "a").join(root("b"), "b").where("ra <> rb")
-    apart = _marked(failed.select(F.explode(F.array("ra", "rb")).alias("root")).distinct())
-    if apart is not None:
-        left = cut_lineage(rooted.join(apart, "root", "left_semi"))
+    left = _apart(rooted, links)
+    for look in range(1, looks if left is not None else 1):  # nearest ones by another look, so that fewer groups are left to the last search
+        again = cut_lineage(_ordered(_prefix_candidates(left, near, similar, look=look)).distinct().join(links.select("a", "b"), ["a", "b"], "left_anti"))
+        good = cut_lineage(good.unionByName(_verified(again, docs, nodes, words, similar, looks)))
+        rooted = _rooted(nodes, good)
+        left = _apart(rooted, links)
+    if left is not None:
         rest = cut_lineage(_ordered(_prefix_candidates(left, near, similar, True)).distinct().join(links.select("a", "b"), ["a", "b"], "left_anti"))
         rooted = _rooted(nodes, good.unionByName(_verified(rest, docs, nodes, words, similar, looks)))
     return found.select("doc_id", "key").join(rooted.select("key", "root"), "key")
