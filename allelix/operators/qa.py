@@ -48,7 +48,7 @@ def file_inventory(spark: SparkSession, path: str, pattern: str = "*") -> DataFr
     path its bytes are one row, of 2 GB at most."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True).load(path)
     told = [F.col("path").alias("file"), F.element_at(F.split("path", "/"), -1).alias("name"), F.col("length").alias("bytes")]
-    if not archives.opens(path):
+    if not archives.opens(spark, path):
         return files.select(*told, F.sha2("content", 256).alias("sha256"))
     listed = files.select(*told)
     return listed.join(archives.digests(listed.repartition("file")), "file")

@@ -393,3 +393,33 @@ def _(s, d):
     ingestion.run(s, sources, f"{root}/out", jobs.types(s), jobs.leaves(s), paths.rollup_map(s, jobs.TREE), priority=("a", "b"))
     index = s.read.parquet(f"{root}/out/final/variant_index_table")
     return index.select("dataset_type", "gene_id", F.array_join("label_path", ",").alias("path"), "variant_id", "p_value", F.array_join(F.map_keys("ancestry"), ",").alias("populations"))
+
+
+_GENES = f"{SQL}, t AS (SELECT dataset_type, gene_id FROM points WHERE {q.GENE} GROUP BY ALL)"
+
+
+@add("B13_slim_of_written", f"{_GENES} SELECT dataset_type, gene_id, '/new/root/overall/dataset_type=' || dataset_type AS folder, true AS empty FROM t")
+def _(s, d):
+    """Overall payloads as a publish writes them, served without payload: their paths stand below the new root."""
+    root = folder(s, "slim")
+    sinks.write_payloads(jobs.published(s, d).payloads()["overall"], f"{root}/final/overall")
+    rows = s.read.json(f"{root}/final/overall").withColumn("source_path", c("_metadata.file_path"))
+    found = serving.slim(serving.serving_rows(rows), "/new/root")
+    return found.select("dataset_type", "gene_id", F.regexp_replace("source_path", "/[^/]*$", "").alias("folder"), c("payload_json").isNull().alias("empty"))
+
+
+@add(
+    "N9_served_publish",
+    f"{_GENES}, x AS (SELECT count(*) AS n FROM t) SELECT upper(trim(gene_id)) AS gene_id_normalized, bool_or(dataset_type = 'CVD') AS has_cvd_association, bool_or(dataset_type = 'TRAIT') AS has_trait_overall, any_value(n) AS payloads, any_value(n) AS summaries, true AS smaller FROM t, x GROUP BY ALL",
+)
+def _(s, d):
+    """A publish written and served: full and summary tables of both kinds, catalog and counts in one version; summaries are smaller than payloads."""
+    root, store = folder(s, "served"), Store(s, folder(s, "serving"))
+    found = jobs.published(s, d).payloads()
+    for kind in ("association", "overall"):
+        sinks.write_payloads(found[kind], f"{root}/final/{kind}")
+    serving.write_build(store, serving.build({k: s.read.json(f"{root}/final/{k}") for k in ("association", "overall")}))
+    size = lambda n: store.read(n).agg(F.count("*").alias("n"), F.sum(F.length("payload_json")).alias("b"))
+    full, short = size("association_gene_payloads"), size("association_summary_payloads")
+    told = full.crossJoin(short.toDF("m", "c")).select(c("n").alias("payloads"), c("m").alias("summaries"), (c("c") < c("b")).alias("smaller"))
+    return store.read("gene_catalog").select("gene_id_normalized", "has_cvd_association", "has_trait_overall").crossJoin(F.broadcast(told))

@@ -35,9 +35,10 @@ def _place(path: str) -> tuple[pyarrow.fs.FileSystem, str]:
     return pyarrow.fs.FileSystem.from_uri(path)
 
 
-def opens(path: str) -> bool:
-    """Whether tasks can open paths of this kind by themselves."""
-    return urlsplit(path).scheme in ("", "file", "s3", "gs", "gcs", "hdfs", "abfs", "abfss")
+def opens(spark: SparkSession, path: str) -> bool:
+    """Whether tasks can open paths of this kind by themselves; a path without scheme is of the session's default file system."""
+    scheme = urlsplit(path).scheme or urlsplit(spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///")).scheme
+    return scheme in ("file", "s3", "gs", "gcs", "hdfs", "abfs", "abfss")
 
 
 def chosen_member(archive: zipfile.ZipFile, file: str, member: str | None = None) -> zipfile.ZipInfo:

@@ -34,7 +34,7 @@ def header_inventory(spark: SparkSession, paths: str | Sequence[str], pattern: s
     file comes from a text scan.
     """
     given = [paths] if isinstance(paths, str) else list(paths)
-    if all(map(archives.opens, given)):
+    if all(archives.opens(spark, path) for path in given):
         listed = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(given).select(F.col("path").alias("file"))
         return header_of(archives.first_lines(listed))
     rows = spark.read.option("pathGlobFilter", pattern).text(given).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"), "value", F.monotonically_increasing_id().alias("n"))

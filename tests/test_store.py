@@ -121,11 +121,11 @@ def long_rows(spark, n):
 
 def test_any_cut_of_the_long_layout_merges_alike(spark, tmp_path):
     rows = long_rows(spark, 240).withColumn("i", F.monotonically_increasing_id()).cache()
-    store = Store(spark, str(tmp_path / "s"))
-    for n, part in enumerate(("i % 5 = 0", "i % 5 in (1, 4)", "i % 5 in (2, 3)", "i % 5 = 3")):
-        staged.merge_long_batch(store, rows.where(part).drop("i"), seen=("l", n))
-    plain = ad.merged_long(ad.long_rows(rows.drop("i")))
-    assert told(store.read("records").drop("source_file", "merge_key")) == told(plain)
+    for name, table in (("named", rows), ("nameless", rows.drop("source_file"))):
+        store = Store(spark, str(tmp_path / name))
+        for n, part in enumerate(("i % 5 = 0", "i % 5 in (1, 4)", "i % 5 in (2, 3)", "i % 5 = 3")):
+            staged.merge_long_batch(store, table.where(part).drop("i"), seen=("l", n))
+        assert told(store.read("records").drop("source_file", "merge_key")) == told(ad.merged_long(ad.long_rows(table.drop("i")))), name
 
 
 def test_structural_files_in_any_batches_fold_alike(spark, tmp_path):
