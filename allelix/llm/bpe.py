@@ -27,7 +27,7 @@ from allelix.llm.common import in_small_batches, read_table, utf8
 #: Bytes up to which words are merged side by side, and words in one array.
 SIDE_BY_SIDE, ROWS = 128, 8192
 #: Words that a worker remembers; characters of text and words of one huge text that it handles at a time.
-REMEMBERED, AT_ONCE, WORDS_AT_ONCE = 400_000, 1 << 21, 1 << 18
+REMEMBERED, AT_ONCE, WORDS_AT_ONCE = 200_000, 1 << 20, 1 << 18
 NONE = np.iinfo(np.int64).max
 #: The public pattern by which this kind of vocabulary cuts texts into words.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
