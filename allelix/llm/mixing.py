@@ -177,7 +177,8 @@ def plan_mix(found: DataFrame, shards: int = SHARDS, weights: Sequence[float] =
     last = numbered.join(_small(table.where("need > 0").select("no", "bits", "prefix", "need"), len(sources)), "no").where(_prefix(F.col("bits")) == F.col("prefix"))
     last = last.groupBy("no", "place").agg(F.sum("size").alias("words"), F.first("need").alias("need"))
     chosen = last.groupBy("no").applyInPandas(_fill, "no int, place bigint")
-    return _small(table, len(sources)), cut_lineage(chosen)
+    chosen = cut_lineage(chosen)  # a hundred rows or so for each source: documents are not shuffled to meet them
+    return _small(table, len(sources)), _small(chosen, chosen.count())
 
 
 def draws(found: DataFrame, table: DataFrame, chosen: DataFrame) -> DataFrame:

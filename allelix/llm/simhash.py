@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from allelix.llm.common import cut_lineage, in_small_batches, read_table, shuffle_width, utf8, word_blocks
+from allelix.llm.common import compacted, cut_lineage, few_tasks, in_small_batches, read_table, shuffle_width, utf8, word_blocks
 from allelix.llm.graph import connected_components
 
 BITS = 64
@@ -377,6 +377,7 @@ def _marked(keys: DataFrame) -> DataFrame | None:
     """The one-column table of longs, written, to be joined with wider rows: broadcast if it is FEW, None if it is empty."""
     keys = cut_lineage(keys)
     n = keys.count()
+    keys = few_tasks(keys, n)
     return (F.broadcast(keys) if n <= FEW else keys) if n else None
 
 
@@ -632,14 +633,20 @@ def _prefix_candidates(nodes: DataFrame, near: int, similar: float, crossing: bo
     rows = nodes.select("key", F.col("root").alias("comp"), "size", F.col("prints")[look].alias("fp"), "prefix", F.posexplode("prefix").alias("pos", "path"))
     place = F.shiftleft(F.col("size").cast("long"), 34) + F.shiftleft(F.col("pos").cast("long"), 2) + 2
     rows = rows.select("path", "fp", "key", "comp", place.alias("place"), *before)
-    counted = rows.groupBy("path").agg(F.count("*").alias("n"), F.min("comp").alias("x"), F.max("comp").alias("y"))
-    large = cut_lineage(counted.where((F.col("n") > 2 * block_rows) & (F.col("x") != F.col("y"))).select("path", F.ceil(F.col("n") / block_rows).cast("long").alias("blocks")))
+    # most shingles are in one row: only their counts are sent, and whether there are several roots is asked for large ones
+    counted = rows.groupBy("path").agg(F.count("*").alias("n")).where(F.col("n") > 2 * block_rows)
+    large = compacted(counted.select("path", F.ceil(F.col("n") / block_rows).cast("long").alias("blocks")))
     unsigned = F.col("fp").bitwiseXOR(F.lit(-(1 << (BITS - 1))))
 
     def walk(df: DataFrame) -> DataFrame:
         return df.repartition(shuffle_width(nodes), "path").sortWithinPartitions("path", unsigned, "key").mapInArrow(_walk_prefix(near, similar, crossing), "a bigint, b bigint, more boolean")
 
     n = large.count()
+    if n:
+        large = F.broadcast(large) if n <= FEW else large
+        mixed = rows.join(large, "path").groupBy("path", "blocks").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y")
+        large = compacted(mixed.select("path", "blocks"))
+        n = large.count()
     if not n:
         return walk(rows)
     large = F.broadcast(large) if n <= FEW else large
@@ -663,7 +670,7 @@ def _verified(links: DataFrame, docs: DataFrame, nodes: DataFrame, words: int, s
     end = lambda c: nodes.select(F.col("key").alias(c), F.col("size").alias(f"n{c}"), F.col("prints").alias(f"p{c}"))
     apart = reduce(lambda x, y: x + y, [F.bit_count(F.col("pa")[i].bitwiseXOR(F.col("pb")[i])) for i in range(looks)])
     able = links.select("a", "b").join(end("a"), "a").join(end("b"), "b").where(F.least("na", "nb") >= F.lit(similar) * F.greatest("na", "nb"))
-    links = cut_lineage(able.where(apart <= most_bits(similar, looks * BITS)).select("a", "b"))
+    links = compacted(able.where(apart <= most_bits(similar, looks * BITS)).select("a", "b"))
     ends = links.select(F.explode(F.array("a", "b")).alias("key")).distinct().join(nodes.select("key", F.col("least").alias("doc_id")), "key")
     ids = _marked(ends.select("doc_id").distinct())
     if ids is None:
@@ -672,7 +679,7 @@ def _verified(links: DataFrame, docs: DataFrame, nodes: DataFrame, words: int, s
     sets = cut_lineage(shingle_sets(texts, words))
     both = links.join(sets.select(F.col("key").alias("a"), F.col("shingles").alias("sa")), "a").join(sets.select(F.col("key").alias("b"), F.col("shingles").alias("sb")), "b")
     common = F.size(F.array_intersect("sa", "sb"))
-    return cut_lineage(both.where(common >= F.lit(similar) * (F.size("sa") + F.size("sb") - common)).select("a", "b"))
+    return compacted(both.where(common >= F.lit(similar) * (F.size("sa") + F.size("sb") - common)).select("a", "b"))
 
 
 def _ordered(links: DataFrame, *more) -> DataFrame:
@@ -680,9 +687,12 @@ def _ordered(links: DataFrame, *more) -> DataFrame:
 
 
 def _rooted(nodes: DataFrame, links: DataFrame) -> DataFrame:
-    """nodes with root, the least key that the links reach."""
-    roots = connected_components(links).withColumnRenamed("node", "key")
-    return cut_lineage(nodes.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key")))
+    """nodes with root, the least key that the links reach. Where few keys are linked, nodes, which are wide, are neither shuffled nor written again."""
+    roots = cut_lineage(connected_components(links).withColumnRenamed("node", "key"))
+    few = (n := roots.count()) <= FEW // 2
+    roots = few_tasks(roots, n)
+    rooted = nodes.join(F.broadcast(roots) if few else roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
+    return rooted if few else cut_lineage(rooted)
 
 
 def _apart(rooted: DataFrame, links: DataFrame) -> DataFrame | None:
@@ -703,20 +713,20 @@ def _grouped(docs: DataFrame, words: int, similar: float, looks: int, near: int)
     # First the pairs of one look that agree in one of a few whole blocks: they join most of a large group, so that the full search, which
     # sends only what connects different groups, has little left to send.
     alone = nodes.withColumn("root", F.col("key"))
-    links = cut_lineage(_ordered(_candidates(alone, 1, COARSE, COARSE_NEAR), "more").groupBy("a", "b").agg(F.max("more").alias("more")))
+    links = compacted(_ordered(_candidates(alone, 1, COARSE, COARSE_NEAR), "more").groupBy("a", "b").agg(F.max("more").alias("more")))
     good = _verified(links, docs, nodes, words, similar, looks)
     rooted = _rooted(nodes, good)
-    links = cut_lineage(_ordered(_prefix_candidates(rooted, near, similar), "more").groupBy("a", "b").agg(F.max("more").alias("more")))
-    good = cut_lineage(good.unionByName(_verified(links, docs, nodes, words, similar, looks)))
+    links = compacted(_ordered(_prefix_candidates(rooted, near, similar), "more").groupBy("a", "b").agg(F.max("more").alias("more")))
+    good = compacted(good.unionByName(_verified(links, docs, nodes, words, similar, looks)))
     rooted = _rooted(nodes, good)
     left = _apart(rooted, links)
     for look in range(1, looks if left is not None else 1):  # nearest ones by another look, so that fewer groups are left to the last search
-        again = cut_lineage(_ordered(_prefix_candidates(left, near, similar, look=look)).distinct().join(links.select("a", "b"), ["a", "b"], "left_anti"))
-        good = cut_lineage(good.unionByName(_verified(again, docs, nodes, words, similar, looks)))
+        again = compacted(_ordered(_prefix_candidates(left, near, similar, look=look)).distinct().join(links.select("a", "b"), ["a", "b"], "left_anti"))
+        good = compacted(good.unionByName(_verified(again, docs, nodes, words, similar, looks)))
         rooted = _rooted(nodes, good)
         left = _apart(rooted, links)
     if left is not None:
-        rest = cut_lineage(_ordered(_prefix_candidates(left, near, similar, True)).distinct().join(links.select("a", "b"), ["a", "b"], "left_anti"))
+        rest = compacted(_ordered(_prefix_candidates(left, near, similar, True)).distinct().join(links.select("a", "b"), ["a", "b"], "left_anti"))
         rooted = _rooted(nodes, good.unionByName(_verified(rest, docs, nodes, words, similar, looks)))
     return found.select("doc_id", "key").join(rooted.select("key", "root"), "key")
 

@@ -92,6 +92,20 @@ def test_components_of_a_long_path(spark):
     assert found == {i: 0 for i in range(41)} | {100: 100, 101: 100}
 
 
+def test_few_edges_are_few_tasks_work(spark):
+    """Each partition that a shuffle reads has files of its own, so few rows in many partitions filled the disk."""
+    width = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 64)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        edges = spark.createDataFrame([(i, i + 1) for i in range(9)], "a long, b long")
+        found = graph.connected_components(edges)
+        assert found.rdd.getNumPartitions() <= 2 and {r.root for r in found.collect()} == {0}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", width)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 def test_one_of_each_keeps_columns_and_drops_copies(docs):
     kept = simhash.one_of_each(docs)
     assert kept.columns == docs.columns
@@ -241,6 +255,16 @@ def test_mixing_targets_and_tree(docs, empty):
     assert sorted(map(str, mixed)) == sorted(map(str, mixing.mix(docs).collect()))
 
 
+def test_the_mix_does_not_shuffle_documents(docs, spark):
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan = mixing.mix(docs)._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
 def test_neighbours_reach_recall(spark):
     r = np.random.default_rng(3)
     x = r.standard_normal((1500, 24))
