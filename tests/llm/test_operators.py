@@ -475,6 +475,27 @@ def test_secrets_base_against_patterns_and_rewritten_findings(spark):
     assert sum(hits) >= 2 and wrong <= 18, (hits, wrong)
 
 
+def test_secrets_learn_from_every_candidate(spark, monkeypatch):
+    """Long candidates too, in several shards; the means do not hang on how rows lie."""
+    monkeypatch.setattr(secrets, "SHARD_ROWS", 300)
+    monkeypatch.setattr(secrets, "EPOCHS", 30)
+    r = random.Random(5)
+    hexes = lambda n: "".join(r.choices("0123456789abcdef", k=n))
+    texts = [f"the river {hexes(40)} stone {i}" if i % 2 else f"a walk by item-{i}2024 and window" for i in range(300)] + [f"stone {hexes(3000)} river"]
+    found = secrets.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    rows = found.selectExpr("explode(candidates) c").select("c.kinds", "c.window")
+    forms = secrets.labelled_windows(rows)
+    seen = {bytes(x.window) for x in forms.collect()}
+    assert {bytes(x.window) for x in rows.collect()} <= seen and max(map(len, seen)) > 3000
+    net = secrets.train_on_all(forms)
+    again = secrets.train_on_all(forms.repartition(3))
+    assert all(np.array_equal(a, b) for a, b in zip(net.parameters(), again.parameters()))
+    counts = secrets.counted(net, forms)
+    assert counts.sum(axis=(1, 2)).tolist() == [forms.count()] * 3
+    z = {bytes(x.window): (x.kinds, o) for x, o in zip(forms.collect(), net.logits([bytes(x.window) for x in forms.collect()]))}
+    assert np.mean([(o[2] > 0) == (k == 4) for k, o in z.values()]) > 0.95
+
+
 def test_toxicity_held_out_and_rejection(spark):
     r = random.Random(9)
     plain = ["river", "stone", "walking", "table", "window", "morning", "garden", "paper", "letter", "coffee"]
