@@ -174,9 +174,8 @@ class Vocabulary:
     def learn(self, words: set[str]) -> None:
         """Merge the words that are not yet remembered."""
         new = words.difference(self.memory)
-        if len(self.memory) + len(new) > REMEMBERED:
-            self.memory.clear()
-            new = words
+        if len(self.memory) + len(new) > REMEMBERED:  # those in use now stay
+            self.memory = {w: self.memory[w] for w in words & self.memory.keys()}
         by_size: dict[int, list[str]] = {}
         for w in new:
             by_size.setdefault(len(w.encode()), []).append(w)

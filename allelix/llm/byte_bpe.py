@@ -56,6 +56,9 @@ class Ranks(bpe.Vocabulary):
                 continue
 
         self.small = max(self.bytes_of) < 1 << 16
+        # by id, in lists: what digests take of each token
+        self.decimals = [str(n) for n in range(max(self.bytes_of) + 1)]
+        self.tokens = [self.bytes_of.get(n) for n in range(max(self.bytes_of) + 1)]
 
     def packed(self, ids: bytes) -> bytes:
         """Ids (32 bits each) as they are sent between tasks: in 16 bits, if all of the vocabulary's fit."""
@@ -201,8 +204,8 @@ class _Digest:
     def add(self, vocabulary: Ranks, ids: np.ndarray) -> None:
         numbers = ids.tolist()
         if numbers:
-            self.ids.update((("," if self.n else "") + ",".join(map(str, numbers))).encode())
-            self.text.update(b"".join(map(vocabulary.bytes_of.__getitem__, numbers)))
+            self.ids.update((("," if self.n else "") + ",".join(map(vocabulary.decimals.__getitem__, numbers))).encode())
+            self.text.update(b"".join(map(vocabulary.tokens.__getitem__, numbers)))
             self.n += len(numbers)
 
     def values(self) -> tuple[int, str, str]:

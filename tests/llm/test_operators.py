@@ -403,6 +403,17 @@ def pii_base(text):
     return [f"{k}:{m.start()}:{m.end()}" for k, (p, ok) in checks.items() for m in re.finditer(p, text) if ok(m.group())]
 
 
+def test_words_in_use_are_not_merged_again(monkeypatch):
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        vocabulary = bpe.Vocabulary(f.read())
+    monkeypatch.setattr(bpe, "REMEMBERED", 3)
+    first, merged, merge = vocabulary.encode_many(["river stone"]), [], vocabulary.merge_rows
+    monkeypatch.setattr(vocabulary, "merge_rows", lambda words: (merged.extend(words), merge(words))[1])
+    again = vocabulary.encode_many(["river stone", "river stone window table"])
+    assert again[0] == first[0] and again[1].startswith(first[0])
+    assert sorted(merged) == [b" table", b" window"]
+
+
 def test_pii_base_spans_against_patterns(spark, docs, empty):
     r = random.Random(4)
     bits = ["a@b.c", "a@b", "@", ".", "_x@y.org", " ", "1", "22", "333", ".4", "+", "+1 (2", "-", "4111111111111111", "4111 1111-1111 1111", "256", "0001", "é", "x"]
