@@ -61,7 +61,8 @@ def fold_by_gene(rows: DataFrame) -> DataFrame:
 
 
 def merge_folded(old: DataFrame, new: DataFrame) -> DataFrame:
-    """Two folded tables as one: missing gene fields of the old filled by the new, variants united by identity, the old one's first."""
+    """Two folded tables as one: missing gene fields of the old filled by the new, variants united by identity, the old one's first.
+    Each table is read twice, for its gene fields and for its variants, so let both be read from files."""
     both = old.withColumn("__r", F.lit(0)).unionByName(new.withColumn("__r", F.lit(1)))
     fields = [F.min_by(f, F.when(F.col(f).isNotNull() & (F.col(f).cast("string") != ""), F.col("__r"))).alias(f) for f in GENE_FIELDS if f in old.columns]
     heads = both.groupBy("gene_id").agg(*fields)
