@@ -41,7 +41,7 @@ def resolved(df: DataFrame, mapping: DataFrame | None, default: str = "CVD") ->
     """`df` with mapped_type and mapped_category for its `phenotype` slug; without a map, or where it has none, the default type."""
     if mapping is None:
         return df.withColumns({"mapped_type": F.lit(default), "mapped_category": F.lit(None).cast("string")})
-    found = df.join(mapping.select(F.col("slug").alias("__slug"), "mapped_type", "mapped_category"), F.col("phenotype") == F.col("__slug"), "left").drop("__slug")
+    found = df.join(rec.broadcast_if_few(mapping.select(F.col("slug").alias("__slug"), "mapped_type", "mapped_category")), F.col("phenotype") == F.col("__slug"), "left").drop("__slug")
     return found.withColumn("mapped_type", F.coalesce("mapped_type", F.lit(default)))
 
 
@@ -191,7 +191,7 @@ def long_points(rows: DataFrame, dataset_id: str = "mvp", source: str = "million
 
 def raw_points(df: DataFrame, dataset_type: str, mapping: DataFrame | None = None, dataset_id: str = "legacy", source: str = "legacy_raw", ingested_at: Column | None = None) -> DataFrame:
     """Association points of the raw wide layout: one row for each ancestry column, null or not, one more where all are null, then the
-    smallest value of each field for each key, ancestry and file."""
+    smallest value of each field for each key, ancestry and file. Rows are folded by key and file first, so what is unpivoted are groups."""
     kind = F.trim(F.coalesce(given(df, "dbsnp.vartype"), F.lit("")))
     new = {
         "variant_id": F.trim(F.coalesce(*[F.col(f"`{c}`") for c in ("dbsnp.rsid", "MarkerID") if c in df.columns])), "gene_id": F.trim(given(df, "snpeff.ann.gene_id")), "phenotype": _slugged(given(df, "Phenotype")),
@@ -201,13 +201,16 @@ def raw_points(df: DataFrame, dataset_type: str, mapping: DataFrame | None = Non
     rows = df.select(*[c.alias(n) for n, c in new.items()]).where(fn.is_gene(F.col("gene_id")) & (F.col("variant_id") != "") & F.col("phenotype").isNotNull())
     own = None if mapping is None else mapping.where(F.upper("mapped_type") == dataset_type.upper())
     rows = resolved(rows, own).withColumn("disease_category", F.nullif("mapped_category", F.lit(""))).drop("mapped_type", "mapped_category")
-    ids = [c for c in rows.columns if not c.startswith("af_")]
-    long = rec.unpivot_ancestry(rows, ids, {f"af_{i}": label for i, label in enumerate(RAW_ANCESTRIES.values())})
-    blank = lambda c: F.min(F.nullif(F.col(c), F.lit(""))).alias(c)
-    least = long.groupBy("source_file", "gene_id", "variant_id", "phenotype", "ancestry").agg(
-        F.coalesce(F.min("disease_category"), F.lit("")).alias("disease_category"), blank("variation_type"), blank("clinical_significance"), blank("most_severe_consequence"),
-        F.min("p_value").alias("p_value"), F.min("ancestry_af").alias("ancestry_af"),
-    )
+    key, own = ["source_file", "gene_id", "variant_id", "phenotype"], ["disease_category", "variation_type", "clinical_significance", "most_severe_consequence", "p_value"]
+    af = [f"af_{i}" for i in range(len(RAW_ANCESTRIES))]
+    rows = rows.withColumns({c: F.nullif(F.col(c), F.lit("")) for c in own[1:4]} | {"__bare": F.coalesce(*af).isNull()})
+    bare = [F.min(F.when(F.col("__bare"), F.col(c))).alias(f"__bare_{c}") for c in own]
+    folded = rows.groupBy(*key).agg(*[F.min(c).alias(c) for c in (*own, *af)], F.bool_or("__bare").alias("__bare"), *bare)
+    each = F.array(*[F.struct(F.lit(label).alias("ancestry"), F.col(f"af_{i}").alias("ancestry_af"), F.lit(False).alias("bare")) for i, label in enumerate(RAW_ANCESTRIES.values())])
+    alone = F.array(F.struct(F.lit(None).cast("string").alias("ancestry"), F.lit(None).cast("double").alias("ancestry_af"), F.lit(True).alias("bare")))
+    long = folded.withColumn("__x", F.explode(F.when(F.col("__bare"), F.concat(each, alone)).otherwise(each)))
+    least = long.select(*key, "__x.ancestry", "__x.ancestry_af", *[F.when(F.col("__x.bare"), F.col(f"__bare_{c}")).otherwise(F.col(c)).alias(c) for c in own])
+    least = least.withColumn("disease_category", F.coalesce("disease_category", F.lit("")))
     fixed = {"dataset_id": F.lit(dataset_id), "source": F.lit(source), "dataset_type": F.lit(dataset_type.upper()), "ingested_at": F.current_timestamp() if ingested_at is None else ingested_at}
     return conform(least.withColumns(fixed), POINTS)
 
